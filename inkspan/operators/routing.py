@@ -8,6 +8,7 @@ from inkspan.schemas import FAILURE_REASON
 
 MAX_ATTEMPTS = 3
 ROWS_PER_BLOCK = 1_000_000
+MAX_BROADCAST_KEYS = 100_000
 DONE, RETRY, DEAD_LETTER = "done", "retry", "dead_letter"
 
 
@@ -39,21 +40,28 @@ def route_deliveries(
     span = F.unix_micros(F.col(ts).cast("timestamp"))
     hot = (
         deliveries.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(span).alias("lo"), F.max(span).alias("hi"))
-        .filter(F.col("n") > rows_per_block)
+        .agg(
+            F.count(F.lit(1)).alias("key_rows"),
+            F.min(span).alias("key_lo"),
+            F.max(span).alias("key_hi"),
+        )
+        .filter(F.col("key_rows") > rows_per_block)
     )
-    if hot.isEmpty():
+    found = hot.limit(MAX_BROADCAST_KEYS + 1).collect()
+    if not found:
         placed = _number(deliveries, [key], ts, tie, failed)
         return _routed(placed, F.col("since"), deliveries, failed, max_attempts)
 
-    cuts = F.ceil(F.col("n") / F.lit(rows_per_block))
-    offset = (span - F.col("lo")) / (F.col("hi") - F.col("lo") + 1)
+    if len(found) <= MAX_BROADCAST_KEYS:
+        hot = F.broadcast(deliveries.sparkSession.createDataFrame(found, hot.schema))
+    cuts = F.ceil(F.col("key_rows") / F.lit(rows_per_block))
+    offset = (span - F.col("key_lo")) / (F.col("key_hi") - F.col("key_lo") + 1)
     blocked = deliveries.join(hot, key, "left").withColumn(
-        "block", F.when(F.col("n").isNull(), F.lit(0)).otherwise(F.floor(offset * cuts))
+        "block", F.coalesce(F.floor(offset * cuts), F.lit(0))
     )
     placed = _number(blocked, [key, "block"], ts, tie, failed)
     ends = (
-        placed.filter(F.col("n").isNotNull())
+        placed.filter(F.col("key_rows").isNotNull())
         .groupBy(key, "block")
         .agg(
             F.max(F.when(~F.col(failed), F.col("place"))).alias("last_success"),

@@ -16,12 +16,15 @@ _CSV = {
     "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\\N",
 }
 
 
 def write_csv(rows: DataFrame, path: str, quote_all: bool = True, by_file: bool = False) -> None:
     """CSV with a header; quotes are doubled, line breaks stay inside quotes.
 
+    NULL is written as ``\\N``, so that it differs from the empty text.
+
     ``by_file`` makes one folder per file name, for small exports only.
     """
     writer = rows.write.options(**_CSV).option("quoteAll", str(quote_all).lower())

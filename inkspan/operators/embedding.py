@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from inkspan.functions.text import _col, is_blank
 from inkspan.schemas import EMBEDDING
 
-REMEMBERED_TOKENS = 1 << 17
+REMEMBERED_TOKENS = 1 << 19
 
 
 class Embedder(Protocol):
@@ -26,24 +25,28 @@ class Embedder(Protocol):
         """Vectors of the texts and their token counts."""
 
 
-@dataclass
+class TokenBuckets(dict):
+    """Token to bucket; remembers a bounded number of tokens."""
+
+    def __init__(self, dim: int):
+        self.dim = dim
+
+    def __missing__(self, token: str) -> int:
+        digest = hashlib.md5(token.encode("utf-8")).hexdigest()
+        bucket = int(digest[:8], 16) % self.dim
+        if len(self) < REMEMBERED_TOKENS:
+            self[token] = bucket
+        return bucket
+
+
 class HashingEmbedder:
     """Counts lower-cased whitespace tokens in md5 buckets and scales to norm 1."""
 
-    dim: int = 64
-    model: str = "token-hash"
-
-    def __post_init__(self):
-        self._buckets: dict[str, int] = {}
+    model = "token-hash"
 
-    def _bucket(self, token: str) -> int:
-        bucket = self._buckets.get(token)
-        if bucket is None:
-            digest = hashlib.md5(token.encode("utf-8")).hexdigest()
-            bucket = int(digest[:8], 16) % self.dim
-            if len(self._buckets) < REMEMBERED_TOKENS:
-                self._buckets[token] = bucket
-        return bucket
+    def __init__(self, dim: int = 64):
+        self.dim = dim
+        self.buckets = TokenBuckets(dim)
 
     def embed(self, texts):
         vectors = np.zeros((len(texts), self.dim))
@@ -52,9 +55,10 @@ class HashingEmbedder:
             words = text.lower().split()
             tokens.append(len(words))
             if words:
-                counts = np.bincount([self._bucket(w) for w in words], minlength=self.dim)
-                vectors[row] = counts / np.sqrt(float(np.dot(counts, counts)))
-        return vectors, tokens
+                at = np.fromiter(map(self.buckets.__getitem__, words), np.int64, len(words))
+                vectors[row] = np.bincount(at, minlength=self.dim)
+        lengths = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+        return np.divide(vectors, lengths, out=vectors, where=lengths > 0), tokens
 
 
 def choose_embedder(
@@ -79,7 +83,9 @@ def embedding(
     is tried ``attempts`` times, then its texts one by one, so that one bad text
     gives one row with ``error`` and no vector.
     """
-    return _embedding_udf(factory, request_size, attempts)(_col(text))
+    call = _embedding_udf(factory, request_size, attempts)
+    # A call is dear and may differ when repeated: no plan may make it twice.
+    return call.asNondeterministic()(_col(text))
 
 
 def embed_chunks(

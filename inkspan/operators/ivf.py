@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from inkspan.functions.vectors import norm, normalize
 from inkspan.operators.search import SCORE_DECIMALS, Queries, top_k, vector_matrix
@@ -44,23 +43,20 @@ def assign_lists(
 ) -> DataFrame:
     """Add ``list_id``: the centroid with the largest inner product, lowest id on ties.
 
-    One pass without shuffle; the centroids go to every task as a matrix.
+    One pass without shuffle: only the vector column goes to Python, the centroids
+    go to every task as a matrix.
     """
     list_ids, matrix = centroid_matrix(centroids)
-    schema = T.StructType(vectors.schema.fields + [T.StructField("list_id", T.IntegerType())])
-    arrow_schema = to_arrow_schema(schema)
-    at = vectors.columns.index(vector_col)
     sent = vectors.sparkSession.sparkContext.broadcast((list_ids, matrix))
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(T.IntegerType())
+    def assign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, centers = sent.value
         for batch in batches:
-            rows = vector_matrix(batch.column(at), centers.shape[1])
-            chosen = pa.array(ids[_largest_product(rows, centers)], pa.int32())
-            columns = [c.cast(f.type) for c, f in zip(batch.columns, arrow_schema)]
-            yield pa.RecordBatch.from_arrays([*columns, chosen], schema=arrow_schema)
+            rows = vector_matrix(batch, centers.shape[1])
+            yield pa.array(ids[_largest_product(rows, centers)], pa.int32())
 
-    return vectors.mapInArrow(assign, schema)
+    return vectors.withColumn("list_id", assign(vector_col))
 
 
 def write_index(assigned: DataFrame, path: str) -> None:

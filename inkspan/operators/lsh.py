@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from inkspan.operators.search import Queries, top_k, vector_matrix
 
@@ -44,23 +43,17 @@ def add_codes(
     vector_col: str = "embedding",
 ) -> DataFrame:
     """Add ``codes``: the bucket of the row in each table. One pass without shuffle."""
-    codes_type = T.ArrayType(T.LongType(), containsNull=False)
-    schema = T.StructType(vectors.schema.fields + [T.StructField("codes", codes_type)])
-    arrow_schema = to_arrow_schema(schema)
-    at = vectors.columns.index(vector_col)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(T.ArrayType(T.LongType(), containsNull=False))
+    def codes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         planes = projections(dim, bits, tables, seed)
+        item = pa.list_(pa.field("element", pa.int64(), nullable=False))
         for batch in batches:
-            codes = bucket_codes(vector_matrix(batch.column(at), dim), planes)
-            offsets = np.arange(0, codes.size + 1, tables, dtype=np.int32)
-            made = pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(codes.reshape(-1)), type=arrow_schema.field(-1).type
-            )
-            columns = [c.cast(f.type) for c, f in zip(batch.columns, arrow_schema)]
-            yield pa.RecordBatch.from_arrays([*columns, made], schema=arrow_schema)
-
-    return vectors.mapInArrow(add, schema)
+            codes = bucket_codes(vector_matrix(batch, dim), planes)
+            offsets = pa.array(np.arange(0, codes.size + 1, tables, dtype=np.int32))
+            yield pa.ListArray.from_arrays(offsets, pa.array(codes.reshape(-1)), type=item)
+
+    return vectors.withColumn("codes", codes_of(vector_col))
 
 
 def lsh_search(

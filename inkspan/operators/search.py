@@ -64,21 +64,18 @@ def top_k(
 ) -> DataFrame:
     """(query id, rank, id, score, distance) of the best ``k`` rows per query.
 
-    ``distance`` is the negative inner product or the cosine distance. Vectors
-    of another dimension than the queries raise an error. With the cosine
-    metric zero vectors have no distance and never match.
+    ``distance`` is the negative inner product or the cosine distance. A NULL
+    vector never matches, one of another dimension than the queries raises an
+    error. With the cosine metric zero vectors have no distance and never match.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric: {metric}")
     if k < 1:
         raise ValueError("k must be positive")
-    asked = queries.select(query_id_col, query_vector_col).filter(
-        F.col(query_vector_col).isNotNull()
-    )
-    stored = vectors.filter(F.col(vector_col).isNotNull())
+    asked = queries.select(query_id_col, query_vector_col)
 
     def one_round(side: Queries) -> DataFrame:
-        rows = stored if prune is None else prune(stored, side)
+        rows = vectors if prune is None else prune(vectors, side)
         return _search(
             rows, side, k, metric, id_col, vector_col, query_id_col, gate, gate_cols,
             asked.schema[query_id_col].dataType,
@@ -116,6 +113,7 @@ def _in_rounds(asked, query_id_col, metric, query_extra, one_round, per_round) -
 
 
 def _query_side(rows: list, metric: str, query_extra) -> Queries:
+    rows = [row for row in rows if row[1] is not None]
     matrix = np.array([row[1] for row in rows], dtype=np.float64)
     if len(rows) == 0:
         matrix = np.empty((0, 0))
@@ -178,6 +176,8 @@ class _Best:
         self.lengths = np.linalg.norm(side.vectors, axis=1) if n else np.empty(0)
 
     def add(self, batch: pa.RecordBatch, gate: Gate | None) -> None:
+        if batch.column(1).null_count:
+            batch = batch.filter(batch.column(1).is_valid())
         if batch.num_rows == 0 or len(self.side.ids) == 0:
             return
         rows = vector_matrix(batch.column(1), self.side.dim)

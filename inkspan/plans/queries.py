@@ -22,7 +22,7 @@ from inkspan.plans.vectorize import (
     export_csv, import_csv, vectorize_files, vectorize_pages,
 )
 from inkspan.schemas import CHUNK
-from inkspan.session import shared_folder
+from inkspan.session import shared_folder, spread
 from inkspan.sources import exports, files, notifications, tables
 from inkspan.streaming import ingest, routing as stream_routing
 
@@ -67,6 +67,10 @@ def documents(spark, sf_dir) -> DataFrame:
     ).withColumn("page", F.lit(0))
 
 
+def documents_to_split(spark, sf_dir) -> DataFrame:
+    return spread(documents(spark, sf_dir), "doc_id")
+
+
 def turns(spark, sf_dir) -> DataFrame:
     """Conversations as files, their turns as pages."""
     return table(spark, sf_dir, "conversations").select(
@@ -154,7 +158,7 @@ def rounded_matches(found: DataFrame, *ids: str) -> DataFrame:
 
 @query
 def chunk_text(spark, sf_dir):
-    return documents(spark, sf_dir).select(
+    return documents_to_split(spark, sf_dir).select(
         "doc_id",
         F.posexplode(page_chunk_array("text", CHUNK_SIZE, 0, "\n")).alias("chunk_no", "text"),
     )
@@ -162,7 +166,7 @@ def chunk_text(spark, sf_dir):
 
 @query
 def chunk_overlap(spark, sf_dir):
-    return documents(spark, sf_dir).select(
+    return documents_to_split(spark, sf_dir).select(
         "doc_id",
         F.posexplode(page_chunk_array("text", CHUNK_SIZE, OVERLAP, "\n")).alias(
             "chunk_no", "text"
@@ -172,7 +176,7 @@ def chunk_overlap(spark, sf_dir):
 
 @query
 def line_chunks(spark, sf_dir):
-    return chunks.line_rows(documents(spark, sf_dir), one_page_files=True)
+    return chunks.line_rows(documents_to_split(spark, sf_dir), one_page_files=True)
 
 
 @query
@@ -235,11 +239,12 @@ def path_parts(spark, sf_dir):
 
 @query
 def html_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", files.html_text("html").alias("text"))
+    pages = spread(table(spark, sf_dir, "pages"), "page_id")
+    return pages.select("page_id", files.html_text("html").alias("text"))
 
 
 def _html_files(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages"), "page_id").select(
         F.col("page_id").cast("string").alias("path"), F.encode("html", "UTF-8").alias("content")
     )
 
@@ -597,7 +602,7 @@ def lsh_recall(spark, sf_dir):
 @query
 def hash_embed(spark, sf_dir):
     return (
-        documents(spark, sf_dir)
+        documents_to_split(spark, sf_dir)
         .select("doc_id", F.posexplode(embedding("text").embedding).alias("bucket", "weight"))
         .filter(F.col("weight") > 0)
         .withColumn("weight", F.round(F.col("weight").cast("double"), 6))
@@ -606,7 +611,7 @@ def hash_embed(spark, sf_dir):
 
 @query
 def token_usage(spark, sf_dir):
-    made = documents(spark, sf_dir).select("doc_id", embedding("text").alias("made"))
+    made = documents_to_split(spark, sf_dir).select("doc_id", embedding("text").alias("made"))
     return made.select("doc_id", "made.model", "made.prompt_tokens", "made.total_tokens")
 
 

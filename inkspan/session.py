@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "inkspan", **conf: str) -> SparkSession:
@@ -40,3 +40,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="inkspan-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/inkspan/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores, for a costly step on a table of few row groups.
+
+    A scan that already has enough partitions, as that of any large table, is
+    returned as it is; so at most some partitions per core are ever shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= 2 * cores:
+        return rows
+    return rows.repartition(cores, key)

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from inkspan.functions.vectors import norm, normalize
 from inkspan.operators.search import SCORE_DECIMALS, Queries, top_k, vector_matrix
 
+# Default number of lists, and of lists a search reads.
 LISTS = 20
 PROBES = 5
+TRAINING_ROWS = 1_000_000
 MAX_CENTROID_BYTES = 256 << 20
 CENTROIDS = T.StructType([
     T.StructField("list_id", T.IntegerType()),
@@ -28,8 +30,19 @@ def train_centroids(
     seed: int = 7,
     iterations: int = 20,
     vector_col: str = "embedding",
+    training_rows: int | None = TRAINING_ROWS,
 ) -> DataFrame:
-    """(list_id, centroid) from k-means over the unit-length vectors of the table."""
+    """(list_id, centroid) from k-means over the unit-length vectors of the table.
+
+    A table beyond ``training_rows`` rows trains on about that many, drawn at
+    random: k-means passes over its input many times and keeps it on disk,
+    while a few hundred rows per list fix a centroid. This shapes the lists
+    only; every row is assigned to one and can be found. None trains on all.
+    """
+    if training_rows is not None:
+        total = vectors.count()
+        if total > training_rows:
+            vectors = vectors.sample(training_rows / total, seed)
     directions = vectors.filter(norm(vector_col) > 0).select(
         array_to_vector(normalize(vector_col)).alias("features")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from inkspan.schemas import FAILURE_REASON
 
+# Fixed value: attempts before a message becomes a dead letter.
 MAX_ATTEMPTS = 3
 ROWS_PER_BLOCK = 1_000_000
 MAX_BROADCAST_KEYS = 100_000

@@ -151,12 +151,19 @@ FROM exact LEFT JOIN found f USING (query_id, vec_id) GROUP BY query_id"""
 ELEMENTS = """elements AS (
   SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos, unnest(embedding)::DOUBLE AS x
   FROM embeddings)"""
-HALVES = """halves AS (
-  SELECT vec_id, pos, x, CASE WHEN x = 0 THEN x
-    WHEN abs(x) >= 65520 THEN sign(x) * 'Infinity'::DOUBLE
-    ELSE round_even(x / step, 0)::DOUBLE * step END AS half
-  FROM (SELECT *, pow(2.0::DOUBLE, greatest(floor(log2(abs(nullif(x, 0)))), -14) - 10) AS step
-        FROM elements))"""
+def half(x: str) -> str:
+    step = f"pow(2.0::DOUBLE, greatest(floor(log2(abs(nullif({x}, 0)))), -14) - 10)"
+    return f"""(CASE WHEN {x} = 0 THEN {x}
+    WHEN abs({x}) >= 65520 THEN sign({x}) * 'Infinity'::DOUBLE
+    ELSE round_even({x} / {step}, 0)::DOUBLE * {step} END)"""
+
+
+HALVES = f"halves AS (SELECT vec_id, pos, x, {half('x')} AS half FROM elements)"
+HALF_SCORED = f"""scored AS (
+  SELECT means.label AS query_id, vec_id, round(list_inner_product(
+    list_transform(mean, lambda x: {half('x')}),
+    list_transform(embedding::DOUBLE[], lambda x: {half('x')})), 9) AS score
+  FROM means, embeddings)"""
 
 
 def bits(x: str, exponent_bits: int, mantissa_bits: int) -> str:
@@ -307,6 +314,7 @@ SELECT vec_id, round(score, 6) AS score FROM (
     round(list_cosine_similarity(mean, embedding::DOUBLE[]), 9) AS score FROM means, embeddings),
   {EXACT}
 SELECT query_id, rank::INTEGER AS rank, vec_id, round(1 - score, 6) AS distance FROM exact""",
+    "knn_half": f"WITH {LABEL_MEANS}, {HALF_SCORED}, {EXACT} {MATCHES.format('exact')}",
     "retrieve_chunks": f"""WITH RECURSIVE {DOC_CHUNKS},
   {embedded("SELECT k || '/' || pos AS k, chunk AS text FROM chunks", "stored")},
   {embedded("SELECT item_id AS k, text FROM benchmark", "asked")},
@@ -353,6 +361,9 @@ FROM events""",
     "dlq_redrive": f"""WITH {ROUTED}, {DOCUMENTS}, {MANIFEST}, {VERIFIED}
 SELECT event_id, user_id AS doc_id FROM routed WHERE route = 'dead_letter'
   AND user_id NOT IN (SELECT doc_id FROM verified WHERE verified)""",
+    "dlq_redrive_stream": f"""WITH {ROUTED}, {DOCUMENTS}, {MANIFEST}, {VERIFIED}
+SELECT event_id, user_id AS doc_id, CASE WHEN user_id IN (SELECT doc_id FROM verified WHERE verified)
+  THEN 'redriven' ELSE 'kept' END AS outcome FROM routed WHERE route = 'dead_letter'""",
     "queue_stream": f"""SELECT event_id::VARCHAR AS message_id, {KEY} AS key, 1 AS receive_count
 FROM events""",
     "dedup_stream": f"SELECT event_id::VARCHAR AS message_id, {KEY} AS key FROM events",

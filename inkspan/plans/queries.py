@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from inkspan.functions import times, vectors
 from inkspan.functions.messages import event_key, event_keys, notification_body
@@ -514,6 +514,16 @@ def knn_cosine(spark, sf_dir):
     return found.select("query_id", "rank", "vec_id", F.round("distance", 6).alias("distance"))
 
 
+@query
+def knn_half(spark, sf_dir):
+    """Inner product of vectors rounded to half precision, on both sides."""
+    stored = embeddings(spark, sf_dir).withColumn("embedding", vectors.to_half("embedding"))
+    asked = query_vectors(spark, sf_dir).withColumn(
+        "query_vector", vectors.to_half("query_vector")
+    )
+    return rounded_matches(search.top_k(stored, asked, K), "query_id", "rank", "vec_id")
+
+
 def _document_vectors(spark, sf_dir) -> DataFrame:
     """(chunk, embedding) of all document chunks."""
     return chunk_text(spark, sf_dir).select(
@@ -733,22 +743,47 @@ def dead_letters(spark, sf_dir):
     )
 
 
-@query
-def dlq_redrive(spark, sf_dir):
-    """Dead letters name the document of the user's number; French ones fail again."""
-    docs = documents(spark, sf_dir)
-    letters = routing.dead_letters(_routed(spark, sf_dir)).select(
+def _named_letters(spark, sf_dir) -> DataFrame:
+    """Dead letters; each names the document of the user's number."""
+    return routing.dead_letters(_routed(spark, sf_dir)).select(
         "event_id", F.col("user_id").alias("doc_id")
     )
-    named = letters.join(
-        docs.select("doc_id", F.col("file_name").alias("key"), F.col("text").alias("content")),
-        "doc_id",
+
+
+def _second_pass(letters: DataFrame, docs: DataFrame) -> DataFrame:
+    """Ids of the letters whose document is there and has the recorded hash."""
+    named = docs.withColumnRenamed("file_name", "key")
+    wanted = named.join(letters.select("doc_id").distinct(), "doc_id", "left_semi")
+    checked = integrity.verify_hashes(
+        wanted.select("key", F.col("text").alias("content")), manifest(docs)
     )
-    checked = integrity.verify_hashes(named.select("key", "content").distinct(), manifest(docs))
-    succeeded = named.join(checked.filter("verified").select("key"), "key", "left_semi")
+    good = named.select("doc_id", "key").join(checked.filter("verified"), "key", "left_semi")
+    return letters.join(good, "doc_id", "left_semi").select("event_id")
+
+
+@query
+def dlq_redrive(spark, sf_dir):
+    """French documents fail again and stay dead letters."""
+    letters = _named_letters(spark, sf_dir)
+    succeeded = _second_pass(letters, documents(spark, sf_dir))
     return routing.redrive(letters, succeeded, "event_id")
 
 
+@query
+def dlq_redrive_stream(spark, sf_dir):
+    """The same as a stream over the dead-letter table, with the outcome of each letter."""
+    letters, out = shared_folder(spark, "letters"), shared_folder(spark, "redriven")
+    found = _named_letters(spark, sf_dir)
+    found.write.parquet(letters)
+    docs = documents(spark, sf_dir)
+    stream_routing.redrive_stream(
+        spark, letters, found.schema, lambda batch: _second_pass(batch, docs),
+        out, shared_folder(spark, "offsets"), message_id="event_id",
+    )
+    filed = T.StructType(found.schema.fields + [T.StructField("outcome", T.StringType())])
+    return ingest.read_table(spark, out, filed).drop("ingest_id")
+
+
 def _replay(spark, rows: DataFrame) -> str:
     path = shared_folder(spark, "queue")
     notifications.write_messages(rows, path)

@@ -13,7 +13,7 @@ from inkspan.operators.integrity import not_processed, verify_hashes
 from inkspan.operators.profile import keep_dimension
 from inkspan.operators.routing import DEAD_LETTER, DONE, MAX_ATTEMPTS, route
 from inkspan.schemas import CHUNK, FAILURE_REASON
-from inkspan.session import shared_folder
+from inkspan.session import discard, shared_folder
 from inkspan.sources.exports import CORRUPT, chunks_as_text, read_chunks_csv, write_csv
 from inkspan.sources.files import (
     PARSED, Parser, extract_pages, fetch_files, good_pages, quarantine, read_folder,
@@ -55,7 +55,9 @@ def vectorize_files(files: DataFrame, parser: Parser, table: str, ingest_id: int
     reason: the embedder must not run again for the failure list.
     """
     spark = files.sparkSession
-    pages_path, chunks_path = (shared_folder(spark, p) for p in ("pages", "chunks"))
+    pages_path, chunks_path, failures_path = (
+        shared_folder(spark, p) for p in ("pages", "chunks", "failures")
+    )
     extract_pages(files, parser).write.parquet(pages_path)
     extracted = spark.read.schema(PARSED).parquet(pages_path)
     vectorize_pages(good_pages(extracted), **options).write.parquet(chunks_path)
@@ -63,9 +65,11 @@ def vectorize_files(files: DataFrame, parser: Parser, table: str, ingest_id: int
     bad_chunks = chunks.filter(F.col("error").isNotNull()).select(
         F.col("file_name").alias("path"), "error"
     )
-    failures = quarantine(extracted).unionByName(bad_chunks)
+    quarantine(extracted).unionByName(bad_chunks).write.parquet(failures_path)
+    failures = spark.read.schema("path string, error string").parquet(failures_path)
     bad_files = failures.select(F.col("path").alias("file_name")).distinct()
     put(chunks.join(bad_files, "file_name", "left_anti").select(*CHUNK_COLUMNS), ingest_id, table)
+    discard(spark, pages_path, chunks_path)
     return failures
 
 
@@ -132,7 +136,7 @@ def consume_notifications(
             todo_path
         )
         todo = spark.read.parquet(todo_path)
-        fetch_files(todo.select("key").distinct(), folder).write.parquet(fetched_path)
+        fetch_files(todo, folder).write.parquet(fetched_path)
         fetched = spark.read.parquet(fetched_path)
         verify_hashes(fetched, manifest).join(
             fetched.select("key", "error"), "key"
@@ -163,5 +167,6 @@ def consume_notifications(
             )
         )
         put(outcome.select(*schema.fieldNames()), batch_id, outcomes)
+        discard(spark, todo_path, fetched_path, checked_path)
 
     return run(read_messages(spark, queue, max_files), handle, checkpoint, every)

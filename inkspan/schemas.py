@@ -73,4 +73,5 @@ LEDGER = T.StructType([
     T.StructField("processed_at", T.TimestampType()),
 ])
 
+# Fixed value: the reason that goes with a dead letter.
 FAILURE_REASON = "Exceeded max retry attempts"

@@ -42,6 +42,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/inkspan/{purpose}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that ``shared_folder`` named and nothing reads any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        if "/inkspan/" not in name:
+            raise ValueError(f"not a folder of this package: {name}")
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def spread(rows: DataFrame, key: str) -> DataFrame:
     """Rows over all cores, for a costly step on a table of few row groups.
 

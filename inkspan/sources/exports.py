@@ -9,6 +9,7 @@ from inkspan.functions.times import zoned_text
 from inkspan.schemas import CHUNK_CSV
 
 PAGES_PER_PART = 1000
+ROWS_PER_FILE = 50_000
 CORRUPT = "corrupt_record"
 _CSV = {
     "header": "true",
@@ -20,14 +21,24 @@ _CSV = {
 }
 
 
-def write_csv(rows: DataFrame, path: str, quote_all: bool = True, by_file: bool = False) -> None:
+def write_csv(
+    rows: DataFrame,
+    path: str,
+    quote_all: bool = True,
+    by_file: bool = False,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
     """CSV with a header; quotes are doubled, line breaks stay inside quotes.
 
     NULL is written as ``\\N``, so that it differs from the empty text.
 
-    ``by_file`` makes one folder per file name, for small exports only.
+    ``by_file`` makes one folder per file name, for small exports only. Files
+    with line breaks inside quotes are read by one task each, so none gets more
+    than ``rows_per_file`` rows.
     """
-    writer = rows.write.options(**_CSV).option("quoteAll", str(quote_all).lower())
+    writer = rows.write.options(**_CSV).options(
+        quoteAll=str(quote_all).lower(), maxRecordsPerFile=rows_per_file
+    )
     if by_file:
         writer = writer.partitionBy("file_name")
     writer.csv(path)

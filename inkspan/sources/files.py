@@ -31,6 +31,8 @@ FETCHED = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+BATCH_BYTES = 16 << 20
+
 Parser = Callable[[bytes], list[str]]
 
 
@@ -49,19 +51,35 @@ def read_folder(
 def fetch_files(keys: DataFrame, folder: str) -> DataFrame:
     """(key, content, error) for the files a ``key`` column names inside ``folder``.
 
-    The tasks open the files one by one, so a missing file is a row with
-    ``error`` and the driver lists nothing.
+    Every key is fetched once, by a task of its own share of the keys: a missing
+    file is a row with ``error`` and the driver lists nothing.
     """
     schema = to_arrow_schema(FETCHED)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key in batch.column(0).to_pylist():
-                content, error = _read_file(folder, key)
-                row = {"key": key, "content": content, "error": error}
-                yield pa.RecordBatch.from_pylist([row], schema)
-
-    return keys.select("key").mapInArrow(fetch, FETCHED)
+        rows = (
+            dict(zip(schema.names, (key, *_read_file(folder, key))))
+            for batch in batches
+            for key in batch.column(0).to_pylist()
+        )
+        return _batches(rows, "content", schema)
+
+    tasks = keys.sparkSession.sparkContext.defaultParallelism
+    wanted = keys.select("key").distinct().repartition(tasks, "key")
+    return wanted.mapInArrow(fetch, FETCHED)
+
+
+def _batches(rows: Iterator[dict], large: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows in batches that end once their ``large`` fields reach BATCH_BYTES."""
+    batch, size = [], 0
+    for row in rows:
+        batch.append(row)
+        size += 64 + len(row[large] or "")
+        if size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(batch, schema)
+            batch, size = [], 0
+    if batch:
+        yield pa.RecordBatch.from_pylist(batch, schema)
 
 
 def _read_file(folder: str, key: str | None) -> tuple[bytes | None, str | None]:
@@ -107,11 +125,13 @@ def extract_pages(
     schema = to_arrow_schema(PARSED)
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                rows = _parse(parser, path.as_py(), content.as_py(), attempts, on_error)
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema)
+        rows = (
+            row
+            for batch in batches
+            for path, content in zip(batch.column(0), batch.column(1))
+            for row in _parse(parser, path.as_py(), content.as_py(), attempts, on_error)
+        )
+        return _batches(rows, "text", schema)
 
     return files.select("path", "content").mapInArrow(expand, PARSED)
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from inkspan.operators.routing import DEAD_LETTER, DONE, MAX_ATTEMPTS, RETRY
 from inkspan.schemas import FAILURE_REASON
-from inkspan.streaming.ingest import put
+from inkspan.streaming.ingest import put, run
+
+REDRIVEN, KEPT = "redriven", "kept"
 
 
 def route_stream(
@@ -59,3 +61,27 @@ def write_routes(path: str):
         put(batch.withColumn("failure_reason", reason), batch_id, path, "route")
 
     return handle
+
+
+def redrive_stream(
+    spark: SparkSession,
+    letters: str,
+    schema: T.StructType,
+    process: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    message_id: str = "message_id",
+    every: str | None = None,
+):
+    """Work off new dead letters; file each as redriven or kept below ``path``.
+
+    ``process`` takes a batch of letters and gives the ids that succeeded.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        succeeded = process(batch).select(message_id).distinct().withColumn("ok", F.lit(True))
+        outcome = F.when(F.col("ok"), F.lit(REDRIVEN)).otherwise(F.lit(KEPT))
+        filed = batch.join(succeeded, message_id, "left").withColumn("outcome", outcome)
+        put(filed.drop("ok"), batch_id, path, "outcome")
+
+    return run(spark.readStream.schema(schema).parquet(letters), handle, checkpoint, every)

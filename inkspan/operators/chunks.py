@@ -24,7 +24,7 @@ def chunk_rows(
     )
     return number_through_files(chunked, pages, pages_per_block).select(
         "file_name",
-        F.col("page").cast("short").alias("document_page"),
+        F.col("page").cast("int").alias("document_page"),
         F.col("number").cast("int").alias("chunk_no"),
         F.col("chunk").alias("text"),
     )
@@ -74,7 +74,7 @@ def compact_view(chunks: DataFrame) -> DataFrame:
     """The compact column names over a full chunk table."""
     return chunks.select(
         "file_name",
-        F.col("document_page").cast("int").alias("page_num"),
+        F.col("document_page").alias("page_num"),
         "chunk_no",
         F.col("text").alias("chunk_text"),
         F.col("chunk_vector").alias("vector"),

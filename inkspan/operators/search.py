@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -184,16 +185,20 @@ class _Best:
         if self.metric == "cosine":
             rows = _unit_rows(rows)
         ids = batch.column(0)
+        id_rank = np.empty(len(ids), dtype=np.int64)
+        id_rank[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
         everything = np.arange(len(rows)), np.arange(len(self.side.ids)), None
         for row_at, query_at, mask in gate(batch, self.side) if gate else [everything]:
             if self.metric == "cosine":
                 alive = rows[row_at].any(axis=1)
                 row_at, mask = row_at[alive], mask if mask is None else mask[alive]
+            if len(row_at) > self.k:
+                kept = _few_copies(rows[row_at], id_rank[row_at], mask, self.k)
+                row_at, mask = row_at[kept], mask if mask is None else mask[kept]
             if len(row_at) and len(query_at):
-                self._block(ids, rows, row_at, query_at, mask)
+                self._block(ids, id_rank, rows[row_at], row_at, query_at, mask)
 
-    def _block(self, ids, rows, row_at, query_at, mask) -> None:
-        block = rows[row_at]
+    def _block(self, ids, id_rank, block, row_at, query_at, mask) -> None:
         rough = block @ self.side.vectors[query_at].T
         # Bound on how far a product may lie from the ranked score.
         slack = 10.0**-SCORE_DECIMALS + (
@@ -210,9 +215,11 @@ class _Best:
             at = np.flatnonzero(hits[:, column])
             query = query_at[column]
             exact = (block[at] * self.side.vectors[query]).sum(axis=1)
-            names = np.empty(len(at), dtype=object)
-            names[:] = ids.take(pa.array(row_at[at])).to_pylist()
-            self._merge(query, np.round(exact, SCORE_DECIMALS) + 0.0, names)
+            scores = np.round(exact, SCORE_DECIMALS) + 0.0
+            first = np.lexsort((id_rank[row_at[at]], -scores))[: self.k]
+            names = np.empty(len(first), dtype=object)
+            names[:] = ids.take(pa.array(row_at[at[first]])).to_pylist()
+            self._merge(query, scores[first], names)
 
     def _merge(self, query: int, scores: np.ndarray, names: np.ndarray) -> None:
         scores = np.concatenate([self.scores[query], scores])
@@ -245,6 +252,30 @@ def vector_matrix(column: pa.Array, dim: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
 
 
+def _few_copies(
+    rows: np.ndarray, id_rank: np.ndarray, mask: np.ndarray | None, k: int
+) -> np.ndarray:
+    """Positions without those copies of a vector that cannot be among the best k.
+
+    Copies score alike for every query, so the k lowest ids of each vector are
+    enough.
+    """
+    _, groups = np.unique(rows.sum(axis=1), return_inverse=True)
+    if np.bincount(groups).max() <= k:
+        return np.arange(len(rows))
+    # Rows of equal sum side by side, by id; the first leads its group.
+    order = np.lexsort((id_rank, groups))
+    starts = np.flatnonzero(np.diff(groups[order], prepend=-1))
+    sizes = np.diff(starts, append=len(rows))
+    leader = order[np.repeat(starts, sizes)]
+    is_copy = (rows[order] == rows[leader]).all(axis=1)
+    if mask is not None:
+        is_copy &= (mask[order] == mask[leader]).all(axis=1)
+    copies_before = np.cumsum(is_copy) - is_copy
+    copies_before -= np.repeat(copies_before[starts], sizes)
+    return order[~is_copy | (copies_before < k)]
+
+
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     lengths = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)

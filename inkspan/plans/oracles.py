@@ -71,7 +71,7 @@ TURN_CHUNKS = chunked(
 DOC_CHUNKS = chunked("SELECT doc_id AS k, text FROM documents", q.CHUNK_SIZE, "\n")
 
 CHUNK_ROWS = f"""numbered AS (
-  SELECT (k // 1000000)::VARCHAR AS file_name, (k % 1000000)::SMALLINT AS document_page,
+  SELECT (k // 1000000)::VARCHAR AS file_name, (k % 1000000)::INTEGER AS document_page,
     (row_number() OVER (PARTITION BY k // 1000000 ORDER BY k, pos) - 1)::INTEGER AS chunk_no,
     chunk AS text FROM chunks)"""
 
@@ -260,7 +260,7 @@ FROM numbered""",
   true AS then_missing FROM embeddings""",
     "vectorize_html": f"""WITH RECURSIVE {chunked(
         f"SELECT page_id AS k, {html('html')} AS text FROM pages", q.CHUNK_SIZE, ". ")}
-SELECT k::VARCHAR AS file_name, 0::SMALLINT AS document_page, pos::INTEGER AS chunk_no,
+SELECT k::VARCHAR AS file_name, 0::INTEGER AS document_page, pos::INTEGER AS chunk_no,
   text, 'token-hash' AS model, {TURN_TOKENS} AS total_tokens, {q.DIM} AS n_dims
 FROM (SELECT k, pos, chunk AS text FROM chunks)""",
     "vector_table": f"""WITH RECURSIVE {TURN_CHUNKS}, {CHUNK_ROWS}

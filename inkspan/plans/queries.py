@@ -269,7 +269,7 @@ def csv_roundtrip(spark, sf_dir):
     path = shared_folder(spark, "csv")
     rows = embeddings(spark, sf_dir).select(
         F.col("vec_id").cast("string").alias("file_name"),
-        F.col("label").cast("short").alias("document_page"),
+        F.col("label").alias("document_page"),
         F.lit(0).alias("chunk_no"), F.lit("").alias("text"), F.lit("given").alias("model"),
         F.lit(0).alias("prompt_tokens"), F.lit(0).alias("total_tokens"),
         times.utc_instant(F.lit(AS_OF)).alias("created_date_time"),
@@ -278,7 +278,7 @@ def csv_roundtrip(spark, sf_dir):
     export_csv(rows, path)
     return exports.read_chunks_csv(spark, path).select(
         F.col("file_name").cast("long").alias("vec_id"),
-        F.col("document_page").cast("int").alias("label"),
+        F.col("document_page").alias("label"),
         "text",
         times.zoned_text("created_date_time").alias("created"),
         F.posexplode("chunk_vector").alias("pos", "value"),

@@ -10,7 +10,7 @@ PAGE = T.StructType([
 
 CHUNK = T.StructType([
     T.StructField("file_name", T.StringType()),
-    T.StructField("document_page", T.ShortType()),
+    T.StructField("document_page", T.IntegerType()),
     T.StructField("chunk_no", T.IntegerType()),
     T.StructField("text", T.StringType()),
     T.StructField("model", T.StringType()),

@@ -73,7 +73,7 @@ def read_chunks_csv(spark: SparkSession, path: str) -> DataFrame:
     """Chunk rows back from CSV, with numbers, instant and vector typed."""
     return read_csv(spark, path).select(
         "file_name",
-        F.expr("try_cast(document_page AS smallint)").alias("document_page"),
+        F.expr("try_cast(document_page AS int)").alias("document_page"),
         "chunk_no", "text", "model", "prompt_tokens", "total_tokens",
         F.try_to_timestamp("created_date_time", F.lit("yyyy-MM-dd HH:mm:ss z")).alias(
             "created_date_time"

@@ -59,7 +59,7 @@ def test_numbering_in_blocks_equals_numbering_in_one(spark):
 def test_compact_view_and_key(spark):
     full = spark.createDataFrame(
         [("f", 1, 2, "t", [0.5])],
-        "file_name string, document_page short, chunk_no int, text string, chunk_vector array<float>",
+        "file_name string, document_page int, chunk_no int, text string, chunk_vector array<float>",
     )
     assert rows(chunks.compact_view(full), "page_num", "chunk_text", "vector") == [(1, "t", [0.5])]
     keyed = full.select(chunks.chunk_key("file_name", "document_page", "chunk_no").alias("k"))

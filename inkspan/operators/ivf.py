@@ -18,6 +18,7 @@ LISTS = 20
 PROBES = 5
 TRAINING_ROWS = 1_000_000
 MAX_CENTROID_BYTES = 256 << 20
+MAX_LISTS = 1 << 16
 CENTROIDS = T.StructType([
     T.StructField("list_id", T.IntegerType()),
     T.StructField("centroid", T.ArrayType(T.DoubleType())),
@@ -111,9 +112,9 @@ def ivf_search(
 
 def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """List ids in ascending order and the matrix of their centroids."""
-    rows = sorted(centroids.select("list_id", "centroid").collect())
+    rows = sorted(centroids.select("list_id", "centroid").limit(MAX_LISTS + 1).collect())
     matrix = np.array([r[1] for r in rows], dtype=np.float64)
-    if matrix.nbytes > MAX_CENTROID_BYTES:
+    if len(rows) > MAX_LISTS or matrix.nbytes > MAX_CENTROID_BYTES:
         raise ValueError("the centroids exceed the size bound; use fewer lists")
     return np.array([r[0] for r in rows], dtype=np.int32), matrix
 

@@ -1,16 +1,14 @@
-"""Retry counts kept as streaming state, and the routes of deliveries."""
+"""Routes of message deliveries that arrive as a stream, and the redrive of dead letters."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from inkspan.operators.routing import DEAD_LETTER, DONE, MAX_ATTEMPTS, RETRY
+from inkspan.operators.routing import DEAD_LETTER, MAX_ATTEMPTS, RETRY, route_deliveries
 from inkspan.schemas import FAILURE_REASON
-from inkspan.streaming.ingest import put, run
+from inkspan.streaming.ingest import open_table, put, read_table, run
 
 REDRIVEN, KEPT = "redriven", "kept"
 
@@ -21,46 +19,56 @@ def route_stream(
     ts: str,
     tie: str,
     failed: str,
+    path: str,
+    checkpoint: str,
     max_attempts: int = MAX_ATTEMPTS,
-) -> DataFrame:
-    """Add ``attempt`` and ``route``; open failures per key are the state.
+    every: str | None = None,
+    **options,
+):
+    """File each delivery with ``attempt``, ``route`` and ``failure_reason``.
+
+    Below ``path``: ``routes``, partitioned by run and route, and ``open``, the
+    number of open failures per key after each run. A success or a dead letter
+    closes a key, so ``open`` holds only keys that wait for a retry.
 
-    Rows of a key are taken in (ts, tie) order inside a micro-batch. A key's
-    rows of one micro-batch go to one task, so bound the batch at the source
-    (``max_files``). The state is reset by a success and by a dead letter.
+    A run reads the open failures that the run before it left and puts them in
+    front of the new deliveries. So a repeated run gives the same rows, and a
+    hot key is cut into blocks as in ``route_deliveries``. Rows of a key count
+    in (ts, tie) order inside a run; ``tie`` must not be NULL.
     """
-    columns = deliveries.columns
-    output = T.StructType(deliveries.schema.fields + [
-        T.StructField("attempt", T.IntegerType()),
-        T.StructField("route", T.StringType()),
+    spark = deliveries.sparkSession
+    routes, opened = f"{path}/routes", f"{path}/open"
+    open_schema = T.StructType([
+        deliveries.schema[key], T.StructField("open_failures", T.IntegerType()),
     ])
-
-    def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        open_failures = state.get[0] if state.exists else 0
-        rows = pd.concat(list(frames), ignore_index=True).sort_values([ts, tie], kind="stable")
-        attempts, routes = [], []
-        for bad in rows[failed]:
-            attempt = open_failures + 1
-            to = DONE if not bad else DEAD_LETTER if attempt >= max_attempts else RETRY
-            open_failures = attempt if to == RETRY else 0
-            attempts.append(attempt)
-            routes.append(to)
-        state.update((open_failures,))
-        yield rows[columns].assign(attempt=attempts, route=routes)
-
-    return deliveries.groupBy(key).applyInPandasWithState(
-        step, output, "open_failures int", "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def write_routes(path: str):
-    """Handler that files a routed micro-batch under its id and its routes, in one pass."""
+    open_table(spark, opened, open_schema)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        reason = F.when(F.col("route") == DEAD_LETTER, F.lit(FAILURE_REASON))
-        put(batch.withColumn("failure_reason", reason), batch_id, path, "route")
-
-    return handle
+        waiting = read_table(spark, opened, open_schema).filter(F.col("ingest_id") == batch_id - 1)
+        # An open failure stands as a delivery without ts and tie, first in its key.
+        earlier = waiting.select(
+            key, F.lit(True).alias(failed), F.explode(F.sequence(F.lit(1), "open_failures"))
+        ).drop("col")
+        routed = route_deliveries(
+            batch.unionByName(earlier, allowMissingColumns=True),
+            key, ts, tie, failed, max_attempts, **options,
+        ).persist()
+        try:
+            reason = F.when(F.col("route") == DEAD_LETTER, F.lit(FAILURE_REASON))
+            now = routed.filter(F.col(tie).isNotNull())
+            put(now.withColumn("failure_reason", reason), batch_id, routes, "route")
+            still_open = F.when(F.col("route") == RETRY, F.col("attempt")).otherwise(F.lit(0))
+            latest = F.struct(F.col(tie).isNotNull(), ts, tie, "attempt")
+            left = routed.groupBy(key).agg(F.max_by(still_open, latest).alias("open_failures"))
+            put(left.filter("open_failures > 0"), batch_id, opened)
+        finally:
+            routed.unpersist()
+
+    return run(deliveries, handle, checkpoint, every)
+
+
+def read_routes(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/routes")
 
 
 def redrive_stream(

@@ -89,8 +89,8 @@ def test_repeats_within_the_horizon(spark, folder):
     assert ids_in(ingest.read_table(spark, folder + "/table", stream.schema)) == list(range(6))
 
 
-@pytest.mark.parametrize("runs", [1, 4])
-def test_routing_state_spans_runs(spark, folder, runs):
+@pytest.mark.parametrize("runs, block", [(1, 1000), (4, 1000), (2, 7)])
+def test_open_failures_pass_from_run_to_run(spark, folder, runs, block):
     rng = random.Random(9)
     events = [(i, f"k{rng.randrange(4)}", i, rng.random() < 0.7) for i in range(80)]
     size = len(events) // runs
@@ -101,9 +101,11 @@ def test_routing_state_spans_runs(spark, folder, runs):
             "ts", F.timestamp_seconds("at")
         ).write.mode("append").json(folder + "/queue")
         stream = spark.readStream.schema(EVENT).json(folder + "/queue")
-        routed = routing.route_stream(stream, "key", "ts", "id", "failed")
-        ingest.run(routed, routing.write_routes(folder + "/routes"), folder + "/offsets")
-    table = spark.read.parquet(folder + "/routes")
+        routing.route_stream(
+            stream, "key", "ts", "id", "failed", folder + "/routed", folder + "/offsets",
+            rows_per_block=block,
+        )
+    table = routing.read_routes(spark, folder + "/routed")
     assert {r.id: (r.attempt, r.route) for r in table.collect()} == replay(events)
     reasons = {(r.route, r.failure_reason) for r in table.collect()}
     assert reasons <= {

@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import Normalizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from inkspan.functions.vectors import norm, normalize
 from inkspan.operators.search import SCORE_DECIMALS, Queries, top_k, vector_matrix
 
 # Default number of lists, and of lists a search reads.
@@ -44,10 +44,11 @@ def train_centroids(
         total = vectors.count()
         if total > training_rows:
             vectors = vectors.sample(training_rows / total, seed)
-    directions = vectors.filter(norm(vector_col) > 0).select(
-        array_to_vector(normalize(vector_col)).alias("features")
+    raw = vectors.filter(F.exists(vector_col, lambda x: x != 0)).select(
+        array_to_vector(vector_col).alias("raw")
     )
-    model = KMeans(k=lists, seed=seed, maxIter=iterations).fit(directions)
+    directions = Normalizer(inputCol="raw", outputCol="features").transform(raw)
+    model = KMeans(k=lists, seed=seed, maxIter=iterations).fit(directions.select("features"))
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return vectors.sparkSession.createDataFrame(centers, CENTROIDS)
 

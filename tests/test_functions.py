@@ -58,9 +58,6 @@ def test_norms(spark):
     rows = [[0.6, 0.8], [3.0, 4.0], [0.0, 0.0]]
     assert values(spark, rows, "array<float>", vectors.norm("v")) == pytest.approx([1, 5, 0])
     assert values(spark, rows, "array<float>", vectors.is_normalized("v")) == [True, False, False]
-    assert values(spark, rows, "array<float>", vectors.normalize("v"))[1:] == [
-        pytest.approx([0.6, 0.8]), [0.0, 0.0],
-    ]
 
 
 def test_vector_text(spark):
@@ -86,6 +83,19 @@ def test_half_rounding_and_bits(spark, numbers):
     assert bits16 == [struct.pack("<e", h).hex() for h in halves]
 
 
+def test_half_vectors(spark):
+    rng = np.random.default_rng(2)
+    rows = [[float(x) for x in np.float32(rng.normal(size=n) * 10.0 ** rng.integers(-6, 6))]
+            for n in (3, 0, 5)] + [None, [70000.0]]
+    halves = [None if r is None else [float(np.float16(x)) for x in r] for r in rows[:-1]]
+    assert values(spark, rows, "array<float>", vectors.to_half("v")) == halves + [[float("inf")]]
+    per_element = F.transform("v", vectors.round_half)
+    assert values(spark, rows, "array<float>", per_element) == halves + [[float("inf")]]
+    errors = [max((abs(a - b) for a, b in zip(r or [], h or [])), default=None)
+              for r, h in zip(rows, halves)]
+    assert values(spark, rows, "array<float>", vectors.half_error("v")) == errors + [float("inf")]
+
+
 def test_big_endian_bits(spark):
     assert values(spark, [0.6], "float", vectors.float_bits(F.col("v"), "big")) == ["3f19999a"]
     with pytest.raises(ValueError):

@@ -39,6 +39,14 @@ def document_stats(
     )
 
 
+def ingest_counts(table: DataFrame) -> DataFrame:
+    """(ingest_id, n_files, n_rows): what each ingest run put into the table."""
+    per_file = table.groupBy("ingest_id", "file_name").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("ingest_id").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows")
+    )
+
+
 def files_without_rows(files: DataFrame, rows: DataFrame) -> DataFrame:
     """Files that gave no row, by ``file_name``."""
     return files.join(rows.select("file_name").distinct(), "file_name", "left_anti")

@@ -240,7 +240,7 @@ SELECT page_id, base_name, regexp_replace(url, '{STEM}', '\\1') AS stem,
 FROM named""",
     "html_text": f"SELECT page_id, {html('html')} AS text FROM pages",
     "extract_pages": f"""SELECT page_id::VARCHAR AS path, 0 AS page, {html('html')} AS text,
-  NULL::VARCHAR AS error FROM pages""",
+  true AS parsed FROM pages""",
     "pages_json": """SELECT conv_id::VARCHAR AS file_name, (turn // 1000)::INTEGER AS part,
   to_json(list(struct_pack(page_content := text, metadata := struct_pack(
     source := conv_id::VARCHAR, page := turn::INTEGER)) ORDER BY turn))::VARCHAR AS json
@@ -256,6 +256,8 @@ SELECT *, 'token-hash' AS model, {TURN_TOKENS} AS prompt_tokens, {q.DIM} AS n_di
 FROM numbered""",
     "append_chunks": """SELECT vec_id, label, CASE WHEN label < 5 THEN 0 ELSE 1 END AS ingest_id,
   len(embedding)::INTEGER AS n_dims FROM embeddings""",
+    "ingest_counts": """SELECT CASE WHEN label < 3 THEN 0 WHEN label < 7 THEN 1 ELSE 2 END AS ingest_id,
+  count(DISTINCT label) AS n_files, count(*) AS n_rows FROM embeddings GROUP BY ALL""",
     "table_lifecycle": """SELECT true AS kept_empty, count(*) AS n_rows, true AS dropped_filled,
   true AS then_missing FROM embeddings""",
     "vectorize_html": f"""WITH RECURSIVE {chunked(
@@ -338,7 +340,7 @@ FROM documents GROUP BY md5(text)""",
     "dedup_rows": """SELECT doc_id, lang, text FROM documents
 QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1""",
     "hash_verify": f"""WITH {DOCUMENTS}, {MANIFEST}, {VERIFIED}
-SELECT key, content_hash, file_hash, verified FROM verified""",
+SELECT key, content_hash, coalesce(file_hash, 'none') AS file_hash, verified FROM verified""",
     "ledger_anti": f"""WITH {DOCUMENTS} SELECT doc_id, file_name FROM docs
 WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = docs.doc_id)""",
     "notify_build": f"""WITH {DOCUMENTS}

@@ -251,7 +251,8 @@ def _html_files(spark, sf_dir) -> DataFrame:
 
 @query
 def extract_pages(spark, sf_dir):
-    return files.extract_pages(_html_files(spark, sf_dir), files.parse_html)
+    made = files.extract_pages(_html_files(spark, sf_dir), files.parse_html)
+    return made.select("path", "page", "text", F.col("error").isNull().alias("parsed"))
 
 
 @query
@@ -322,6 +323,21 @@ def append_chunks(spark, sf_dir):
     )
 
 
+@query
+def ingest_counts(spark, sf_dir):
+    """Files and rows of three ingest runs of one chunk table."""
+    path = shared_folder(spark, "chunks")
+    rows = embeddings(spark, sf_dir).withColumn(
+        "file_name", F.concat(F.lit("label_"), F.col("label"), F.lit(".pdf"))
+    )
+    for run, low, high in ((0, 0, 3), (1, 3, 7), (2, 7, None)):
+        part = rows.filter(F.col("label") >= low)
+        tables.append_folder(
+            part if high is None else part.filter(F.col("label") < high), path, run
+        )
+    return profile.ingest_counts(spark.read.parquet(path))
+
+
 @query
 def table_lifecycle(spark, sf_dir):
     location = shared_folder(spark, "table")
@@ -649,7 +665,7 @@ def dedup_rows(spark, sf_dir):
 def hash_verify(spark, sf_dir):
     docs = documents(spark, sf_dir)
     read = docs.select(F.col("file_name").alias("key"), F.col("text").alias("content"))
-    return integrity.verify_hashes(read, manifest(docs))
+    return integrity.verify_hashes(read, manifest(docs)).fillna("none", "file_hash")
 
 
 @query

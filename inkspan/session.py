@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,11 +38,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="inkspan-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/inkspan/{purpose}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="inkspan-")
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete folders that ``shared_folder`` named and nothing reads any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -61,8 +61,9 @@ def route_deliveries(
         "block", F.coalesce(F.floor(offset * cuts), F.lit(0))
     )
     placed = _number(blocked, [key, "block"], ts, tie, failed)
+    hot_rows = blocked.filter(F.col("key_rows").isNotNull())
     ends = (
-        placed.filter(F.col("key_rows").isNotNull())
+        _number(hot_rows, [key, "block"], ts, tie, failed)
         .groupBy(key, "block")
         .agg(
             F.max(F.when(~F.col(failed), F.col("place"))).alias("last_success"),

@@ -26,6 +26,8 @@ SCORE_DECIMALS = 9
 # Queries that are sent to every task at once; more are searched in rounds.
 MAX_QUERY_BYTES = 256 << 20
 QUERIES_PER_ROUND = 4096
+# Queries a task scores at once, which bounds its score matrix.
+QUERY_TILE = 256
 MERGE_SALTS = 32
 
 
@@ -195,8 +197,11 @@ class _Best:
             if len(row_at) > self.k:
                 kept = _few_copies(rows[row_at], id_rank[row_at], mask, self.k)
                 row_at, mask = row_at[kept], mask if mask is None else mask[kept]
-            if len(row_at) and len(query_at):
-                self._block(ids, id_rank, rows[row_at], row_at, query_at, mask)
+            block = rows[row_at]
+            for start in range(0, len(query_at) if len(row_at) else 0, QUERY_TILE):
+                tile = slice(start, start + QUERY_TILE)
+                tile_mask = None if mask is None else mask[:, tile]
+                self._block(ids, id_rank, block, row_at, query_at[tile], tile_mask)
 
     def _block(self, ids, id_rank, block, row_at, query_at, mask) -> None:
         rough = block @ self.side.vectors[query_at].T

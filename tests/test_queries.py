@@ -31,7 +31,10 @@ def test_all_queries_have_a_twin():
 
 @pytest.mark.parametrize("name", sorted(__spark_entry__.oracle_sql()))
 def test_query_equals_sql(spark, db, name):
-    ours = __spark_entry__.queries()[name](spark, SF).toPandas()
+    found = __spark_entry__.queries()[name](spark, SF)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    ours = found.toPandas()
     theirs = db.execute(__spark_entry__.oracle_sql()[name]).df()
     assert check.difference(ours, theirs) is None
 

@@ -92,6 +92,16 @@ def test_string_ids_and_null_vectors(spark):
     assert {q: [int(i) for i in v] for q, v in found.items()} == brute(ids, matrix, asked, 10)
 
 
+def test_more_queries_than_a_tile(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERY_TILE", 3)
+    ids, matrix, asked = data(80, 20, queries=10)
+    vectors, queries = frames(spark, ids, matrix, asked)
+    assert ranked(search.top_k(vectors, queries, 4)) == brute(ids, matrix, asked, 4)
+    coded = lsh.add_codes(vectors, DIM, bits=0, tables=1)
+    found = lsh.lsh_search(coded, queries, 4, bits=0, tables=1)
+    assert ranked(found) == brute(ids, matrix, asked, 4)
+
+
 def test_queries_in_rounds(spark):
     ids, matrix, asked = data(queries=40)
     vectors, queries = frames(spark, ids, matrix, asked)

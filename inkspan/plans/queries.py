@@ -34,8 +34,6 @@ K = 10
 PROBES = 3
 BUCKET = "documents-bucket"
 AS_OF = "2024-01-01 00:00:00"
-# Long enough that no message of the 30 days of events counts as late.
-EVENT_HORIZON = "31 days"
 EVENT_CUTS = ("2024-01-11", "2024-01-21")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -828,9 +826,9 @@ def dedup_stream(spark, sf_dir):
     once = envelopes(spark, sf_dir)
     queue = _replay(spark, once.unionByName(once.withColumn("receive_count", F.lit(2))))
     out = shared_folder(spark, "messages")
-    stream = ingest.unique_messages(
-        notifications.read_messages(spark, queue), horizon=EVENT_HORIZON
-    ).select("message_id", event_key("body").alias("key"))
+    stream = ingest.unique_messages(notifications.read_messages(spark, queue)).select(
+        "message_id", event_key("body").alias("key")
+    )
     ingest.open_table(spark, out, stream.schema)
     ingest.run(
         stream, lambda batch, batch_id: ingest.put(batch, batch_id, out),

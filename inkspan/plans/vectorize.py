@@ -19,7 +19,7 @@ from inkspan.sources.files import (
     PARSED, Parser, extract_pages, fetch_files, good_pages, quarantine, read_folder,
 )
 from inkspan.sources.notifications import read_messages
-from inkspan.streaming.ingest import first_per_key, open_table, put, read_table, run
+from inkspan.streaming.ingest import open_table, put, read_table, run
 
 CHUNK_COLUMNS = CHUNK.fieldNames()
 
@@ -113,9 +113,10 @@ def consume_notifications(
 ):
     """Message stream to chunk table: fetch, verify, vectorize, then acknowledge.
 
-    Below ``tables``: ``chunks``, ``outcomes`` (one row per message, with its
-    route) and, as the ledger, the outcomes that are done. A file done in an
-    earlier batch is not fetched again.
+    Below ``tables``: ``chunks`` and ``outcomes``, one row per message with its
+    route. The outcomes that are done are the ledger, by key and content: the
+    same content under the same key is not vectorized again, and not even
+    fetched when the manifest tells its hash.
     """
     chunks, outcomes = f"{tables}/chunks", f"{tables}/outcomes"
     columns = "message_id string, key string, receive_count int, content_hash string, error string"
@@ -124,44 +125,47 @@ def consume_notifications(
     open_table(spark, outcomes, schema)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        earlier = read_table(spark, outcomes, schema).filter(F.col("ingest_id") != batch_id)
-        messages = first_per_key(
-            batch.select("message_id", event_key("body").alias("key"), "receive_count"),
-            ("message_id",),
-        )
         todo_path, fetched_path, checked_path = (
             shared_folder(spark, p) for p in ("todo", "fetched", "checked")
         )
-        not_processed(messages, earlier.filter(F.col("route") == DONE), "key").write.parquet(
-            todo_path
-        )
+        earlier = read_table(spark, outcomes, schema).filter(F.col("ingest_id") != batch_id)
+        done = earlier.filter(F.col("route") == DONE).select("key", "content_hash")
+
+        # A message counts with its latest delivery.
+        messages = batch.groupBy("message_id").agg(
+            F.max(F.struct("receive_count", event_key("body").alias("key"))).alias("last")
+        ).select("message_id", "last.*")
+        promised = messages.join(manifest.select("key", "file_hash"), "key", "left")
+        done_hashes = done.withColumnRenamed("content_hash", "file_hash")
+        not_processed(promised, done_hashes, "key", "file_hash").select(
+            messages.columns
+        ).write.parquet(todo_path)
         todo = spark.read.parquet(todo_path)
+
         fetch_files(todo, folder).write.parquet(fetched_path)
         fetched = spark.read.parquet(fetched_path)
         verify_hashes(fetched, manifest).join(
             fetched.select("key", "error"), "key"
         ).write.parquet(checked_path)
         checked = spark.read.parquet(checked_path)
+
         good = checked.filter(F.col("error").isNull() & F.col("verified"))
-        files = fetched.join(good.select("key"), "key", "left_semi").select(
-            F.col("key").alias("path"), "content"
-        )
+        fresh = not_processed(good, done, "key", "content_hash").select("key")
+        files = fetched.join(fresh, "key", "left_semi").select(F.col("key").alias("path"), "content")
         failures = (
             vectorize_files(files, parser, chunks, batch_id, **options)
             .groupBy(F.col("path").alias("key"))
             .agg(F.min("error").alias("vectorize_error"))
         )
-        mismatch = F.when(F.col("verified") == F.lit(False), F.lit("file hash mismatch"))
+
+        no_key = F.when(F.col("key").isNull(), F.lit("no object key in the message"))
+        mismatch = F.when(~F.col("verified"), F.lit("file hash mismatch"))
+        failed = F.col("error").isNotNull()
         outcome = (
             todo.join(checked, "key", "left")
             .join(failures, "key", "left")
-            .withColumn("error", F.coalesce(
-                F.when(F.col("key").isNull(), F.lit("no object key in the message")),
-                "error", mismatch, "vectorize_error",
-            ))
-            .withColumn(
-                "route", route(F.col("error").isNotNull(), F.col("receive_count"), max_attempts)
-            )
+            .withColumn("error", F.coalesce(no_key, "error", mismatch, "vectorize_error"))
+            .withColumn("route", route(failed, F.col("receive_count"), max_attempts))
             .withColumn(
                 "failure_reason", F.when(F.col("route") == DEAD_LETTER, F.lit(FAILURE_REASON))
             )

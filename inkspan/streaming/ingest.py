@@ -31,14 +31,20 @@ def run(
 
 
 def unique_messages(
-    stream: DataFrame, key: str = "message_id", ts: str = "ts", horizon: str = HORIZON
+    stream: DataFrame, key: str = "message_id", horizon: str = HORIZON
 ) -> DataFrame:
-    """Drop repeats of a message whose times lie within ``horizon``.
+    """Drop repeats of a message that arrive within ``horizon`` of each other.
 
-    State holds the ids of the horizon only. Later repeats are the ledger's
-    task, see ``ingest``.
+    The watermark follows the arrival and not a time inside the message, so no
+    message is ever late and lost. State holds the ids of the horizon only;
+    later repeats are the table's task, see ``ingest``.
     """
-    return stream.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([key])
+    arrived = stream.withColumn("arrived", F.current_timestamp())
+    return (
+        arrived.withWatermark("arrived", horizon)
+        .dropDuplicatesWithinWatermark([key])
+        .drop("arrived")
+    )
 
 
 def open_table(spark: SparkSession, path: str, schema: T.StructType) -> None:

@@ -92,8 +92,6 @@ def test_notifications_to_table(spark, folder):
     manifest = spark.createDataFrame(
         [("a.pdf", hashlib.md5(FILES["a.pdf"]).hexdigest()), ("c.pdf", "0" * 32)], MANIFEST
     )
-    schema = None
-
     def consume():
         vectorize.consume_notifications(
             spark, folder + "/queue", "file://" + folder + "/in", manifest, parse_form_feed_text,
@@ -112,9 +110,25 @@ def test_notifications_to_table(spark, folder):
         ("late.pdf", 1, "retry", "FileNotFoundError"),
     ]
     fill(folder + "/in", {"late.pdf": b"four"})
-    send(spark, folder, "a.pdf", "late.pdf", "c.pdf", receive_count=3)
-    assert consume()[3:5] == [
-        ("c.pdf", 3, "dead_letter", "file hash mismatch"), ("late.pdf", 1, "retry", "FileNotFoundError"),
+    send(spark, folder, "a.pdf", "late.pdf", "c.pdf", receive_count=2)
+    send(spark, folder, "c.pdf", receive_count=3)
+    assert consume()[3:] == [
+        ("c.pdf", 3, "dead_letter", "file hash mismatch"),
+        ("late.pdf", 1, "retry", "FileNotFoundError"),
+        ("late.pdf", 2, "done", None),
     ]
     table = read_table(spark, folder + "/tables/chunks", CHUNK)
     assert table_rows(table) == ROWS[:3] + [("late.pdf", 0, 0, "four")]
+
+    # The same content again gives no rows, changed content does.
+    send(spark, folder, "late.pdf", receive_count=1)
+    assert consume()[-3:] == [
+        ("late.pdf", 1, "done", None), ("late.pdf", 1, "retry", "FileNotFoundError"),
+        ("late.pdf", 2, "done", None),
+    ]
+    assert table.count() == 4
+    fill(folder + "/in", {"late.pdf": b"five"})
+    send(spark, folder, "late.pdf", receive_count=1)
+    consume()
+    table = read_table(spark, folder + "/tables/chunks", CHUNK)
+    assert [r[3] for r in table_rows(table)[3:]] == ["five", "four"]

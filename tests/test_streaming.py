@@ -17,10 +17,8 @@ def messages(spark, ids, ts=0):
     ).withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000 + ts)))
 
 
-def consume(spark, folder, max_files=1000, key=("message_id",), unique=False):
+def consume(spark, folder, max_files=1000, key=("message_id",)):
     stream = notifications.read_messages(spark, folder + "/queue", max_files)
-    if unique:
-        stream = ingest.unique_messages(stream)
     stream = stream.select("message_id", "body")
     ingest.open_table(spark, folder + "/table", stream.schema)
     ingest.run(
@@ -82,7 +80,8 @@ def test_failed_batch_is_handed_over_again(spark, folder):
 
 def test_repeats_within_the_horizon(spark, folder):
     notifications.write_messages(messages(spark, range(4)).coalesce(1), folder + "/queue")
-    notifications.write_messages(messages(spark, range(2, 6), ts=60).coalesce(1), folder + "/queue")
+    later = messages(spark, range(2, 6), ts=-90 * 24 * 3600)
+    notifications.write_messages(later.coalesce(1), folder + "/queue")
     stream = ingest.unique_messages(notifications.read_messages(spark, folder + "/queue", 1))
     ingest.open_table(spark, folder + "/table", stream.schema)
     ingest.run(stream, lambda b, i: ingest.put(b, i, folder + "/table"), folder + "/offsets")

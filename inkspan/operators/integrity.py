@@ -51,6 +51,13 @@ def duplicate_groups(
 def drop_duplicates(
     documents: DataFrame, id_col: str = "doc_id", content_col: str = "text"
 ) -> DataFrame:
-    """Whole rows of the lowest id of each distinct content. Ids must be unique."""
-    kept = duplicate_groups(documents, id_col, content_col).select(id_col)
-    return documents.join(kept, id_col, "left_semi")
+    """Whole rows of the lowest id of each distinct content.
+
+    One scan and one shuffle, before which each task keeps a single row per
+    content. Joining the kept ids back would read and shuffle all copies.
+    """
+    hashed = documents.withColumn("content_hash", content_hash(content_col))
+    kept = hashed.groupBy("content_hash").agg(
+        F.min_by(F.struct(*documents.columns), id_col).alias("row")
+    )
+    return kept.select("row.*")

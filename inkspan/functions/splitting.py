@@ -96,9 +96,6 @@ def _spans(lengths: Column, size: int, overlap: int, sep: int) -> Column:
         )
 
     def kept_suffix(acc: Column, length: Column, lens: Column) -> Column:
-        if overlap == 0:
-            return F.struct(acc.nxt.alias("first"), F.lit(0).alias("total"))
-
         def drop_first(k: Column, _: Column) -> Column:
             count = acc.nxt - k.first
             too_long = k.total > overlap
@@ -119,10 +116,15 @@ def _spans(lengths: Column, size: int, overlap: int, sep: int) -> Column:
         def step(acc: Column, length: Column) -> Column:
             count = acc.nxt - acc.first
             grown = length_with(acc.total, count, length)
-            return F.when(
-                (count > 0) & (grown > size),
-                _bind(kept_suffix(acc, length, lens), lambda k: open_next(acc, length, k)),
-            ).otherwise(state(acc.spans, acc.first, acc.nxt + 1, grown))
+            if overlap == 0:
+                cut = state(F.array_append(acc.spans, span(acc)), acc.nxt, acc.nxt + 1, length)
+            else:
+                cut = _bind(
+                    kept_suffix(acc, length, lens), lambda k: open_next(acc, length, k)
+                )
+            return F.when((count > 0) & (grown > size), cut).otherwise(
+                state(acc.spans, acc.first, acc.nxt + 1, grown)
+            )
 
         return F.aggregate(
             lens,

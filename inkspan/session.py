@@ -18,6 +18,8 @@ def local_session(cpus: int | str = "*", app: str = "inkspan", **conf: str) -> S
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Query contexts walk the Python stack for every column operation.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)

@@ -7,14 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import mixing, quality, secrets, urls
-from inkspan.llm.common import table
+from inkspan.llm import language, mixing, quality, secrets, toxicity, urls
+from inkspan.llm.common import held_out, table
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    prototypes = language.train(docs.where(~held_out()))
+    return language.identify(docs, prototypes).withColumn("held_out", held_out())
+
+
 #: Rules of the URL filter: host, start of the path, verdict.
 URL_RULES = (
     urls.UrlRule("com", "/", "allow"),
@@ -62,6 +68,17 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, model)
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    return toxicity.train(toxicity.labelled(docs, labels))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "passages")
+
+
 #: Version of the policy that decides in op9.
 QUALITY_POLICY = "v2"
 
@@ -79,5 +96,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op4_url_filter, op9_quality_rules, op10_secret_scan)
+    f.__name__: f for f in (
+        op1_mix_sources, op2_language_id, op4_url_filter, op8_toxicity, op9_quality_rules,
+        op10_secret_scan,
+    )
 }

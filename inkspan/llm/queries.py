@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import language, mixing, quality, secrets, toxicity, urls
+from inkspan.llm import fingerprints, language, mixing, quality, secrets, simhash, toxicity, urls
 from inkspan.llm.common import held_out, table
 
 
@@ -21,6 +21,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, prototypes).withColumn("held_out", held_out())
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edited(table(spark, sf_dir, "documents"))
+
+
 #: Rules of the URL filter: host, start of the path, verdict.
 URL_RULES = (
     urls.UrlRule("com", "/", "allow"),
@@ -68,6 +72,11 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, model)
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"), simhash.SHORT)
+    return groups.select("doc_id", F.lower(F.hex("sketch")).alias("fingerprint"), "component_id")
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     labels = table(spark, sf_dir, "labels").where(~held_out())
     return toxicity.train(toxicity.labelled(docs, labels))
@@ -97,7 +106,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_mix_sources, op2_language_id, op4_url_filter, op8_toxicity, op9_quality_rules,
-        op10_secret_scan,
+        op1_mix_sources, op2_language_id, op3_fingerprints, op4_url_filter, op5_simhash_dedup,
+        op8_toxicity, op9_quality_rules, op10_secret_scan,
     )
 }

@@ -82,7 +82,8 @@ def targets(sizes: DataFrame) -> DataFrame:
 def streams(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     """Each document with the token span [start, end) it takes in its source's stream.
 
-    The order is a hash of the id. A source is summed in groups of that hash, so
+    The order is a hash of the id. Spark cannot tell how many rows an exploded
+    sequence gives, so joins with what grows with the input say that they merge. A source is summed in groups of that hash, so
     no window holds more than a group of one source, however large that is.
     """
     order = F.xxhash64(F.lit(SEED), "doc_id", "size")
@@ -101,7 +102,7 @@ def streams(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     )
     within = rows.withColumn("within", F.sum("size").over(inside))
     joined = within.alias("d").join(
-        parts.alias("p"),
+        parts.alias("p").hint("merge"),
         F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.part") == F.col("p.part")),
     )
     end = F.col("part_start") + F.col("within")
@@ -157,7 +158,7 @@ def taken_pieces(spans: DataFrame, mix: DataFrame, block: int = BLOCK) -> DataFr
     )
     low = F.greatest("start", F.col("block") * block) - F.col("start")
     high = F.least("end", (F.col("block") + 1) * block) - F.col("start")
-    return pieces.join(used, ["number", "block"]).select(
+    return pieces.join(used.hint("merge"), ["number", "block"]).select(
         "doc_id", "number", "start", "end", low.alias("from_word"), high.alias("to_word"), "rounds", "first_shard"
     )
 
@@ -182,7 +183,7 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, **columns: str)
     per_doc = pieces.groupBy("number", "start", "end").agg(
         F.sum(words).alias("taken"), F.min("first_shard").alias("first_shard")
     )
-    kept = spans.join(per_doc, ["number", "start", "end"], "left")
+    kept = spans.join(per_doc.hint("merge"), ["number", "start", "end"], "left")
     # An empty document shares its start and end with another empty one only.
     return kept.select(
         "doc_id", "size", "source_size", "target",
@@ -210,7 +211,7 @@ def mixed_documents(
     )
     same = Window.partitionBy("doc_id", "source", "size")
     numbered = spans.where("size > 0").withColumn("copy", F.row_number().over(same.orderBy("start")))
-    chosen = numbered.join(rounds, place).select("doc_id", "source", "size", "copy", "_taken")
+    chosen = numbered.join(rounds.hint("merge"), place).select("doc_id", "source", "size", "copy", "_taken")
     rows = docs.select(F.struct(*docs.columns).alias("_row")).select(
         "_row",
         F.col("_row")[id_col].alias("_id"), F.col("_row")[source_col].alias("_source"),
@@ -226,7 +227,7 @@ def mixed_documents(
         F.slice("_words", (r["from_word"] + 1).cast("int"), (r["to_word"] - r["from_word"]).cast("int")), ""
     )), "")
     whole = count == F.col("_size")
-    met = rows.join(chosen, on).select("_row", "_size", "_taken", F.when(~whole, words).alias("_words"))
+    met = rows.join(chosen.hint("merge"), on).select("_row", "_size", "_taken", F.when(~whole, words).alias("_words"))
     met = met.withColumn("_text", F.when(whole, text).otherwise(cut))
     out = [F.col("_text").alias(c) if c == text_col else
            F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else

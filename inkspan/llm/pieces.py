@@ -128,7 +128,7 @@ class Encoder:
     def __post_init__(self) -> None:
         v = self.vocabulary
         self.trie = DoubleArray({v.pieces[i].encode(): i for i in v.normal})
-        self.base, self.check = np.array(self.trie.base), np.array(self.trie.check)
+        self.base, self.check = np.array(self.trie.base, np.int32), np.array(self.trie.check, np.int32)
         self.scores = np.array(v.scores)
         self.unknown = min(v.scores[i] for i in v.normal) - UNKNOWN_COST
         self.bytes_of = [p.replace(MARK, " ").encode() for p in v.pieces]
@@ -179,64 +179,65 @@ class Encoder:
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         order = np.argsort(-sizes, kind="stable")
         raw, sizes, most = [raw[i] for i in order], sizes[order], int(sizes.max(initial=0))
-        text = np.zeros((len(raw), most + 1), np.int64)
+        text = np.zeros((most + 1, len(raw)), np.int32)  # a row for each place in the parts
         for row, one in enumerate(raw):
-            text[row, : sizes[row]] = np.frombuffer(one, np.uint8)
+            text[: sizes[row], row] = np.frombuffer(one, np.uint8)
         lengths = np.select([text < 0x80, text < 0xC0, text < 0xE0, text < 0xF0], [1, 0, 2, 3], 4)
-        best = np.full((len(raw), most + 1), -np.inf)
-        best[:, 0] = 0
-        back = np.zeros((len(raw), most + 1), np.int64)
-        piece = np.full((len(raw), most + 1), -1)
+        best = np.full((most + 1, len(raw)), -np.inf)
+        best[0] = 0
+        back = np.zeros((most + 1, len(raw)), np.int32)
+        piece = np.full((most + 1, len(raw)), -1, np.int32)
+
+        def offer(end: int, rows: np.ndarray, score: np.ndarray, start: int, number: np.ndarray) -> None:
+            higher = score > best[end][rows]
+            rows = rows[higher]
+            best[end][rows], back[end][rows], piece[end][rows] = score[higher], start, number[higher]
+
         for start in range(most):
-            rows = np.flatnonzero((sizes > start) & (lengths[:, start] > 0))
-            if not len(rows):
-                continue
-            begun, after = rows, start + lengths[rows, start]
-            single = np.zeros(len(raw), bool)
-            state = np.zeros(len(rows), np.int64)
+            rows = np.flatnonzero(lengths[start][: np.searchsorted(-sizes, -start)])
+            here, after = best[start], lengths[start] + start
+            lone = np.zeros(len(raw), bool)
+            lone[rows] = True
+            state = np.zeros(len(rows), np.int32)
             for at in range(start, most):
-                following = self.base[state] + text[rows, at]
-                on = (self.check[following] == state) & (text[rows, at] > 0)
+                byte = text[at][rows]
+                following = self.base[state] + byte
+                on = (self.check[following] == state) & (byte > 0)
                 rows, state = rows[on], following[on]
                 if not len(rows):
                     break
                 last = self.base[state]
                 ends = self.check[last] == state
                 found, number = rows[ends], self.base[last[ends]]
-                single[found[start + lengths[found, start] == at + 1]] = True
-                self._better(best, back, piece, found, at + 1, best[found, start] + self.scores[number], start, number)
-            lone = ~single[begun]
-            found = begun[lone]
-            self._better(
-                best, back, piece, found, after[lone], best[found, start] + self.unknown, start, np.full(len(found), -1)
-            )
+                lone[found[after[found] == at + 1]] = False
+                offer(at + 1, found, here[found] + self.scores[number], start, number)
+            rows = np.flatnonzero(lone)
+            for end in np.unique(after[rows]):
+                found = rows[after[rows] == end]
+                offer(end, found, here[found] + self.unknown, start, np.full(len(found), -1))
         self._trace(parts, order, raw, sizes, back, piece)
 
-    @staticmethod
-    def _better(best, back, piece, rows, end, score, start, number) -> None:
-        end = np.broadcast_to(end, rows.shape)
-        higher = score > best[rows, end]
-        rows, end = rows[higher], end[higher]
-        best[rows, end], back[rows, end], piece[rows, end] = score[higher], start, number[higher]
-
     def _trace(self, parts, order, raw, sizes, back, piece) -> None:
         """Back from the end of each part along its best pieces."""
         at, rows = sizes.copy(), np.arange(len(raw))
         steps, starts = [], []
         while (at > 0).any():
-            steps.append(np.where(at > 0, piece[rows, at], -2))
-            at = np.where(at > 0, back[rows, at], 0)
+            steps.append(np.where(at > 0, piece[at, rows], -2))
+            at = np.where(at > 0, back[at, rows], 0)
             starts.append(at)
         found = np.array(steps, np.int32).reshape(len(steps), len(raw)).T[:, ::-1]
-        for row, ids in enumerate(found):
-            ids = ids[ids > -2]
-            if (ids < 0).any():  # unknown characters, by their bytes
-                begin = [int(s[row]) for s in starts][: len(ids)][::-1]
-                ids = np.concatenate([
-                    [i] if i >= 0 else [self.vocabulary.byte_ids[b] for b in raw[row][a:z]]
-                    for i, a, z in zip(ids, begin, [*begin[1:], sizes[row]], strict=True)
-                ]).astype(np.int32)
-            self.known[parts[order[row]]] = ids.tobytes()
+        real = found > -2
+        flat, ends = found[real].tobytes(), np.cumsum(real.sum(1)) * 4
+        begin = 0
+        for place, end in zip(order.tolist(), ends.tolist(), strict=True):
+            self.known[parts[place]] = flat[begin:end]
+            begin = end
+        for row in np.flatnonzero((found == -1).any(1)):  # unknown characters, by their bytes
+            cuts = [int(s[row]) for s in starts][: int(real[row].sum())][::-1]
+            ids: list[int] = []
+            for i, a, z in zip(found[row][real[row]], cuts, [*cuts[1:], sizes[row]], strict=True):
+                ids += [int(i)] if i >= 0 else [self.vocabulary.byte_ids[b] for b in raw[row][a:z]]
+            self.known[parts[order[row]]] = self._ids(ids)
 
     def best(self, part: str) -> list[int]:
         """Viterbi for one part: the highest total score; of equal ones the longest last piece."""

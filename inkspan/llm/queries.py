@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import fingerprints, language, mixing, quality, secrets, simhash, toxicity, urls
+from inkspan.llm import fingerprints, language, mixing, pieces, quality, secrets, simhash, toxicity, urls
 from inkspan.llm.common import held_out, table
 
 
@@ -77,6 +77,23 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.hex("sketch")).alias("fingerprint"), "component_id")
 
 
+def op7_sentencepiece(
+    spark: SparkSession, sf_dir: str, vocabulary: str = pieces.VOCABULARY
+) -> DataFrame:
+    return tokenized(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
+
+
+def tokenized(docs: DataFrame, path: str = pieces.VOCABULARY) -> DataFrame:
+    """The documents with piece_ids, n_pieces and whether decoding gives the text back."""
+    vocabulary = pieces.Vocabulary.read(path)
+    rows = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return rows.select(
+        *docs.columns, "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),
+        same.alias("round_trip"),
+    )
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     labels = table(spark, sf_dir, "labels").where(~held_out())
     return toxicity.train(toxicity.labelled(docs, labels))
@@ -107,6 +124,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mix_sources, op2_language_id, op3_fingerprints, op4_url_filter, op5_simhash_dedup,
-        op8_toxicity, op9_quality_rules, op10_secret_scan,
+        op7_sentencepiece, op8_toxicity, op9_quality_rules, op10_secret_scan,
     )
 }

@@ -284,7 +284,7 @@ def encode(
     """
     if ids_col in docs.columns:
         raise ValueError(f"there is a column {ids_col} already")
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    sent, names = docs.sparkSession.sparkContext.broadcast(vocabulary), [*docs.columns, ids_col]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(sent.value)
@@ -296,7 +296,7 @@ def encode(
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    [*docs.columns, ids_col],
+                    names,
                 )
 
     return docs.mapInArrow(work, f"{_fields(docs)}, `{ids_col}` array<int>")
@@ -308,7 +308,7 @@ def decode(
     """The rows with the text of their ids; null or no ids are the empty text."""
     if text_col in rows.columns:
         raise ValueError(f"there is a column {text_col} already")
-    sent = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    sent, names = rows.sparkSession.sparkContext.broadcast(vocabulary), [*rows.columns, text_col]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(sent.value)
@@ -318,9 +318,7 @@ def decode(
                 lists = part.column(ids_col).fill_null([]) if part.column(ids_col).null_count else part.column(ids_col)
                 flat, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy().cumsum()
                 decoded = [encoder.decode(ids) for ids in np.split(flat, ends[:-1])] if len(ends) else []
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(decoded, pa.string())], [*rows.columns, text_col]
-                )
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.string())], names)
 
     return rows.mapInArrow(work, f"{_fields(rows)}, `{text_col}` string")
 

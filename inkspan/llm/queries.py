@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import fingerprints, language, mixing, pieces, quality, secrets, simhash, toxicity, urls
+from inkspan.llm import fingerprints, language, lines, mixing, pieces, quality, secrets, simhash, toxicity, urls
 from inkspan.llm.common import held_out, table
 
 
@@ -77,6 +77,10 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.hex("sketch")).alias("fingerprint"), "component_id")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.classes(table(spark, sf_dir, "documents")).drop("mark")
+
+
 def op7_sentencepiece(
     spark: SparkSession, sf_dir: str, vocabulary: str = pieces.VOCABULARY
 ) -> DataFrame:
@@ -124,6 +128,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mix_sources, op2_language_id, op3_fingerprints, op4_url_filter, op5_simhash_dedup,
-        op7_sentencepiece, op8_toxicity, op9_quality_rules, op10_secret_scan,
+        op6_line_dedup, op7_sentencepiece, op8_toxicity, op9_quality_rules, op10_secret_scan,
     )
 }

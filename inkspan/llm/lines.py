@@ -130,7 +130,7 @@ class _Group:
 
     def ask(self, nodes: np.ndarray, marks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for at in range(0, len(nodes), 256):
-            differ = np.bitwise_count(marks[at : at + 256, None] ^ self.marks[None])
+            differ = np.bitwise_count((marks[at : at + 256, None] ^ self.marks[None]).view(np.uint64))
             q, x = np.nonzero(differ <= 4 * EDITS)
             a, b = nodes[at : at + 256][q], self.nodes[x]
             yield a[a != b], b[a != b]
@@ -152,7 +152,7 @@ def _meet(limit: int | None, *by: str):
                 new[1:] |= key[1:] != key[:-1]
             cuts = np.array([0, *np.flatnonzero(new), len(nodes)])
             # A key that one batch holds whole and only asks for, or has one line for, gives nothing.
-            sizes, index = np.diff(cuts), np.add.reduceat(~asks, cuts[:-1])
+            sizes, index = np.diff(cuts), np.add.reduceat((~asks).astype(np.int64), cuts[:-1])
             idle = (index == 0) | (sizes == index) | (sizes == 1)
             idle[[0, -1]] = False
             out = {"pair": [], False: [], True: []}

@@ -1,5 +1,94 @@
-"""SQL twins of the queries of this subpackage, where SQL can express them."""
+"""SQL twins of the queries of this subpackage, where SQL can express them.
+
+The others learn a model, hash with XXH64 or draw by a hash; tests hold them
+against brute force.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+_QUALITY = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, regexp_extract_all(t, '{_WORD}') AS words FROM d),
+pos AS (SELECT r, generate_subscripts(words, 1) AS i, unnest(words) AS word FROM w),
+win AS (
+    SELECT r, i, word || ' ' || lead(word, 1) OVER x || ' ' || lead(word, 2) OVER x || ' '
+        || lead(word, 3) OVER x || ' ' || lead(word, 4) OVER x AS g
+    FROM pos WINDOW x AS (PARTITION BY r ORDER BY i)
+),
+rep AS (
+    SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win WHERE g IS NOT NULL)
+    WHERE c > 1
+),
+covered AS (SELECT r, count(DISTINCT i + o) AS n FROM rep, range(5) AS five(o) GROUP BY r),
+each AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
+lined AS (
+    SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS again
+    FROM each WHERE regexp_matches(line, '{_WORD}') GROUP BY r
+),
+m AS (
+    SELECT doc_id, len(words)::BIGINT AS n_words,
+        length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+        (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        coalesce(lined.n, 0)::BIGINT AS n_lines, coalesce(again, 0)::BIGINT AS n_dup_lines,
+        coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+    FROM d JOIN w USING (r) LEFT JOIN covered USING (r) LEFT JOIN lined USING (r)
+),
+f AS (
+    SELECT *, n_words < 10 AS few, 100 * n_repeat_words > 20 * n_words AS again,
+        2 * n_symbols > word_chars AS symbols, word_chars > 60 * n_words AS long,
+        2 * n_dup_lines > n_lines AS lines
+    FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    few OR again AS base_failed, NOT (few OR again OR symbols OR long OR lines) AS kept,
+    (few::BIGINT + 2 * again::BIGINT + 4 * symbols::BIGINT + 8 * long::BIGINT + 16 * lines::BIGINT)::BIGINT
+        AS failures
+FROM f
+"""
+
+_SECRETS = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS (
+    SELECT r, 0 AS k, 'assign' AS kind, 12 AS least, string_split_regex(t, '(?i)(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?(?:[A-Za-z0-9+/_.=-]+)') AS gaps,
+        regexp_extract_all(t, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0) AS hits,
+        regexp_extract_all(t, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) AS parts
+    FROM d
+    UNION ALL SELECT r, 1, 'access', 18, string_split_regex(t, 'AKIA[A-Z0-9]+'),
+        regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+') FROM d
+    UNION ALL SELECT r, 2, 'hex', 16, string_split_regex(t, '[0-9a-f]+'),
+        regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+') FROM d
+    UNION ALL SELECT r, 3, 'github', 0, string_split_regex(t, 'gh[oprsu]_[A-Za-z0-9]{36}'),
+        regexp_extract_all(t, 'gh[oprsu]_[A-Za-z0-9]{36}'), regexp_extract_all(t, 'gh[oprsu]_[A-Za-z0-9]{36}') FROM d
+    UNION ALL SELECT r, 4, 'private', 0, string_split_regex(t, '-----BEGIN [A-Z ]*PRIVATE KEY-----'),
+        regexp_extract_all(t, '-----BEGIN [A-Z ]*PRIVATE KEY-----'),
+        regexp_extract_all(t, '-----BEGIN [A-Z ]*PRIVATE KEY-----') FROM d
+    UNION ALL SELECT r, 5, 'webtoken', 0, string_split_regex(t, 'eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+'),
+        regexp_extract_all(t, 'eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+'),
+        regexp_extract_all(t, 'eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+') FROM d
+),
+each AS (
+    SELECT r, k, kind, least, unnest(range(1, len(hits) + 1)) AS i, unnest(gaps[1:len(hits)]) AS gap,
+        unnest(hits) AS hit, unnest(parts) AS part
+    FROM found WHERE len(hits) > 0
+),
+placed AS (
+    SELECT *, (sum(length(gap) + length(hit)) OVER (PARTITION BY r, k ORDER BY i))::BIGINT AS stop FROM each
+),
+spans AS (
+    SELECT r, k, stop - length(hit) AS start, kind || ':' || (stop - length(hit)) || ':' || stop AS span, kind
+    FROM placed WHERE length(part) >= least
+),
+per AS (
+    SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access,
+        count(*) FILTER (k = 2) AS n_hex,
+        string_agg(span, ',' ORDER BY start, k) FILTER (k < 3) AS base, string_agg(span, ',' ORDER BY start, k) AS spans
+    FROM spans GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+    coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op9_quality_rules": _QUALITY, "op10_secret_scan": _SECRETS}

@@ -178,17 +178,19 @@ def word_counts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for text, toxic in zip(texts(batch), batch.column("toxic").to_pylist(), strict=True):
                 words = tokens(text)
-                before = dict(zip(words, ["", *words], strict=False))
                 held = set()
                 for word, times in Counter(words).items():
-                    context = 1 << zlib.crc32(before[word].encode()) % 63 if toxic else 0
                     for feature in features(word):
-                        counts = found.setdefault(feature, [0, 0, 0, 0])
-                        counts[not toxic] += min(times, MOST_TIMES)
-                        counts[2] |= context
+                        found.setdefault(feature, [0, 0, 0, 0])[not toxic] += min(times, MOST_TIMES)
                         held.add(feature)
-                for feature in held if toxic else ():
+                if not toxic:
+                    continue
+                for feature in held:
                     found[feature][3] += 1
+                for before, word in set(zip(["", *words], words, strict=False)):
+                    context = 1 << zlib.crc32(before.encode()) % 63
+                    for feature in features(word):
+                        found[feature][2] |= context
             if len(found) > 1 << 18:
                 yield _counts(found)
                 found = {}

@@ -60,7 +60,7 @@ def longest_rule(rules: Sequence[UrlRule], host: Column, path: Column) -> Column
     return F.coalesce(*(
         F.when(rule_fits(r, host, path), F.struct(F.lit(r.name).alias("rule"), F.lit(r.verdict).alias("verdict")))
         for r in first
-    ))
+    ), F.lit(None).cast("struct<rule:string,verdict:string>"))
 
 
 def grams(host: Column, path: Column) -> Column:

@@ -11,6 +11,7 @@ signatures allow it, are compared by a banded bit-parallel edit distance.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ LEAST_WORDS = 8
 #: Indexed lines under one substring that one task compares; more are split over tasks.
 HOT = 4096
 _BITMAP = 1 << 23
+#: Finds LEAST_WORDS words; possessive, so that no blank is tried twice.
+_LONG = rf"(?:{WORD}+[\x20\x09-\x0D]++){{{LEAST_WORDS - 1}}}[^\x20\x09-\x0D]"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -38,9 +41,10 @@ def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), text_of(text_col).alias("text"))
     each = rows.select("doc_id", "mark", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     each = each.withColumn("line", F.btrim("line", F.lit(BLANKS)))
-    return each.where(F.regexp_count("line", F.lit(WORD)) >= LEAST_WORDS).withColumn("node", F.xxhash64("line"))
+    return each.where(F.col("line").rlike(_LONG)).withColumn("node", F.xxhash64("line"))
 
 
+@lru_cache(maxsize=1 << 16)
 def segments(length: int) -> list[tuple[int, int]]:
     """Start and length of the segments of a line of this length; the last ones are longer."""
     n = EDITS + 1
@@ -49,6 +53,7 @@ def segments(length: int) -> list[tuple[int, int]]:
     return [(sum(sizes[:i]), sizes[i]) for i in range(n)]
 
 
+@lru_cache(maxsize=1 << 16)
 def probes(length: int) -> list[tuple[int, int, int, int]]:
     """(length, segment, start, size) of the substrings that a line of this length asks for.
 
@@ -64,14 +69,16 @@ def probes(length: int) -> list[tuple[int, int, int, int]]:
     return found
 
 
-def signatures(points: list[np.ndarray]) -> np.ndarray:
-    """64 parities of the pairs of neighbouring characters; one edit changes at most four."""
-    sizes = np.array([max(len(p) - 1, 0) for p in points])
-    pairs = [p[:-1].astype(np.uint64) << np.uint64(21) | p[1:] for p in points]
-    flat = np.concatenate(pairs) if pairs else np.zeros(0, np.uint64)
-    bit = (flat * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(58)).astype(np.int64)
-    owner = np.repeat(np.arange(len(points)), sizes)
-    odd = np.bincount(owner * 64 + bit, minlength=64 * len(points)).reshape(-1, 64) & 1
+def signatures(lines: list[bytes]) -> np.ndarray:
+    """64 parities of the pairs of neighbouring characters of lines in UTF-32.
+
+    One edit changes at most four of them.
+    """
+    points = np.frombuffer(b"".join(lines), np.uint32).astype(np.uint64)
+    owner = np.repeat(np.arange(len(lines)), np.fromiter(map(len, lines), np.int64, len(lines)) // 4)
+    pairs, same = points[:-1] << np.uint64(21) | points[1:], owner[:-1] == owner[1:]
+    bit = (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(58)).astype(np.int64)
+    odd = np.bincount((owner[:-1] * 64 + bit)[same], minlength=64 * len(lines)).reshape(-1, 64) & 1
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64).ravel()
 
 
@@ -98,7 +105,7 @@ def keyed(lines: DataFrame) -> DataFrame:
                 keys += [digest(raw[4 * a : 4 * (a + n)], size << 2 | i) for size, i, a, n in wanted]
                 asks += [False] * len(cuts) + [True] * len(wanted)
                 counts.append(len(cuts) + len(wanted))
-            marks = signatures([np.frombuffer(raw, np.uint32) for raw in many])
+            marks = signatures(many)
             yield _rows(
                 np.array(keys, np.uint64).view(np.int64), np.array(asks, bool),
                 np.repeat(np.array(nodes, np.int64), counts), np.repeat(marks, counts),
@@ -153,7 +160,9 @@ def _meet(limit: int | None, *by: str):
             cuts = np.array([0, *np.flatnonzero(new), len(nodes)])
             # A key that one batch holds whole and only asks for, or has one line for, gives nothing.
             sizes, index = np.diff(cuts), np.add.reduceat((~asks).astype(np.int64), cuts[:-1])
-            idle = (index == 0) | (sizes == index) | (sizes == 1)
+            # The same goes for a key under which a line meets only itself or its copies.
+            alone = np.minimum.reduceat(nodes, cuts[:-1]) == np.maximum.reduceat(nodes, cuts[:-1])
+            idle = (index == 0) | (sizes == index) | alone
             idle[[0, -1]] = False
             out = {"pair": [], False: [], True: []}
             for n in np.flatnonzero(~idle):

@@ -7,6 +7,9 @@ from pyspark.sql import Column, functions as F
 from inkspan.functions.text import is_blank, literal_pattern, strip, _col
 
 _SPAN = "array<struct<first:int,end:int>>"
+# Spans of the block that grows; a full one is set aside, so no long array is
+# copied for each chunk.
+_BLOCK = 512
 
 
 def pieces(text: Column | str, separator: str) -> Column:
@@ -35,11 +38,13 @@ def chunk_array(
         raise ValueError("overlap must lie between 0 and size")
 
     def cut(parts: Column) -> Column:
+        # A slice would copy all pieces for every chunk.
+        def piece_range(s: Column) -> Column:
+            return F.transform(F.sequence(s.first, s.end - 1), lambda i: F.get(parts, i))
+
         joined = F.transform(
             _spans(F.transform(parts, F.length), size, overlap, len(separator)),
-            lambda s: strip(
-                F.array_join(F.slice(parts, s.first + 1, s.end - s.first), separator)
-            ),
+            lambda s: strip(F.array_join(piece_range(s), separator)),
         )
         return F.filter(joined, lambda c: c != "")
 
@@ -79,25 +84,29 @@ def _spans(lengths: Column, size: int, overlap: int, sep: int) -> Column:
     def length_with(total: Column, count: Column, length: Column) -> Column:
         return total + length + F.when(count > 0, F.lit(sep)).otherwise(F.lit(0))
 
-    def state(spans: Column, first: Column, nxt: Column, total: Column) -> Column:
-        return F.struct(
-            spans.alias("spans"), first.alias("first"), nxt.alias("nxt"), total.alias("total")
-        )
+    # A lambda's result is copied whole when it is bound to a name, so the spans
+    # are never part of what is bound.
+    def state(full: Column, block: Column, at: Column) -> Column:
+        return F.struct(full.alias("full"), block.alias("block"), at.alias("at"))
 
-    def span(acc: Column) -> Column:
-        return F.struct(acc.first.alias("first"), acc.nxt.alias("end"))
+    def place(first: Column, nxt: Column, total: Column) -> Column:
+        return F.struct(first.alias("first"), nxt.alias("nxt"), total.alias("total"))
 
-    def open_next(acc: Column, length: Column, kept: Column) -> Column:
+    def closed(acc: Column, at: Column) -> Column:
+        """The state with one more span, and the place of the next chunk."""
+        span = F.struct(acc["at"].first.alias("first"), acc["at"].nxt.alias("end"))
+        # Of exactly the type of the others: else all of them are cast in each step.
+        block = F.array_append(acc.block, span.cast(_SPAN[len("array<"):-1]))
+        is_full = F.size(acc.block) >= _BLOCK - 1
         return state(
-            F.array_append(acc.spans, span(acc)),
-            kept.first,
-            acc.nxt + 1,
-            length_with(kept.total, acc.nxt - kept.first, length),
+            F.when(is_full, F.array_append(acc.full, block)).otherwise(acc.full),
+            F.when(is_full, F.array().cast(_SPAN)).otherwise(block),
+            at,
         )
 
-    def kept_suffix(acc: Column, length: Column, lens: Column) -> Column:
+    def kept_suffix(at: Column, length: Column, lens: Column) -> Column:
         def drop_first(k: Column, _: Column) -> Column:
-            count = acc.nxt - k.first
+            count = at.nxt - k.first
             too_long = k.total > overlap
             no_room = (length_with(k.total, count, length) > size) & (k.total > 0)
             gone = F.get(lens, k.first) + F.when(count > 1, F.lit(sep)).otherwise(F.lit(0))
@@ -107,32 +116,40 @@ def _spans(lengths: Column, size: int, overlap: int, sep: int) -> Column:
             ).otherwise(k)
 
         return F.aggregate(
-            F.sequence(acc.first, acc.nxt - 1),
-            F.struct(acc.first.alias("first"), acc.total.alias("total")),
+            F.sequence(at.first, at.nxt - 1),
+            F.struct(at.first.alias("first"), at.total.alias("total")),
             drop_first,
         )
 
+    def after_cut(at: Column, length: Column, lens: Column) -> Column:
+        if overlap == 0:
+            return place(at.nxt, at.nxt + 1, length)
+        return _bind(kept_suffix(at, length, lens), lambda k: place(
+            k.first, at.nxt + 1, length_with(k.total, at.nxt - k.first, length)
+        ))
+
     def fold(lens: Column) -> Column:
         def step(acc: Column, length: Column) -> Column:
-            count = acc.nxt - acc.first
-            grown = length_with(acc.total, count, length)
-            if overlap == 0:
-                cut = state(F.array_append(acc.spans, span(acc)), acc.nxt, acc.nxt + 1, length)
-            else:
-                cut = _bind(
-                    kept_suffix(acc, length, lens), lambda k: open_next(acc, length, k)
-                )
-            return F.when((count > 0) & (grown > size), cut).otherwise(
-                state(acc.spans, acc.first, acc.nxt + 1, grown)
-            )
+            at = acc["at"]
+            count = at.nxt - at.first
+            grown = length_with(at.total, count, length)
+            return F.when(
+                (count > 0) & (grown > size), closed(acc, after_cut(at, length, lens))
+            ).otherwise(state(acc.full, acc.block, place(at.first, at.nxt + 1, grown)))
+
+        def spans(acc: Column) -> Column:
+            return F.flatten(F.array_append(acc.full, acc.block))
 
         return F.aggregate(
             lens,
-            state(F.array().cast(_SPAN), F.lit(0), F.lit(0), F.lit(0)),
+            state(
+                F.array().cast(f"array<{_SPAN}>"), F.array().cast(_SPAN),
+                place(F.lit(0), F.lit(0), F.lit(0)),
+            ),
             step,
             lambda acc: F.when(
-                acc.nxt > acc.first, F.array_append(acc.spans, span(acc))
-            ).otherwise(acc.spans),
+                acc["at"].nxt > acc["at"].first, spans(closed(acc, acc["at"]))
+            ).otherwise(spans(acc)),
         )
 
     return _bind(lengths, fold)

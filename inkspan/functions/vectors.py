@@ -42,6 +42,13 @@ def norm(v: Column | str) -> Column:
     )
 
 
+def is_finite(v: Column | str) -> Column:
+    """Whether a vector is there and has neither NULL, NaN nor infinite elements."""
+    largest = F.lit(float("inf"))
+    fine = F.forall(_col(v), lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < largest), F.lit(False)))
+    return F.coalesce(fine, F.lit(False))
+
+
 def is_normalized(v: Column | str, rtol: float = 1e-5, atol: float = 1e-8) -> Column:
     return F.abs(norm(v) - 1.0) <= F.lit(atol + rtol)
 

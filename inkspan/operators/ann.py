@@ -4,30 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from inkspan.operators.ivf import LISTS, PROBES, assign_lists, ivf_search, train_centroids
+from inkspan.operators.ivf import (
+    LISTS, PROBES, assign_lists, ivf_search, read_index, train_centroids, write_index,
+)
 from inkspan.operators.lsh import BITS, TABLES, add_codes, lsh_search
 from inkspan.operators.search import top_k
+from inkspan.session import shared_folder
 
 METHODS = ("lsh", "ivf", "exact")
 
 
 class VectorIndex:
-    """A vector table prepared for one search method."""
+    """A vector table prepared for one search method.
+
+    An index is written once, below ``spark.checkpoint.dir`` unless ``path`` says
+    where, and every search reads it back: no list or code is computed twice.
+    """
 
     def __init__(
         self, vectors: DataFrame, method: str, dim: int, lists: int = LISTS,
-        bits: int = BITS, tables: int = TABLES, seed: int = 7,
+        bits: int = BITS, tables: int = TABLES, seed: int = 7, path: str | None = None,
     ):
         if method not in METHODS:
             raise ValueError(f"unsupported index method: {method}")
         self.method, self.bits, self.tables, self.seed = method, bits, tables, seed
+        self.rows = vectors
+        if method == "exact":
+            return
+        spark = vectors.sparkSession
+        path = path or shared_folder(spark, f"index-{method}")
         if method == "ivf":
             self.centroids = train_centroids(vectors, lists, seed)
-            self.rows = assign_lists(vectors, self.centroids)
-        elif method == "lsh":
-            self.rows = add_codes(vectors, dim, bits, tables, seed)
+            write_index(assign_lists(vectors, self.centroids), path)
         else:
-            self.rows = vectors
+            add_codes(vectors, dim, bits, tables, seed).write.parquet(path)
+        self.rows = read_index(spark, path)
 
     def search(self, queries: DataFrame, k: int, probes: int = PROBES) -> DataFrame:
         if self.method == "ivf":

@@ -15,13 +15,22 @@ def content_hash(content: Column | str) -> Column:
 def verify_hashes(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """(key, content_hash, file_hash, verified) for ``files`` (key, content).
 
-    A file without a recorded hash passes. Only key and hash are joined, the
-    content stays where it was read.
+    A file without a recorded hash passes; one with several different hashes
+    does not. Only key and hash are joined, the content stays where it was read.
     """
     hashed = files.select("key", content_hash("content").alias("content_hash"))
-    return hashed.join(manifest.select("key", "file_hash"), "key", "left").withColumn(
-        "verified",
-        F.col("file_hash").isNull() | (F.col("content_hash") == F.col("file_hash")),
+    return hashed.join(one_hash(manifest), "key", "left").select(
+        "key", "content_hash", "file_hash",
+        (F.col("file_hash").isNull() | (
+            (F.col("content_hash") == F.col("file_hash")) & (F.col("file_hash") == F.col("other_hash"))
+        )).alias("verified"),
+    )
+
+
+def one_hash(manifest: DataFrame) -> DataFrame:
+    """(key, file_hash, other_hash): one row per key, its least and its greatest hash."""
+    return manifest.groupBy("key").agg(
+        F.min("file_hash").alias("file_hash"), F.max("file_hash").alias("other_hash")
     )
 
 

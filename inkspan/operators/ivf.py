@@ -11,12 +11,12 @@ from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from inkspan.operators.search import SCORE_DECIMALS, Queries, top_k, vector_matrix
+from inkspan.functions.vectors import is_finite
+from inkspan.operators.search import Queries, highest_products, top_k, usable_rows
 
 # Default number of lists, and of lists a search reads.
 LISTS = 20
 PROBES = 5
-TRAINING_ROWS = 1_000_000
 MAX_CENTROID_BYTES = 256 << 20
 MAX_LISTS = 1 << 16
 CENTROIDS = T.StructType([
@@ -31,20 +31,13 @@ def train_centroids(
     seed: int = 7,
     iterations: int = 20,
     vector_col: str = "embedding",
-    training_rows: int | None = TRAINING_ROWS,
 ) -> DataFrame:
-    """(list_id, centroid) from k-means over the unit-length vectors of the table.
+    """(list_id, centroid) from k-means over the unit-length vectors of all rows.
 
-    A table beyond ``training_rows`` rows trains on about that many, drawn at
-    random: k-means passes over its input many times and keeps it on disk,
-    while a few hundred rows per list fix a centroid. This shapes the lists
-    only; every row is assigned to one and can be found. None trains on all.
+    Vectors that are NULL, zero or not finite have no direction and are left out.
     """
-    if training_rows is not None:
-        total = vectors.count()
-        if total > training_rows:
-            vectors = vectors.sample(training_rows / total, seed)
-    raw = vectors.filter(F.exists(vector_col, lambda x: x != 0)).select(
+    usable = is_finite(vector_col) & F.exists(vector_col, lambda x: x != 0)
+    raw = vectors.filter(usable).select(
         array_to_vector(vector_col).alias("raw")
     )
     directions = Normalizer(inputCol="raw", outputCol="features").transform(raw)
@@ -59,7 +52,7 @@ def assign_lists(
     """Add ``list_id``: the centroid with the largest inner product, lowest id on ties.
 
     One pass without shuffle: only the vector column goes to Python, the centroids
-    go to every task as a matrix.
+    go to every task as a matrix. A vector that is NULL or not finite has list NULL.
     """
     list_ids, matrix = centroid_matrix(centroids)
     sent = vectors.sparkSession.sparkContext.broadcast((list_ids, matrix))
@@ -68,8 +61,11 @@ def assign_lists(
     def assign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, centers = sent.value
         for batch in batches:
-            rows = vector_matrix(batch, centers.shape[1])
-            yield pa.array(ids[_largest_product(rows, centers)], pa.int32())
+            rows, there = usable_rows(batch, centers.shape[1])
+            found = np.zeros(len(batch), np.int32)
+            if len(rows):
+                found[there] = ids[highest_products(rows, centers, 1)[:, 0]]
+            yield pa.array(found, pa.int32(), mask=~there)
 
     return vectors.withColumn("list_id", assign(vector_col))
 
@@ -100,9 +96,7 @@ def ivf_search(
     list_ids, matrix = centroid_matrix(centroids)
 
     def probed(query_matrix: np.ndarray) -> dict[str, np.ndarray]:
-        scores = np.round(query_matrix @ matrix.T, SCORE_DECIMALS)
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
-        return {"probes": list_ids[best]}
+        return {"probes": list_ids[highest_products(query_matrix, matrix, probes)]}
 
     return top_k(
         index, queries, k,
@@ -113,18 +107,16 @@ def ivf_search(
 
 def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """List ids in ascending order and the matrix of their centroids."""
-    rows = sorted(centroids.select("list_id", "centroid").limit(MAX_LISTS + 1).collect())
-    matrix = np.array([r[1] for r in rows], dtype=np.float64)
-    if len(rows) > MAX_LISTS or matrix.nbytes > MAX_CENTROID_BYTES:
+    count, size = centroids.agg(
+        F.count("list_id"), F.sum(F.size("centroid").cast("long") * 8)
+    ).first()
+    if count > MAX_LISTS or (size or 0) > MAX_CENTROID_BYTES:
         raise ValueError("the centroids exceed the size bound; use fewer lists")
+    rows = sorted(centroids.select("list_id", "centroid").collect())
+    matrix = np.array([r[1] for r in rows], dtype=np.float64)
     return np.array([r[0] for r in rows], dtype=np.int32), matrix
 
 
-def _largest_product(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    scores = np.round(rows @ centers.T, SCORE_DECIMALS)
-    return scores.argmax(axis=1)
-
-
 def _prune_lists(index: DataFrame, side: Queries) -> DataFrame:
     if not side.extra:
         return index.limit(0)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from inkspan.operators.search import Queries, top_k, vector_matrix
+from inkspan.operators.search import Queries, top_k, usable_rows
 
 BITS = 4
 TABLES = 4
@@ -30,7 +30,7 @@ def bucket_codes(rows: np.ndarray, planes: np.ndarray) -> np.ndarray:
     """(rows, tables) codes; bit b is set where the projection b is not negative."""
     tables, bits, dim = planes.shape
     sides = rows @ planes.reshape(tables * bits, dim).T
-    signs = (np.round(sides, 9) >= 0).reshape(len(rows), tables, bits)
+    signs = (sides >= 0).reshape(len(rows), tables, bits)
     return signs.astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
 
 
@@ -42,16 +42,22 @@ def add_codes(
     seed: int = 7,
     vector_col: str = "embedding",
 ) -> DataFrame:
-    """Add ``codes``: the bucket of the row in each table. One pass without shuffle."""
+    """Add ``codes``: the bucket of the row in each table. One pass without shuffle.
+
+    A vector that is NULL or not finite has codes NULL and is in no bucket.
+    """
 
     @F.arrow_udf(T.ArrayType(T.LongType(), containsNull=False))
     def codes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         planes = projections(dim, bits, tables, seed)
         item = pa.list_(pa.field("element", pa.int64(), nullable=False))
         for batch in batches:
-            codes = bucket_codes(vector_matrix(batch, dim), planes)
-            offsets = pa.array(np.arange(0, codes.size + 1, tables, dtype=np.int32))
-            yield pa.ListArray.from_arrays(offsets, pa.array(codes.reshape(-1)), type=item)
+            rows, there = usable_rows(batch, dim)
+            codes = bucket_codes(rows, planes)
+            offsets = np.concatenate([[0], np.cumsum(there * tables)]).astype(np.int32)
+            yield pa.ListArray.from_arrays(
+                pa.array(offsets), pa.array(codes.reshape(-1)), type=item, mask=pa.array(~there)
+            )
 
     return vectors.withColumn("codes", codes_of(vector_col))
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from inkspan.schemas import FAILURE_REASON
+from inkspan.session import shared_folder
 
 # Fixed value: attempts before a message becomes a dead letter.
 MAX_ATTEMPTS = 3
 ROWS_PER_BLOCK = 1_000_000
-MAX_BROADCAST_KEYS = 100_000
 DONE, RETRY, DEAD_LETTER = "done", "retry", "dead_letter"
 
 
@@ -34,43 +34,25 @@ def route_deliveries(
 
     Attempts count from 1 and start again after a success or a dead letter.
 
-    A key with more than ``rows_per_block`` deliveries is cut into blocks of
-    equal time span. Each block is numbered alone and then takes over the
-    failures still open at the end of the blocks before it.
+    A log of more than ``rows_per_block`` rows is ranged over blocks of about that
+    many by (key, ts, tie). So a key of any size, NULL too, is cut by rows, also
+    where all its deliveries have one time. Each block is numbered alone and then
+    takes over the failures still open at the end of the blocks before it. The
+    blocks are written once, since a range is drawn anew whenever it is computed.
     """
-    span = F.unix_micros(F.col(ts).cast("timestamp"))
-    hot = (
-        deliveries.groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("key_rows"),
-            F.min(span).alias("key_lo"),
-            F.max(span).alias("key_hi"),
-        )
-        .filter(F.col("key_rows") > rows_per_block)
-    )
-    found = hot.limit(MAX_BROADCAST_KEYS + 1).collect()
-    if not found:
+    blocks = -(-deliveries.count() // rows_per_block)
+    if blocks <= 1:
         placed = _number(deliveries, [key], ts, tie, failed)
         return _routed(placed, F.col("since"), deliveries, failed, max_attempts)
 
-    if len(found) <= MAX_BROADCAST_KEYS:
-        hot = F.broadcast(deliveries.sparkSession.createDataFrame(found, hot.schema))
-    cuts = F.ceil(F.col("key_rows") / F.lit(rows_per_block))
-    offset = (span - F.col("key_lo")) / (F.col("key_hi") - F.col("key_lo") + 1)
-    blocked = deliveries.join(hot, key, "left").withColumn(
-        "block", F.coalesce(F.floor(offset * cuts), F.lit(0))
-    )
-    placed = _number(blocked, [key, "block"], ts, tie, failed)
-    hot_rows = blocked.filter(F.col("key_rows").isNotNull())
-    ends = (
-        _number(hot_rows, [key, "block"], ts, tie, failed)
-        .groupBy(key, "block")
-        .agg(
-            F.max(F.when(~F.col(failed), F.col("place"))).alias("last_success"),
-            F.count(F.lit(1)).alias("size"),
-        )
-        .withColumn("open", F.col("size") - F.coalesce("last_success", F.lit(0)))
-    )
+    spark, path = deliveries.sparkSession, shared_folder(deliveries.sparkSession, "deliveries")
+    ranged = deliveries.repartitionByRange(blocks, key, ts, tie)
+    ranged.withColumn("block", F.spark_partition_id()).write.parquet(path)
+    placed = _number(spark.read.parquet(path), [key, "block"], ts, tie, failed)
+    ends = placed.groupBy(key, "block").agg(
+        F.max(F.when(~F.col(failed), F.col("place"))).alias("last_success"),
+        F.count(F.lit(1)).alias("size"),
+    ).withColumn("open", F.col("size") - F.coalesce("last_success", F.lit(0)))
     before = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     running = ends.withColumn("open_before", F.coalesce(F.sum("open").over(before), F.lit(0)))
     # open_before at the latest earlier block with a success: what that block closed.
@@ -78,14 +60,14 @@ def route_deliveries(
         F.when(F.col("last_success").isNotNull(), F.col("open_before")), ignorenulls=True
     ).over(before)
     carried = running.select(
-        key, "block", (F.col("open_before") - F.coalesce(closed, F.lit(0))).alias("carried")
+        F.col(key).alias("carried_key"), F.col("block").alias("carried_block"),
+        (F.col("open_before") - F.coalesce(closed, F.lit(0))).alias("carried"),
     )
+    same = placed[key].eqNullSafe(carried["carried_key"]) & (placed["block"] == carried["carried_block"])
     since = F.col("since") + F.when(
         F.col("first_run"), F.coalesce("carried", F.lit(0))
     ).otherwise(F.lit(0))
-    return _routed(
-        placed.join(carried, [key, "block"], "left"), since, deliveries, failed, max_attempts
-    )
+    return _routed(placed.join(carried, same, "left"), since, deliveries, failed, max_attempts)
 
 
 def _number(rows: DataFrame, group: list[str], ts: str, tie: str, failed: str) -> DataFrame:

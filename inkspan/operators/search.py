@@ -1,9 +1,10 @@
 """Top-k search of query vectors in a vector table.
 
 The table is never shuffled, joined or paired with the queries. The query
-vectors, few and size-checked, go to every task as one matrix; a task scores its
-rows batch by batch with a matrix product and keeps the best k rows per query.
-Only those k rows per query and task are shuffled to find the overall best.
+vectors, size-checked before they are fetched, go to every task as one matrix; a
+task reads its rows once, scores them batch by batch with a matrix product, some
+queries at a time, and keeps the best k rows per query. Only those k rows per
+query and task are shuffled to find the overall best.
 """
 
 from __future__ import annotations
@@ -17,15 +18,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from inkspan.session import shared_folder
-
 METRICS = ("inner_product", "cosine")
-# Scores are ranked at this many decimals, equal ones by id. Vectors hold
-# float32, so further digits would only rank by the order of summation.
-SCORE_DECIMALS = 9
-# Queries that are sent to every task at once; more are searched in rounds.
+# Most bytes of query vectors that one search sends to every task.
 MAX_QUERY_BYTES = 256 << 20
-QUERIES_PER_ROUND = 4096
 # Queries a task scores at once, which bounds its score matrix.
 QUERY_TILE = 256
 MERGE_SALTS = 32
@@ -63,13 +58,15 @@ def top_k(
     gate_cols: tuple[str, ...] = (),
     query_extra: Callable[[np.ndarray], dict[str, np.ndarray]] | None = None,
     prune: Callable[[DataFrame, Queries], DataFrame] | None = None,
-    queries_per_round: int = QUERIES_PER_ROUND,
 ) -> DataFrame:
     """(query id, rank, id, score, distance) of the best ``k`` rows per query.
 
-    ``distance`` is the negative inner product or the cosine distance. A NULL
-    vector never matches, one of another dimension than the queries raises an
-    error. With the cosine metric zero vectors have no distance and never match.
+    Rows are ranked by the whole score, equal ones by id. ``distance`` is the
+    negative inner product or the cosine distance. A vector that is NULL or has
+    a NaN or infinite element never matches, on either side; one of another
+    dimension than the queries raises an error. With the cosine metric zero
+    vectors have no distance and never match. Query ids must be unique, and the
+    query vectors at most ``MAX_QUERY_BYTES``; both are errors, at any size.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric: {metric}")
@@ -77,53 +74,27 @@ def top_k(
         raise ValueError("k must be positive")
     asked = queries.select(query_id_col, query_vector_col)
 
-    def one_round(side: Queries) -> DataFrame:
-        rows = vectors if prune is None else prune(vectors, side)
-        return _search(
-            rows, side, k, metric, id_col, vector_col, query_id_col, gate, gate_cols,
-            asked.schema[query_id_col].dataType,
-        )
-
-    head = asked.limit(queries_per_round + 1).collect()
-    if len(head) <= queries_per_round:
-        return one_round(_query_side(head, metric, query_extra))
-    return _in_rounds(asked, query_id_col, metric, query_extra, one_round, queries_per_round)
-
-
-def _in_rounds(asked, query_id_col, metric, query_extra, one_round, per_round) -> DataFrame:
-    """More queries than fit in one round: one scan of the table per round.
-
-    Rounds are written one after the other, so the driver holds one at a time.
-    """
-    spark = asked.sparkSession
-    total = asked.count()
-    rounds = -(-2 * total // per_round)
-    asked_path, found_path = (shared_folder(spark, p) for p in ("queries", "matches"))
-    asked.withColumn("round", F.pmod(F.xxhash64(query_id_col), F.lit(rounds))).write.partitionBy(
-        "round"
-    ).parquet(asked_path)
-    written = spark.read.parquet(asked_path)
-    for number in range(rounds):
-        part = written.filter(F.col("round") == number).drop("round")
-        rows = part.limit(per_round + 1).collect()
-        if len(rows) > per_round:
-            raise ValueError(f"{query_id_col} must be unique: one round got too many queries")
-        if rows:
-            one_round(_query_side(rows, metric, query_extra)).write.mode("append").parquet(
-                found_path
-            )
-    return spark.read.parquet(found_path)
+    size = asked.agg(F.sum(F.size(query_vector_col).cast("long") * 8)).first()[0] or 0
+    if size > MAX_QUERY_BYTES:
+        raise ValueError(f"{size} bytes of query vectors; at most {MAX_QUERY_BYTES} at once")
+    side = _query_side(asked.collect(), metric, query_extra)
+    rows = vectors if prune is None else prune(vectors, side)
+    return _search(
+        rows, side, k, metric, id_col, vector_col, query_id_col, gate, gate_cols,
+        asked.schema[query_id_col].dataType,
+    )
 
 
 def _query_side(rows: list, metric: str, query_extra) -> Queries:
+    if len({row[0] for row in rows}) < len(rows):
+        raise ValueError("query ids must be unique")
     rows = [row for row in rows if row[1] is not None]
-    matrix = np.array([row[1] for row in rows], dtype=np.float64)
-    if len(rows) == 0:
-        matrix = np.empty((0, 0))
-    elif matrix.ndim != 2:
+    if len({len(row[1]) for row in rows}) > 1:
         raise ValueError("query vectors differ in dimension")
-    if matrix.nbytes > MAX_QUERY_BYTES:
-        raise ValueError("query vectors exceed the size bound; lower queries_per_round")
+    matrix = np.array([row[1] for row in rows], dtype=np.float64)
+    usable = np.isfinite(matrix).all(axis=1) if rows else []
+    rows = [row for row, fine in zip(rows, usable, strict=True) if fine]
+    matrix = matrix[usable] if rows else np.empty((0, 0))
     extra = query_extra(matrix) if query_extra and len(rows) else {}
     ids = np.empty(len(rows), dtype=object)
     ids[:] = [row[0] for row in rows]
@@ -184,6 +155,11 @@ class _Best:
         if batch.num_rows == 0 or len(self.side.ids) == 0:
             return
         rows = vector_matrix(batch.column(1), self.side.dim)
+        finite = np.isfinite(rows).all(axis=1)
+        if not finite.all():
+            batch, rows = batch.filter(pa.array(finite)), rows[finite]
+            if not len(rows):
+                return
         if self.metric == "cosine":
             rows = _unit_rows(rows)
         ids = batch.column(0)
@@ -205,10 +181,9 @@ class _Best:
 
     def _block(self, ids, id_rank, block, row_at, query_at, mask) -> None:
         rough = block @ self.side.vectors[query_at].T
-        # Bound on how far a product may lie from the ranked score.
-        slack = 10.0**-SCORE_DECIMALS + (
-            4e-16 * self.side.dim * np.linalg.norm(block, axis=1).max() * self.lengths[query_at]
-        )
+        # Bound on how far a product may lie from the ranked score, whose order of
+        # summation is the same in every batch.
+        slack = 4e-16 * self.side.dim * np.linalg.norm(block, axis=1).max() * self.lengths[query_at]
         if mask is not None:
             rough[~mask] = -np.inf
         bar = self.floor[query_at] - slack
@@ -220,7 +195,7 @@ class _Best:
             at = np.flatnonzero(hits[:, column])
             query = query_at[column]
             exact = (block[at] * self.side.vectors[query]).sum(axis=1)
-            scores = np.round(exact, SCORE_DECIMALS) + 0.0
+            scores = exact + 0.0
             first = np.lexsort((id_rank[row_at[at]], -scores))[: self.k]
             names = np.empty(len(first), dtype=object)
             names[:] = ids.take(pa.array(row_at[at[first]])).to_pylist()
@@ -257,6 +232,15 @@ def vector_matrix(column: pa.Array, dim: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
 
 
+def usable_rows(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors that are there and finite, and which rows of the column they are."""
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    rows = vector_matrix(column.filter(pa.array(there)), dim)
+    finite = np.isfinite(rows).all(axis=1)
+    there[there] = finite
+    return rows[finite], there
+
+
 def _few_copies(
     rows: np.ndarray, id_rank: np.ndarray, mask: np.ndarray | None, k: int
 ) -> np.ndarray:
@@ -290,19 +274,42 @@ def nearest(
     vectors: DataFrame, query: list[float], k: int, id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
-    """Top-k by inner product for one literal query vector, as a plain sort and limit."""
-    from inkspan.functions.vectors import inner_product
+    """Top-k by inner product for one literal query vector, as a plain sort and limit.
+
+    NULL vectors and ones with a NaN or infinite element never match.
+    """
+    from inkspan.functions.vectors import inner_product, is_finite
 
     wanted = F.array(*(F.lit(float(x)) for x in query))
     return (
-        vectors.select(
-            id_col, F.round(inner_product(vector_col, wanted), SCORE_DECIMALS).alias("score")
-        )
+        vectors.filter(is_finite(vector_col))
+        .select(id_col, inner_product(vector_col, wanted).alias("score"))
         .orderBy(F.col("score").desc(), F.col(id_col))
         .limit(k)
     )
 
 
+def highest_products(rows: np.ndarray, centers: np.ndarray, n: int) -> np.ndarray:
+    """For each row the ``n`` centers of the highest inner product, equal ones in order.
+
+    The matrix product narrows the choice; what lies within its error is summed
+    again in one fixed order, so that the choice does not depend on the batch.
+    """
+    rough = rows @ centers.T
+    n = min(n, len(centers))
+    slack = 8e-16 * rows.shape[1] * np.outer(
+        np.linalg.norm(rows, axis=1), np.linalg.norm(centers, axis=1).max(initial=0)
+    )
+    bar = np.partition(rough, len(centers) - n, axis=1)[:, len(centers) - n, None] - slack
+    close = rough >= bar
+    best = np.argsort(-rough, axis=1, kind="stable")[:, :n]
+    for row in np.flatnonzero((close.sum(axis=1) > 1) | (n > 1)):
+        some = np.flatnonzero(close[row])
+        exact = (centers[some] * rows[row]).sum(axis=1)
+        best[row] = some[np.argsort(-exact, kind="stable")[:n]]
+    return best
+
+
 def recall(approximate: DataFrame, exact: DataFrame, query_id_col: str, id_col: str) -> DataFrame:
     """Share of the exact matches of each query that the other search found."""
     keys = [query_id_col, id_col]

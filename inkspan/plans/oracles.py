@@ -108,20 +108,27 @@ LABEL_MEANS = """means AS (
     SELECT label, pos, round(avg(x), 6) AS x FROM (
       SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos
       FROM embeddings) GROUP BY label, pos) GROUP BY label)"""
+ASKED_MEANS = "asked AS (SELECT label AS query_id, mean AS v FROM means)"
+ASKED_ROWS = """asked AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id % 50 = 0)"""
+STORED = "stored AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)"
+# NaN, infinite and NULL vectors never match; small ones do.
+CLEAN = """stored AS (SELECT vec_id, CASE WHEN label = 6
+    THEN list_transform(embedding::DOUBLE[], lambda x: x * 1e-6) ELSE embedding::DOUBLE[] END AS e
+  FROM embeddings WHERE label NOT IN (1, 2, 4))"""
 SCORED = """scored AS (
-  SELECT means.label AS query_id, vec_id, round(list_inner_product(mean, embedding::DOUBLE[]), 9) AS score
-  FROM means, embeddings)"""
+  SELECT query_id, vec_id, list_inner_product(v, e) AS score FROM asked, stored)"""
 EXACT = f"""exact AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank,
     vec_id, score FROM scored QUALIFY rank <= {q.K})"""
 MATCHES = "SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM {}"
 ASSIGNED = """assigned AS (
-  SELECT query_id AS list_id, vec_id FROM scored
-  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, query_id) = 1)"""
+  SELECT label AS list_id, vec_id FROM means, stored
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY list_inner_product(mean, e) DESC, label) = 1)"""
 IVF = f"""probed AS (
-  SELECT a.label AS query_id, b.label AS list_id FROM means a, means b
-  QUALIFY row_number() OVER (PARTITION BY a.label
-    ORDER BY round(list_inner_product(a.mean, b.mean), 9) DESC, b.label) <= {q.PROBES}),
+  SELECT query_id, label AS list_id FROM asked, means
+  QUALIFY row_number() OVER (PARTITION BY query_id
+    ORDER BY list_inner_product(v, mean) DESC, label) <= {q.PROBES}),
   found AS (
   SELECT s.query_id, row_number() OVER (PARTITION BY s.query_id ORDER BY s.score DESC, s.vec_id)
     AS rank, s.vec_id, s.score
@@ -132,10 +139,10 @@ LSH = f"""planes AS (
     THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END ORDER BY d) AS plane
   FROM range({lsh.TABLES}) r1(t), range({lsh.BITS}) r2(b), range({q.DIM}) r3(d) GROUP BY t, b),
   points AS (
-    SELECT 'v' || vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings
-    UNION ALL SELECT 'q' || label, mean FROM means),
+    SELECT 'v' || vec_id AS id, e AS v FROM stored
+    UNION ALL SELECT 'q' || query_id, v FROM asked),
   codes AS (
-    SELECT id, t, sum(CASE WHEN round(list_inner_product(v, plane), 9) >= 0 THEN 1 << b ELSE 0 END)
+    SELECT id, t, sum(CASE WHEN list_inner_product(v, plane) >= 0 THEN 1 << b ELSE 0 END)
       AS code FROM points, planes GROUP BY id, t),
   shared AS (
     SELECT DISTINCT a.id AS qid, b.id AS vid FROM codes a JOIN codes b USING (t, code)
@@ -160,9 +167,9 @@ def half(x: str) -> str:
 
 HALVES = f"halves AS (SELECT vec_id, pos, x, {half('x')} AS half FROM elements)"
 HALF_SCORED = f"""scored AS (
-  SELECT means.label AS query_id, vec_id, round(list_inner_product(
+  SELECT means.label AS query_id, vec_id, list_inner_product(
     list_transform(mean, lambda x: {half('x')}),
-    list_transform(embedding::DOUBLE[], lambda x: {half('x')})), 9) AS score
+    list_transform(embedding::DOUBLE[], lambda x: {half('x')})) AS score
   FROM means, embeddings)"""
 
 
@@ -233,6 +240,23 @@ SELECT doc_id, pos::INTEGER AS line_no, line FROM raw WHERE trim(line, {BLANKS})
 SELECT file_name, ends_with(file_name, '.pdf') AS is_pdf,
   ends_with(lower(file_name), '.pdf') AS is_pdf_any_case FROM docs
 WHERE ends_with(lower(file_name), '.pdf')""",
+    "scan_folder": """SELECT doc_id, strlen(text)::BIGINT AS length, lang = 'en' AS is_exact
+FROM documents WHERE lang IN ('en', 'fr')""",
+    "pages_of_files": """SELECT conv_id::VARCHAR || '.txt' AS file_name, turn::INTEGER AS page, text
+FROM conversations""",
+    "column_listing": """SELECT (row_number() OVER () - 1)::INTEGER AS position, column_name
+FROM (DESCRIBE embeddings)""",
+    "chunk_keys": f"""WITH RECURSIVE {TURN_CHUNKS}, {CHUNK_ROWS}
+SELECT count(*) AS n_rows, count(*) AS n_keys FROM numbered""",
+    "provider_choice": f"SELECT doc_id, {TURN_TOKENS} AS total_tokens FROM documents",
+    "notify_to_table": f"""WITH RECURSIVE {DOC_CHUNKS},
+  counted AS (SELECT k, count(*) AS n FROM chunks GROUP BY k)
+SELECT doc_id, CASE lang WHEN 'fr' THEN 3 ELSE 1 END::INTEGER AS receive_count,
+  CASE lang WHEN 'fr' THEN 'dead_letter' ELSE 'done' END AS route,
+  CASE lang WHEN 'fr' THEN 0 ELSE coalesce(n, 0) END::BIGINT AS n_chunks
+FROM documents LEFT JOIN counted ON k = doc_id WHERE lang IN ('en', 'fr')""",
+    "redrive_job": """SELECT doc_id, 1::INTEGER AS receive_count, 'done' AS route FROM documents
+WHERE lang IN ('en', 'fr')""",
     "path_parts": f"""WITH named AS (
   SELECT *, string_split(url, '/')[-1] AS base_name FROM pages)
 SELECT page_id, base_name, regexp_replace(url, '{STEM}', '\\1') AS stem,
@@ -241,12 +265,12 @@ FROM named""",
     "html_text": f"SELECT page_id, {html('html')} AS text FROM pages",
     "extract_pages": f"""SELECT page_id::VARCHAR AS path, 0 AS page, {html('html')} AS text,
   true AS parsed FROM pages""",
-    "pages_json": """SELECT conv_id::VARCHAR AS file_name, (turn // 1000)::INTEGER AS part,
-  to_json(list(struct_pack(page_content := text, metadata := struct_pack(
-    source := conv_id::VARCHAR, page := turn::INTEGER)) ORDER BY turn))::VARCHAR AS json
-FROM conversations GROUP BY ALL""",
-    "doc_text_join": """SELECT conv_id::VARCHAR AS file_name, (turn // 1000)::INTEGER AS part,
-  string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations GROUP BY ALL""",
+    "pages_json": """SELECT conv_id::VARCHAR AS file_name, turn::INTEGER AS page,
+  to_json(struct_pack(page_content := text, metadata := struct_pack(
+    source := conv_id::VARCHAR, page := turn::INTEGER)))::VARCHAR AS json FROM conversations""",
+    "doc_text_join": """SELECT conv_id::VARCHAR AS file_name, turn::INTEGER AS page,
+  CASE WHEN turn = min(turn) OVER (PARTITION BY conv_id) THEN '' ELSE chr(10) || chr(10) END || text
+    AS text FROM conversations""",
     "csv_roundtrip": f"""WITH {ELEMENTS}
 SELECT vec_id, label, '' AS text, {CREATED} AS created, pos::INTEGER AS pos, x AS value
 FROM elements JOIN embeddings USING (vec_id)""",
@@ -256,10 +280,12 @@ SELECT *, 'token-hash' AS model, {TURN_TOKENS} AS prompt_tokens, {q.DIM} AS n_di
 FROM numbered""",
     "append_chunks": """SELECT vec_id, label, CASE WHEN label < 5 THEN 0 ELSE 1 END AS ingest_id,
   len(embedding)::INTEGER AS n_dims FROM embeddings""",
+    "append_empty_rerun": """SELECT vec_id, 1 AS ingest_id FROM embeddings
+WHERE label >= 5 OR label IS NULL""",
     "ingest_counts": """SELECT CASE WHEN label < 3 THEN 0 WHEN label < 7 THEN 1 ELSE 2 END AS ingest_id,
   count(DISTINCT label) AS n_files, count(*) AS n_rows FROM embeddings GROUP BY ALL""",
     "table_lifecycle": """SELECT true AS kept_empty, count(*) AS n_rows, true AS dropped_filled,
-  true AS then_missing FROM embeddings""",
+  true AS then_missing, 0::BIGINT AS n_rows_again FROM embeddings""",
     "vectorize_html": f"""WITH RECURSIVE {chunked(
         f"SELECT page_id AS k, {html('html')} AS text FROM pages", q.CHUNK_SIZE, ". ")}
 SELECT k::VARCHAR AS file_name, 0::INTEGER AS document_page, pos::INTEGER AS chunk_no,
@@ -308,28 +334,36 @@ FROM shown""",
     "knn_single": f"""WITH asked AS (SELECT embedding::DOUBLE[] AS v FROM embeddings
   ORDER BY vec_id LIMIT 1)
 SELECT vec_id, round(score, 6) AS score FROM (
-  SELECT vec_id, round(list_inner_product(embedding::DOUBLE[], (SELECT v FROM asked)), 9) AS score
+  SELECT vec_id, list_inner_product(embedding::DOUBLE[], (SELECT v FROM asked)) AS score
   FROM embeddings) ORDER BY score DESC, vec_id LIMIT {q.K}""",
-    "knn_inner_product": f"""WITH {LABEL_MEANS}, {SCORED}, {EXACT} {MATCHES.format('exact')}""",
+    "knn_inner_product": f"""WITH {LABEL_MEANS}, {ASKED_MEANS}, {STORED}, {SCORED}, {EXACT} {MATCHES.format('exact')}""",
     "knn_cosine": f"""WITH {LABEL_MEANS}, scored AS (
   SELECT means.label AS query_id, vec_id,
-    round(list_cosine_similarity(mean, embedding::DOUBLE[]), 9) AS score FROM means, embeddings),
+    list_cosine_similarity(mean, embedding::DOUBLE[]) AS score FROM means, embeddings),
   {EXACT}
 SELECT query_id, rank::INTEGER AS rank, vec_id, round(1 - score, 6) AS distance FROM exact""",
     "knn_half": f"WITH {LABEL_MEANS}, {HALF_SCORED}, {EXACT} {MATCHES.format('exact')}",
     "retrieve_chunks": f"""WITH RECURSIVE {DOC_CHUNKS},
   {embedded("SELECT k || '/' || pos AS k, chunk AS text FROM chunks", "stored")},
   {embedded("SELECT item_id AS k, text FROM benchmark", "asked")},
-  scored AS (SELECT a.k AS item_id, s.k AS chunk, round(list_inner_product(a.v, s.v), 9) AS score
+  scored AS (SELECT a.k AS item_id, s.k AS chunk, list_inner_product(a.v, s.v) AS score
     FROM asked a, stored s)
 SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, chunk))::INTEGER AS rank,
   chunk, round(score, 6) AS score FROM scored QUALIFY rank <= 5""",
-    "ivf_assign": f"WITH {LABEL_MEANS}, {SCORED}, {ASSIGNED} SELECT vec_id, list_id FROM assigned",
-    "ivf_search": f"""WITH {LABEL_MEANS}, {SCORED}, {ASSIGNED}, {IVF} {MATCHES.format('found')}""",
-    "ivf_recall": f"WITH {LABEL_MEANS}, {SCORED}, {EXACT}, {ASSIGNED}, {IVF} {RECALL}",
-    "ivf_full_probe": f"""WITH {LABEL_MEANS}, {SCORED}, {EXACT} {MATCHES.format('exact')}""",
-    "lsh_search": f"WITH {LABEL_MEANS}, {SCORED}, {LSH} {MATCHES.format('found')}",
-    "lsh_recall": f"WITH {LABEL_MEANS}, {SCORED}, {EXACT}, {LSH} {RECALL}",
+    "ivf_assign": f"WITH {LABEL_MEANS}, {STORED}, {ASSIGNED} SELECT vec_id, list_id FROM assigned",
+    "ivf_search": f"""WITH {LABEL_MEANS}, {ASKED_MEANS}, {STORED}, {SCORED}, {ASSIGNED}, {IVF} {MATCHES.format('found')}""",
+    "ivf_recall": f"WITH {LABEL_MEANS}, {ASKED_ROWS}, {STORED}, {SCORED}, {EXACT}, {ASSIGNED}, {IVF} {RECALL}",
+    "ivf_full_probe": f"""WITH {LABEL_MEANS}, {ASKED_MEANS}, {STORED}, {SCORED}, {EXACT} {MATCHES.format('exact')}""",
+    "lsh_search": f"WITH {LABEL_MEANS}, {ASKED_MEANS}, {STORED}, {SCORED}, {LSH} {MATCHES.format('found')}",
+    "lsh_recall": f"WITH {ASKED_ROWS}, {STORED}, {SCORED}, {EXACT}, {LSH} {RECALL}",
+    "knn_dirty": f"""WITH {ASKED_ROWS}, {CLEAN}, {SCORED}, {EXACT}
+SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 9) AS score FROM exact""",
+    "ivf_dirty": f"""WITH {LABEL_MEANS}, {ASKED_ROWS}, {CLEAN}, {SCORED}, {ASSIGNED}, {IVF}
+SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 9) AS score FROM found""",
+    "lsh_dirty": f"""WITH {ASKED_ROWS}, {CLEAN}, {SCORED}, {LSH}
+SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 9) AS score FROM found""",
+    "ivf_kmeans": f"""SELECT 20::BIGINT AS n_lists, count(*) AS n_rows, 0::BIGINT AS n_misplaced
+FROM embeddings""",
     "hash_embed": f"""WITH {embedded("SELECT doc_id AS k, text FROM documents", "made")}
 SELECT k AS doc_id, bucket::INTEGER AS bucket, round(w, 6) AS weight FROM made_weights""",
     "token_usage": f"""SELECT doc_id, 'token-hash' AS model, {TURN_TOKENS} AS prompt_tokens,

@@ -17,11 +17,11 @@ from inkspan.functions.text import (
     basename, forward_slashes, has_suffix, is_blank, preview, stem, with_extension,
 )
 from inkspan.operators import chunks, integrity, ivf, lsh, profile, routing, search
-from inkspan.operators.embedding import embedding
+from inkspan.operators.embedding import HashingEmbedder, choose_embedder, embedding
 from inkspan.plans.vectorize import (
-    export_csv, import_csv, vectorize_files, vectorize_pages,
+    consume_notifications, export_csv, import_csv, redrive, vectorize_files, vectorize_pages,
 )
-from inkspan.schemas import CHUNK
+from inkspan.schemas import CHUNK, OUTCOME
 from inkspan.session import shared_folder, spread
 from inkspan.sources import exports, files, notifications, tables
 from inkspan.streaming import ingest, routing as stream_routing
@@ -109,6 +109,30 @@ def query_vectors(spark, sf_dir) -> DataFrame:
     )
 
 
+def stored_queries(spark, sf_dir) -> DataFrame:
+    """Every row whose id is divisible by 50 asks for its neighbours."""
+    return embeddings(spark, sf_dir).filter(F.col("vec_id") % 50 == 0).select(
+        F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector")
+    )
+
+
+def dirty_embeddings(spark, sf_dir) -> DataFrame:
+    """Embeddings with NaN (label 1), infinite (2), NULL (4) and small (6) vectors."""
+    def first(x: float):
+        rest = F.slice(F.col("embedding").cast("array<double>"), 2, DIM - 1)
+        return F.concat(F.array(F.lit(x)), rest)
+
+    small = F.transform("embedding", lambda x: x.cast("double") * F.lit(1e-6))
+    return embeddings(spark, sf_dir).withColumn(
+        "embedding",
+        F.when(F.col("label") == 1, first(float("nan")))
+        .when(F.col("label") == 2, first(float("inf")))
+        .when(F.col("label") == 4, F.lit(None))
+        .when(F.col("label") == 6, small)
+        .otherwise(F.col("embedding").cast("array<double>")),
+    )
+
+
 def label_centroids(spark, sf_dir) -> DataFrame:
     return label_means(spark, sf_dir).select(
         F.col("label").alias("list_id"), F.col("mean").alias("centroid")
@@ -223,6 +247,73 @@ def scan_suffix_filter(spark, sf_dir):
     )
 
 
+def _odd_names(spark, sf_dir) -> DataFrame:
+    """Documents under names with blanks, ``#``, ``%`` and other letters."""
+    return documents(spark, sf_dir).withColumn(
+        "key", F.concat(F.lit("文書 #"), F.translate("file_name", "/", "%"))
+    )
+
+
+def _document_files(spark, sf_dir) -> str:
+    """The documents written as one file each."""
+    folder = shared_folder(spark, "files")
+    made = _odd_names(spark, sf_dir).select("key", F.encode("text", "UTF-8").alias("content"))
+    files.write_files(made, folder)
+    return folder
+
+
+@query
+def scan_folder(spark, sf_dir):
+    """Files of the documents, found by their ending in one case and in any."""
+    folder = _document_files(spark, sf_dir)
+    exact = files.read_folder(spark, folder, "pdf").select("path", F.lit(True).alias("exact"))
+    found = files.read_folder(spark, folder, "pdf", ignore_case=True).select("path", "length")
+    return found.join(exact, "path", "left").select(
+        F.regexp_extract("path", r"doc_(\d+)", 1).cast("long").alias("doc_id"), "length",
+        F.coalesce("exact", F.lit(False)).alias("is_exact"),
+    )
+
+
+@query
+def pages_of_files(spark, sf_dir):
+    """Files of several pages, cut by a parser that has two tries for each."""
+    folder = shared_folder(spark, "files")
+    texts = exports.pages_as_text(turns(spark, sf_dir), "\f").groupBy("file_name").agg(
+        F.array_join(F.transform(
+            F.sort_array(F.collect_list(F.struct("page", "text"))), lambda r: r.text
+        ), "").alias("text")
+    )
+    files.write_files(texts.select(
+        F.concat("file_name", F.lit(".txt")).alias("key"), F.encode("text", "UTF-8").alias("content")
+    ), folder)
+    read = files.read_folder(spark, folder, "txt")
+    made = files.extract_pages(read, files.parse_form_feed_text, attempts=2)
+    return files.good_pages(made).select(basename("file_name").alias("file_name"), "page", "text")
+
+
+@query
+def column_listing(spark, sf_dir):
+    return profile.column_listing(embeddings(spark, sf_dir)).select("position", "column_name")
+
+
+@query
+def chunk_keys(spark, sf_dir):
+    """Surrogate keys of the chunk rows: as many as there are rows."""
+    rows = chunks.chunk_rows(turns(spark, sf_dir), TURN_CHUNK_SIZE, 0, "\n")
+    keyed = rows.withColumn("chunk_key", chunks.chunk_key("file_name", "chunk_no"))
+    return keyed.agg(F.count("*").alias("n_rows"), F.countDistinct("chunk_key").alias("n_keys"))
+
+
+@query
+def provider_choice(spark, sf_dir):
+    """Token counts by the embedder that a provider name chooses."""
+    factory = choose_embedder("hashing", {"hashing": HashingEmbedder})
+    made = documents_to_split(spark, sf_dir).select(
+        "doc_id", embedding("text", factory).alias("made")
+    )
+    return made.select("doc_id", "made.total_tokens")
+
+
 @query
 def path_parts(spark, sf_dir):
     windows_path = F.translate("url", "/", "\\")
@@ -312,8 +403,8 @@ def append_chunks(spark, sf_dir):
     """Two ingest runs over one table, the first of them repeated."""
     path = shared_folder(spark, "chunks")
     rows = embeddings(spark, sf_dir)
-    low, high = F.col("label") < 5, F.col("label") >= 5
-    for run, part in ((0, low), (1, high), (0, low)):
+    low = F.coalesce(F.col("label") < 5, F.lit(False))
+    for run, part in ((0, low), (1, ~low), (0, low)):
         tables.append_folder(rows.filter(part), path, run)
     return spark.read.parquet(path).select(
         "vec_id", "label", F.col("ingest_id").cast("int").alias("ingest_id"),
@@ -321,6 +412,17 @@ def append_chunks(spark, sf_dir):
     )
 
 
+@query
+def append_empty_rerun(spark, sf_dir):
+    """Two ingest runs; the first is repeated and finds nothing."""
+    path = shared_folder(spark, "chunks")
+    rows = embeddings(spark, sf_dir).select("vec_id", "label")
+    low = F.coalesce(F.col("label") < 5, F.lit(False))
+    for run, part in ((0, low), (1, ~low), (0, F.lit(False))):
+        tables.append_folder(rows.filter(part), path, run)
+    return spark.read.parquet(path).select("vec_id", F.col("ingest_id").cast("int").alias("ingest_id"))
+
+
 @query
 def ingest_counts(spark, sf_dir):
     """Files and rows of three ingest runs of one chunk table."""
@@ -328,11 +430,9 @@ def ingest_counts(spark, sf_dir):
     rows = embeddings(spark, sf_dir).withColumn(
         "file_name", F.concat(F.lit("label_"), F.col("label"), F.lit(".pdf"))
     )
-    for run, low, high in ((0, 0, 3), (1, 3, 7), (2, 7, None)):
-        part = rows.filter(F.col("label") >= low)
-        tables.append_folder(
-            part if high is None else part.filter(F.col("label") < high), path, run
-        )
+    run_of = F.when(F.col("label") < 3, 0).when(F.col("label") < 7, 1).otherwise(2)
+    for run in range(3):
+        tables.append_folder(rows.filter(run_of == run), path, run)
     return profile.ingest_counts(spark.read.parquet(path))
 
 
@@ -348,9 +448,13 @@ def table_lifecycle(spark, sf_dir):
     n_rows = spark.table(name).count()
     dropped = tables.drop_filled_table(spark, name)
     missing = not tables.drop_table(spark, name)
+    tables.create_table(spark, name, rows.schema, location)
+    n_rows_again = spark.table(name).count()
+    tables.drop_table(spark, name)
     return spark.createDataFrame(
-        [(kept_empty, n_rows, dropped, missing)],
-        "kept_empty boolean, n_rows bigint, dropped_filled boolean, then_missing boolean",
+        [(kept_empty, n_rows, dropped, missing, n_rows_again)],
+        "kept_empty boolean, n_rows bigint, dropped_filled boolean, then_missing boolean,"
+        " n_rows_again bigint",
     )
 
 
@@ -565,32 +669,72 @@ def ivf_assign(spark, sf_dir):
     ).select("vec_id", "list_id")
 
 
-def _ivf_matches(spark, sf_dir) -> DataFrame:
-    centroids = label_centroids(spark, sf_dir)
+def _ivf_matches(spark, rows, centroids, asked) -> DataFrame:
     path = shared_folder(spark, "ivf")
-    ivf.write_index(ivf.assign_lists(embeddings(spark, sf_dir), centroids), path)
-    return ivf.ivf_search(
-        ivf.read_index(spark, path), centroids, query_vectors(spark, sf_dir), K, PROBES
-    )
+    ivf.write_index(ivf.assign_lists(rows, centroids), path)
+    return ivf.ivf_search(ivf.read_index(spark, path), centroids, asked, K, PROBES)
 
 
 @query
 def ivf_search(spark, sf_dir):
-    return rounded_matches(_ivf_matches(spark, sf_dir), "query_id", "rank", "vec_id")
+    found = _ivf_matches(
+        spark, embeddings(spark, sf_dir), label_centroids(spark, sf_dir), query_vectors(spark, sf_dir)
+    )
+    return rounded_matches(found, "query_id", "rank", "vec_id")
 
 
 @query
 def ivf_recall(spark, sf_dir):
-    exact = search.top_k(embeddings(spark, sf_dir), query_vectors(spark, sf_dir), K)
-    return search.recall(_ivf_matches(spark, sf_dir), exact, "query_id", "vec_id")
+    rows, asked = embeddings(spark, sf_dir), stored_queries(spark, sf_dir)
+    found = _ivf_matches(spark, rows, label_centroids(spark, sf_dir), asked)
+    return search.recall(found, search.top_k(rows, asked, K), "query_id", "vec_id")
+
+
+def _nine(found: DataFrame) -> DataFrame:
+    return found.select("query_id", "rank", "vec_id", F.round("score", 9).alias("score"))
+
+
+@query
+def knn_dirty(spark, sf_dir):
+    return _nine(search.top_k(dirty_embeddings(spark, sf_dir), stored_queries(spark, sf_dir), K))
+
+
+@query
+def ivf_dirty(spark, sf_dir):
+    return _nine(_ivf_matches(
+        spark, dirty_embeddings(spark, sf_dir), label_centroids(spark, sf_dir),
+        stored_queries(spark, sf_dir),
+    ))
+
+
+@query
+def lsh_dirty(spark, sf_dir):
+    coded = lsh.add_codes(dirty_embeddings(spark, sf_dir), DIM)
+    return _nine(lsh.lsh_search(coded, stored_queries(spark, sf_dir), K))
 
 
 @query
 def ivf_kmeans(spark, sf_dir):
-    """Rows per list of an index with trained centroids."""
+    """An index with trained centroids: lists, rows, and rows that are not in the nearest list."""
     rows = embeddings(spark, sf_dir)
-    assigned = ivf.assign_lists(rows, ivf.train_centroids(rows))
-    return assigned.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    centroids = ivf.train_centroids(rows)
+    path = shared_folder(spark, "ivf")
+    ivf.write_index(ivf.assign_lists(rows, centroids), path)
+    index = ivf.read_index(spark, path)
+    # At most MAX_LISTS centroids; each row is compared with them in the JVM.
+    known = F.array(*(
+        F.struct(F.lit(r.list_id).alias("list_id"), F.array(*map(F.lit, r.centroid)).alias("centroid"))
+        for r in centroids.collect()
+    ))
+    products = F.transform(known, lambda c: F.struct(
+        vectors.inner_product(F.col("embedding"), c["centroid"]).alias("score"), (-c["list_id"]).alias("order")
+    ))
+    own = F.element_at(F.filter(products, lambda p: p["order"] == -F.col("list_id")), 1)["score"]
+    misplaced = F.array_max(products)["score"] > own + 1e-12
+    return index.agg(
+        F.lit(centroids.count()).cast("long").alias("n_lists"), F.count("*").alias("n_rows"),
+        F.coalesce(F.sum(misplaced.cast("long")), F.lit(0)).alias("n_misplaced"),
+    )
 
 
 @query
@@ -604,20 +748,18 @@ def ivf_full_probe(spark, sf_dir):
     return rounded_matches(found, "query_id", "rank", "vec_id")
 
 
-def _lsh_matches(spark, sf_dir) -> DataFrame:
-    coded = lsh.add_codes(embeddings(spark, sf_dir), DIM)
-    return lsh.lsh_search(coded, query_vectors(spark, sf_dir), K)
-
-
 @query
 def lsh_search(spark, sf_dir):
-    return rounded_matches(_lsh_matches(spark, sf_dir), "query_id", "rank", "vec_id")
+    coded = lsh.add_codes(embeddings(spark, sf_dir), DIM)
+    found = lsh.lsh_search(coded, query_vectors(spark, sf_dir), K)
+    return rounded_matches(found, "query_id", "rank", "vec_id")
 
 
 @query
 def lsh_recall(spark, sf_dir):
-    exact = search.top_k(embeddings(spark, sf_dir), query_vectors(spark, sf_dir), K)
-    return search.recall(_lsh_matches(spark, sf_dir), exact, "query_id", "vec_id")
+    rows, asked = embeddings(spark, sf_dir), stored_queries(spark, sf_dir)
+    found = lsh.lsh_search(lsh.add_codes(rows, DIM), asked, K)
+    return search.recall(found, search.top_k(rows, asked, K), "query_id", "vec_id")
 
 
 # --- embedding --------------------------------------------------------------
@@ -746,8 +888,8 @@ def retry_route(spark, sf_dir):
 
 @query
 def retry_route_blocked(spark, sf_dir):
-    """As ``retry_route``, with users of more than 20 deliveries cut into blocks."""
-    return _routed(spark, sf_dir, 20).select("event_id", "user_id", "attempt", "route")
+    """As ``retry_route``, with the log cut into blocks of 2000 deliveries."""
+    return _routed(spark, sf_dir, 2_000).select("event_id", "user_id", "attempt", "route")
 
 
 @query
@@ -866,14 +1008,10 @@ def retry_stream(spark, sf_dir):
     rows = deliveries(spark, sf_dir)
     queue, out = shared_folder(spark, "queue"), shared_folder(spark, "routes")
     offsets = shared_folder(spark, "offsets")
-    bounds = [None, *(times.utc_instant(F.lit(c)) for c in EVENT_CUTS), None]
-    for low, high in zip(bounds, bounds[1:]):
-        part = rows
-        if low is not None:
-            part = part.filter(F.col("ts") >= low)
-        if high is not None:
-            part = part.filter(F.col("ts") < high)
-        part.write.mode("append").json(queue)
+    first, second = (times.utc_instant(F.lit(c)) for c in EVENT_CUTS)
+    run_of = F.when(F.col("ts") < first, 0).when(F.col("ts") < second, 1).otherwise(2)
+    for number in range(3):
+        rows.filter(run_of == number).write.mode("append").json(queue)
         stream = spark.readStream.schema(rows.schema).json(queue)
         stream_routing.route_stream(
             stream, "user_id", "ts", "event_id", "failed", out, offsets
@@ -881,3 +1019,56 @@ def retry_stream(spark, sf_dir):
     return stream_routing.read_routes(spark, out).select(
         "event_id", "user_id", "attempt", "route"
     )
+
+
+def _event_job(spark, sf_dir):
+    """The event job over the files of the documents until no message waits."""
+    folder = _document_files(spark, sf_dir)
+    queue, state = shared_folder(spark, "queue"), shared_folder(spark, "job")
+    docs = _odd_names(spark, sf_dir)
+    sent = docs.filter(has_suffix("key", ".pdf", ignore_case=True))
+    notifications.write_messages(sent.select(
+        F.col("doc_id").cast("string").alias("message_id"),
+        notification_body(BUCKET, "key").alias("body"),
+        F.lit(1).alias("receive_count"), times.utc_instant(F.lit(AS_OF)).alias("ts"),
+    ), queue)
+
+    def consume(hashes: DataFrame, runs: int) -> None:
+        for _ in range(runs):
+            consume_notifications(
+                spark, queue, folder, hashes, files.parse_form_feed_text, state,
+                f"{state}/offsets", size=CHUNK_SIZE, separator="\n",
+            )
+
+    consume(manifest(docs.drop("file_name").withColumnRenamed("key", "file_name")), routing.MAX_ATTEMPTS)
+    return queue, state, consume, docs
+
+
+def _last_outcomes(spark, state: str) -> DataFrame:
+    outcomes = ingest.read_table(spark, f"{state}/outcomes", OUTCOME)
+    last = outcomes.groupBy("message_id").agg(
+        F.max_by(F.struct("receive_count", "route", "error"), "ingest_id").alias("last")
+    )
+    return last.select(F.col("message_id").cast("long").alias("doc_id"), "last.*")
+
+
+@query
+def notify_to_table(spark, sf_dir):
+    """Notified files to the chunk table; French ones have a wrong hash and die after three tries."""
+    _, state, _, _ = _event_job(spark, sf_dir)
+    made = ingest.read_table(spark, f"{state}/chunks", CHUNK).groupBy("file_name").agg(
+        F.count("*").alias("n_chunks")
+    ).select(F.regexp_extract("file_name", r"doc_(\d+)", 1).cast("long").alias("doc_id"), "n_chunks")
+    found = _last_outcomes(spark, state).join(made, "doc_id", "left")
+    return found.select(
+        "doc_id", "receive_count", "route", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks")
+    )
+
+
+@query
+def redrive_job(spark, sf_dir):
+    """The same, then the dead letters once more with the right hashes."""
+    queue, state, consume, docs = _event_job(spark, sf_dir)
+    redrive(spark, queue, state, 1)
+    consume(docs.select("key", integrity.content_hash("text").alias("file_hash")), 1)
+    return _last_outcomes(spark, state).select("doc_id", "receive_count", "route")

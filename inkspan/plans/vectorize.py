@@ -9,16 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from inkspan.functions.messages import event_key
 from inkspan.operators.chunks import chunk_rows
 from inkspan.operators.embedding import HashingEmbedder, embed_chunks
-from inkspan.operators.integrity import not_processed, verify_hashes
+from inkspan.operators.integrity import not_processed, one_hash, verify_hashes
 from inkspan.operators.profile import keep_dimension
-from inkspan.operators.routing import DEAD_LETTER, DONE, MAX_ATTEMPTS, route
-from inkspan.schemas import CHUNK, FAILURE_REASON
+from inkspan.operators.routing import DEAD_LETTER, DONE, MAX_ATTEMPTS, RETRY, route
+from inkspan.schemas import CHUNK, FAILURE_REASON, OUTCOME, REDRIVEN
 from inkspan.session import discard, shared_folder
 from inkspan.sources.exports import CORRUPT, chunks_as_text, read_chunks_csv, write_csv
 from inkspan.sources.files import (
     PARSED, Parser, extract_pages, fetch_files, good_pages, quarantine, read_folder,
 )
-from inkspan.sources.notifications import read_messages
+from inkspan.sources.notifications import read_messages, write_messages
 from inkspan.streaming.ingest import open_table, put, read_table, run
 
 CHUNK_COLUMNS = CHUNK.fieldNames()
@@ -114,28 +114,28 @@ def consume_notifications(
     """Message stream to chunk table: fetch, verify, vectorize, then acknowledge.
 
     Below ``tables``: ``chunks`` and ``outcomes``, one row per message with its
-    route. The outcomes that are done are the ledger, by key and content: the
-    same content under the same key is not vectorized again, and not even
-    fetched when the manifest tells its hash.
+    body, time and route. The outcomes that are done are the ledger, by key and
+    content: the same content under the same key is not vectorized again, and not
+    even fetched when the manifest tells its hash. A message that is to be tried
+    again goes back into the queue with a higher count after its outcome is
+    written; dead letters wait in ``outcomes`` for ``redrive``.
     """
     chunks, outcomes = f"{tables}/chunks", f"{tables}/outcomes"
-    columns = "message_id string, key string, receive_count int, content_hash string, error string"
-    schema = spark.createDataFrame([], columns + ", route string, failure_reason string").schema
     open_table(spark, chunks, CHUNK)
-    open_table(spark, outcomes, schema)
+    open_table(spark, outcomes, OUTCOME)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         todo_path, fetched_path, checked_path = (
             shared_folder(spark, p) for p in ("todo", "fetched", "checked")
         )
-        earlier = read_table(spark, outcomes, schema).filter(F.col("ingest_id") != batch_id)
+        earlier = read_table(spark, outcomes, OUTCOME).filter(F.col("ingest_id") != batch_id)
         done = earlier.filter(F.col("route") == DONE).select("key", "content_hash")
 
         # A message counts with its latest delivery.
         messages = batch.groupBy("message_id").agg(
-            F.max(F.struct("receive_count", event_key("body").alias("key"))).alias("last")
+            F.max(F.struct("receive_count", event_key("body").alias("key"), "body", "ts")).alias("last")
         ).select("message_id", "last.*")
-        promised = messages.join(manifest.select("key", "file_hash"), "key", "left")
+        promised = messages.join(one_hash(manifest), "key", "left")
         done_hashes = done.withColumnRenamed("content_hash", "file_hash")
         not_processed(promised, done_hashes, "key", "file_hash").select(
             messages.columns
@@ -170,7 +170,34 @@ def consume_notifications(
                 "failure_reason", F.when(F.col("route") == DEAD_LETTER, F.lit(FAILURE_REASON))
             )
         )
-        put(outcome.select(*schema.fieldNames()), batch_id, outcomes)
+        filed = outcome.withColumn("processed_at", F.current_timestamp())
+        put(filed.select(*OUTCOME.fieldNames()), batch_id, outcomes)
+        again = read_table(spark, outcomes, OUTCOME).filter(
+            (F.col("ingest_id") == batch_id) & (F.col("route") == RETRY)
+        ).withColumn("receive_count", F.col("receive_count") + 1)
+        if not again.isEmpty():
+            write_messages(again, queue)
         discard(spark, todo_path, fetched_path, checked_path)
 
     return run(read_messages(spark, queue, max_files), handle, checkpoint, every)
+
+
+def redrive(spark: SparkSession, queue: str, tables: str, run_id: int) -> DataFrame:
+    """Put the dead letters of ``consume_notifications`` into the queue once more.
+
+    A letter goes back with its whole body and a count of 1; ``redriven`` below
+    ``tables`` remembers, by run, which outcome it came from, so that another run
+    finds only letters that have died since. Repeating a run sends its letters
+    again, for a message counts with its latest delivery.
+    """
+    outcomes, sent = f"{tables}/outcomes", f"{tables}/redriven"
+    open_table(spark, sent, REDRIVEN)
+    names = REDRIVEN.fieldNames()
+    letters = read_table(spark, outcomes, OUTCOME).filter(F.col("route") == DEAD_LETTER)
+    known = read_table(spark, sent, REDRIVEN).filter(F.col("ingest_id") != run_id)
+    put(letters.select(*names).join(known.select(*names), names, "left_anti"), run_id, sent)
+    chosen = read_table(spark, sent, REDRIVEN).filter(F.col("ingest_id") == run_id).select(*names)
+    back = letters.join(chosen, names, "left_semi").withColumn("receive_count", F.lit(1))
+    if not back.isEmpty():
+        write_messages(back, queue)
+    return chosen

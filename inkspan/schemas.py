@@ -58,20 +58,25 @@ ENVELOPE = T.StructType([
     T.StructField("ts", T.TimestampType()),
 ])
 
-DEAD_LETTER = T.StructType(
-    ENVELOPE.fields + [T.StructField("failure_reason", T.StringType())]
-)
-
-MANIFEST = T.StructType([
+# What became of a message: the ledger by key and content, and the dead letters.
+OUTCOME = T.StructType(ENVELOPE.fields + [
     T.StructField("key", T.StringType()),
-    T.StructField("file_hash", T.StringType()),
+    T.StructField("content_hash", T.StringType()),
+    T.StructField("error", T.StringType()),
+    T.StructField("route", T.StringType()),
+    T.StructField("failure_reason", T.StringType()),
+    T.StructField("processed_at", T.TimestampType()),
 ])
 
-LEDGER = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("content_hash", T.StringType()),
+REDRIVEN = T.StructType([
+    T.StructField("message_id", T.StringType()),
     T.StructField("processed_at", T.TimestampType()),
 ])
 
+MANIFEST = T.StructType([
+    T.StructField("key", T.StringType()),
+    T.StructField("file_hash", T.StringType()),
+])
+
 # Fixed value: the reason that goes with a dead letter.
 FAILURE_REASON = "Exceeded max retry attempts"

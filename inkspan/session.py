@@ -51,12 +51,15 @@ def _local_folder() -> str:
 
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete folders that ``shared_folder`` named and nothing reads any more."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for name in paths:
         if "/inkspan/" not in name:
             raise ValueError(f"not a folder of this package: {name}")
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
+        delete_folder(spark, name)
+
+
+def delete_folder(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(rows: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,6 @@ from inkspan.functions.vectors import format_vector, parse_vector
 from inkspan.functions.times import zoned_text
 from inkspan.schemas import CHUNK_CSV
 
-PAGES_PER_PART = 1000
 ROWS_PER_FILE = 50_000
 CORRUPT = "corrupt_record"
 _CSV = {
@@ -30,7 +29,8 @@ def write_csv(
 ) -> None:
     """CSV with a header; quotes are doubled, line breaks stay inside quotes.
 
-    NULL is written as ``\\N``, so that it differs from the empty text.
+    NULL is written as ``\\N``, so that it differs from the empty text; a text that
+    is just these two characters is read back as NULL.
 
     ``by_file`` makes one folder per file name, for small exports only. Files
     with line breaks inside quotes are read by one task each, so none gets more
@@ -83,42 +83,34 @@ def read_chunks_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def pages_as_json(pages: DataFrame, pages_per_part: int = PAGES_PER_PART) -> DataFrame:
-    """(file_name, part, json): the page objects of a file as one JSON array.
+def pages_as_json(pages: DataFrame) -> DataFrame:
+    """(file_name, page, json): each page object of a file, in (file, page) order.
 
-    ``pages`` is (file_name, page_content, metadata). A file beyond
-    ``pages_per_part`` pages continues in further parts, so that no row grows
-    with the longest file.
+    ``pages`` is (file_name, page_content, metadata); the file is the whole path of
+    its source, so equal names in two folders are two files. A file of any length is as
+    many rows as it has pages; tasks hold one page at a time.
     """
-    return (
-        pages.groupBy("file_name", _part(F.col("metadata.page"), pages_per_part))
-        .agg(F.sort_array(F.collect_list(
-            F.struct(F.col("metadata.page").alias("at"), "page_content", "metadata")
-        )).alias("rows"))
-        .select(
-            "file_name", "part",
-            F.to_json(F.transform("rows", lambda r: F.struct(
-                r.page_content.alias("page_content"), r.metadata.alias("metadata")
-            ))).alias("json"),
-        )
-    )
+    return in_page_order(pages.select(
+        F.col("metadata.source").alias("file_name"), F.col("metadata.page").alias("page"),
+        F.to_json(F.struct("page_content", "metadata")).alias("json"),
+    ))
 
 
-def pages_as_text(
-    pages: DataFrame, separator: str = "\n\n", pages_per_part: int = PAGES_PER_PART
-) -> DataFrame:
-    """(file_name, part, text): page texts of a file joined in page order.
+def pages_as_text(pages: DataFrame, separator: str = "\n\n") -> DataFrame:
+    """(file_name, page, text): the texts of a file, in order, make its whole text.
 
-    The parts of a file, joined with the same separator, are its whole text.
+    All but the first page of a file begin with the separator.
     """
-    return (
-        pages.groupBy("file_name", _part(F.col("page"), pages_per_part))
-        .agg(F.sort_array(F.collect_list(F.struct("page", "text"))).alias("rows"))
-        .select(
-            "file_name", "part",
-            F.array_join(F.transform("rows", lambda r: r.text), separator).alias("text"),
-        )
-    )
+    first = pages.groupBy("file_name").agg(F.min("page").alias("first"))
+    lead = F.when(F.col("page") == F.col("first"), F.lit("")).otherwise(F.lit(separator))
+    return in_page_order(pages.join(first, "file_name").select(
+        "file_name", "page", F.concat(lead, "text").alias("text")
+    ))
+
+
+def in_page_order(rows: DataFrame) -> DataFrame:
+    """Rows ranged over the partitions by file and page, and in this order within them."""
+    return rows.repartitionByRange("file_name", "page").sortWithinPartitions("file_name", "page")
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:
@@ -128,6 +120,3 @@ def write_json_lines(rows: DataFrame, path: str) -> None:
 def write_text(rows: DataFrame, path: str, column: str = "text") -> None:
     rows.select(column).write.text(path)
 
-
-def _part(page, pages_per_part: int):
-    return F.floor(page / pages_per_part).cast("int").alias("part")

@@ -57,8 +57,9 @@ def fetch_files(keys: DataFrame, folder: str) -> DataFrame:
     schema = to_arrow_schema(FETCHED)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = open_folder(folder)
         rows = (
-            dict(zip(schema.names, (key, *_read_file(folder, key))))
+            dict(zip(schema.names, (key, *_read_file(system, base, key))))
             for batch in batches
             for key in batch.column(0).to_pylist()
         )
@@ -82,17 +83,51 @@ def _batches(rows: Iterator[dict], large: str, schema: pa.Schema) -> Iterator[pa
         yield pa.RecordBatch.from_pylist(batch, schema)
 
 
-def _read_file(folder: str, key: str | None) -> tuple[bytes | None, str | None]:
+# Schemes of Spark's file systems that Arrow knows by another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "": "file"}
+
+
+def open_folder(folder: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system of a folder and the folder's path in it.
+
+    Only scheme and host are read as a URI. Names below are paths as they are, with
+    blanks, ``#``, ``%`` or any letter.
+    """
+    scheme, mark, rest = folder.partition("://")
+    if not mark:
+        return pa.fs.LocalFileSystem(), folder.removeprefix("file:").rstrip("/")
+    scheme, (host, _, inner) = _SCHEMES.get(scheme, scheme), rest.partition("/")
+    if scheme == "file":
+        return pa.fs.LocalFileSystem(), f"/{inner}".rstrip("/")
+    system, base = pa.fs.FileSystem.from_uri(f"{scheme}://{host}/")
+    return system, f"{base.rstrip('/')}/{inner}".rstrip("/")
+
+
+def _read_file(system, folder: str, key: str | None) -> tuple[bytes | None, str | None]:
     if key is None:
         return None, "no object key in the message"
     try:
-        system, path = pa.fs.FileSystem.from_uri(f"{folder.rstrip('/')}/{key}")
-        with system.open_input_stream(path) as stream:
+        with system.open_input_stream(f"{folder}/{key}") as stream:
             return stream.read(), None
     except (OSError, pa.ArrowInvalid) as e:
         return None, f"{type(e).__name__}: {e}"
 
 
+def write_files(rows: DataFrame, folder: str) -> int:
+    """Write each row's ``content`` to the file that its ``key`` names; how many."""
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = open_folder(folder)
+        system.create_dir(base, recursive=True)
+        for batch in batches:
+            for key, content in zip(batch.column(0), batch.column(1)):
+                with system.open_output_stream(f"{base}/{key.as_py()}") as stream:
+                    stream.write(content.as_py() or b"")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    written = rows.select("key", "content").mapInArrow(write, "n long")
+    return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def html_text(content: Column | str) -> Column:
     """Visible text of an HTML page, as one line. Entities stay as written."""
     visible = F.regexp_replace(_col(content), HTML_INVISIBLE, " ")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from inkspan.schemas import CHUNK
+from inkspan.session import delete_folder
 
 BATCH_SIZE = 1000
 
@@ -28,13 +29,15 @@ def append_folder(rows: DataFrame, path: str, ingest_id: int | str) -> None:
 
     Repeating the run replaces its partition and touches no other.
     """
-    (
-        rows.withColumn("ingest_id", F.lit(ingest_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_id")
-        .parquet(path)
-    )
+    replace_partition(rows, f"{path}/ingest_id={ingest_id}")
+
+
+def replace_partition(rows: DataFrame, path: str, *more_partitions: str) -> None:
+    """Put these rows, or none, in place of all that the folder of a partition holds."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if more_partitions:
+        writer = writer.partitionBy(*more_partitions)
+    writer.parquet(path)
 
 
 def write_jdbc(
@@ -56,15 +59,22 @@ def write_jdbc(
 
 
 def drop_table(spark: SparkSession, name: str) -> bool:
-    """Drop whether or not the table has rows; False when there is none."""
-    found = spark.catalog.tableExists(name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return found
+    """Drop whether or not the table has rows; False when there is none.
+
+    The rows go as well, also those of a table made at a location.
+    """
+    if not spark.catalog.tableExists(name):
+        return False
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name IN ('Location', 'Type')")
+    known = {r.col_name: r.data_type for r in about.collect()}
+    spark.sql(f"DROP TABLE {name}")
+    if known.get("Type") == "EXTERNAL" and known.get("Location"):
+        delete_folder(spark, known["Location"])
+    return True
 
 
 def drop_filled_table(spark: SparkSession, name: str) -> bool:
     """Drop only a table that exists and has a row; tells whether it did."""
     if not spark.catalog.tableExists(name) or spark.table(name).isEmpty():
         return False
-    spark.sql(f"DROP TABLE {name}")
-    return True
+    return drop_table(spark, name)

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from inkspan.sources.tables import replace_partition
+
 HORIZON = "5 minutes"
 
 
@@ -75,14 +77,8 @@ def ingest(batch: DataFrame, batch_id: int, path: str, keys: tuple[str, ...]) ->
 
 
 def put(rows: DataFrame, batch_id: int, path: str, *more_partitions: str) -> None:
-    """Replace the partition of ``batch_id`` by these rows."""
-    (
-        rows.withColumn("ingest_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_id", *more_partitions)
-        .parquet(path)
-    )
+    """Replace the partition of ``batch_id`` by these rows, or by none."""
+    replace_partition(rows, f"{path}/ingest_id={batch_id}", *more_partitions)
 
 
 def first_per_key(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from inkspan.functions.messages import notification_body
 from inkspan.operators.embedding import HashingEmbedder
 from inkspan.plans import vectorize
+from inkspan.operators.integrity import verify_hashes
 from inkspan.schemas import CHUNK, MANIFEST
 from inkspan.sources import notifications
 from inkspan.sources.files import parse_form_feed_text
@@ -109,10 +110,15 @@ def test_notifications_to_table(spark, folder):
         ("c.pdf", 1, "retry", "file hash mismatch"),
         ("late.pdf", 1, "retry", "FileNotFoundError"),
     ]
+    # What failed is in the queue again, with a higher count.
     fill(folder + "/in", {"late.pdf": b"four"})
-    send(spark, folder, "a.pdf", "late.pdf", "c.pdf", receive_count=2)
+    send(spark, folder, "a.pdf", receive_count=2)
     send(spark, folder, "c.pdf", receive_count=3)
-    assert consume()[3:] == [
+    assert consume() == [
+        ("a.pdf", 1, "done", None),
+        ("bad.pdf", 1, "retry", "UnicodeDecodeError"),
+        ("bad.pdf", 2, "retry", "UnicodeDecodeError"),
+        ("c.pdf", 1, "retry", "file hash mismatch"),
         ("c.pdf", 3, "dead_letter", "file hash mismatch"),
         ("late.pdf", 1, "retry", "FileNotFoundError"),
         ("late.pdf", 2, "done", None),
@@ -122,13 +128,29 @@ def test_notifications_to_table(spark, folder):
 
     # The same content again gives no rows, changed content does.
     send(spark, folder, "late.pdf", receive_count=1)
-    assert consume()[-3:] == [
-        ("late.pdf", 1, "done", None), ("late.pdf", 1, "retry", "FileNotFoundError"),
-        ("late.pdf", 2, "done", None),
-    ]
+    assert ("bad.pdf", 3, "dead_letter", "UnicodeDecodeError") in consume()
     assert table.count() == 4
     fill(folder + "/in", {"late.pdf": b"five"})
     send(spark, folder, "late.pdf", receive_count=1)
     consume()
     table = read_table(spark, folder + "/tables/chunks", CHUNK)
     assert [r[3] for r in table_rows(table)[3:]] == ["five", "four"]
+
+    # Dead letters go back whole: one file is mended, the other dies again.
+    fill(folder + "/in", {"bad.pdf": b"mended"})
+    sent = vectorize.redrive(spark, folder + "/queue", folder + "/tables", 1)
+    assert sent.count() == 2
+    again = consume()
+    assert ("bad.pdf", 1, "done", None) in again
+    assert again.count(("c.pdf", 1, "retry", "file hash mismatch")) == 2
+    table = read_table(spark, folder + "/tables/chunks", CHUNK)
+    assert "mended" in [r[3] for r in table_rows(table)]
+    assert vectorize.redrive(spark, folder + "/queue", folder + "/tables", 2).count() == 0
+
+
+def test_one_hash_per_key(spark):
+    files = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x")], "key string, content string")
+    good = hashlib.md5(b"x").hexdigest()
+    manifest = spark.createDataFrame([("a", good), ("a", good), ("b", good), ("b", "other"), ("c", None)], MANIFEST)
+    found = verify_hashes(files, manifest).collect()
+    assert {r.key: r.verified for r in found} == {"a": True, "b": False, "c": True} and len(found) == 3

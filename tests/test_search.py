@@ -102,11 +102,45 @@ def test_more_queries_than_a_tile(spark, monkeypatch):
     assert ranked(found) == brute(ids, matrix, asked, 4)
 
 
-def test_queries_in_rounds(spark):
+def test_query_ids_and_sizes_are_checked(spark, monkeypatch):
     ids, matrix, asked = data(queries=40)
     vectors, queries = frames(spark, ids, matrix, asked)
-    found = search.top_k(vectors, queries, 4, queries_per_round=16)
-    assert ranked(found) == brute(ids, matrix, asked, 4)
+    with pytest.raises(ValueError, match="unique"):
+        search.top_k(vectors, queries.unionByName(queries.limit(1)), 4)
+    monkeypatch.setattr(search, "MAX_QUERY_BYTES", 40 * DIM * 8 - 1)
+    with pytest.raises(ValueError, match="at most"):
+        search.top_k(vectors, queries, 4)
+
+
+def test_vectors_that_are_not_finite_never_match(spark):
+    ids, matrix, asked = data()
+    bad = matrix.copy()
+    bad[120:140, 2], bad[140:150, 0] = np.nan, np.inf
+    vectors, queries = frames(spark, ids, bad, asked)
+    extra = spark.createDataFrame([(-1, None), (-2, [float("nan")] * DIM)], VECTORS)
+    asked_bad = queries.unionByName(spark.createDataFrame([(90, [float("inf")] * DIM), (91, None)], QUERIES))
+    keep = np.r_[0:120, 150:len(ids)]
+    exact = brute(ids[keep], matrix[keep], asked, 9)
+    rows = vectors.unionByName(extra)
+    assert ranked(search.top_k(rows, asked_bad, 9)) == exact
+    one = search.nearest(rows, [float(x) for x in asked[1]], 9).collect()
+    assert [r.vec_id for r in one] == exact[1]
+    centroids = ivf.train_centroids(rows, lists=3)
+    assigned = ivf.assign_lists(rows, centroids)
+    assert assigned.filter("list_id IS NULL").count() == 32
+    assert ranked(ivf.ivf_search(assigned, centroids, asked_bad, 9, probes=3)) == exact
+    coded = lsh.add_codes(rows, DIM, bits=0, tables=1)
+    assert coded.filter("codes IS NULL").count() == 32
+    assert ranked(lsh.lsh_search(coded, asked_bad, 9, bits=0, tables=1)) == exact
+
+
+@pytest.mark.parametrize("scale", [1e-8, 1.0, 1e6])
+def test_rank_does_not_depend_on_the_scale(spark, scale):
+    ids, matrix, asked = data(hot=0)
+    plain = frames(spark, ids, matrix, asked)
+    scaled = frames(spark, ids, matrix * np.float32(scale), asked)
+    exact = {q: found for q, found in ranked(search.top_k(*plain, 7)).items()}
+    assert ranked(search.top_k(*scaled, 7)) == exact
 
 
 def test_no_queries(spark):

@@ -118,8 +118,8 @@ PAGES = [("d\\a.pdf", 1, "zwei"), ("d\\a.pdf", 0, "eins"), ("d\\a.pdf", 2, "drei
 def test_json_export(spark, folder):
     pages = files.with_source(spark.createDataFrame(PAGES, "file_name string, page int, text string"))
     rows = exports.pages_as_json(pages).collect()
-    assert [(r.file_name, r.part) for r in rows] == [("a.pdf", 0)]
-    assert json.loads(rows[0].json) == [
+    assert [(r.file_name, r.page) for r in rows] == [("d/a.pdf", 0), ("d/a.pdf", 1), ("d/a.pdf", 2)]
+    assert [json.loads(r.json) for r in rows] == [
         {"page_content": t, "metadata": {"source": "d/a.pdf", "page": i}}
         for i, t in enumerate(["eins", "zwei", "drei"])
     ]
@@ -127,15 +127,14 @@ def test_json_export(spark, folder):
     assert spark.read.json(folder + "/lines").count() == 3
 
 
-def test_text_export_in_parts(spark, folder):
+def test_text_export_by_page(spark, folder):
     pages = spark.createDataFrame(PAGES, "file_name string, page int, text string")
-    assert exports.pages_as_text(pages).first().text == "eins\n\nzwei\n\ndrei"
-    parts = exports.pages_as_text(pages, pages_per_part=2).orderBy("part").collect()
-    assert "\n\n".join(r.text for r in parts) == "eins\n\nzwei\n\ndrei"
-    assert len(parts) == 2
-    exports.write_text(exports.pages_as_text(pages), folder + "/txt")
+    rows = exports.pages_as_text(pages.repartition(3)).collect()
+    assert "".join(r.text for r in rows) == "eins\n\nzwei\n\ndrei"
+    assert [r.page for r in rows] == [0, 1, 2]
+    exports.write_text(exports.pages_as_text(pages).coalesce(1), folder + "/txt")
     assert [r.value for r in spark.read.text(folder + "/txt", wholetext=True).collect()] == [
-        "eins\n\nzwei\n\ndrei\n"
+        "eins\n\n\nzwei\n\n\ndrei\n"
     ]
 
 
@@ -179,3 +178,16 @@ def test_notifications(spark):
     }
     ids = listing.select(notifications.message_id("file_name", "object_name").alias("i"))
     assert ids.distinct().count() == 4
+
+
+@pytest.mark.parametrize("name", ["a b.txt", "a#b.txt", "100%.txt", "文書.txt", "a?b&c=d.txt", "%20.txt"])
+def test_fetch_of_any_name(spark, folder, name):
+    place = Path(folder, "an odd #folder")
+    place.mkdir()
+    (place / name).write_bytes(b"content")
+    (place / "a").write_bytes(b"another")
+    keys = spark.createDataFrame([(name,), ("missing",), (None,)], "key string")
+    for base in (str(place), f"file://{place}", f"file:{place}/"):
+        found = {r.key: r for r in files.fetch_files(keys, base).collect()}
+        assert bytes(found[name].content) == b"content" and found[name].error is None
+        assert found["missing"].error and found[None].error

@@ -96,3 +96,10 @@ def test_long_page(spark):
     ).select(F.size("c").alias("n"), F.element_at("c", -1).alias("last")).first()
     expected = model(text, 100, 20, "\n")
     assert (row.n, row.last) == (len(expected), expected[-1])
+
+
+@pytest.mark.parametrize("overlap", [0, 6])
+def test_a_page_of_many_chunks(spark, overlap):
+    text = "\n".join(f"line{i:06d}" for i in range(20_000))
+    found = split(spark, [text], chunk_array("text", 20, overlap, "\n"))[0]
+    assert found == model(text, 20, overlap, "\n") and len(found) == 20_000

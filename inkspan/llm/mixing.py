@@ -130,7 +130,9 @@ def slots(goals: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame
         "all", F.sum("n").over(Window.partitionBy())
     ).where("n > 0")
     runs = filled.withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / _RUN))))
-    runs = runs.repartition("number", "run")
+    # The number of tasks is said: by their size alone, a few narrow rows would be one.
+    tasks = int(goals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = runs.repartition(tasks, "number", "run")
     last = F.least(F.col("n"), (F.col("run") + 1) * _RUN) - 1
     rows = runs.withColumn("j", F.explode(F.sequence(F.col("run") * _RUN, last)))
     rows = rows.withColumn("round", F.floor(F.col("j") / F.col("blocks")))

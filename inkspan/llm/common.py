@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspan.session import shared_folder
@@ -17,8 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE = 512
 
 
-def table(df_or_spark, sf_dir: str, name: str) -> DataFrame:
-    return df_or_spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

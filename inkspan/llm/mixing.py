@@ -221,7 +221,10 @@ def mixed_documents(
     ).where("_size > 0")
     copies = Window.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64(F.col("_row")[text_col]))
     rows = rows.withColumn("_copy", F.row_number().over(copies))
-    on = [rows[f"_{a}"].eqNullSafe(chosen[b]) for a, b in (("id", "doc_id"), ("source", "source"), ("size", "size"), ("copy", "copy"))]
+    on = [
+        rows[a].eqNullSafe(chosen[b])
+        for a, b in (("_id", "doc_id"), ("_source", "source"), ("_size", "size"), ("_copy", "copy"))
+    ]
     text = F.col("_row")[text_col]
     words = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     count = F.aggregate("_taken", F.lit(0).cast("long"), lambda n, r: n + r["to_word"] - r["from_word"])

@@ -187,7 +187,8 @@ def scan(
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     allowed = candidates(postings(rows, rules), rules)
-    joined = rows.select("*", _key("doc_id", "text")).join(allowed, "doc", "left")
+    # A merge keeps the rows of a task in the order of doc, so a repeated task numbers them alike.
+    joined = rows.select("*", _key("doc_id", "text")).join(allowed.hint("merge"), "doc", "left")
     joined = joined.select("doc_id", "text", F.coalesce("rules", F.lit(0)).alias("rules"))
     hits = joined.select(
         F.monotonically_increasing_id().alias("row"),

@@ -291,9 +291,11 @@ class Shard:
         pairs = []
         for leaf, some in self.tree.search(values, np.arange(len(nodes)), self.plan.band_most):
             pairs += self._match(some, leaf.rows, sketches)
-        for q, x in pairs:
+        if pairs:
+            q, x = (np.concatenate(side) for side in zip(*pairs, strict=True))
+            other = nodes[q] != self.nodes[x]
+            q, x = q[other], x[other]
             np.minimum.at(first, q, x)
-        for q, x in pairs:
             self._join(first[q], x)
         some = np.flatnonzero(first < len(self.nodes))
         a, b = nodes[some], self.nodes[first[some]]

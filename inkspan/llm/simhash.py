@@ -290,7 +290,7 @@ class Shard:
         first = np.full(len(nodes), len(self.nodes))
         pairs = []
         for leaf, some in self.tree.search(values, np.arange(len(nodes)), self.plan.band_most):
-            pairs += self._match(some, leaf.rows, sketches)
+            pairs += self._match(some, leaf.rows, sketches, values)
         if pairs:
             q, x = (np.concatenate(side) for side in zip(*pairs, strict=True))
             other = nodes[q] != self.nodes[x]
@@ -305,19 +305,26 @@ class Shard:
         """Which sketches of a and b are linked, with broadcasting over all but the last axis."""
         return np.bitwise_count(a ^ b).sum(-1, dtype=np.int16) <= self.plan.most
 
-    def _match(self, asked: np.ndarray, rows: np.ndarray, sketches: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Linked pairs of a leaf; in a long list, enough of them to connect the same.
+    def _match(
+        self, asked: np.ndarray, rows: np.ndarray, sketches: np.ndarray, values: np.ndarray
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Linked pairs of a leaf: close in the band, and then in the whole sketch.
+
+        A long list gives enough of them to connect the same.
 
         What is near one sketch of the list is connected through it, so of the pairs
         among those only the ones with that sketch count; all others are compared.
         """
         if len(asked) * len(rows) <= _BLOCK // self.plan.words:
-            near = self._near(sketches[asked][:, None], self.sketches[rows][None])
-            q, x = np.nonzero(near)
-            return [(asked[q], rows[x])] if len(q) else []
+            close = np.bitwise_count(values[asked][:, None] ^ self.values[rows]) <= self.plan.band_most
+            q, x = np.nonzero(close)
+            near = self._near(sketches[asked[q]], self.sketches[rows[x]])
+            return [(asked[q[near]], rows[x[near]])] if near.any() else []
         if len(rows) <= LEAF:
             half = len(asked) // 2
-            return self._match(asked[:half], rows, sketches) + self._match(asked[half:], rows, sketches)
+            return self._match(asked[:half], rows, sketches, values) + self._match(
+                asked[half:], rows, sketches, values
+            )
         middle = self.sketches[rows[0]]
         near_q = self._near(sketches[asked], middle)
         near_x = self._near(self.sketches[rows], middle)
@@ -325,7 +332,7 @@ class Shard:
         found = [(asked[near_q], np.full(near_q.sum(), rows[0]))]
         for q, x in ((near_q, ~near_x), (~near_q, near_x), (~near_q, ~near_x)):
             if q.any() and x.any():
-                found += self._match(asked[q], rows[x], sketches)
+                found += self._match(asked[q], rows[x], sketches, values)
         return found
 
     def _join(self, a: np.ndarray, b: np.ndarray) -> None:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import texts, written
+from inkspan.llm.common import SLICE, texts, written
 
 #: Labelled rows of each class that a model is fitted to: those of the smallest hash.
 TRAINING_ROWS = 40_000
@@ -38,7 +38,7 @@ MOST_TIMES = 4
 #: Lengths of the word beginnings that count beside whole words, marked by a hyphen.
 STEMS = (5, 6, 7)
 #: Words whose score a task remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 16
 #: What every word costs.
 DRIFT = 0.5
 #: Segments with a larger expected number in a clean text are no passages.
@@ -344,7 +344,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", prefix: str = "
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         scores = Scores(model.known)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             chances, shown = [], []
             for text in texts(batch, text_col):
                 words = tokens(text)

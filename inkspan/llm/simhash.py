@@ -8,13 +8,14 @@ triangle inequality does not rule out, so pairs across a boundary are met too.
 Inside a shard a second tree prunes in the same way down to short lists.
 
 Long sketches are searched band by band: near copies agree, but for a bit, in at
-least one band, and the whole sketch decides. Links are exact in every distance.
+least one band. The whole sketch names the candidates, with a bound well above the
+expected distance, and the exact Jaccard similarity of the shingles decides.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -47,6 +48,7 @@ class Plan:
     band_bits: int = 64
     band_most: int = 2  # differing bits of a band in which a link is found
     shard_rows: int = SHARD_ROWS
+    similarity: float | None = None  # if given, links are pairs of this Jaccard similarity
 
     def band(self, sketches: np.ndarray, number: int) -> np.ndarray:
         """The bits of one band of each sketch, as one number."""
@@ -65,10 +67,11 @@ def bits_for(similarity: float, bits: int) -> int:
 
 #: Two differing bits of 64, three-word shingles.
 SHORT = Plan(shingle=3, words=1, most=2)
-#: Similarity 0.8 on five-word shingles: 512 bits, searched in 20 bands of 20 bits.
+#: Similarity 0.8 on five-word shingles: 512 bits, searched in 32 bands of 16 bits. At
+#: 0.8 a distance of 77 is expected (deviation 8), of 96 for 4 shingles of 5.
 LONG = Plan(
-    shingle=5, words=8, most=bits_for(0.8, 512), bands=20, band_bits=20, band_most=1,
-    shard_rows=1 << 18,
+    shingle=5, words=8, most=120, bands=32, band_bits=16, band_most=1,
+    shard_rows=1 << 18, similarity=0.8,
 )
 
 
@@ -86,9 +89,18 @@ def shingle_hashes(text: str, k: int) -> np.ndarray:
     return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :], strict=True)], np.uint64)
 
 
+def shingles_of(text: str, plan: Plan) -> np.ndarray:
+    """The hashes that a sketch counts: each once, where links go by Jaccard similarity."""
+    hashes = shingle_hashes(text, plan.shingle)
+    return np.unique(hashes) if plan.similarity else hashes
+
+
 def sketch(text: str, plan: Plan) -> bytes:
     """Big-endian bits: 1 where more than half of the hashes have a 1; 0 without words."""
-    hashes = shingle_hashes(text, plan.shingle)
+    return _sketch(shingles_of(text, plan), plan)
+
+
+def _sketch(hashes: np.ndarray, plan: Plan) -> bytes:
     counts = np.zeros(64 * plan.words, np.int64)
     for at in range(0, len(hashes), 4096):
         some = hashes[at : at + 4096, None]
@@ -106,17 +118,24 @@ def as_words(sketches: list[bytes], plan: Plan) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, mark (a hash of the text), sketch and node, a number for the sketch."""
+    """doc_id, mark (a hash of the text), sketch and node, a number for the sketch.
+
+    Where links go by Jaccard similarity, node is a number for the set of shingles.
+    """
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(text, plan) for text in texts(batch)]
+            found, nodes = [], []
+            for text in texts(batch):
+                hashes = shingles_of(text, plan)
+                found.append(_sketch(hashes, plan))
+                nodes.append(_node(hashes.tobytes() if plan.similarity else found[-1], plan))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("mark"), pa.array(found, pa.binary()),
-                 pa.array([_node(s) for s in found], pa.int64())],
+                 pa.array(nodes, pa.int64())],
                 ["doc_id", "mark", "sketch", "node"],
             )
 
@@ -124,9 +143,9 @@ def sketched(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(work, f"doc_id {kind}, mark long, sketch binary, node long")
 
 
-def _node(found: bytes) -> int:
-    """The sketch itself if it fits, else a hash of it; as a signed number."""
-    number = int.from_bytes(found) if len(found) == 8 else xxhash.xxh64_intdigest(found, 1)
+def _node(found: bytes, plan: Plan) -> int:
+    """A sketch of one word itself, else a hash; as a signed number."""
+    number = xxhash.xxh64_intdigest(found, 1) if plan.similarity or len(found) != 8 else int.from_bytes(found)
     return number - (number >> 63 << 64)
 
 
@@ -188,7 +207,11 @@ def shard_trees(sketches: DataFrame, plan: Plan, rows: int) -> list[Tree]:
 
 
 def dealt(sketches: DataFrame, plan: Plan, trees: list[Tree]) -> DataFrame:
-    """shard, asks, node, sketch: each sketch at home once per band, and where it asks."""
+    """shard, asks, node, root, sketch: each sketch at home once per band, and where it asks.
+
+    The root is the component that is known so far, at first the node itself.
+    """
+    root = "root" if "root" in sketches.columns else "node"
     sent = sketches.sparkSession.sparkContext.broadcast(trees)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,13 +224,12 @@ def dealt(sketches: DataFrame, plan: Plan, trees: list[Tree]) -> DataFrame:
                     for leaf, some in tree.search(values, every, most):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.full(len(some), leaf.number)), pa.array([asks] * len(some)),
-                             batch.column("node").take(pa.array(some)),
-                             batch.column("sketch").take(pa.array(some))],
-                            ["shard", "asks", "node", "sketch"],
+                             *(batch.column(c).take(pa.array(some)) for c in ("node", "root", "sketch"))],
+                            ["shard", "asks", "node", "root", "sketch"],
                         )
 
-    return sketches.select("node", "sketch").mapInArrow(
-        work, "shard long, asks boolean, node long, sketch binary"
+    return sketches.select("node", F.col(root).alias("root"), "sketch").mapInArrow(
+        work, "shard long, asks boolean, node long, root long, sketch binary"
     )
 
 
@@ -215,9 +237,24 @@ def links(sketches: DataFrame, plan: Plan) -> DataFrame:
     """Edges (a, b) between nodes that connect all distinct sketches that are linked.
 
     No more than one edge per sketch and shard is written, however many pairs a
-    group has: those that connect the same sketches as the pairs do. A shard that
-    holds many more than its share is cut into pieces that all its askers meet.
+    group has: those that connect the same sketches as the pairs do.
     """
+    return _searched(sketches, plan, lambda key, band: Shard(key, plan, band))
+
+
+def candidates(sketches: DataFrame, plan: Plan, every: bool) -> DataFrame:
+    """a < b: pairs of nodes of different roots that are within ``most`` bits.
+
+    All of them if ``every``, else for each sketch and shard the nearest one and the
+    one of lowest number that is likely to be similar.
+    """
+    found = _searched(sketches, plan, lambda key, band: Candidates(key, plan, band, every))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _searched(sketches: DataFrame, plan: Plan, shard_of: Callable) -> DataFrame:
+    """What the shards give. One that holds many more than its share is cut into
+    pieces that all its askers meet."""
     rows = sketches.count()
     trees = shard_trees(sketches, plan, rows)
     spread = written(dealt(sketches, plan, trees), "shards") if rows > plan.shard_rows else dealt(sketches, plan, trees)
@@ -248,11 +285,12 @@ def links(sketches: DataFrame, plan: Plan) -> DataFrame:
                 if shard is None or shard.key != keys[a]:
                     if shard is not None:
                         yield _edges(shard.stars())
-                    shard = Shard(keys[a], plan, int(sent.value[keys[a][0]]))
+                    shard = shard_of(keys[a], int(sent.value[keys[a][0]]))
                 part = batch.slice(a, b - a)
-                yield _edges(shard.take(
+                yield from map(_edges, shard.found(
                     np.array(part.column("asks").to_numpy(zero_copy_only=False), bool),
                     part.column("node").to_numpy(), as_words(part.column("sketch").to_pylist(), plan),
+                    part.column("root").to_numpy(),
                 ))
         if shard is not None:
             yield _edges(shard.stars())
@@ -301,6 +339,9 @@ class Shard:
         a, b = nodes[some], self.nodes[first[some]]
         return a[a != b], b[a != b]
 
+    def found(self, asks: np.ndarray, nodes: np.ndarray, sketches: np.ndarray, _) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        yield self.take(asks, nodes, sketches)
+
     def _near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which sketches of a and b are linked, with broadcasting over all but the last axis."""
         return np.bitwise_count(a ^ b).sum(-1, dtype=np.int16) <= self.plan.most
@@ -354,6 +395,111 @@ class Shard:
         return self.nodes[some], self.nodes[self.group[some]]
 
 
+class Candidates(Shard):
+    """The sketches at home in one shard, and the pairs with those that ask it."""
+
+    def __init__(self, key: tuple[int, int], plan: Plan, band: int, every: bool):
+        super().__init__(key, plan, band)
+        self.every, self.likely = every, bits_for(plan.similarity, 64 * plan.words)
+
+    def found(
+        self, asks: np.ndarray, nodes: np.ndarray, sketches: np.ndarray, roots: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Homes come first; a pair is given once, in the first band where it is close, if all are."""
+        if not asks.all():
+            self.parts.append((nodes[~asks], sketches[~asks], roots[~asks]))
+        if not asks.any() or not self.parts:
+            return
+        if self.tree is None:
+            self.nodes, self.sketches, self.roots = (np.concatenate(p) for p in zip(*self.parts, strict=True))
+            self.values = self.plan.band(self.sketches, self.band)
+            self.tree = Tree(self.values, np.arange(len(self.values)), LEAF)
+        nodes, sketches, roots = nodes[asks], sketches[asks], roots[asks]
+        values = self.plan.band(sketches, self.band)
+        none = np.iinfo(np.int64).max
+        best, nearest, lowest = np.full(len(nodes), none), np.full(len(nodes), none), np.full(len(nodes), none)
+        for leaf, some in self.tree.search(values, np.arange(len(nodes)), self.plan.band_most):
+            step = max(1, _BLOCK // self.plan.words // max(1, len(leaf.rows)))
+            for at in range(0, len(some), step):
+                part = some[at : at + step]
+                q, x = np.nonzero(np.bitwise_count(values[part][:, None] ^ self.values[leaf.rows]) <= self.plan.band_most)
+                q, x = part[q], leaf.rows[x]
+                keep = roots[q] != self.roots[x]
+                if self.every:
+                    keep &= nodes[q] < self.nodes[x]
+                q, x = q[keep], x[keep]
+                differ = sketches[q] ^ self.sketches[x]
+                far = np.bitwise_count(differ).sum(-1, dtype=np.int64)
+                keep = far <= self.plan.most
+                q, x, far, differ = q[keep], x[keep], far[keep], differ[keep]
+                if not len(q):
+                    continue
+                if self.every:
+                    new = np.ones(len(q), bool)
+                    for band in range(self.band):
+                        new &= np.bitwise_count(self.plan.band(differ, band)) > self.plan.band_most
+                    yield nodes[q[new]], self.nodes[x[new]]
+                    continue
+                order = np.lexsort((self.nodes[x], far, q))
+                first = order[np.flatnonzero(np.diff(q[order], prepend=-1))]
+                better = first[far[first] < best[q[first]]]
+                best[q[better]], nearest[q[better]] = far[better], self.nodes[x[better]]
+                likely = far <= self.likely
+                np.minimum.at(lowest, q[likely], self.nodes[x[likely]])
+        for other in (nearest, lowest):
+            some = np.flatnonzero(other != none)
+            yield nodes[some], other[some]
+
+    def stars(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.zeros(0), np.zeros(0)
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sets, each without repeats."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(1, len(a) + len(b) - both)
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs whose sets of shingles have the similarity of the plan.
+
+    Sets are made of the text of one document per node that is in some pair.
+    """
+    pairs = written(pairs, "candidates")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked = nodes.join(wanted, "node").select("node", F.col("one.doc_id").alias("_id"), F.col("one.mark").alias("_mark"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles_of(text, plan).tobytes() for text in texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    met = rows.join(asked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
+    sets = met.select("node", "text").mapInArrow(work, "node long, shingles binary")
+    sets = written(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
+    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = ((np.frombuffer(x.as_py(), np.uint64) for x in batch.column(c)) for c in ("set_a", "set_b"))
+            alike = [jaccard(x, y) >= plan.similarity for x, y in zip(a, b, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
+
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(decide, "a long, b long")
+
+
+def similar(nodes: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
+    """Edges (a, b) that connect all nodes that pairs of the plan's similarity connect.
+
+    A few candidates of each node are decided first; after that only pairs between
+    the components found so far are, so a group of near copies needs few pairs.
+    """
+    first = written(verified(candidates(nodes, plan, False), nodes, rows, plan), "similar")
+    rooted = nodes.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = written(rooted, "rooted")
+    return first.unionByName(written(verified(candidates(rooted, plan, True), rooted, rows, plan), "similar"))
+
+
 def near_groups(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, mark, sketch, root, component_id, the smallest id it reaches.
 
@@ -363,9 +509,15 @@ def near_groups(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: s
     """
     rows = written(sketched(docs, plan, id_col, text_col), "sketches")
     nodes = written(
-        rows.groupBy("node").agg(F.first("sketch").alias("sketch"), F.min("doc_id").alias("least")), "nodes"
+        rows.groupBy("node").agg(
+            F.first("sketch").alias("sketch"), F.min("doc_id").alias("least"),
+            F.min(F.struct("doc_id", "mark")).alias("one"),
+        ), "nodes"
+    )
+    whole = docs.select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
     )
-    roots = components(links(nodes, plan))
+    roots = components(similar(nodes, whole, plan) if plan.similarity else links(nodes, plan))
     named = nodes.select("node", "least").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )

@@ -142,6 +142,31 @@ def test_similarity_of_long_sketches():
         assert hits >= 18 if linked else hits == 0
 
 
+def test_long_links_are_exactly_the_pairs_of_similarity_0_8(spark):
+    draw, docs = random.Random(9), []
+    for i in range(60):
+        words = text(260, 50 + i).split()[:240] if i % 3 else text(20, 50 + i).split()[: 8 + i % 5]
+        docs.append(" ".join(words))
+        for n in range(1, 7):  # replaced from the end, so that similarity passes 0.8 slowly
+            cut = max(1, len(words) * n // 40)
+            docs.append(" ".join([*words[:-cut], *(f"w{draw.random()}" for _ in range(cut))]))
+            docs.append(" ".join([*words, *(f"w{draw.random()}" for _ in range(2 * cut))]))
+    docs += ["again " * 40 + " ".join(text(30, i).split()[:9]) for i in range(5)]  # counts are alike, sets are not
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in docs]
+    plain = Groups(range(len(docs)))
+    for a in range(len(docs)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                plain.join(a, b)
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.near_groups(table, simhash.LONG).collect()}
+    wanted = {}
+    for i in range(len(docs)):
+        wanted.setdefault(plain.top(i), i)
+    assert found == {i: wanted[plain.top(i)] for i in range(len(docs))}
+    assert 60 < len(set(found.values())) < len(docs) - 60
+
+
 def _distance(a, b):
     before = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

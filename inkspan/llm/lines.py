@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,8 @@ from inkspan.llm.common import WORD, text_of, written
 from inkspan.llm.graph import components
 
 EDITS = 2
-#: Shorter lines are left alone: headings, dates, greetings and the like.
+#: A line of so many words is long. Shorter ones, as headings, dates and greetings, are
+#: no repeats by themselves; next to other repeated lines they are.
 LEAST_WORDS = 8
 #: Indexed lines under one substring that one task compares; more are split over tasks.
 HOT = 4096
@@ -33,15 +35,18 @@ _LONG = rf"(?:{WORD}+[\x20\x09-\x0D]++){{{LEAST_WORDS - 1}}}[^\x20\x09-\x0D]"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def split_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def split_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False
+) -> DataFrame:
     """doc_id, mark (a hash of the text), line_no, line and its number, for the long lines.
 
-    A line counts without the blanks around it.
+    With ``short``, for all that hold a word. A line counts without the blanks around it.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), text_of(text_col).alias("text"))
     each = rows.select("doc_id", "mark", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     each = each.withColumn("line", F.btrim("line", F.lit(BLANKS)))
-    return each.where(F.col("line").rlike(_LONG)).withColumn("node", F.xxhash64("line"))
+    each = each.withColumn("is_long", F.col("line").rlike(_LONG))
+    return each.where(F.col("line").rlike(WORD) if short else F.col("is_long")).withColumn("node", F.xxhash64("line"))
 
 
 @lru_cache(maxsize=1 << 16)
@@ -100,7 +105,8 @@ def keyed(lines: DataFrame) -> DataFrame:
             keys, asks, counts = [], [], []
             for raw in many:
                 length = len(raw) // 4
-                cuts, wanted = segments(length), probes(length)
+                # Too short for segments: only equal lines are one class.
+                cuts, wanted = (segments(length), probes(length)) if length > EDITS else ([], [])
                 keys += [digest(raw[4 * a : 4 * (a + n)], length << 2 | i) for i, (a, n) in enumerate(cuts)]
                 keys += [digest(raw[4 * a : 4 * (a + n)], size << 2 | i) for size, i, a, n in wanted]
                 asks += [False] * len(cuts) + [True] * len(wanted)
@@ -303,15 +309,19 @@ def _at() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark", "line_no")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False
+) -> DataFrame:
     """One row per long line: doc_id, mark, line_no, class_id, n_links and whether it is the first.
 
-    class_id is the smallest number of a line's text in its class, n_links how many
-    different texts are within ``EDITS`` of it. Null texts have no lines; rows that
-    are equal in id and text are one document here.
+    With ``short``, one per line that holds a word; is_long tells them apart, and is_new
+    whether no equal line stands before. class_id is the smallest number of a line's
+    text in its class, n_links how many different texts are within ``EDITS`` of it, of
+    a line of up to ``EDITS`` characters none. Null texts have no lines; rows that are
+    equal in id and text are one document here.
     """
-    lines = split_lines(docs, id_col, text_col)
-    seen = written(lines.select("node", _at().alias("at")), "line-places")
+    lines = split_lines(docs, id_col, text_col, short)
+    seen = written(lines.select("node", "is_long", _at().alias("at")), "line-places")
     near = written(links(lines), "line-links")
     degree = near.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
         F.count("*").alias("n_links")
@@ -324,25 +334,58 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     named = written(named, "line-classes")
     least = named.groupBy("class_id").agg(F.min("first").alias("first"))
-    of_node = named.select("node", "class_id", "n_links").join(least, "class_id")
+    of_node = named.select("node", "class_id", "n_links", F.col("first").alias("own")).join(least, "class_id")
     return seen.join(of_node, "node").select(
         F.col("at.doc_id").alias("doc_id"), F.col("at.mark").alias("mark"),
         F.col("at.line_no").alias("line_no"), "class_id", "n_links", (F.col("at") == F.col("first")).alias("is_first"),
+        "is_long", (F.col("at") == F.col("own")).alias("is_new"),
     )
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def runs(text: str, repeated: set[int]) -> list[int]:
+    """The repeated lines that stand in a run of them with ``LEAST_WORDS`` words in all.
+
+    Lines without words are in no run and end none.
+    """
+    found, run, words = [], [], 0
+    for number, line in enumerate([*text.split("\n"), None]):
+        if number in repeated and line is not None:
+            run.append(number)
+            words += len(line.encode().split())
+        elif line is None or line.strip(BLANKS):
+            found += run if words >= LEAST_WORDS else []
+            run, words = [], 0
+    return found
+
+
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False
+) -> DataFrame:
     """The documents without long lines that stand, but for some edits, in an earlier place.
 
-    A document that loses all its words goes; one that loses no line stays as it
-    is, empty and null texts too. ``n_chars``, if there, is counted anew.
+    With ``short``, also without the shorter lines that are equal to an earlier one and
+    stand in a run of repeated lines with ``LEAST_WORDS`` words in all; so a copy goes
+    whole, and a greeting between lines of a document's own stays. A document that loses
+    all its words goes; one that loses no line stays as it is, empty and null texts too.
+    ``n_chars``, if there, is counted anew.
     """
-    found = classes(docs, id_col, text_col).where("NOT is_first")
+    found = classes(docs, id_col, text_col, short).where("CASE WHEN is_long THEN NOT is_first ELSE NOT is_new END")
     gone = found.groupBy("doc_id", "mark").agg(F.collect_set("line_no").alias("_gone")).toDF("_g_id", "_g_mark", "_gone")
     rows = docs.select(F.struct(*docs.columns).alias("_row"))
     rows = rows.select("_row", F.col("_row")[id_col].alias("_id"), F.xxhash64(F.col("_row")[text_col]).alias("_mark"))
     on = rows["_id"].eqNullSafe(gone["_g_id"]) & (rows["_mark"] == gone["_g_mark"])
-    met = rows.join(gone.hint("merge"), on, "left").withColumn("_lines", F.split(F.col("_row")[text_col], "\n", -1))
+    met = rows.join(gone.hint("merge"), on, "left")
+
+    @F.pandas_udf("array<int>")
+    def in_runs(texts, repeated):
+        both = zip(texts, repeated, strict=True)
+        return pd.Series([None if n is None else runs(t, set(map(int, n))) for t, n in both], dtype=object)
+
+    if short:
+        some = F.when(F.col("_gone").isNotNull(), F.col("_row")[text_col])
+        met = met.withColumn("_gone", in_runs(some, "_gone"))
+        met = met.withColumn("_gone", F.when(F.size("_gone") > 0, F.col("_gone")))
+    met = met.withColumn("_lines", F.split(F.col("_row")[text_col], "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col("_row")[text_col]).otherwise(
         F.array_join(F.transform(kept, lambda i: F.element_at("_lines", i + 1)), "\n")

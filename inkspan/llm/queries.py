@@ -78,7 +78,7 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.classes(table(spark, sf_dir, "documents")).drop("mark")
+    return lines.classes(table(spark, sf_dir, "documents"), short=True).drop("mark", "is_long", "is_new")
 
 
 def op7_sentencepiece(

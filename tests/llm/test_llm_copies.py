@@ -10,7 +10,7 @@ from llm_data import WORD, Groups, no_documents, odd_documents, rows, text
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inkspan.llm import lines, simhash, toxicity
+from inkspan.llm import lines, queries, simhash, toxicity
 from inkspan.llm.graph import components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -256,6 +256,26 @@ def test_line_classes_against_brute_force(spark, monkeypatch, hot):
     assert not left
 
 
+def test_short_lines_have_classes_and_copies_go_whole(spark, folder):
+    own = [" ".join(text(12, 900 + i).split()) for i in range(4)]
+    poem = "\n".join("seven words of line number %d here" % n for n in (1, 22, 333, 4444, 55555, 6666666, 77777777, 888888888))
+    docs = [
+        (1, f"{own[0]}\nTitle\n\nLicensed under the one license.\nab"), (2, f"{own[0]}\nTitle\n\nLicensed under the one license.\nab"),
+        (3, f"{own[1]}\nLicensed under the one license.\n{own[2]}\nab"), (4, poem), (5, f"{own[3]}\n{poem}\nend of five"),
+        (6, "一行没有空格的文字写在这里"), (7, "一行没有空格的文字写在这里"), (8, "x\n \nNo. 1"), (9, "y\nNo. 2"),
+    ]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    table.write.parquet(f"{folder}/documents.parquet")
+    found = {(r.doc_id, r.line_no): r for r in queries.op6_line_dedup(spark, folder).collect()}
+    assert set(found) == {(i, n) for i, t in docs for n, x in enumerate(t.split("\n")) if WORD.search(x)}
+    assert found[6, 0].class_id == found[7, 0].class_id and found[6, 0].is_first and not found[7, 0].is_first
+    assert found[8, 2].class_id == found[9, 1].class_id and found[8, 2].n_links == 1
+    assert found[8, 0].class_id != found[9, 0].class_id and found[3, 3].class_id == found[1, 4].class_id
+    left = {r.doc_id: r.text for r in lines.without_repeats(table, short=True).collect()}
+    assert set(left) == {1, 3, 4, 5, 6, 7, 8, 9} and left[5] == f"{own[3]}\nend of five"
+    assert all(left[i] == t for i, t in docs if i not in (2, 5))
+
+
 def test_lines_without_documents(spark):
     assert lines.classes(no_documents(spark)).count() == 0
     assert lines.without_repeats(no_documents(spark)).count() == 0

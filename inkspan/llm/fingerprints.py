@@ -14,64 +14,129 @@ import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from inkspan.llm.common import text_of, texts
 
 SAMPLES = 128
-#: Words are told apart by a hash of so many bits; that bounds the table of variables.
-WORD_BITS = 15
+#: Words whose variables a task remembers, and words of a text that are worked on at a time.
+KNOWN, BLOCK_WORDS = 1 << 15, 1 << 12
 SEED = 3
 EMPTY = "0" * (4 * SAMPLES)
 #: Documents of one block of the order that ``with_edited`` works through.
 BLOCK_ROWS = 4096
 
 
-@cache
-def _variables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and b for each word hash (row) and position, and the key at weight 1."""
-    draw = np.random.Generator(np.random.Philox(key=SEED))
-    shape = (1 << WORD_BITS, SAMPLES)
-    r = draw.standard_gamma(2.0, shape, np.float32)
-    log_c = np.log(draw.standard_gamma(2.0, shape, np.float32))
-    b = draw.random(shape, np.float32)
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    """Well spread 64-bit numbers, one for each."""
+    numbers = (numbers ^ (numbers >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    numbers = (numbers ^ (numbers >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return numbers ^ (numbers >> np.uint64(31))
+
+
+def _gamma(numbers: np.ndarray) -> np.ndarray:
+    """Gamma variables of shape 2: the sum of two exponential ones, from the halves of each number."""
+    high, low = numbers >> np.uint64(32), numbers & np.uint64(0xFFFFFFFF)
+    return -np.log((high + 0.5) * (low + 0.5) * 2.0**-64)
+
+
+def _made(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c, b and the key at weight 1 of each word hash (row) and position."""
+    positions = _mixed(np.arange(SEED * 4 * SAMPLES, (SEED + 1) * 4 * SAMPLES, dtype=np.uint64)).reshape(4, SAMPLES)
+    seeds = _mixed(words.astype(np.uint64))[:, None]
+    r = _gamma(_mixed(seeds + positions[0])).astype(np.float32)
+    log_c = np.log(_gamma(_mixed(seeds + positions[1]))).astype(np.float32)
+    b = ((_mixed(seeds + positions[2]) >> np.uint64(40)) * 2.0**-24).astype(np.float32)
     return r, log_c, b, log_c - r * (1 - b)
 
 
+class _Known:
+    """The variables of words met so far; forgotten when full, and made again as they were."""
+
+    def __init__(self):
+        self.place: dict[int, int] = {}
+        self.columns = tuple(np.empty((KNOWN, SAMPLES), np.float32) for _ in range(4))
+
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """The rows of at most ``BLOCK_WORDS`` different words."""
+        each = words.tolist()
+        new = [w for w in each if w not in self.place]
+        if len(self.place) + len(new) > KNOWN:
+            self.place.clear()
+            new = each
+        for at in range(0, len(new), 256):  # few at a time stay in the processor's cache
+            some, start = new[at : at + 256], len(self.place)
+            for column, made in zip(self.columns, _made(np.array(some, words.dtype)), strict=True):
+                column[start : start + len(some)] = made
+            self.place.update(zip(some, range(start, start + len(some)), strict=True))
+        return np.fromiter(map(self.place.__getitem__, each), np.int64, len(each))
+
+
+class _Column:
+    """One of the variables, by word hash."""
+
+    def __init__(self, known: _Known, number: int):
+        self.known, self.number = known, number
+
+    def __getitem__(self, words: np.ndarray) -> np.ndarray:
+        return self.known.columns[self.number][self.known.places(words)]
+
+
+@cache
+def _known() -> _Known:
+    return _Known()
+
+
+def _variables() -> tuple[_Column, ...]:
+    """r, ln c and b for each word hash and position, and the key at weight 1."""
+    return tuple(_Column(_known(), n) for n in range(4))
+
+
 def fingerprint(text: str) -> np.ndarray:
     """One 16-bit mark of the drawn word and t for each position; all 0 without words."""
     weights = Counter(text.encode().lower().split())
     if not weights:
         return np.zeros(SAMPLES, np.uint16)
-    hashes = np.fromiter(map(crc32, weights), np.int64, len(weights)) & ((1 << WORD_BITS) - 1)
-    counts = np.fromiter(weights.values(), np.float32, len(weights))
-    words, place = np.unique(hashes, return_inverse=True)
-    return _draw(words, np.bincount(place, counts).astype(np.float32))
+    words = np.fromiter(map(xxh64_intdigest, weights), np.uint64, len(weights))
+    return _draw(words, np.fromiter(weights.values(), np.float32, len(weights)))
 
 
 def _draw(words: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    r_all, log_c, b_all, at_one = _variables()
-    keys = at_one[words]  # t is 0 at weight 1
+    best, drawn, t_drawn = np.full(SAMPLES, np.inf, np.float32), np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES)
+    for start in range(0, len(words), BLOCK_WORDS):
+        some = words[start : start + BLOCK_WORDS]
+        least, key, t = _least(some, weights[start : start + BLOCK_WORDS])
+        better = key < best
+        best[better], t_drawn[better] = key[better], t[better]
+        drawn[better] = some[least[better]].astype(np.uint64)
+    drawn *= np.uint64(0x9E3779B97F4A7C15)
+    drawn += t_drawn.astype(np.int64).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    drawn ^= drawn >> np.uint64(32)
+    marks = ((drawn * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(48)).astype(np.uint16)
+    return np.maximum(marks, 1)
+
+
+def _least(words: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each position the word of least key, the key and its t."""
+    places = _known().places(words)
+    r_all, log_c, b_all, at_one = _known().columns
+    keys = at_one[places]  # t is 0 at weight 1
     heavy = np.flatnonzero(weights > 1)
-    r, b = r_all[words[heavy]], b_all[words[heavy]]
+    r, b = r_all[places[heavy]], b_all[places[heavy]]
     t_heavy = np.floor(np.log(weights[heavy])[:, None] / r + b)
-    keys[heavy] = log_c[words[heavy]] - r * (t_heavy - b + 1)
+    keys[heavy] = log_c[places[heavy]] - r * (t_heavy - b + 1)
     least, at = keys.argmin(0), np.arange(SAMPLES)
     t = np.zeros(SAMPLES)
     if heavy.size:
         place = np.minimum(np.searchsorted(heavy, least), heavy.size - 1)
         t = np.where(heavy[place] == least, t_heavy[place, at], 0)
-    drawn = words[least].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    drawn += t.astype(np.int64).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    drawn ^= drawn >> np.uint64(32)
-    marks = ((drawn * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(48)).astype(np.uint16)
-    return np.maximum(marks, 1)
+    return least, keys[least, at], t
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

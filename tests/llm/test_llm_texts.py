@@ -166,6 +166,18 @@ def test_collision_rate_is_generalised_jaccard():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.08
 
 
+@pytest.mark.parametrize("shared", [0, 5_000, 10_000])
+def test_collision_rate_of_texts_of_many_words(shared):
+    found = []
+    for other in range(10):
+        # Shared words stand once in one text and twice in the other.
+        one = [f"a{other}x{i}" for i in range(20_000)]
+        two = one[:shared] * 2 + [f"b{other}x{i}" for i in range(20_000 - shared)]
+        a, b = " ".join(one), " ".join(two)
+        found.append(fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(b)) - _jaccard(a, b))
+    assert abs(np.mean(found)) < 0.04 and (shared or max(found) < 0.02)
+
+
 def test_weighted_draws_against_the_formula():
     r, log_c, b, _ = fingerprints._variables()
     words, weights = np.array([3, 17, 900]), np.array([1, 2, 5], np.float32)

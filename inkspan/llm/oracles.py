@@ -91,4 +91,75 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM d LEFT JOIN per USING (r)
 """
 
-ORACLES: dict[str, str] = {"op9_quality_rules": _QUALITY, "op10_secret_scan": _SECRETS}
+
+def _proposed(kind: str, place: int, form: str) -> str:
+    """The matches of an expression in every text, and what stands before each."""
+    return f"""SELECT r, t, {place} AS k, '{kind}' AS kind, string_split_regex(t, '{form}') AS gaps,
+        regexp_extract_all(t, '{form}') AS hits FROM d"""
+
+
+#: Kind: expression, and the words of its context with its prior score in hundredths.
+_PERSONAL_FORMS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "mail|email|contact|write", 70),
+    "ip": (r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "ip|address|server|host", 50),
+    "card": (r"[0-9](?:[\x20-]?[0-9])+", "card|credit|visa|payment", 60),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "phone|tel|call|mobile|fax", 60),
+    "iban": (
+        r"\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)\b",
+        "iban|bank|account|transfer", 70,
+    ),
+    "ssn": (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "ssn|social|security|taxpayer", 30),
+}
+_PERSONAL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(_proposed(kind, k, form) for k, (kind, (form, _, _)) in enumerate(_PERSONAL_FORMS.items()))}),
+each AS (
+    SELECT r, t, k, kind, unnest(range(1, len(hits) + 1)) AS i, unnest(gaps[1:len(hits)]) AS gap, unnest(hits) AS hit
+    FROM found WHERE len(hits) > 0
+),
+placed AS (
+    SELECT *, (sum(length(gap) + length(hit)) OVER (PARTITION BY r, k ORDER BY i))::BIGINT AS stop,
+        regexp_replace(hit, '[^0-9]', '', 'g') AS digits, replace(hit, ' ', '') AS account
+    FROM each
+),
+checked AS (
+    SELECT *, stop - length(hit) AS start, CASE kind
+        WHEN 'email' THEN true
+        WHEN 'ip' THEN len(list_filter(string_split(hit, '.'), lambda p: length(ltrim(p, '0')) > 3
+            OR coalesce(try_cast(ltrim(p, '0') AS INTEGER), 0) > 255)) = 0
+        WHEN 'card' THEN length(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(
+            range(1, length(digits) + 1), lambda i: CASE
+                WHEN i % 2 = 1 THEN substring(digits, length(digits) - i + 1, 1)::INTEGER
+                ELSE substring('0246813579', substring(digits, length(digits) - i + 1, 1)::INTEGER + 1, 1)::INTEGER
+            END)) % 10 = 0
+        WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15
+        WHEN 'iban' THEN length(account) BETWEEN 15 AND 34 AND list_reduce(list_concat([0], list_transform(
+            range(1, length(account) + 1), lambda i: strpos('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                substring(account[5:] || account[:4], i, 1)) - 1)),
+            lambda a, v: (a * CASE WHEN v < 10 THEN 10 ELSE 100 END + v) % 97) = 1
+        ELSE hit[:3] NOT IN ('000', '666') AND hit[1] <> '9' AND hit[5:6] <> '00' AND hit[8:] <> '0000'
+        END AS fine
+    FROM placed
+),
+scored AS (
+    SELECT r, k, kind, start, stop, kind || ':' || start || ':' || stop AS span, CASE kind
+        {" ".join(f"WHEN '{kind}' THEN {prior} + CASE WHEN regexp_matches(substring(t, greatest(start - 39, 1), least(start, 40)), '(?i)\b(?:{words})\b') OR regexp_matches(substring(t, stop + 1, 40), '(?i)\b(?:{words})\b') THEN 30 ELSE 0 END" for kind, (_, words, prior) in _PERSONAL_FORMS.items())}
+        END AS score
+    FROM checked WHERE fine
+),
+per AS (
+    SELECT r, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip, count(*) FILTER (k = 2) AS n_card,
+        count(*) FILTER (k = 3) AS n_phone, string_agg(span, ',' ORDER BY k, start) FILTER (k < 4) AS base,
+        string_agg(span, ',' ORDER BY k, start) AS spans,
+        string_agg(printf('%.2f', score / 100), ',' ORDER BY k, start) AS scores
+    FROM scored WHERE k < 4 OR score >= 50 GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip,
+    coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+FROM d LEFT JOIN per USING (r)
+"""
+
+ORACLES: dict[str, str] = {
+    "op9_quality_rules": _QUALITY, "op10_secret_scan": _SECRETS, "op13_personal_data": _PERSONAL,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import fingerprints, language, lines, mixing, pieces, quality, secrets, simhash, toxicity, urls
+from inkspan.llm import fingerprints, language, lines, mixing, pieces, pii, quality, secrets, simhash, toxicity, urls
 from inkspan.llm.common import held_out, table
 
 
@@ -125,9 +125,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mix_sources, op2_language_id, op3_fingerprints, op4_url_filter, op5_simhash_dedup,
         op6_line_dedup, op7_sentencepiece, op8_toxicity, op9_quality_rules, op10_secret_scan,
+        op13_personal_data,
     )
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspan.llm import fingerprints, language, lines, mixing, pieces, pii, quality, resampling, secrets, simhash, toxicity, urls
+from inkspan.llm import fingerprints, language, lines, mixing, pieces, pii, quality, resampling, secrets, simhash, spelling, toxicity, urls
 from inkspan.llm.common import held_out, table
 
 
@@ -129,6 +129,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
 def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
@@ -137,6 +141,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_mix_sources, op2_language_id, op3_fingerprints, op4_url_filter, op5_simhash_dedup,
         op6_line_dedup, op7_sentencepiece, op8_toxicity, op9_quality_rules, op10_secret_scan,
-        op11_importance_resampling, op13_personal_data,
+        op11_importance_resampling, op12_spelling_variants, op13_personal_data,
     )
 }

@@ -160,6 +160,121 @@ SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGIN
 FROM d LEFT JOIN per USING (r)
 """
 
+
+def _checksums(values: str) -> str:
+    """CTEs that give ``summed (value, crc)`` for the distinct texts of CTE ``values``.
+
+    CRC-32 is linear: a byte adds a value that depends on it and on how far from the
+    end it stands, and texts of zeros give what is the same for all of a length.
+    """
+    return f"""
+each_value AS (SELECT DISTINCT value, hex(encode(value)) AS h FROM {values}),
+longest AS (SELECT coalesce(max(length(h)), 0) // 2 AS l FROM each_value),
+bits(b, i, v) AS (
+    SELECT b, 0, b FROM range(256) AS byte(b)
+    UNION ALL SELECT b, i + 1, xor(v >> 1, CASE v & 1 WHEN 1 THEN 3988292384 ELSE 0 END) FROM bits WHERE i < 8
+),
+one AS (SELECT b, v FROM bits WHERE i = 8),
+far(k, b, v) AS (
+    SELECT 0, b, v FROM one
+    UNION ALL SELECT k + 1, far.b, xor(far.v >> 8, one.v) FROM far JOIN one ON one.b = far.v & 255
+    WHERE k < (SELECT l FROM longest)
+),
+named AS (SELECT k, printf('%02X', b) AS byte, v FROM far),
+zeros(l, v) AS (
+    SELECT 0, 4294967295
+    UNION ALL SELECT l + 1, xor(zeros.v >> 8, one.v) FROM zeros JOIN one ON one.b = zeros.v & 255
+    WHERE l < (SELECT l FROM longest)
+),
+byte_of AS (SELECT value, h, unnest(range(length(h) // 2)) AS i FROM each_value),
+mixed AS (
+    SELECT value, any_value(length(h) // 2) AS l, bit_xor(v) AS v
+    FROM byte_of JOIN named ON k = length(h) // 2 - 1 - i AND byte = substring(h, (2 * i + 1)::INTEGER, 2) GROUP BY value
+),
+summed AS (SELECT value, xor(xor(zeros.v, 4294967295), mixed.v) AS crc FROM mixed JOIN zeros USING (l))"""
+
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_RESAMPLED = rf"""
+WITH RECURSIVE
+texts AS (
+    SELECT row_number() OVER () AS r, true AS ours, doc_id, coalesce(text, '') AS t FROM documents
+    UNION ALL SELECT -row_number() OVER (), false, NULL, coalesce(text, '') FROM benchmark
+),
+w AS (
+    SELECT r, ours, doc_id, regexp_extract_all(translate(t, {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM texts
+),
+pos AS (SELECT r, ours, generate_subscripts(words, 1) AS i, unnest(words) AS a FROM w),
+next AS (SELECT r, ours, a, lead(a, 1) OVER x AS b, lead(a, 2) OVER x AS c FROM pos WINDOW x AS (PARTITION BY r ORDER BY i)),
+feature AS (
+    SELECT r, ours, a AS value FROM next
+    UNION ALL SELECT r, ours, a || ' ' || b FROM next WHERE b IS NOT NULL
+    UNION ALL SELECT r, ours, a || ' ' || b || ' ' || c FROM next WHERE c IS NOT NULL
+),
+{_checksums("feature")},
+hashed AS (SELECT r, ours, crc % 10000 AS bucket FROM feature JOIN summed USING (value)),
+per AS (SELECT bucket, count(*) FILTER (ours) AS s, count(*) FILTER (NOT ours) AS t FROM hashed GROUP BY bucket),
+total AS (SELECT sum(s) AS s, sum(t) AS t FROM per),
+gain AS (
+    SELECT bucket, floor(1000 * ln(((per.t + 1)::DOUBLE * (total.s + 10000)::DOUBLE)
+        / ((per.s + 1)::DOUBLE * (total.t + 10000)::DOUBLE)))::BIGINT AS gain FROM per, total
+),
+weighed AS (SELECT r, count(*) AS n, sum(gain)::BIGINT AS weight FROM hashed JOIN gain USING (bucket) WHERE ours GROUP BY r),
+scored AS (
+    SELECT r, doc_id, len(words) >= 20 AS able, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+        coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((
+            ('0x' || sha256('42:' || coalesce(doc_id::VARCHAR, ''))[:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM w LEFT JOIN weighed USING (r) WHERE ours
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS LAST, r) AS place,
+        count(*) FILTER (able) OVER () AS able_rows FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= able_rows * 5 // 100 THEN place END AS rank FROM placed
+"""
+
+_SPELLED = rf"""
+WITH RECURSIVE
+runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id,
+        translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), {_LOWER}) AS run FROM documents
+),
+counted AS (SELECT id, run, count(*) AS n, id || ':' || run AS value FROM runs WHERE length(run) >= 5 GROUP BY id, run),
+{_checksums("counted")},
+kept AS (
+    SELECT CASE WHEN crc % 97 > 0 THEN run
+        ELSE substring(run, 1, (crc % length(run))::INTEGER) || substring(run, (crc % length(run) + 2)::INTEGER) END AS word, n
+    FROM counted JOIN summed USING (value)
+),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM kept WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+less AS (
+    SELECT word, k, substring(word, 1, k - 1) || substring(word, k + 1) AS rest
+    FROM (SELECT word, unnest(range(1, length(word) + 1))::INTEGER AS k FROM v)
+),
+pairs AS (
+    SELECT x.word, y.word AS other FROM less x JOIN less y ON x.k = y.k AND x.rest = y.rest AND x.word <> y.word
+    UNION SELECT less.word, v.word FROM less JOIN v ON rest = v.word
+    UNION SELECT v.word, less.word FROM less JOIN v ON rest = v.word
+),
+best AS (
+    SELECT pairs.word, count(*) AS n_near, (list({{'w': v.word, 'n': v.n}} ORDER BY v.n DESC, v.word))[1] AS top
+    FROM pairs JOIN v ON v.word = pairs.other GROUP BY pairs.word
+),
+formed AS (
+    SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top.n >= 2 * v.n THEN top.w END AS form,
+        CASE WHEN top.n >= 2 * v.n THEN top.n END AS form_n FROM v LEFT JOIN best USING (word)
+),
+walk(word, stop) AS (
+    SELECT word, word FROM formed
+    UNION ALL SELECT walk.word, form FROM walk JOIN formed ON formed.word = walk.stop WHERE form IS NOT NULL
+)
+SELECT formed.word, formed.form, walk.stop AS root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN walk ON walk.word = formed.word JOIN formed last ON last.word = walk.stop AND last.form IS NULL
+"""
+
 ORACLES: dict[str, str] = {
-    "op9_quality_rules": _QUALITY, "op10_secret_scan": _SECRETS, "op13_personal_data": _PERSONAL,
+    "op9_quality_rules": _QUALITY, "op10_secret_scan": _SECRETS, "op11_importance_resampling": _RESAMPLED,
+    "op12_spelling_variants": _SPELLED, "op13_personal_data": _PERSONAL,
 }

@@ -280,6 +280,8 @@ SELECT *, 'token-hash' AS model, {TURN_TOKENS} AS prompt_tokens, {q.DIM} AS n_di
 FROM numbered""",
     "append_chunks": """SELECT vec_id, label, CASE WHEN label < 5 THEN 0 ELSE 1 END AS ingest_id,
   len(embedding)::INTEGER AS n_dims FROM embeddings""",
+    "failed_rerun": """SELECT vec_id, label, CASE WHEN label < 5 THEN 0 ELSE 1 END AS ingest_id
+        FROM embeddings""",
     "append_empty_rerun": """SELECT vec_id, 1 AS ingest_id FROM embeddings
 WHERE label >= 5 OR label IS NULL""",
     "ingest_counts": """SELECT CASE WHEN label < 3 THEN 0 WHEN label < 7 THEN 1 ELSE 2 END AS ingest_id,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from inkspan.functions import times, vectors
@@ -19,7 +20,7 @@ from inkspan.functions.text import (
 from inkspan.operators import chunks, integrity, ivf, lsh, profile, routing, search
 from inkspan.operators.embedding import HashingEmbedder, choose_embedder, embedding
 from inkspan.plans.vectorize import (
-    consume_notifications, export_csv, import_csv, redrive, vectorize_files, vectorize_pages,
+    consume_notifications, export_csv, import_csv, read_chunks, read_outcomes, redrive, vectorize_files, vectorize_pages,
 )
 from inkspan.schemas import CHUNK, OUTCOME
 from inkspan.session import shared_folder, spread
@@ -406,7 +407,7 @@ def append_chunks(spark, sf_dir):
     low = F.coalesce(F.col("label") < 5, F.lit(False))
     for run, part in ((0, low), (1, ~low), (0, low)):
         tables.append_folder(rows.filter(part), path, run)
-    return spark.read.parquet(path).select(
+    return tables.read_runs(spark, path).select(
         "vec_id", "label", F.col("ingest_id").cast("int").alias("ingest_id"),
         F.size("embedding").alias("n_dims"),
     )
@@ -420,7 +421,25 @@ def append_empty_rerun(spark, sf_dir):
     low = F.coalesce(F.col("label") < 5, F.lit(False))
     for run, part in ((0, low), (1, ~low), (0, F.lit(False))):
         tables.append_folder(rows.filter(part), path, run)
-    return spark.read.parquet(path).select("vec_id", F.col("ingest_id").cast("int").alias("ingest_id"))
+    return tables.read_runs(spark, path).select("vec_id", F.col("ingest_id").cast("int").alias("ingest_id"))
+
+
+@query
+def failed_rerun(spark, sf_dir):
+    """Two ingest runs; the first is repeated, and its job fails on one row."""
+    path = shared_folder(spark, "chunks")
+    rows = embeddings(spark, sf_dir).select("vec_id", "label")
+    low = F.coalesce(F.col("label") < 5, F.lit(False))
+    for run, part in ((0, low), (1, ~low)):
+        tables.append_folder(rows.filter(part), path, run)
+    last = rows.agg(F.max("vec_id")).first()[0]
+    broken = F.when(F.col("vec_id") == last, F.raise_error(F.lit("a broken row"))).otherwise(F.col("label"))
+    try:
+        tables.append_folder(rows.withColumn("label", broken.cast("int")), path, 0)
+    except PySparkException as failure:
+        if "a broken row" not in str(failure):
+            raise
+    return tables.read_runs(spark, path).select("vec_id", "label", F.col("ingest_id").cast("int").alias("ingest_id"))
 
 
 @query
@@ -433,7 +452,7 @@ def ingest_counts(spark, sf_dir):
     run_of = F.when(F.col("label") < 3, 0).when(F.col("label") < 7, 1).otherwise(2)
     for run in range(3):
         tables.append_folder(rows.filter(run_of == run), path, run)
-    return profile.ingest_counts(spark.read.parquet(path))
+    return profile.ingest_counts(tables.read_runs(spark, path))
 
 
 @query
@@ -462,7 +481,6 @@ def table_lifecycle(spark, sf_dir):
 def vectorize_html(spark, sf_dir):
     """Raw files to the chunk table: parse, split, embed, write, read back."""
     out = shared_folder(spark, "chunks")
-    ingest.open_table(spark, out, CHUNK)
     vectorize_files(
         _html_files(spark, sf_dir), files.parse_html, out, 0, size=CHUNK_SIZE, separator=". "
     )
@@ -954,7 +972,6 @@ def queue_stream(spark, sf_dir):
     keyed = notifications.read_messages(spark, queue).select(
         "message_id", event_key("body").alias("key"), "receive_count"
     )
-    ingest.open_table(spark, out, keyed.schema)
     ingest.run(
         keyed, lambda batch, batch_id: ingest.put(batch, batch_id, out),
         shared_folder(spark, "offsets"),
@@ -971,7 +988,6 @@ def dedup_stream(spark, sf_dir):
     stream = ingest.unique_messages(notifications.read_messages(spark, queue)).select(
         "message_id", event_key("body").alias("key")
     )
-    ingest.open_table(spark, out, stream.schema)
     ingest.run(
         stream, lambda batch, batch_id: ingest.put(batch, batch_id, out),
         shared_folder(spark, "offsets"),
@@ -989,7 +1005,6 @@ def idempotent_ingest(spark, sf_dir):
         stream = notifications.read_messages(spark, queue).select(
             "message_id", event_key("body").alias("key")
         )
-        ingest.open_table(spark, out, stream.schema)
         ingest.run(
             stream,
             lambda batch, batch_id: ingest.ingest(batch, batch_id, out, ("message_id",)),
@@ -1045,7 +1060,7 @@ def _event_job(spark, sf_dir):
 
 
 def _last_outcomes(spark, state: str) -> DataFrame:
-    outcomes = ingest.read_table(spark, f"{state}/outcomes", OUTCOME)
+    outcomes = read_outcomes(spark, state)
     last = outcomes.groupBy("message_id").agg(
         F.max_by(F.struct("receive_count", "route", "error"), "ingest_id").alias("last")
     )
@@ -1056,7 +1071,7 @@ def _last_outcomes(spark, state: str) -> DataFrame:
 def notify_to_table(spark, sf_dir):
     """Notified files to the chunk table; French ones have a wrong hash and die after three tries."""
     _, state, _, _ = _event_job(spark, sf_dir)
-    made = ingest.read_table(spark, f"{state}/chunks", CHUNK).groupBy("file_name").agg(
+    made = read_chunks(spark, state).groupBy("file_name").agg(
         F.count("*").alias("n_chunks")
     ).select(F.regexp_extract("file_name", r"doc_(\d+)", 1).cast("long").alias("doc_id"), "n_chunks")
     found = _last_outcomes(spark, state).join(made, "doc_id", "left")

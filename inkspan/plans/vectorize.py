@@ -19,7 +19,8 @@ from inkspan.sources.files import (
     PARSED, Parser, extract_pages, fetch_files, good_pages, quarantine, read_folder,
 )
 from inkspan.sources.notifications import read_messages, write_messages
-from inkspan.streaming.ingest import open_table, put, read_table, run
+from inkspan.sources.tables import Version, publish, stage
+from inkspan.streaming.ingest import BUCKET, by_bucket, ledger, put, read_table, run
 
 CHUNK_COLUMNS = CHUNK.fieldNames()
 
@@ -46,7 +47,17 @@ def vectorize_pages(
 
 
 def vectorize_files(files: DataFrame, parser: Parser, table: str, ingest_id: int, **options):
-    """Files (path, content) into the chunk table; returns (path, error) of failures.
+    """Files (path, content) into the chunk table; returns (path, error) of failures."""
+    version, failures, _ = stage_files(files, parser, table, ingest_id, **options)
+    publish(files.sparkSession, version)
+    return failures
+
+
+def stage_files(
+    files: DataFrame, parser: Parser, table: str, ingest_id: int, **options
+) -> tuple[Version, DataFrame, str]:
+    """The chunk rows of files (path, content), written but not published, and the failures
+    with the folder that holds them, which is the caller's to discard.
 
     A file is written whole or, when a page or a chunk of it fails, not at all.
 
@@ -68,16 +79,16 @@ def vectorize_files(files: DataFrame, parser: Parser, table: str, ingest_id: int
     quarantine(extracted).unionByName(bad_chunks).write.parquet(failures_path)
     failures = spark.read.schema("path string, error string").parquet(failures_path)
     bad_files = failures.select(F.col("path").alias("file_name")).distinct()
-    put(chunks.join(bad_files, "file_name", "left_anti").select(*CHUNK_COLUMNS), ingest_id, table)
+    kept = chunks.join(bad_files, "file_name", "left_anti").select(*CHUNK_COLUMNS)
+    version = stage(kept, table, ingest_id)
     discard(spark, pages_path, chunks_path)
-    return failures
+    return version, failures, failures_path
 
 
 def vectorize_folder(
     spark: SparkSession, folder: str, parser: Parser, table: str, ingest_id: int,
     extension: str = "pdf", **options,
 ) -> DataFrame:
-    open_table(spark, table, CHUNK)
     files = read_folder(spark, folder, extension).select("path", "content")
     return vectorize_files(files, parser, table, ingest_id, **options)
 
@@ -89,7 +100,6 @@ def export_csv(chunks: DataFrame, path: str, **options) -> None:
 
 def import_csv(spark: SparkSession, path: str, dim: int, table: str, ingest_id: int) -> DataFrame:
     """Second half: CSV files into the chunk table; returns the rejected rows."""
-    open_table(spark, table, CHUNK)
     rows = read_chunks_csv(spark, path)
     whole = F.col(CORRUPT).isNull() & F.col("chunk_vector").isNotNull()
     accepted = keep_dimension(rows.filter(whole), dim, "chunk_vector")
@@ -114,27 +124,26 @@ def consume_notifications(
     """Message stream to chunk table: fetch, verify, vectorize, then acknowledge.
 
     Below ``tables``: ``chunks`` and ``outcomes``, one row per message with its
-    body, time and route. The outcomes that are done are the ledger, by key and
+    body, time and route, of each batch published together (``read_chunks``,
+    ``read_outcomes``). The outcomes that are done are the ledger, by key and
     content: the same content under the same key is not vectorized again, and not
     even fetched when the manifest tells its hash. A message that is to be tried
     again goes back into the queue with a higher count after its outcome is
     written; dead letters wait in ``outcomes`` for ``redrive``.
     """
     chunks, outcomes = f"{tables}/chunks", f"{tables}/outcomes"
-    open_table(spark, chunks, CHUNK)
-    open_table(spark, outcomes, OUTCOME)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         todo_path, fetched_path, checked_path = (
             shared_folder(spark, p) for p in ("todo", "fetched", "checked")
         )
-        earlier = read_table(spark, outcomes, OUTCOME).filter(F.col("ingest_id") != batch_id)
-        done = earlier.filter(F.col("route") == DONE).select("key", "content_hash")
-
         # A message counts with its latest delivery.
         messages = batch.groupBy("message_id").agg(
             F.max(F.struct("receive_count", event_key("body").alias("key"), "body", "ts")).alias("last")
         ).select("message_id", "last.*")
+        # Only the parts of the ledger that hold the keys of this batch are read.
+        earlier = ledger(spark, outcomes, OUTCOME, messages, ("key",), batch_id, home=tables)
+        done = earlier.filter(F.col("route") == DONE).select("key", "content_hash")
         promised = messages.join(one_hash(manifest), "key", "left")
         done_hashes = done.withColumnRenamed("content_hash", "file_hash")
         not_processed(promised, done_hashes, "key", "file_hash").select(
@@ -152,9 +161,11 @@ def consume_notifications(
         good = checked.filter(F.col("error").isNull() & F.col("verified"))
         fresh = not_processed(good, done, "key", "content_hash").select("key")
         files = fetched.join(fresh, "key", "left_semi").select(F.col("key").alias("path"), "content")
+        new_chunks, failed_files, failures_path = stage_files(
+            files, parser, chunks, batch_id, **options
+        )
         failures = (
-            vectorize_files(files, parser, chunks, batch_id, **options)
-            .groupBy(F.col("path").alias("key"))
+            failed_files.groupBy(F.col("path").alias("key"))
             .agg(F.min("error").alias("vectorize_error"))
         )
 
@@ -171,17 +182,28 @@ def consume_notifications(
             )
         )
         filed = outcome.withColumn("processed_at", F.current_timestamp())
-        put(filed.select(*OUTCOME.fieldNames()), batch_id, outcomes)
-        again = read_table(spark, outcomes, OUTCOME).filter(
+        new_outcomes = stage(
+            by_bucket(filed.select(*OUTCOME.fieldNames()), ("key",)), outcomes, batch_id, BUCKET
+        )
+        publish(spark, new_chunks, new_outcomes, home=tables)
+        again = read_outcomes(spark, tables).filter(
             (F.col("ingest_id") == batch_id) & (F.col("route") == RETRY)
         ).withColumn("receive_count", F.col("receive_count") + 1)
         if not again.isEmpty():
             write_messages(again, queue)
-        discard(spark, todo_path, fetched_path, checked_path)
+        discard(spark, todo_path, fetched_path, checked_path, failures_path)
 
     return run(read_messages(spark, queue, max_files), handle, checkpoint, every)
 
 
+def read_chunks(spark: SparkSession, tables: str) -> DataFrame:
+    return read_table(spark, f"{tables}/chunks", CHUNK, home=tables)
+
+
+def read_outcomes(spark: SparkSession, tables: str) -> DataFrame:
+    return read_table(spark, f"{tables}/outcomes", OUTCOME, home=tables)
+
+
 def redrive(spark: SparkSession, queue: str, tables: str, run_id: int) -> DataFrame:
     """Put the dead letters of ``consume_notifications`` into the queue once more.
 
@@ -190,10 +212,9 @@ def redrive(spark: SparkSession, queue: str, tables: str, run_id: int) -> DataFr
     finds only letters that have died since. Repeating a run sends its letters
     again, for a message counts with its latest delivery.
     """
-    outcomes, sent = f"{tables}/outcomes", f"{tables}/redriven"
-    open_table(spark, sent, REDRIVEN)
+    sent = f"{tables}/redriven"
     names = REDRIVEN.fieldNames()
-    letters = read_table(spark, outcomes, OUTCOME).filter(F.col("route") == DEAD_LETTER)
+    letters = read_outcomes(spark, tables).filter(F.col("route") == DEAD_LETTER)
     known = read_table(spark, sent, REDRIVEN).filter(F.col("ingest_id") != run_id)
     put(letters.select(*names).join(known.select(*names), names, "left_anti"), run_id, sent)
     chosen = read_table(spark, sent, REDRIVEN).filter(F.col("ingest_id") == run_id).select(*names)

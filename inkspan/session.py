@@ -57,9 +57,31 @@ def discard(spark: SparkSession, *paths: str) -> None:
         delete_folder(spark, name)
 
 
-def delete_folder(spark: SparkSession, name: str) -> None:
+def file_system(spark: SparkSession, name: str):
+    """The Hadoop file system of a path, and the path as its object."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def delete_folder(spark: SparkSession, name: str) -> None:
+    system, path = file_system(spark, name)
+    system.delete(path, True)
+
+
+def write_file(spark: SparkSession, name: str, content: str) -> None:
+    system, path = file_system(spark, name)
+    stream = system.create(path, True)
+    try:
+        stream.write(bytearray(content.encode()))
+    finally:
+        stream.close()
+
+
+def rename_file(spark: SparkSession, name: str, to: str) -> None:
+    """Give a file a name that no other has."""
+    system, path = file_system(spark, name)
+    if not system.rename(path, file_system(spark, to)[1]):
+        raise OSError(f"{name} cannot be renamed to {to}")
 
 
 def spread(rows: DataFrame, key: str) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from inkspan.sources.tables import replace_partition
+from inkspan.sources.tables import read_runs, replace_run
 
 HORIZON = "5 minutes"
+#: Parts of the ledger of a table, by a hash of the key; fixed, since written tables have them.
+BUCKETS, BUCKET = 64, "key_bucket"
 
 
 def run(
@@ -49,36 +51,57 @@ def unique_messages(
     )
 
 
-def open_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Make the folder of a table partitioned by ``ingest_id``, if it is missing."""
-    spark.createDataFrame([], _with_ingest(schema)).write.mode("append").partitionBy(
-        "ingest_id"
-    ).parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType, home: str | None = None) -> DataFrame:
+    """The published rows of a table of runs, none where there is no run yet."""
+    return read_runs(spark, path, _with_ingest(schema), home).drop(BUCKET)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(_with_ingest(schema)).parquet(path)
+def bucket_of(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def ledger(
+    spark: SparkSession, path: str, schema: T.StructType, asking: DataFrame, keys: tuple[str, ...], batch_id: int,
+    home: str | None = None,
+) -> DataFrame:
+    """The rows of other batches in the buckets of the keys that ask.
+
+    The buckets, at most ``BUCKETS`` numbers, are a partition filter: a small batch
+    reads its own parts of the table and no others.
+    """
+    wanted = [r[0] for r in asking.select(bucket_of(*keys)).distinct().collect()]
+    rows = read_runs(spark, path, T.StructType([*_with_ingest(schema), T.StructField(BUCKET, T.IntegerType())]), home)
+    return rows.filter(F.col(BUCKET).isin(wanted) & (F.col("ingest_id") != batch_id)).drop(BUCKET)
+
+
+def put_by_key(rows: DataFrame, batch_id: int, path: str, keys: tuple[str, ...]) -> None:
+    """Replace the rows of ``batch_id``, one file for each bucket of keys."""
+    put(by_bucket(rows, keys), batch_id, path, BUCKET)
+
+
+def by_bucket(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    return rows.withColumn(BUCKET, bucket_of(*keys)).repartition(BUCKET)
 
 
 def ingest(batch: DataFrame, batch_id: int, path: str, keys: tuple[str, ...]) -> None:
     """Write the rows of a batch whose keys no other batch has written.
 
     A key repeated inside the batch is written once. Handing over the same
-    batch again replaces its own partition, so every key stays there once.
+    batch again replaces its own rows, so every key stays there once.
     """
     spark = batch.sparkSession
     kept = first_per_key(batch, keys).persist()
     try:
-        written = read_table(spark, path, batch.schema).filter(F.col("ingest_id") != batch_id)
+        written = ledger(spark, path, batch.schema, kept, keys, batch_id)
         known = written.select(*keys).join(kept.select(*keys), list(keys), "left_semi")
-        put(not_known(kept, known, keys), batch_id, path)
+        put_by_key(not_known(kept, known, keys), batch_id, path, keys)
     finally:
         kept.unpersist()
 
 
 def put(rows: DataFrame, batch_id: int, path: str, *more_partitions: str) -> None:
-    """Replace the partition of ``batch_id`` by these rows, or by none."""
-    replace_partition(rows, f"{path}/ingest_id={batch_id}", *more_partitions)
+    """Replace the rows of ``batch_id`` by these, or by none."""
+    replace_run(rows, path, batch_id, *more_partitions)
 
 
 def first_per_key(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from inkspan.operators.routing import DEAD_LETTER, MAX_ATTEMPTS, RETRY, route_deliveries
 from inkspan.schemas import FAILURE_REASON
-from inkspan.streaming.ingest import open_table, put, read_table, run
+from inkspan.sources.tables import read_runs
+from inkspan.streaming.ingest import put, read_table, run
 
 REDRIVEN, KEPT = "redriven", "kept"
 
@@ -41,7 +42,6 @@ def route_stream(
     open_schema = T.StructType([
         deliveries.schema[key], T.StructField("open_failures", T.IntegerType()),
     ])
-    open_table(spark, opened, open_schema)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         waiting = read_table(spark, opened, open_schema).filter(F.col("ingest_id") == batch_id - 1)
@@ -68,7 +68,7 @@ def route_stream(
 
 
 def read_routes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/routes")
+    return read_runs(spark, f"{path}/routes")
 
 
 def redrive_stream(

@@ -1,6 +1,7 @@
 import hashlib
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from inkspan.functions.messages import notification_body
@@ -10,6 +11,7 @@ from inkspan.operators.integrity import verify_hashes
 from inkspan.schemas import CHUNK, MANIFEST
 from inkspan.sources import notifications
 from inkspan.sources.files import parse_form_feed_text
+from inkspan.plans.vectorize import read_chunks, read_outcomes
 from inkspan.streaming.ingest import read_table
 
 FILES = {"a.pdf": b"one|two\f \fthree", "b.pdf": b"four", "bad.pdf": b"\xff"}
@@ -100,7 +102,7 @@ def test_notifications_to_table(spark, folder):
         )
         return sorted(
             (r.key, r.receive_count, r.route, r.error and r.error.split(":")[0])
-            for r in spark.read.parquet(folder + "/tables/outcomes").collect()
+            for r in read_outcomes(spark, folder + "/tables").collect()
         )
 
     send(spark, folder, "a.pdf", "a.pdf", "bad.pdf", "c.pdf", "late.pdf")
@@ -123,7 +125,7 @@ def test_notifications_to_table(spark, folder):
         ("late.pdf", 1, "retry", "FileNotFoundError"),
         ("late.pdf", 2, "done", None),
     ]
-    table = read_table(spark, folder + "/tables/chunks", CHUNK)
+    table = read_chunks(spark, folder + "/tables")
     assert table_rows(table) == ROWS[:3] + [("late.pdf", 0, 0, "four")]
 
     # The same content again gives no rows, changed content does.
@@ -133,7 +135,7 @@ def test_notifications_to_table(spark, folder):
     fill(folder + "/in", {"late.pdf": b"five"})
     send(spark, folder, "late.pdf", receive_count=1)
     consume()
-    table = read_table(spark, folder + "/tables/chunks", CHUNK)
+    table = read_chunks(spark, folder + "/tables")
     assert [r[3] for r in table_rows(table)[3:]] == ["five", "four"]
 
     # Dead letters go back whole: one file is mended, the other dies again.
@@ -143,11 +145,43 @@ def test_notifications_to_table(spark, folder):
     again = consume()
     assert ("bad.pdf", 1, "done", None) in again
     assert again.count(("c.pdf", 1, "retry", "file hash mismatch")) == 2
-    table = read_table(spark, folder + "/tables/chunks", CHUNK)
+    table = read_chunks(spark, folder + "/tables")
     assert "mended" in [r[3] for r in table_rows(table)]
     assert vectorize.redrive(spark, folder + "/queue", folder + "/tables", 2).count() == 0
 
 
+def test_a_consumer_that_fails_late_shows_nothing_of_its_batch(spark, folder, monkeypatch):
+    fill(folder + "/in", {"a.pdf": b"one", "b.pdf": b"two"})
+    manifest = spark.createDataFrame([], MANIFEST)
+    place = folder + "/tables"
+
+    def consume():
+        vectorize.consume_notifications(
+            spark, folder + "/queue", "file://" + folder + "/in", manifest, parse_form_feed_text,
+            place, folder + "/offsets", size=3, separator="|",
+        )
+
+    send(spark, folder, "a.pdf")
+    consume()
+    send(spark, folder, "b.pdf")
+    stage = vectorize.stage
+
+    def breaks(rows, path, *rest):
+        if path.endswith("outcomes"):
+            rows = rows.withColumn("error", F.raise_error(F.lit("disk full")).cast("string"))
+        return stage(rows, path, *rest)
+
+    monkeypatch.setattr(vectorize, "stage", breaks)
+    with pytest.raises(Exception, match="disk full"):
+        consume()
+    assert [r.file_name for r in read_chunks(spark, place).collect()] == ["a.pdf"]
+    assert [r.key for r in read_outcomes(spark, place).collect()] == ["a.pdf"]
+    monkeypatch.setattr(vectorize, "stage", stage)
+    consume()
+    assert sorted(r.file_name for r in read_chunks(spark, place).collect()) == ["a.pdf", "b.pdf"]
+    assert sorted(r.key for r in read_outcomes(spark, place).collect()) == ["a.pdf", "b.pdf"]
+
+
 def test_one_hash_per_key(spark):
     files = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x")], "key string, content string")
     good = hashlib.md5(b"x").hexdigest()

@@ -153,13 +153,51 @@ def test_table_life(spark, folder):
     assert not spark.catalog.tableExists(name)
 
 
+def test_rows_of_a_foreign_table_are_not_deleted(spark, folder):
+    spark.range(3).write.parquet(folder + "/theirs")
+    spark.sql(f"CREATE TABLE a_foreign_table (id long) USING parquet LOCATION '{folder}/theirs'")
+    assert tables.drop_table(spark, "a_foreign_table") and not spark.catalog.tableExists("a_foreign_table")
+    assert spark.read.parquet(folder + "/theirs").count() == 3
+
+
+def test_a_failing_rerun_keeps_the_rows_and_readers_keep_theirs(spark, folder):
+    rows = spark.range(5)
+    tables.append_folder(rows, folder + "/t", 1)
+    before = tables.read_runs(spark, folder + "/t")
+    broken = rows.select(F.when(F.col("id") == 3, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        tables.append_folder(broken, folder + "/t", 1)
+    assert tables.read_runs(spark, folder + "/t").count() == 5
+    tables.append_folder(spark.range(7), folder + "/t", 1)
+    assert before.count() == 5 and tables.read_runs(spark, folder + "/t").count() == 7
+    tables.append_folder(spark.range(0), folder + "/t", 1)
+    assert tables.read_runs(spark, folder + "/t").count() == 0
+    run = Path(folder, "t", "ingest_id=1")
+    assert len(list(run.glob("version=*"))) == 2  # the last and the one before; no half-written one
+    with pytest.raises(ValueError):
+        tables.read_runs(spark, folder + "/none")
+
+
+def test_two_tables_are_published_together(spark, folder):
+    first, second = f"{folder}/all/a", f"{folder}/all/b"
+    versions = [tables.stage(spark.range(n), path, 4) for n, path in ((2, first), (3, second))]
+    schema = "id long, ingest_id long"
+    def counts():
+        return [tables.read_runs(spark, p, spark.createDataFrame([], schema).schema, f"{folder}/all").count() for p in (first, second)]
+    assert counts() == [0, 0]
+    tables.publish(spark, *versions, home=f"{folder}/all")
+    assert counts() == [2, 3]
+    tables.publish(spark, tables.stage(spark.range(9), second, 4), home=f"{folder}/all")
+    assert counts() == [2, 9]
+
+
 def test_repeated_ingest_replaces_itself(spark, folder):
     def rows(*values):
         return spark.createDataFrame([(v,) for v in values], "i int")
 
     for run, values in ((1, (1, 2)), (2, (3,)), (1, (1, 2))):
         tables.append_folder(rows(*values), folder + "/t", run)
-    assert sorted(tuple(r) for r in spark.read.parquet(folder + "/t").collect()) == [
+    assert sorted(tuple(r) for r in tables.read_runs(spark, folder + "/t").collect()) == [
         (1, 1), (2, 1), (3, 2),
     ]
 

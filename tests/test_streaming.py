@@ -20,7 +20,6 @@ def messages(spark, ids, ts=0):
 def consume(spark, folder, max_files=1000, key=("message_id",)):
     stream = notifications.read_messages(spark, folder + "/queue", max_files)
     stream = stream.select("message_id", "body")
-    ingest.open_table(spark, folder + "/table", stream.schema)
     ingest.run(
         stream, lambda b, i: ingest.ingest(b, i, folder + "/table", key), folder + "/offsets"
     )
@@ -51,7 +50,6 @@ def test_restart_and_redelivery(spark, folder):
 def test_replayed_batches(spark, folder):
     path = folder + "/table"
     batches = {0: [1, 2, 2], 1: [2, 3]}
-    ingest.open_table(spark, path, ENVELOPE)
     for batch_id in (0, 0, 1, 1, 0):
         ingest.ingest(messages(spark, batches[batch_id]), batch_id, path, ("message_id",))
     table = ingest.read_table(spark, path, ENVELOPE)
@@ -62,7 +60,6 @@ def test_replayed_batches(spark, folder):
 def test_failed_batch_is_handed_over_again(spark, folder):
     notifications.write_messages(messages(spark, range(4)), folder + "/queue")
     stream = notifications.read_messages(spark, folder + "/queue")
-    ingest.open_table(spark, folder + "/table", ENVELOPE)
     calls = []
 
     def fails_once(batch, batch_id):
@@ -83,7 +80,6 @@ def test_repeats_within_the_horizon(spark, folder):
     later = messages(spark, range(2, 6), ts=-90 * 24 * 3600)
     notifications.write_messages(later.coalesce(1), folder + "/queue")
     stream = ingest.unique_messages(notifications.read_messages(spark, folder + "/queue", 1))
-    ingest.open_table(spark, folder + "/table", stream.schema)
     ingest.run(stream, lambda b, i: ingest.put(b, i, folder + "/table"), folder + "/offsets")
     assert ids_in(ingest.read_table(spark, folder + "/table", stream.schema)) == list(range(6))
 
@@ -110,3 +106,18 @@ def test_open_failures_pass_from_run_to_run(spark, folder, runs, block):
     assert reasons <= {
         ("done", None), ("retry", None), ("dead_letter", "Exceeded max retry attempts"),
     }
+
+
+def test_a_batch_reads_its_own_parts_of_the_ledger(spark, folder):
+    path = folder + "/table"
+    rows = spark.range(500).select(F.col("id").cast("string").alias("message_id"), F.lit("k").alias("key"))
+    ingest.ingest(rows, 0, path, ("message_id",))
+    some = rows.filter("message_id IN ('3', '77')")
+    asked = ingest.ledger(spark, path, rows.schema, some, ("message_id",), 1)
+    scanned = {name.split("key_bucket=")[1].split("/")[0] for name in asked.inputFiles()}
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "key_bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    touched = {str(r[0]) for r in some.select(ingest.bucket_of("message_id")).collect()}
+    assert {str(r[0]) for r in asked.select(ingest.bucket_of("message_id")).distinct().collect()} == touched < scanned
+    ingest.ingest(some.unionByName(spark.createDataFrame([("new", "k")], rows.schema)), 1, path, ("message_id",))
+    assert ingest.read_table(spark, path, rows.schema).count() == 501

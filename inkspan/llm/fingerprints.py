@@ -13,89 +13,68 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from inkspan.llm.common import text_of, texts
+from inkspan.llm.common import text_of, texts, written
 
 SAMPLES = 128
-#: Words whose variables a task remembers, and words of a text that are worked on at a time.
-KNOWN, BLOCK_WORDS = 1 << 15, 1 << 12
+#: Words of a text that are worked on at a time, and those of them that occur more than once.
+BLOCK_WORDS, BLOCK_HEAVY = 1 << 12, 1 << 9
 SEED = 3
 EMPTY = "0" * (4 * SAMPLES)
-#: Documents of one block of the order that ``with_edited`` works through.
-BLOCK_ROWS = 4096
+#: Documents of one block of the order that ``with_edited`` works through, and most blocks.
+BLOCK_ROWS, MOST_BLOCKS = 2048, 1 << 16
 
 
-def _mixed(numbers: np.ndarray) -> np.ndarray:
-    """Well spread 64-bit numbers, one for each."""
-    numbers = (numbers ^ (numbers >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    numbers = (numbers ^ (numbers >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return numbers ^ (numbers >> np.uint64(31))
+#: Three rows of numbers for the positions, one for each uniform variable.
+_POSITIONS = np.random.default_rng(SEED).integers(0, 1 << 32, (3, SAMPLES), np.uint32)
 
 
-def _gamma(numbers: np.ndarray) -> np.ndarray:
-    """Gamma variables of shape 2: the sum of two exponential ones, from the halves of each number."""
-    high, low = numbers >> np.uint64(32), numbers & np.uint64(0xFFFFFFFF)
-    return -np.log((high + 0.5) * (low + 0.5) * 2.0**-64)
+def _drawn(words: np.ndarray, number: int, positions: np.ndarray = _POSITIONS) -> np.ndarray:
+    """A uniform 32-bit number of each word hash (row) and position, from both halves of the hash."""
+    low, high = words.astype(np.uint32), (words >> np.uint64(32)).astype(np.uint32)
+    found = low[:, None] ^ positions[number][None, :]
+    found *= np.uint32(0x7FEB352D)
+    found ^= found >> np.uint32(15)
+    found += high[:, None]
+    found *= np.uint32(0x846CA68B)
+    found ^= found >> np.uint32(14)
+    found *= np.uint32(0x9E3779B1)
+    found ^= found >> np.uint32(16)
+    return found
 
 
-def _made(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c, b and the key at weight 1 of each word hash (row) and position."""
-    positions = _mixed(np.arange(SEED * 4 * SAMPLES, (SEED + 1) * 4 * SAMPLES, dtype=np.uint64)).reshape(4, SAMPLES)
-    seeds = _mixed(words.astype(np.uint64))[:, None]
-    r = _gamma(_mixed(seeds + positions[0])).astype(np.float32)
-    log_c = np.log(_gamma(_mixed(seeds + positions[1]))).astype(np.float32)
-    b = ((_mixed(seeds + positions[2]) >> np.uint64(40)) * 2.0**-24).astype(np.float32)
-    return r, log_c, b, log_c - r * (1 - b)
+def _exponential(numbers: np.ndarray) -> np.ndarray:
+    """Exponential variables of single precision, falling with the numbers."""
+    return -np.log((numbers.astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-32))
 
 
-class _Known:
-    """The variables of words met so far; forgotten when full, and made again as they were."""
+def _rising(numbers: np.ndarray) -> np.ndarray:
+    """Exponential variables, rising with the numbers; small ones keep their precision."""
+    v = (numbers.astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-32)
+    few = v * (1 + v * (np.float32(1 / 2) + v * (np.float32(1 / 3) + v * np.float32(1 / 4))))
+    return np.where(v < 0.01, few, -np.log(np.maximum(1 - v, np.float32(2.0**-33))))
 
-    def __init__(self):
-        self.place: dict[int, int] = {}
-        self.columns = tuple(np.empty((KNOWN, SAMPLES), np.float32) for _ in range(4))
 
-    def places(self, words: np.ndarray) -> np.ndarray:
-        """The rows of at most ``BLOCK_WORDS`` different words."""
-        each = words.tolist()
-        new = [w for w in each if w not in self.place]
-        if len(self.place) + len(new) > KNOWN:
-            self.place.clear()
-            new = each
-        for at in range(0, len(new), 256):  # few at a time stay in the processor's cache
-            some, start = new[at : at + 256], len(self.place)
-            for column, made in zip(self.columns, _made(np.array(some, words.dtype)), strict=True):
-                column[start : start + len(some)] = made
-            self.place.update(zip(some, range(start, start + len(some)), strict=True))
-        return np.fromiter(map(self.place.__getitem__, each), np.int64, len(each))
+def _variables(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c and b of each word and position, from the number that orders it at weight 1.
 
-
-class _Column:
-    """One of the variables, by word hash."""
-
-    def __init__(self, known: _Known, number: int):
-        self.known, self.number = known, number
-
-    def __getitem__(self, words: np.ndarray) -> np.ndarray:
-        return self.known.columns[self.number][self.known.places(words)]
-
-
-@cache
-def _known() -> _Known:
-    return _Known()
-
-
-def _variables() -> tuple[_Column, ...]:
-    """r, ln c and b for each word hash and position, and the key at weight 1."""
-    return tuple(_Column(_known(), n) for n in range(4))
+    At weight 1 the key is a = c exp(-r (1 - b)). With gamma variables of shape 2, r
+    times 1 - b and r times b are two independent exponential ones, and so are a and
+    c - a. So a, c - a and r b are drawn, and r, b and c follow with their own law.
+    """
+    a = _rising(first)
+    c = a + _exponential(_drawn(words, 1))
+    log_c = np.log(c)
+    rb = _exponential(_drawn(words, 2))
+    r = log_c - np.log(a) + rb
+    return r, log_c, rb / r
 
 
 def fingerprint(text: str) -> np.ndarray:
@@ -108,13 +87,16 @@ def fingerprint(text: str) -> np.ndarray:
 
 
 def _draw(words: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    best, drawn, t_drawn = np.full(SAMPLES, np.inf, np.float32), np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES)
-    for start in range(0, len(words), BLOCK_WORDS):
-        some = words[start : start + BLOCK_WORDS]
-        least, key, t = _least(some, weights[start : start + BLOCK_WORDS])
-        better = key < best
-        best[better], t_drawn[better] = key[better], t[better]
-        drawn[better] = some[least[better]].astype(np.uint64)
+    best, drawn, t_drawn = np.full(SAMPLES, np.inf), np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES)
+    light = weights == 1
+    for each, size, least in ((words[light], BLOCK_WORDS, _least_light), (words[~light], BLOCK_HEAVY, _least_heavy)):
+        of_each = weights[~light]
+        for start in range(0, len(each), size):
+            some = each[start : start + size]
+            at, key, t = least(some, of_each[start : start + size])
+            better = key < best
+            best[better], t_drawn[better] = key[better], t[better]
+            drawn[better] = some[at[better]]
     drawn *= np.uint64(0x9E3779B97F4A7C15)
     drawn += t_drawn.astype(np.int64).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
     drawn ^= drawn >> np.uint64(32)
@@ -122,21 +104,20 @@ def _draw(words: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.maximum(marks, 1)
 
 
-def _least(words: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each position the word of least key, the key and its t."""
-    places = _known().places(words)
-    r_all, log_c, b_all, at_one = _known().columns
-    keys = at_one[places]  # t is 0 at weight 1
-    heavy = np.flatnonzero(weights > 1)
-    r, b = r_all[places[heavy]], b_all[places[heavy]]
-    t_heavy = np.floor(np.log(weights[heavy])[:, None] / r + b)
-    keys[heavy] = log_c[places[heavy]] - r * (t_heavy - b + 1)
+def _least_light(words: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each position the word of weight 1 of least key, the key's logarithm and t, which is 0."""
+    numbers = _drawn(words, 0)
+    least = numbers.argmin(0)
+    return least, np.log(_rising(numbers[least, np.arange(SAMPLES)])), np.zeros(SAMPLES)
+
+
+def _least_heavy(words: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for words of greater weights."""
+    r, log_c, b = _variables(words, _drawn(words, 0))
+    t = np.floor(np.log(weights)[:, None] / r + b)
+    keys = log_c - r * (t - b + 1)
     least, at = keys.argmin(0), np.arange(SAMPLES)
-    t = np.zeros(SAMPLES)
-    if heavy.size:
-        place = np.minimum(np.searchsorted(heavy, least), heavy.size - 1)
-        t = np.where(heavy[place] == least, t_heavy[place, at], 0)
-    return least, keys[least, at], t
+    return least, keys[least, at], t[least, at]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -180,79 +161,121 @@ FIELDS = (
 )
 
 
-def blocks(ids: DataFrame, rows: int = BLOCK_ROWS) -> list[tuple[int, int]]:
-    """The greatest and least id of each block of about ``rows``, in descending order.
+def _order_key(ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Byte keys that order by id, descending, and hash, ascending."""
+    both = np.empty((len(ids), 2), ">u8")
+    both[:, 0] = ~(ids.view(np.uint64) ^ np.uint64(1 << 63))
+    both[:, 1] = hashes.view(np.uint64) ^ np.uint64(1 << 63)
+    return both.view("S16")[:, 0]
+
+
+def blocks(keys: DataFrame, rows: int = BLOCK_ROWS, most: int = MOST_BLOCKS) -> list[tuple[int, int, int]]:
+    """Where each block of the order begins: id, hash, and over how many parts it is spread.
 
-    Spark's range partitioning cuts the ids, without texts; two numbers per block
-    come back, and a block holds whole ids.
+    ``keys`` holds the id and the hash of each row. Blocks have about ``rows`` rows, more
+    where there would be over ``most``, and begin at a key that is there. A key with
+    more rows than that is a block of its own, spread over several parts. Only these
+    beginnings, three numbers for each block, come to the driver.
     """
-    n = max(1, -(-ids.count() // rows))
-    cut = ids.repartitionByRange(n, F.desc("id")).groupBy(F.spark_partition_id().alias("part"))
-    found = cut.agg(F.max("id").alias("high"), F.min("id").alias("low")).collect()
-    return sorted(((r.high, r.low) for r in found), reverse=True)
+    counted = written(keys.groupBy("id", "hash").agg(F.count("*").alias("n")), "order-keys")
+    size = max(rows, -(-(counted.agg(F.sum("n")).first()[0] or 0) // most))
+    order = [F.desc("id"), F.asc("hash")]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], size
+        for batch in batches:
+            columns = (batch.column(name).to_pylist() for name in ("id", "hash", "n"))
+            for key, hash_, n in zip(*columns, strict=True):
+                if held >= size or n > size:
+                    found.append((key, hash_, -(-n // size)))
+                    held = 0
+                held += n
+        names = ["id", "hash", "parts"]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x[i] for x in found], pa.int64()) for i in range(3)], names
+        )
+
+    ranges = counted.repartitionByRange(*order).sortWithinPartitions(*order)
+    begins = ranges.mapInArrow(cut, "id long, hash long, parts long").collect()
+    return sorted((tuple(r) for r in begins), key=lambda r: (-r[0], r[1]))
 
 
 def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document against its edited text and the next one, in descending id.
 
     The next of the last is the first. Null ids come last, equal ids in the order
-    of a hash of their texts; null texts are empty. Blocks of ids are shuffled
-    once and worked through in order, a text at a time; the first document of a
-    block is sent to the block before as well, as its last one's next. So the
-    last document of a block meets its next wherever the blocks are worked on.
+    of a hash of their texts; null texts are empty. Blocks of this order are shuffled
+    once and worked through, a text at a time; the first document of a block is sent
+    to the block before as well, as its last one's next. So the last document of a
+    block meets its next wherever the blocks are worked on. Rows of equal id and text
+    that fill a block are spread, since each but the last has its own text as next.
     """
     spark = docs.sparkSession
-    least = -(1 << 63)
-    order = F.coalesce(F.col(id_col).cast("long"), F.lit(least))
-    spans = blocks(docs.select(order.alias("id")))
-    if not spans:
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")
+    ).withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("hash", F.xxhash64("text"))
+    begins = blocks(rows.select("id", "hash"))
+    if not begins:
         return spark.createDataFrame([], FIELDS)
-    lows = spark.sparkContext.broadcast(np.array([-low for _, low in spans]))
-    heads = spark.sparkContext.broadcast(np.array([high for high, _ in spans]))
-
-    @F.pandas_udf("array<long>")
-    def places(ids):
-        """The block of an id, and the block before it if it is the greatest of its block."""
-        block = np.searchsorted(lows.value, -ids.to_numpy())
-        first = heads.value[block] == ids.to_numpy()
-        n = len(heads.value)
-        found = ([b, (b - 1) % n + n] if f else [b] for b, f in zip(block, first, strict=True))
-        return pd.Series(list(found), dtype=object)
+    table = np.array(begins, np.int64)
+    starts, parts = _order_key(table[:, 0].copy(), table[:, 1].copy()), table[:, 2]
+    firsts = np.concatenate([[0], np.cumsum(parts)])
+    total = int(firsts[-1])
+    sent = spark.sparkContext.broadcast((starts, parts, firsts))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row with its place, and the first of a block once more for the place before."""
+        starts, parts, firsts = sent.value
+        turn, heads = TaskContext.get().partitionId(), set()
+        for batch in batches:
+            keys = _order_key(batch.column("id").to_numpy(), batch.column("hash").to_numpy())
+            block = np.searchsorted(starts, keys, "right") - 1
+            spread = parts[block] > 1
+            step = np.cumsum(spread) + turn
+            turn = int(step[-1]) if len(step) else turn
+            place = firsts[block] + np.where(spread, step % parts[block], 0)
+            new = [i for i in np.flatnonzero(starts[block] == keys) if block[i] not in heads and not heads.add(block[i])]
+            before = (firsts[block[new]] - 1) % total
+            every = batch.take(pa.array(np.concatenate([np.arange(len(keys)), np.array(new, np.int64)])))
+            yield pa.RecordBatch.from_arrays(
+                [*every.columns, pa.array(np.concatenate([place, before]).astype(np.int32)),
+                 pa.array(np.arange(len(keys) + len(new)) >= len(keys))],
+                [*every.schema.names, "place", "extra"],
+            )
 
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), order.alias("id"), text_of(text_col).alias("text")
-    ).withColumn("place", F.explode(places("id")))
-    n = len(spans)
-    # A block number of n or more marks a document that is only the next of the last.
-    rows = rows.select(
-        "doc_id", "id", "text", (F.col("place") % n).alias("block"), (F.col("place") >= n).alias("extra")
-    )
-    dealt = rows.repartition(max(n, 1), "block").sortWithinPartitions(
-        "block", "extra", F.desc("id"), F.xxhash64("text"), "text"
-    )
-    return dealt.mapInArrow(_pairs, FIELDS)
+    dealt = rows.mapInArrow(deal, "doc_id long, text string, id long, hash long, place int, extra boolean")
+    dealt = dealt.repartitionById(total, "place").sortWithinPartitions("extra", F.desc("id"), "hash")
+    return dealt.select("doc_id", "text", "extra").mapInArrow(_pairs, FIELDS)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row with the one after it in its block; the one after the last is extra."""
+    """Each row with the one after it in its place; the one after the last is extra.
+
+    A place without an extra row holds equal texts, of which the last is followed by
+    another one elsewhere.
+    """
     before = None
     for batch in batches:
         out = []
-        ids, many = batch.column("doc_id").to_pylist(), texts(batch)
-        places, extras = batch.column("block").to_pylist(), batch.column("extra").to_pylist()
-        for doc_id, text, place, extra in zip(ids, many, places, extras, strict=True):
-            if before and before[2] == place and before[3]:
-                continue  # further rows with the id that follows the block
-            own = fingerprint(text)
-            if before and before[2] == place:
-                out.append(_compare(*before[:2], before[4], text, own))
-            before = (doc_id, text, place, extra, own)
-        columns = zip(*out, strict=True) if out else [()] * 7
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            [f.split()[0] for f in FIELDS.split(", ")],
-        )
+        ids, many, extras = (batch.column(0).to_pylist(), texts(batch), batch.column("extra").to_pylist())
+        for doc_id, text, extra in zip(ids, many, extras, strict=True):
+            if before and before[2]:
+                break  # the same first document, sent by several tasks
+            own = before[3] if before and before[1] == text else fingerprint(text)
+            if before:
+                out.append(_compare(before[0], before[1], before[3], text, own))
+            before = (doc_id, text, extra, own)
+        yield _as_batch(out)
+    if before and not before[2]:
+        yield _as_batch([_compare(before[0], before[1], before[3], before[1], before[3])])
+
+
+def _as_batch(out: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*out, strict=True) if out else [()] * 7
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in FIELDS.split(", ")]
+    )
 
 
 def _compare(doc_id: int, text: str, own: np.ndarray, following: str, its: np.ndarray) -> tuple:

@@ -178,12 +178,25 @@ def test_collision_rate_of_texts_of_many_words(shared):
     assert abs(np.mean(found)) < 0.04 and (shared or max(found) < 0.02)
 
 
+def test_variables_follow_their_laws():
+    words = np.random.default_rng(5).integers(0, 1 << 64, 3000, np.uint64)
+    r, log_c, b = fingerprints._variables(words, fingerprints._drawn(words, 0))
+    c = np.exp(log_c)
+    for gamma in (r, c):  # of shape 2: mean 2, variance 2
+        assert abs(gamma.mean() - 2) < 0.02 and abs(gamma.var() - 2) < 0.08
+        assert abs((gamma < 1).mean() - (1 - 2 / np.e)) < 0.005
+    assert abs(b.mean() - 1 / 2) < 0.005 and abs(b.var() - 1 / 12) < 0.002 and 0 <= b.min() and b.max() <= 1
+    among = np.corrcoef(np.stack([r.ravel(), c.ravel(), b.ravel()]))
+    assert np.abs(among - np.eye(3)).max() < 0.01
+    assert np.abs(np.corrcoef(r.T) - np.eye(fingerprints.SAMPLES)).max() < 0.12  # positions are independent
+
+
 def test_weighted_draws_against_the_formula():
-    r, log_c, b, _ = fingerprints._variables()
-    words, weights = np.array([3, 17, 900]), np.array([1, 2, 5], np.float32)
-    t = np.floor(np.log(weights)[:, None] / r[words] + b[words])
-    y = np.exp(r[words] * (t - b[words]))
-    drawn = (log_c[words] - np.log(y * np.exp(r[words]))).argmin(0)
+    words, weights = np.array([3, 17, 900], np.uint64), np.array([1, 2, 5], np.float32)
+    r, log_c, b = fingerprints._variables(words, fingerprints._drawn(words, 0))
+    t = np.floor(np.log(weights)[:, None] / r + b)
+    y = np.exp(r * (t - b))
+    drawn = (log_c - np.log(y * np.exp(r))).argmin(0)
     one, other = fingerprints._draw(words, weights), fingerprints._draw(words[::-1].copy(), weights[::-1].copy())
     assert np.array_equal(one, other)
     marks = {(d, int(t[d, i])): m for i, (d, m) in enumerate(zip(drawn, one))}
@@ -195,7 +208,7 @@ def test_weighted_draws_against_the_formula():
 def test_edited_pairs_in_blocks_of_any_size(spark, monkeypatch, size):
     docs = [(i, t or "") for i, t, *_ in rows() if i is not None]
     ids = sorted({i for i, _ in docs}, reverse=True)
-    monkeypatch.setattr(fingerprints.blocks, "__defaults__", (size,))
+    monkeypatch.setattr(fingerprints.blocks, "__defaults__", (size, 1 << 16))
     found = fingerprints.with_edited(odd_documents(spark).where("doc_id IS NOT NULL")).collect()
     assert len(found) == len(docs)
     once = {i: t for i, t in docs if sum(j == i for j, _ in docs) == 1}
@@ -215,12 +228,17 @@ def test_edited_pairs_in_blocks_of_any_size(spark, monkeypatch, size):
     assert checked > 30
 
 
-def test_fingerprints_of_odd_rows(spark):
+@pytest.mark.parametrize("size", [4096, 8])
+def test_fingerprints_of_odd_rows(spark, monkeypatch, size):
+    monkeypatch.setattr(fingerprints.blocks, "__defaults__", (size, 1 << 16))
     found = fingerprints.with_edited(odd_documents(spark)).collect()
     assert len(found) == len(rows())
     assert {r.fingerprint for r in found if r.doc_id in (300, 301, 302)} == {fingerprints.EMPTY}
     assert fingerprints.with_edited(no_documents(spark)).count() == 0
     assert fingerprints.fingerprints(odd_documents(spark)).select("fingerprint").distinct().count() < len(rows())
+    hot = spark.createDataFrame([(None, f"text number {i % 2} of two") for i in range(90)] + [(7, "a b c d e f")], "doc_id long, text string")
+    found = fingerprints.with_edited(hot).collect()
+    assert Counter(r.doc_id for r in found) == {None: 90, 7: 1} and Counter(r.near_next == 1 for r in found)[False] == 3
     alone = fingerprints.with_edited(odd_documents(spark).where("doc_id = 5")).first()
     assert alone.near_next == 1.0
 

@@ -1,17 +1,16 @@
 """Line dedup by a segment-partition edit join.
 
-Lines that differ by at most ``EDITS`` characters are one class; of a class the
-first line of all documents stays. If a line is cut into EDITS + 1 segments, one
-of them is unchanged in every line that close. So each distinct line is indexed
-by its segments, with its length, and asks for the substrings of its own that a
-shorter or equally long line could have there. Lines that meet, and whose
+Lines that differ by a few characters, of short ones fewer (``edits``), are one class;
+of a class the first line of all documents stays. If a line is cut into one segment
+more than it may have edits, one of them is unchanged in every line that close. So
+each distinct line is indexed by its segments, with its length, and asks for the
+substrings of its own that a shorter or equally long line could have there. Lines that meet, and whose
 signatures allow it, are compared by a banded bit-parallel edit distance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,7 +22,8 @@ from pyspark.sql import functions as F
 from inkspan.llm.common import WORD, text_of, written
 from inkspan.llm.graph import components
 
-EDITS = 2
+#: Most edits of a link, and the lengths from which the shorter line may have one and two.
+EDITS, EDITS_FROM = 2, (12, 24)
 #: A line of so many words is long. Shorter ones, as headings, dates and greetings, are
 #: no repeats by themselves; next to other repeated lines they are.
 LEAST_WORDS = 8
@@ -49,27 +49,32 @@ def split_lines(
     return each.where(F.col("line").rlike(WORD) if short else F.col("is_long")).withColumn("node", F.xxhash64("line"))
 
 
-@lru_cache(maxsize=1 << 16)
+def edits(length: int) -> int:
+    """How many edits two lines may have whose shorter one has this length."""
+    return sum(length >= least for least in EDITS_FROM)
+
+
 def segments(length: int) -> list[tuple[int, int]]:
     """Start and length of the segments of a line of this length; the last ones are longer."""
-    n = EDITS + 1
+    n = edits(length) + 1
     size, longer = divmod(length, n)
     sizes = [size + (i >= n - longer) for i in range(n)]
     return [(sum(sizes[:i]), sizes[i]) for i in range(n)]
 
 
-@lru_cache(maxsize=1 << 16)
 def probes(length: int) -> list[tuple[int, int, int, int]]:
     """(length, segment, start, size) of the substrings that a line of this length asks for.
 
     Only starts that leave enough edits for the parts before and after count.
     """
     found = []
-    for shorter in range(max(EDITS + 1, length - EDITS), length + 1):
-        more = length - shorter
+    for shorter in range(max(EDITS_FROM[0], length - EDITS), length + 1):
+        more, most = length - shorter, edits(shorter)
+        if more > most:
+            continue
         for i, (start, size) in enumerate(segments(shorter)):
-            low = max(start - i, start + more - (EDITS - i), 0)
-            high = min(start + i, start + more + (EDITS - i), length - size)
+            low = max(start - i, start + more - (most - i), 0)
+            high = min(start + i, start + more + (most - i), length - size)
             found += [(shorter, i, at, size) for at in range(low, high + 1)]
     return found
 
@@ -93,6 +98,7 @@ def keyed(lines: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         seen: set[int] = set()  # copies of a line in one task are keyed once
+        by_length: dict[int, tuple[list, list]] = {}
         for batch in batches:
             nodes, many = [], []
             for node, line in zip(batch.column("node").to_pylist(), batch.column("line").to_pylist(), strict=True):
@@ -105,8 +111,12 @@ def keyed(lines: DataFrame) -> DataFrame:
             keys, asks, counts = [], [], []
             for raw in many:
                 length = len(raw) // 4
-                # Too short for segments: only equal lines are one class.
-                cuts, wanted = (segments(length), probes(length)) if length > EDITS else ([], [])
+                if length not in by_length:
+                    if len(by_length) > 1 << 14:
+                        by_length.clear()
+                    # Too short for edits: only equal lines are one class.
+                    by_length[length] = (segments(length), probes(length)) if edits(length) else ([], [])
+                cuts, wanted = by_length[length]
                 keys += [digest(raw[4 * a : 4 * (a + n)], length << 2 | i) for i, (a, n) in enumerate(cuts)]
                 keys += [digest(raw[4 * a : 4 * (a + n)], size << 2 | i) for size, i, a, n in wanted]
                 asks += [False] * len(cuts) + [True] * len(wanted)
@@ -274,7 +284,7 @@ def within(a: str, b: str, most: int) -> bool:
 
 
 def links(lines: DataFrame) -> DataFrame:
-    """a, b: the pairs of different lines within ``EDITS`` of each other.
+    """a, b: the pairs of different lines within ``edits`` of each other.
 
     The texts of the lines in some pair are fetched; a bitmap of fixed size goes to
     every task first, so that other lines are not shuffled.
@@ -298,7 +308,7 @@ def links(lines: DataFrame) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = zip(batch.column("line_a").to_pylist(), batch.column("line_b").to_pylist(), strict=True)
-            near = pa.array([within(a, b, EDITS) for a, b in both], pa.bool_())
+            near = pa.array([within(a, b, edits(min(len(a), len(b)))) for a, b in both], pa.bool_())
             yield batch.select(["a", "b"]).filter(near)
 
     return met.select("a", "b", "line_a", "line_b").mapInArrow(verify, "a long, b long")
@@ -316,8 +326,8 @@ def classes(
 
     With ``short``, one per line that holds a word; is_long tells them apart, and is_new
     whether no equal line stands before. class_id is the smallest number of a line's
-    text in its class, n_links how many different texts are within ``EDITS`` of it, of
-    a line of up to ``EDITS`` characters none. Null texts have no lines; rows that are
+    text in its class, n_links how many different texts are within ``edits`` of it, of
+    a line too short for any none. Null texts have no lines; rows that are
     equal in id and text are one document here.
     """
     lines = split_lines(docs, id_col, text_col, short)

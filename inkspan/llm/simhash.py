@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import texts, written
+from inkspan.llm.common import sent, texts, written
 from inkspan.llm.graph import components
 
 SEED = 42
@@ -212,13 +212,14 @@ def dealt(sketches: DataFrame, plan: Plan, trees: list[Tree]) -> DataFrame:
     The root is the component that is known so far, at first the node itself.
     """
     root = "root" if "root" in sketches.columns else "node"
-    sent = sketches.sparkSession.sparkContext.broadcast(trees)
+    get = sent(sketches.sparkSession, trees)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_band = get()
         for batch in batches:
             known = as_words(batch.column("sketch").to_pylist(), plan)
             every = np.arange(len(known))
-            for band, tree in enumerate(sent.value):
+            for band, tree in enumerate(by_band):
                 values = plan.band(known, band)
                 for asks, most in ((False, 0), (True, plan.band_most)):
                     for leaf, some in tree.search(values, every, most):
@@ -271,7 +272,7 @@ def _searched(sketches: DataFrame, plan: Plan, shard_of: Callable) -> DataFrame:
     )
     spread = spread.withColumn("piece", F.explode(pieces)) if cuts else spread.withColumn("piece", F.lit(0))
     band_of = np.array([band for band, tree in enumerate(trees) for _ in tree.leaves()])
-    sent = sketches.sparkSession.sparkContext.broadcast(band_of)
+    bands = sketches.sparkSession.sparkContext.broadcast(band_of)
     tasks = max(int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(band_of) + sum(cuts.values()))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +286,7 @@ def _searched(sketches: DataFrame, plan: Plan, shard_of: Callable) -> DataFrame:
                 if shard is None or shard.key != keys[a]:
                     if shard is not None:
                         yield _edges(shard.stars())
-                    shard = shard_of(keys[a], int(sent.value[keys[a][0]]))
+                    shard = shard_of(keys[a], int(bands.value[keys[a][0]]))
                 part = batch.slice(a, b - a)
                 yield from map(_edges, shard.found(
                     np.array(part.column("asks").to_numpy(zero_copy_only=False), bool),
@@ -295,7 +296,14 @@ def _searched(sketches: DataFrame, plan: Plan, shard_of: Callable) -> DataFrame:
         if shard is not None:
             yield _edges(shard.stars())
 
-    met = spread.repartition(tasks, "shard", "piece").sortWithinPartitions("shard", "piece", "asks")
+    # Places are numbers, not hashes of them: a shard or a piece shares its task with no other.
+    further = dict(zip(cuts, np.cumsum([len(band_of), *(n - 1 for n in cuts.values())]).tolist(), strict=False))
+    place = F.col("shard")
+    if cuts:
+        table = F.create_map(*(F.lit(x) for pair in further.items() for x in pair))
+        place = F.when(F.col("piece") == 0, place).otherwise(table[F.col("shard")] + F.col("piece") - 1)
+    met = spread.withColumn("place", place).repartitionById(tasks, F.col("place").cast("int"))
+    met = met.drop("place").sortWithinPartitions("shard", "piece", "asks")
     return met.mapInArrow(search, "a long, b long")
 
 
@@ -488,36 +496,71 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, plan: Plan) ->
     return both.select("a", "b", "set_a", "set_b").mapInArrow(decide, "a long, b long")
 
 
-def similar(nodes: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
+def similar(nodes: DataFrame, rows: DataFrame, plan: Plan, known: DataFrame | None = None) -> DataFrame:
     """Edges (a, b) that connect all nodes that pairs of the plan's similarity connect.
 
     A few candidates of each node are decided first; after that only pairs between
     the components found so far are, so a group of near copies needs few pairs.
+    ``known`` are edges that hold without being looked for.
     """
-    first = written(verified(candidates(nodes, plan, False), nodes, rows, plan), "similar")
+    first = verified(candidates(nodes, plan, False), nodes, rows, plan)
+    first = written(first if known is None else first.unionByName(known), "similar")
     rooted = nodes.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = written(rooted, "rooted")
     return first.unionByName(written(verified(candidates(rooted, plan, True), rooted, rows, plan), "similar"))
 
 
-def near_groups(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
+    )
+
+
+def changed(docs: DataFrame, earlier: DataFrame) -> DataFrame:
+    """doc_id, mark and text of the earlier texts that differ from those of the documents now.
+
+    Only of ids that one row has on each side. Ids and hashes are compared first.
+    """
+    now, then = (t.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("mark").alias("mark")).where("n = 1") for t in (
+        docs.select("doc_id", "mark"), earlier.select("doc_id", "mark")
+    ))
+    ids = now.join(then.toDF("doc_id", "n_then", "mark_then"), "doc_id").where("mark != mark_then").select("doc_id")
+    return earlier.join(ids, "doc_id", "left_semi")
+
+
+def near_groups(
+    docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str = "text", earlier: DataFrame | None = None
+) -> DataFrame:
     """One row per document: doc_id, mark, sketch, root, component_id, the smallest id it reaches.
 
     Null and empty texts have no words and the sketch of zeros, linked like any
     other. A null id is no candidate for the smallest unless a component has no
     other. Repeated rows are rows of one component; other columns are not read.
+
+    ``earlier`` is a table of the same columns with the texts before some editing, as
+    lines were taken out. Documents then are linked by their earlier texts as well,
+    as far as their ids are of one row each (``changed``).
     """
     rows = written(sketched(docs, plan, id_col, text_col), "sketches")
+    whole, every, same = _texts(docs, id_col, text_col), rows, None
+    if earlier is not None:
+        before = written(changed(rows, _texts(earlier, id_col, text_col)), "earlier-texts")
+        of_before = written(sketched(before, plan), "earlier-sketches")
+        whole, every = whole.unionByName(before), rows.unionByName(of_before)
+        same = of_before.select("doc_id", F.col("node").alias("a")).join(
+            rows.select("doc_id", F.col("node").alias("b")), "doc_id"
+        ).select("a", "b")
     nodes = written(
-        rows.groupBy("node").agg(
+        every.groupBy("node").agg(
             F.first("sketch").alias("sketch"), F.min("doc_id").alias("least"),
             F.min(F.struct("doc_id", "mark")).alias("one"),
         ), "nodes"
     )
-    whole = docs.select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
-    )
-    roots = components(similar(nodes, whole, plan) if plan.similarity else links(nodes, plan))
+    if plan.similarity:
+        edges = similar(nodes, whole, plan, same)
+    else:
+        edges = links(nodes, plan) if same is None else links(nodes, plan).unionByName(same)
+    roots = components(edges)
     named = nodes.select("node", "least").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
@@ -527,13 +570,17 @@ def near_groups(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: s
     return rows.join(of_node, "node").select("doc_id", "mark", "sketch", "root", "component_id")
 
 
-def one_of_each(docs: DataFrame, plan: Plan = LONG, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, plan: Plan = LONG, id_col: str = "doc_id", text_col: str = "text", earlier: DataFrame | None = None
+) -> DataFrame:
     """The documents without near copies: of each component the one of smallest id stays.
 
+    ``earlier`` holds texts before some editing, by which documents are linked as well.
+
     Of equal ids, or where all are null, the text of the smallest hash stays, once.
     All columns stay as they are.
     """
-    groups = near_groups(docs, plan, id_col, text_col)
+    groups = near_groups(docs, plan, id_col, text_col, earlier)
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(
         F.min("mark").alias("mark")
     ).select(F.col("doc_id").alias("_kept_id"), F.col("mark").alias("_kept_mark")).distinct()

@@ -197,7 +197,9 @@ def test_banded_distance_and_segments():
         most = draw.randrange(4)
         far = _distance(a, b)
         assert lines.within(a, b, most) == (far <= most)
-        if min(len(a), len(b)) > 6 and far <= lines.EDITS:
+        assert lines.within("x" + a, "x" + b, most) == (far <= most)
+        a, b = "a" * 7 + a + "b", "a" * 7 + b + "b"
+        if 0 < far <= lines.edits(min(len(a), len(b))):
             short, long = sorted((a, b), key=len)
             index = {(len(short), i, short[p : p + n]) for i, (p, n) in enumerate(lines.segments(len(short)))}
             assert index & {(n, i, long[p : p + z]) for n, i, p, z in lines.probes(len(long))}
@@ -269,13 +271,56 @@ def test_short_lines_have_classes_and_copies_go_whole(spark, folder):
     found = {(r.doc_id, r.line_no): r for r in queries.op6_line_dedup(spark, folder).collect()}
     assert set(found) == {(i, n) for i, t in docs for n, x in enumerate(t.split("\n")) if WORD.search(x)}
     assert found[6, 0].class_id == found[7, 0].class_id and found[6, 0].is_first and not found[7, 0].is_first
-    assert found[8, 2].class_id == found[9, 1].class_id and found[8, 2].n_links == 1
+    assert found[8, 2].class_id != found[9, 1].class_id and found[8, 2].n_links == 0  # five characters
     assert found[8, 0].class_id != found[9, 0].class_id and found[3, 3].class_id == found[1, 4].class_id
     left = {r.doc_id: r.text for r in lines.without_repeats(table, short=True).collect()}
     assert set(left) == {1, 3, 4, 5, 6, 7, 8, 9} and left[5] == f"{own[3]}\nend of five"
     assert all(left[i] == t for i, t in docs if i not in (2, 5))
 
 
+def test_classes_of_short_lines_against_brute_force(spark):
+    draw = random.Random(21)
+    base = [_edit("", draw, 400, "abcdefgh ")[:n].strip() + "x" for n in range(1, 40) for _ in range(2)]
+    many = base + [_edit(b, draw, draw.randrange(1, 4), "abé ") for b in base for _ in range(3)]
+    docs = [(i, "\n".join(many[4 * i : 4 * i + 4])) for i in range(len(many) // 4)]
+    where = {(i, n): x.strip(lines.BLANKS) for i, t in docs for n, x in enumerate(t.split("\n")) if WORD.search(x)}
+    different = sorted(set(where.values()))
+    plain, degree = Groups(different), Counter()
+    for n, a in enumerate(different):
+        for b in different[:n]:
+            if abs(len(a) - len(b)) <= 2 and _distance(a, b) <= sum(min(len(a), len(b)) >= x for x in (12, 24)):
+                plain.join(a, b)
+                degree.update((a, b))
+    assert len({len(a) < 12 for a in degree}) == 1 and sum(12 <= len(a) < 24 for a in degree) > 5
+    ids = {}
+    found = lines.classes(spark.createDataFrame(docs, "doc_id long, text string"), short=True).collect()
+    assert {(r.doc_id, r.line_no) for r in found} == set(where)
+    for r in found:
+        line = where[r.doc_id, r.line_no]
+        assert r.n_links == degree[line] and ids.setdefault(plain.top(line), r.class_id) == r.class_id
+    assert len(set(ids.values())) == len(ids)
+    odd = lines.classes(odd_documents(spark), short=True)
+    assert odd.where("doc_id IN (300, 301, 302)").isEmpty() and odd.where("doc_id = 307").count() == 1
+    assert odd.where("doc_id IS NULL").count() > 1
+
+
+def test_near_copies_go_although_lines_were_taken_out(spark, folder):
+    draw = random.Random(6)
+    whole = [text(360, 40 + i) for i in range(12)]
+    near = []
+    for t in whole:
+        found = t.split(" ")
+        for at in draw.sample(range(len(found)), 3):
+            found[at] = f"other{draw.randrange(10**6)}"
+        near.append(" ".join(found))
+    docs = spark.createDataFrame(list(enumerate(whole + near)) + [(99, text(80, 5))], "doc_id long, text string")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    stage = dict(corpus_pipeline.STAGES)
+    lined = stage["line_dedup"](spark, docs, folder)
+    assert lined.where("doc_id BETWEEN 12 AND 23").count() == 12  # fragments are left of the copies
+    assert {r.doc_id for r in stage["simhash"](spark, lined, folder).collect()} == {*range(12), 99}
+
+
 def test_lines_without_documents(spark):
     assert lines.classes(no_documents(spark)).count() == 0
     assert lines.without_repeats(no_documents(spark)).count() == 0
@@ -324,15 +369,17 @@ def test_pipeline_stages(spark, folder):
     assert whole.where("NOT round_trip").count() == 0 and whole.where("doc_id >= 1000 AND doc_id < 2000").count() == 0
 
 
-def test_pipeline_stages_take_odd_and_empty_tables(spark, folder):
+@pytest.mark.parametrize("make", [odd_documents, no_documents])
+def test_pipeline_stages_take_odd_and_empty_tables(spark, folder, make):
+    docs = make(spark)
+    docs.write.parquet(f"{folder}/documents.parquet")
     odd_documents(spark).select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{folder}/labels.parquet")
-    for docs in (odd_documents(spark), no_documents(spark)):
-        step = docs
-        for name, work in corpus_pipeline.STAGES:
-            step = work(spark, step, folder)
-            if name != "sentencepiece":
-                assert step.columns == docs.columns
-        assert (step.count() > 20) == (docs.count() > 0)
+    step = docs
+    for name, work in corpus_pipeline.STAGES:
+        step = work(spark, step, folder)
+        if name != "sentencepiece":
+            assert step.columns == docs.columns
+    assert (step.count() > 20) == (docs.count() > 0)
 
 
 def test_toxicity_keeps_columns(spark):

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspan.session import shared_folder
 
+T = TypeVar("T")
+
 #: A word: a run of characters other than blank and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -28,6 +33,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sent(spark: SparkSession, value: T) -> Callable[[], T]:
+    """A value for all tasks, and how a task gets it.
+
+    It is pickled with the classes of this package that it is made of, since workers
+    need no copy of the package.
+    """
+    bytes_sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(bytes_sent.value)
+
+
 def text_of(column: str = "text") -> Column:
     """A null text counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

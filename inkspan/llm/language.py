@@ -11,14 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import texts
+from inkspan.llm.common import sent, texts
 
 DIMENSIONS = 1024
 N = 3
@@ -33,22 +32,32 @@ TEXTS_AT_ONCE = 64
 GRAMS_AT_ONCE = 1 << 14
 
 
-@cache
+#: What has been made in this process; plain dicts, which travel with the functions.
+_MADE: dict[str, np.ndarray] = {}
+_VECTORS: dict[int, np.ndarray] = {}
+
+
 def _letters() -> np.ndarray:
     """For each code point its letter in lower case, or 0: it ends a word."""
+    if "letters" in _MADE:
+        return _MADE["letters"]
     found = np.zeros(0x110000, np.uint32)
     for point in range(0x110000):
         letter = chr(point)
         if letter.isalpha():
             small = letter.lower()
             found[point] = ord(small) if len(small) == 1 else point
+    _MADE["letters"] = found
     return found
 
 
-@lru_cache(maxsize=1 << 14)
 def letter_vector(point: int) -> np.ndarray:
-    draw = np.random.Generator(np.random.Philox(key=[SEED, point]))
-    return draw.integers(0, 2, DIMENSIONS).astype(np.int8) * 2 - 1
+    if point not in _VECTORS:
+        if len(_VECTORS) >= 1 << 14:
+            _VECTORS.clear()
+        draw = np.random.Generator(np.random.Philox(key=[SEED, point]))
+        _VECTORS[point] = draw.integers(0, 2, DIMENSIONS).astype(np.int8) * 2 - 1
+    return _VECTORS[point]
 
 
 def bind(grams: np.ndarray) -> np.ndarray:
@@ -194,11 +203,12 @@ def identify(
     Repeated rows and null ids stay; no other column is read.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sent = rows.sparkSession.sparkContext.broadcast(prototypes)
+    get = sent(rows.sparkSession, prototypes)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = get()
         for batch in batches:
-            languages, scores = predict(texts(batch), sent.value)
+            languages, scores = predict(texts(batch), known)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "lang_pred", "score"],

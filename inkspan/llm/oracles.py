@@ -48,6 +48,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+_ABLATIONS = f"""
+WITH ledger AS ({_QUALITY}),
+rules AS (SELECT unnest(['few_words', 'repeated_words', 'symbol_share', 'long_words', 'repeated_lines']) AS rule, unnest([1, 2, 4, 8, 16]) AS bit)
+SELECT rule, count(*) FILTER (failures & bit > 0) AS n_rejected, count(*) FILTER (failures = bit) AS n_only,
+    count(*) FILTER (failures & ~bit & 31 = 0) AS n_kept_without
+FROM rules, ledger GROUP BY rule
+"""
+
 _SECRETS = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 found AS (
@@ -277,4 +285,5 @@ FROM formed JOIN walk ON walk.word = formed.word JOIN formed last ON last.word =
 ORACLES: dict[str, str] = {
     "op9_quality_rules": _QUALITY, "op10_secret_scan": _SECRETS, "op11_importance_resampling": _RESAMPLED,
     "op12_spelling_variants": _SPELLED, "op13_personal_data": _PERSONAL,
+    "quality_ablations": _ABLATIONS,
 }

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from inkspan.llm.common import texts
+from inkspan.llm.common import sent, texts
 
 #: Where the vocabulary file is, unless the caller says so.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -284,10 +284,10 @@ def encode(
     """
     if ids_col in docs.columns:
         raise ValueError(f"there is a column {ids_col} already")
-    sent, names = docs.sparkSession.sparkContext.broadcast(vocabulary), [*docs.columns, ids_col]
+    get, names = sent(docs.sparkSession, vocabulary), [*docs.columns, ids_col]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = Encoder(get())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -308,10 +308,10 @@ def decode(
     """The rows with the text of their ids; null or no ids are the empty text."""
     if text_col in rows.columns:
         raise ValueError(f"there is a column {text_col} already")
-    sent, names = rows.sparkSession.sparkContext.broadcast(vocabulary), [*rows.columns, text_col]
+    get, names = sent(rows.sparkSession, vocabulary), [*rows.columns, text_col]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = Encoder(get())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -84,7 +84,9 @@ def near_words(words: DataFrame) -> DataFrame:
         "block", "word",
     )
     order = ["key", "longer", "side", "a", "b", "block"]
-    tiles = tiles.repartition("key", "a", "b").sortWithinPartitions(*order)
+    # As many tasks as asked for: the work of a tile grows with the square of its bytes.
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = tiles.repartition(tasks, "key", "a", "b").sortWithinPartitions(*order)
     found = tiles.mapInArrow(_tile_pairs, "word string, other string")
     return found.unionByName(found.select(F.col("other").alias("word"), F.col("word").alias("other")))
 

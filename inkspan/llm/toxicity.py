@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import SLICE, texts, written
+from inkspan.llm.common import SLICE, sent, texts, written
 
 #: Labelled rows of each class that a model is fitted to: those of the smallest hash.
 TRAINING_ROWS = 40_000
@@ -31,8 +31,8 @@ TRAINING_ROWS = 40_000
 PRIOR = 0.05
 #: A word counts if its log-odds are so many deviations from zero, and its score as far.
 LEAST_Z, LEAST_SCORE = 2.0, 1.0
-#: One for toxicity must be in this share of the toxic texts, after so many different words.
-LEAST_SHARE, LEAST_CONTEXTS = 0.01, 4
+#: One for toxicity must be in so many toxic texts, after so many different words.
+LEAST_TEXTS, LEAST_CONTEXTS = 3, 4
 #: Times that a word of one text counts, so that a text that repeats itself proves little.
 MOST_TIMES = 4
 #: Lengths of the word beginnings that count beside whole words, marked by a hyphen.
@@ -244,10 +244,9 @@ def train(rows: DataFrame) -> Model:
     rows = rows.persist()
     try:
         counts = written(word_counts(rows.where("NOT calibrates")), "word-counts")
-        toxic_texts = rows.where("toxic = 1 AND NOT calibrates").count()
         found = log_odds(counts).where(
             f"abs(z) >= {LEAST_Z} AND abs(score) >= {LEAST_SCORE} AND"
-            f" (z < 0 OR contexts >= {LEAST_CONTEXTS} AND texts >= {LEAST_SHARE * toxic_texts})"
+            f" (z < 0 OR contexts >= {LEAST_CONTEXTS} AND texts >= {LEAST_TEXTS})"
         ).toPandas()
         known = {w: (float(s), float(z)) for w, s, z in zip(found["word"], found["score"], found["z"], strict=True)}
         if not any(score > DRIFT for score, _ in known.values()):
@@ -335,14 +334,14 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", prefix: str = "
     new = [prefix + c for c in ("score", "predicted", "passages")]
     if clash := set(new) & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are there already; choose a prefix")
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    get = sent(docs.sparkSession, model)
     kept = docs.columns
     spans = pa.list_(pa.struct([
         ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("expected", pa.float64())
     ]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = get()
         scores = Scores(model.known)
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             chances, shown = [], []

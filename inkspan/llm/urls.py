@@ -22,6 +22,9 @@ LENGTHS = (3, 4, 5)
 FEATURES = 1 << 16
 #: Most labelled URLs that a model is fitted to.
 LABELLED_ROWS = 100_000
+#: Share of bad URLs that is expected, whatever their share of the labelled table: a URL
+#: of which nothing is known is allowed.
+BAD_SHARE = 0.1
 
 
 @dataclass(frozen=True)
@@ -93,7 +96,10 @@ def train(labelled: DataFrame, url_col: str = "url", label_col: str = "block") -
     )
     hashing = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
     rows = hashing.transform(rows)
-    fitted = LogisticRegression(regParam=0.01, maxIter=50, standardization=False).fit(rows)
+    bad = rows.agg(F.avg("label")).first()[0] or 0.0
+    weight = F.when(F.col("label") == 1, BAD_SHARE / max(bad, 1e-9)).otherwise((1 - BAD_SHARE) / max(1 - bad, 1e-9))
+    regression = LogisticRegression(regParam=0.01, maxIter=50, standardization=False, weightCol="weight")
+    fitted = regression.fit(rows.withColumn("weight", weight))
     return PipelineModel([hashing, fitted])
 
 

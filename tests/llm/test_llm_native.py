@@ -195,3 +195,22 @@ def test_candidates_hold_every_match(spark):
         for n, rule in enumerate(secrets.RULES):
             if t and secrets.trigram_query(rule.pattern) and re.search(rule.pattern, t):
                 assert allowed[keys[i]] >> n & 1
+
+
+def test_url_model_on_sites_that_it_has_not_seen(spark):
+    model = urls.train(queries.labelled_urls(spark))
+    named = {*queries.BLOCKED_SITES, *queries.ALLOWED_SITES}
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    sites = pages.select(F.regexp_extract("url", r"://(?:www\.|m\.|blog\.)?([a-z-]+)\.example", 1).alias("site")).distinct()
+    bad = ("cheap-pills", "casino-win", "free-bets", "ads-track", "adult-x", "spam-farm")
+    every = [r.site for r in sites.collect()]
+    assert set(bad) < set(every) and not named & set(every)
+    asked = sites.select("site", F.explode(F.array(*(
+        F.concat(F.lit(f"https://{sub}"), "site", F.lit(f".example.{top}/en/{page}?page=2"))
+        for sub, top, page in (("", "net", 77), ("www.", "org", 4121), ("", "org", 9), ("m.", "com", 801))
+    ))).alias("url"), F.col("site").isin(*bad).alias("bad"))
+    found = urls.judge(asked, (), model, id_col="url").join(asked.withColumnRenamed("url", "page_id"), "page_id")
+    right = {r.bad: r.share for r in found.groupBy("bad").agg(
+        F.avg(((F.col("verdict") == "block") == F.col("bad")).cast("int")).alias("share")
+    ).collect()}
+    assert right[False] >= 0.98 and right[True] >= 0.75

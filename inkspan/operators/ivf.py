@@ -9,10 +9,13 @@ import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from inkspan.functions.vectors import is_finite
-from inkspan.operators.search import Queries, highest_products, top_k, usable_rows
+from inkspan.operators.search import (
+    Queries, highest_products, needed_probes, sampled_neighbours, top_k, usable_rows,
+)
+from inkspan.session import shared_folder
 
 # Default number of lists, and of lists a search reads.
 LISTS = 20
@@ -95,7 +98,7 @@ def ivf_search(
         raise ValueError("probes must be positive")
     list_ids, matrix = centroid_matrix(centroids)
 
-    def probed(query_matrix: np.ndarray) -> dict[str, np.ndarray]:
+    def probed(query_matrix: np.ndarray, _ids: np.ndarray) -> dict[str, np.ndarray]:
         return {"probes": list_ids[highest_products(query_matrix, matrix, probes)]}
 
     return top_k(
@@ -105,6 +108,120 @@ def ivf_search(
     )
 
 
+def list_radii(index: DataFrame, centroids: DataFrame, vector_col: str = "embedding") -> DataFrame:
+    """(list_id, radius): how far the farthest row of a list is from its centroid.
+
+    Tasks send one number per list. Rows that never match have no list.
+    """
+    list_ids, matrix = centroid_matrix(centroids)
+    sent = index.sparkSession.sparkContext.broadcast((list_ids, matrix))
+
+    def farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, centers = sent.value
+        radius = np.full(len(ids), -1.0)
+        for batch in batches:
+            rows, there = usable_rows(batch.column(1), centers.shape[1])
+            place = np.searchsorted(ids, batch.column(0).to_numpy(zero_copy_only=False)[there])
+            np.maximum.at(radius, place, np.linalg.norm(rows - centers[place], axis=1))
+        some = np.flatnonzero(radius >= 0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[some], pa.int32()), pa.array(radius[some])], ["list_id", "radius"]
+        )
+
+    known = index.filter(F.col("list_id").isNotNull()).select("list_id", vector_col)
+    return known.mapInArrow(farthest, "list_id int, radius double").groupBy("list_id").agg(
+        F.max("radius").alias("radius")
+    )
+
+
+def bounded_search(
+    index: DataFrame,
+    centroids: DataFrame,
+    radii: DataFrame,
+    queries: DataFrame,
+    k: int,
+    first: int = PROBES,
+    query_id_col: str = "query_id",
+    id_col: str = "vec_id",
+    **search_options,
+) -> DataFrame:
+    """The exact top-k by inner product, with ``lists_read``; lists that cannot hold a match are skipped.
+
+    No row of a list scores above q.c + |q| radius. The ``first`` lists of the highest
+    bound are searched; their k-th score then drops every list whose bound is below it,
+    and the rest is searched in a second round.
+    """
+    if first < 1:
+        raise ValueError("first must be positive")
+    list_ids, matrix = centroid_matrix(centroids)
+    radius = np.full(len(list_ids), -np.inf)  # of a list without rows
+    for row in radii.collect():  # at most MAX_LISTS
+        radius[np.searchsorted(list_ids, row.list_id)] = row.radius
+    bounds: dict = {}
+
+    def of_first(query_matrix: np.ndarray, ids: np.ndarray) -> dict[str, np.ndarray]:
+        lengths = np.linalg.norm(query_matrix, axis=1)[:, None]
+        bound = query_matrix @ matrix.T + lengths * radius
+        place = (-bound).argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
+        asked = (place < first) & np.isfinite(bound)
+        bounds.update({query: (bound[i], asked[i]) for i, query in enumerate(ids)})
+        return {"list_ids": np.broadcast_to(list_ids, asked.shape), "asked": asked}
+
+    names = {"query_id_col": query_id_col, "id_col": id_col}
+    rules = {"gate": _asked_lists, "gate_cols": ("list_id",), "prune": _prune_asked}
+    one = shared_folder(index.sparkSession, "first-lists")
+    top_k(index, queries, k, query_extra=of_first, **rules, **names, **search_options).write.parquet(one)
+    found = index.sparkSession.read.parquet(one)
+    # One number per query; the queries were on the driver before, size-checked.
+    kth = found.groupBy(query_id_col).agg(F.count("*").alias("n"), F.min("score").alias("least"))
+    floors = {r[0]: r.least for r in kth.collect() if r.n == k}
+
+    def of_rest(query_matrix: np.ndarray, ids: np.ndarray) -> dict[str, np.ndarray]:
+        floor = np.array([floors.get(query, -np.inf) for query in ids])
+        bound, seen = (np.array(side) for side in zip(*(bounds[query] for query in ids), strict=True))
+        asked = (bound * (1 + 1e-9 * np.sign(bound)) + 1e-12 >= floor[:, None]) & ~seen & np.isfinite(bound)
+        for i, query in enumerate(ids):
+            bounds[query] = bound[i], seen[i] | asked[i]
+        return {"list_ids": np.broadcast_to(list_ids, asked.shape), "asked": asked}
+
+    more = top_k(index, queries, k, query_extra=of_rest, **rules, **names, **search_options)
+    read = index.sparkSession.createDataFrame(
+        [(query, int(asked.sum())) for query, (_, asked) in bounds.items()],
+        T.StructType([queries.schema[query_id_col], T.StructField("lists_read", T.IntegerType())]),
+    )
+    ranked = Window.partitionBy(query_id_col).orderBy(F.desc("score"), id_col)
+    both = found.unionByName(more).withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+    return both.join(F.broadcast(read), query_id_col)
+
+
+def _prune_asked(index: DataFrame, side: Queries) -> DataFrame:
+    if not side.extra:
+        return index.limit(0)
+    wanted = side.extra["list_ids"][0][side.extra["asked"].any(axis=0)]
+    return index.filter(F.col("list_id").isin([int(x) for x in wanted]))
+
+
+def _asked_lists(batch: pa.RecordBatch, side: Queries):
+    found = batch.column(2).to_numpy(zero_copy_only=False)
+    for list_id in np.unique(found):
+        at = np.searchsorted(side.extra["list_ids"][0], list_id)
+        yield np.flatnonzero(found == list_id), np.flatnonzero(side.extra["asked"][:, at]), None
+
+
+def calibrated_probes(
+    index: DataFrame, centroids: DataFrame, k: int, wanted: float = 0.9,
+    id_col: str = "vec_id", vector_col: str = "embedding",
+) -> int:
+    """The fewest lists per query that hold the wanted share of the neighbours of sampled rows."""
+    found = sampled_neighbours(index, k, "list_id", id_col, vector_col)
+    if not found:
+        return 1
+    list_ids, matrix = centroid_matrix(centroids)
+    order = list_ids[highest_products(np.array([v for v, _ in found], np.float64), matrix, len(matrix))]
+    places = (order == np.array([place for _, place in found])[:, None]).argmax(axis=1)
+    return needed_probes(places, wanted)
+
+
 def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """List ids in ascending order and the matrix of their centroids."""
     count, size = centroids.agg(

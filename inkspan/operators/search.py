@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from inkspan.session import discard, shared_folder
+
 METRICS = ("inner_product", "cosine")
 # Most bytes of query vectors that one search sends to every task.
 MAX_QUERY_BYTES = 256 << 20
@@ -56,7 +58,7 @@ def top_k(
     query_vector_col: str = "query_vector",
     gate: Gate | None = None,
     gate_cols: tuple[str, ...] = (),
-    query_extra: Callable[[np.ndarray], dict[str, np.ndarray]] | None = None,
+    query_extra: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]] | None = None,
     prune: Callable[[DataFrame, Queries], DataFrame] | None = None,
 ) -> DataFrame:
     """(query id, rank, id, score, distance) of the best ``k`` rows per query.
@@ -85,6 +87,41 @@ def top_k(
     )
 
 
+def knn_join(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    tile_bytes: int = MAX_QUERY_BYTES // 4,
+    query_id_col: str = "query_id",
+    query_vector_col: str = "query_vector",
+    id_col: str = "vec_id",
+    **search_options,
+) -> DataFrame:
+    """``top_k`` for any number of queries: the nearest rows of every row of a large table.
+
+    The queries are written once and dealt to tiles of about ``tile_bytes`` by a hash of
+    their id. Each tile is one scan of the vectors, whose best rows are written; so no
+    more than one tile is ever on the driver or in a task, no vector is shuffled, and a
+    lost executor repeats a scan of one tile at most. A tile's own size is checked by
+    ``top_k``; equal ids meet in one tile, where they are an error.
+    """
+    spark = vectors.sparkSession
+    asked = queries.select(query_id_col, query_vector_col)
+    size = asked.agg(F.sum(F.size(query_vector_col).cast("long") * 8)).first()[0] or 0
+    tiles = max(1, -(-size // tile_bytes))
+    asked_path, found_path = (shared_folder(spark, p) for p in ("query-tiles", "tile-matches"))
+    tile = F.pmod(F.xxhash64(query_id_col), F.lit(tiles)).cast("int")
+    asked.withColumn("tile", tile).repartition("tile").write.partitionBy("tile").parquet(asked_path)
+    kept = spark.read.schema(T.StructType([*asked.schema, T.StructField("tile", T.IntegerType())])).parquet(asked_path)
+    names = {"query_id_col": query_id_col, "query_vector_col": query_vector_col, "id_col": id_col}
+    for number in range(tiles):
+        some = kept.filter(F.col("tile") == number).drop("tile")
+        found = top_k(vectors, some, k, **names, **search_options)
+        found.write.mode("append").parquet(found_path)
+    discard(spark, asked_path)
+    return spark.read.schema(found.schema).parquet(found_path)
+
+
 def _query_side(rows: list, metric: str, query_extra) -> Queries:
     if len({row[0] for row in rows}) < len(rows):
         raise ValueError("query ids must be unique")
@@ -95,9 +132,9 @@ def _query_side(rows: list, metric: str, query_extra) -> Queries:
     usable = np.isfinite(matrix).all(axis=1) if rows else []
     rows = [row for row, fine in zip(rows, usable, strict=True) if fine]
     matrix = matrix[usable] if rows else np.empty((0, 0))
-    extra = query_extra(matrix) if query_extra and len(rows) else {}
     ids = np.empty(len(rows), dtype=object)
     ids[:] = [row[0] for row in rows]
+    extra = query_extra(matrix, ids) if query_extra and len(rows) else {}
     if metric == "cosine" and len(rows):
         matrix = _unit_rows(matrix)
         known = matrix.any(axis=1)
@@ -310,6 +347,43 @@ def highest_products(rows: np.ndarray, centers: np.ndarray, n: int) -> np.ndarra
     return best
 
 
+#: Rows that a calibration asks for their neighbours.
+CALIBRATION_ROWS = 64
+
+
+def sampled_neighbours(
+    rows: DataFrame, k: int, place_col: str, id_col: str = "vec_id", vector_col: str = "embedding",
+    sample: int = CALIBRATION_ROWS,
+) -> list[tuple[list[float], object]]:
+    """(vector, place) for each of the k nearest rows of a few sampled rows.
+
+    The sample is the rows of smallest hash; a row is no neighbour of itself. One exact
+    search; at most ``sample`` times k pairs come to the driver.
+    """
+    known = rows.filter(F.col(place_col).isNotNull()).select(id_col, vector_col, place_col).dropDuplicates([id_col])
+    asked = known.orderBy(F.xxhash64(id_col), id_col).limit(sample).select(
+        F.col(id_col).alias("query_id"), F.col(vector_col).alias("query_vector")
+    )
+    near = top_k(known, asked, k + 1, id_col=id_col, vector_col=vector_col)
+    near = near.filter(F.col(id_col) != F.col("query_id")).select("query_id", id_col)
+    placed = known.select(id_col, place_col).join(F.broadcast(near), id_col).select("query_id", place_col)
+    vectors = {r.query_id: list(r.query_vector) for r in asked.collect()}
+    return [(vectors[r.query_id], r[place_col]) for r in placed.collect()]
+
+
+def needed_probes(places: np.ndarray, wanted: float) -> int:
+    """How many places have to be read to meet the wanted share of these, counted from 0.
+
+    The share is raised by two standard errors, with half as many independent
+    neighbours as there are places, so that other queries meet it as well.
+    """
+    if not 0 < wanted <= 1:
+        raise ValueError("the wanted recall must be above 0 and at most 1")
+    ordered = np.sort(places)
+    share = min(1.0, wanted + 2 * np.sqrt(wanted * (1 - wanted) * 2 / len(ordered)))
+    return int(ordered[max(0, int(np.ceil(share * len(ordered))) - 1)]) + 1
+
+
 def recall(approximate: DataFrame, exact: DataFrame, query_id_col: str, id_col: str) -> DataFrame:
     """Share of the exact matches of each query that the other search found."""
     keys = [query_id_col, id_col]

@@ -138,18 +138,20 @@ LSH = f"""planes AS (
   SELECT t, b, list(CASE WHEN substr(md5('7:' || t || ':' || b || ':' || d), 1, 1) < '8'
     THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END ORDER BY d) AS plane
   FROM range({lsh.TABLES}) r1(t), range({lsh.BITS}) r2(b), range({q.DIM}) r3(d) GROUP BY t, b),
-  points AS (
-    SELECT 'v' || vec_id AS id, e AS v FROM stored
-    UNION ALL SELECT 'q' || query_id, v FROM asked),
-  codes AS (
-    SELECT id, t, sum(CASE WHEN list_inner_product(v, plane) >= 0 THEN 1 << b ELSE 0 END)
-      AS code FROM points, planes GROUP BY id, t),
-  shared AS (
-    SELECT DISTINCT a.id AS qid, b.id AS vid FROM codes a JOIN codes b USING (t, code)
-    WHERE a.id LIKE 'q%' AND b.id LIKE 'v%'),
+  coded AS (
+    SELECT vec_id, t, sum(CASE WHEN list_inner_product(e, plane) >= 0 THEN 1 << b ELSE 0 END)
+      AS code FROM stored, planes GROUP BY vec_id, t),
+  margins AS (SELECT query_id, t, b, list_inner_product(v, plane) AS m FROM asked, planes),
+  costs AS (
+    SELECT query_id, t, code, sum(CASE WHEN (m >= 0) = ((code >> b) & 1 = 1) THEN 0 ELSE m * m END) AS cost
+    FROM margins, range({1 << lsh.BITS}) r4(code) GROUP BY query_id, t, code),
+  probed AS (
+    SELECT query_id, t, code FROM costs
+    QUALIFY row_number() OVER (PARTITION BY query_id, t ORDER BY cost, code) <= {lsh.PROBES}),
+  shared AS (SELECT DISTINCT query_id, vec_id FROM coded JOIN probed USING (t, code)),
   found AS (
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank,
-      vec_id, score FROM scored JOIN shared ON qid = 'q' || query_id AND vid = 'v' || vec_id
+      vec_id, score FROM scored JOIN shared USING (query_id, vec_id)
     QUALIFY rank <= {q.K})"""
 RECALL = """SELECT query_id, count(f.vec_id) AS found, count(*) AS wanted,
   count(f.vec_id)::DOUBLE / count(*) AS recall
@@ -242,6 +244,10 @@ SELECT file_name, ends_with(file_name, '.pdf') AS is_pdf,
 WHERE ends_with(lower(file_name), '.pdf')""",
     "scan_folder": """SELECT doc_id, strlen(text)::BIGINT AS length, lang = 'en' AS is_exact
 FROM documents WHERE lang IN ('en', 'fr')""",
+    "page_failures": """SELECT doc_id, CASE WHEN bad THEN -1 ELSE 0 END::INTEGER AS page,
+  CASE WHEN bad THEN 0 ELSE length(text) END::INTEGER AS n_chars,
+  CASE WHEN bad THEN 'ValueError: a broken file' END AS error
+FROM (SELECT *, octet_length(encode(text)) % 5 = 0 AS bad FROM documents)""",
     "pages_of_files": """SELECT conv_id::VARCHAR || '.txt' AS file_name, turn::INTEGER AS page, text
 FROM conversations""",
     "column_listing": """SELECT (row_number() OVER () - 1)::INTEGER AS position, column_name
@@ -352,6 +358,29 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, round(1 - score, 6) AS distance
     FROM asked a, stored s)
 SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, chunk))::INTEGER AS rank,
   chunk, round(score, 6) AS score FROM scored QUALIFY rank <= 5""",
+    "knn_join": f"""WITH {embedded("SELECT 'b' || item_id AS k, text FROM benchmark", "texts")},
+  asked AS (
+    SELECT 'v' || vec_id AS query_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 50 = 0
+    UNION ALL SELECT k, v FROM texts),
+  {STORED}, {SCORED}, {EXACT} {MATCHES.format('exact')}""",
+    "knn_bounded": f"""WITH {LABEL_MEANS}, {ASKED_MEANS}, {STORED}, {SCORED}, {EXACT}, {ASSIGNED},
+  radii AS (
+    SELECT list_id, max(list_distance(e, mean)) AS radius
+    FROM assigned JOIN stored USING (vec_id) JOIN means ON label = list_id GROUP BY list_id),
+  bounds AS (
+    SELECT query_id, list_id, list_inner_product(v, mean) + sqrt(list_inner_product(v, v)) * radius AS bound
+    FROM asked, means JOIN radii ON label = list_id),
+  placed AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY bound DESC, list_id) AS place FROM bounds),
+  early AS (
+    SELECT s.query_id, s.score, row_number() OVER (PARTITION BY s.query_id ORDER BY s.score DESC, vec_id) AS rank
+    FROM scored s JOIN assigned USING (vec_id) JOIN placed p ON p.query_id = s.query_id AND p.list_id = assigned.list_id
+    WHERE place <= 2),
+  floors AS (SELECT query_id, score AS least FROM early WHERE rank = {q.K}),
+  listed AS (
+    SELECT query_id, count(*) FILTER (place <= 2 OR bound >= coalesce(least, -1e300) - 1e-9)::INTEGER AS lists_read
+    FROM placed LEFT JOIN floors USING (query_id) GROUP BY query_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score, lists_read FROM exact JOIN listed USING (query_id)""",
     "ivf_assign": f"WITH {LABEL_MEANS}, {STORED}, {ASSIGNED} SELECT vec_id, list_id FROM assigned",
     "ivf_search": f"""WITH {LABEL_MEANS}, {ASKED_MEANS}, {STORED}, {SCORED}, {ASSIGNED}, {IVF} {MATCHES.format('found')}""",
     "ivf_recall": f"WITH {LABEL_MEANS}, {ASKED_ROWS}, {STORED}, {SCORED}, {EXACT}, {ASSIGNED}, {IVF} {RECALL}",

@@ -6,6 +6,7 @@ works on whole tables and whole texts.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
@@ -18,6 +19,7 @@ from inkspan.functions.text import (
     basename, forward_slashes, has_suffix, is_blank, preview, stem, with_extension,
 )
 from inkspan.operators import chunks, integrity, ivf, lsh, profile, routing, search
+from inkspan.operators.ann import METHODS, VectorIndex
 from inkspan.operators.embedding import HashingEmbedder, choose_embedder, embedding
 from inkspan.plans.vectorize import (
     consume_notifications, export_csv, import_csv, read_chunks, read_outcomes, redrive, vectorize_files, vectorize_pages,
@@ -32,7 +34,10 @@ CHUNK_SIZE = 1000
 OVERLAP = 200
 TURN_CHUNK_SIZE = 400
 K = 10
-PROBES = 3
+# Rows of one list of a trained index.
+LIST_ROWS = 12
+# Of the ten lists around the label means; eight hold nine of ten neighbours (README).
+PROBES = 8
 BUCKET = "documents-bucket"
 AS_OF = "2024-01-01 00:00:00"
 EVENT_CUTS = ("2024-01-11", "2024-01-21")
@@ -275,6 +280,29 @@ def scan_folder(spark, sf_dir):
     )
 
 
+@query
+def page_failures(spark, sf_dir):
+    """Documents through a parser with two tries: some files fail once, some always."""
+    tried = set()
+
+    def parser(content: bytes) -> list[str]:
+        if len(content) % 5 == 0:
+            raise ValueError("a broken file")
+        if len(content) % 5 == 1 and content not in tried:
+            tried.add(content)
+            raise OSError("once")
+        return [content.decode("utf-8")]
+
+    given = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content")
+    )
+    made = files.extract_pages(given, parser, attempts=2)
+    return made.select(
+        F.col("path").cast("long").alias("doc_id"), F.coalesce("page", F.lit(-1)).alias("page"),
+        F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"), "error",
+    )
+
+
 @query
 def pages_of_files(spark, sf_dir):
     """Files of several pages, cut by a parser that has two tries for each."""
@@ -766,20 +794,65 @@ def ivf_full_probe(spark, sf_dir):
     return rounded_matches(found, "query_id", "rank", "vec_id")
 
 
+def _bucket_index(spark, rows) -> DataFrame:
+    path = shared_folder(spark, "lsh")
+    lsh.write_buckets(lsh.add_codes(rows, DIM), path)
+    return lsh.read_buckets(spark, path)
+
+
 @query
 def lsh_search(spark, sf_dir):
-    coded = lsh.add_codes(embeddings(spark, sf_dir), DIM)
-    found = lsh.lsh_search(coded, query_vectors(spark, sf_dir), K)
+    index = _bucket_index(spark, embeddings(spark, sf_dir))
+    found = lsh.lsh_search(index, query_vectors(spark, sf_dir), K)
     return rounded_matches(found, "query_id", "rank", "vec_id")
 
 
 @query
 def lsh_recall(spark, sf_dir):
     rows, asked = embeddings(spark, sf_dir), stored_queries(spark, sf_dir)
-    found = lsh.lsh_search(lsh.add_codes(rows, DIM), asked, K)
+    found = lsh.lsh_search(_bucket_index(spark, rows), asked, K)
     return search.recall(found, search.top_k(rows, asked, K), "query_id", "vec_id")
 
 
+@query
+def knn_join(spark, sf_dir):
+    """The nearest rows of every row whose id 50 divides and of every benchmark text, in one job."""
+    rows = embeddings(spark, sf_dir)
+    stored = stored_queries(spark, sf_dir).select(
+        F.concat(F.lit("v"), "query_id").alias("query_id"), F.col("query_vector").cast("array<double>").alias("query_vector")
+    )
+    asked = table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("b"), "item_id").alias("query_id"),
+        embedding("text").embedding.cast("array<double>").alias("query_vector"),
+    )
+    return rounded_matches(search.knn_join(rows, stored.unionByName(asked), K), "query_id", "rank", "vec_id")
+
+
+@query
+def knn_bounded(spark, sf_dir):
+    """``knn_inner_product`` over lists, without those that cannot hold a match."""
+    centroids, path = label_centroids(spark, sf_dir), shared_folder(spark, "ivf")
+    ivf.write_index(ivf.assign_lists(embeddings(spark, sf_dir), centroids), path)
+    index = ivf.read_index(spark, path)
+    radii = ivf.list_radii(index, centroids)
+    found = ivf.bounded_search(index, centroids, radii, query_vectors(spark, sf_dir), K, first=2)
+    return found.select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"), "lists_read")
+
+
+@query
+def index_choice(spark, sf_dir):
+    """Each index method, calibrated: how many neighbours of each stored query it finds."""
+    rows, asked = embeddings(spark, sf_dir), stored_queries(spark, sf_dir)
+    exact = VectorIndex(rows, "exact", DIM).search(asked, K)
+    lists = max(1, rows.count() // LIST_ROWS)
+    found = [
+        search.recall(VectorIndex(rows, method, DIM, lists=lists).search(asked, K), exact, "query_id", "vec_id")
+        .select(F.lit(method).alias("method"), "query_id", "found", "wanted", "recall")
+        for method in METHODS
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 # --- embedding --------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from inkspan.operators import ivf, lsh, search
 from inkspan.operators.ann import VectorIndex
+from inkspan.plans import queries as queries_of_plans
 
 DIM = 8
 VECTORS = "vec_id long, embedding array<float>"
@@ -205,7 +206,7 @@ def test_lsh(spark):
     stored = dict(zip(map(int, ids), lsh.bucket_codes(matrix.astype(np.float64), planes)))
     wanted = lsh.bucket_codes(asked.astype(np.float64), planes)
     assert {r.vec_id: r.codes for r in coded.collect()} == {i: c.tolist() for i, c in stored.items()}
-    assert ranked(lsh.lsh_search(coded, queries, 9, bits=3, tables=2)) == brute(
+    assert ranked(lsh.lsh_search(coded, queries, 9, bits=3, tables=2, probes=1)) == brute(
         ids, matrix, asked, 9, allowed=lambda q, i: bool((stored[i] == wanted[q]).any())
     )
 
@@ -232,3 +233,84 @@ def test_ivf_reads_probed_lists_only(spark, folder):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*list_id#\d+ = \d", plan)
     assert "Join" not in plan and "Cartesian" not in plan
+
+
+def _stored(spark, sf):
+    rows = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    asked = rows.filter("vec_id % 50 = 0").selectExpr("vec_id AS query_id", "embedding AS query_vector")
+    return rows, asked, search.top_k(rows, asked, 10)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_registered_indexes_find_nine_of_ten(spark, sf):
+    for name in ("ivf_recall", "lsh_recall"):
+        found = queries_of_plans.QUERIES[name](spark, f"/root/testdata/{sf}")
+        assert found.agg({"recall": "avg"}).first()[0] >= 0.9
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_calibrated_indexes_find_nine_of_ten_and_read_less(spark, sf, folder):
+    rows, asked, exact = _stored(spark, sf)
+    n = rows.count()
+    index = VectorIndex(rows, "ivf", 64, lists=n // 12, path=folder + "/ivf")
+    found = search.recall(index.search(asked, 10), exact, "query_id", "vec_id")
+    assert found.agg({"recall": "avg"}).first()[0] >= 0.9 and index.probes <= 0.75 * (n // 12)
+    index = VectorIndex(rows, "lsh", 64, path=folder + "/lsh")
+    found = search.recall(index.search(asked, 10), exact, "query_id", "vec_id")
+    assert found.agg({"recall": "avg"}).first()[0] >= 0.9 and index.probes <= 20
+
+
+def test_buckets_on_disk_give_what_codes_give(spark, folder):
+    rows, asked, _ = _stored(spark, "sf0.01")
+    coded = lsh.add_codes(rows, 64, bits=4, tables=3)
+    lsh.write_buckets(coded, folder + "/lsh")
+    index = lsh.read_buckets(spark, folder + "/lsh")
+    for probes in (1, 3, 16):
+        one = lsh.lsh_search(index, asked, 7, bits=4, tables=3, probes=probes)
+        other = lsh.lsh_search(coded, asked, 7, bits=4, tables=3, probes=probes)
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+    some = asked.limit(1)
+    plan = lsh.lsh_search(index, some, 7, bits=4, tables=3, probes=1)._jdf.queryExecution().executedPlan().toString()
+    assert "lsh_code" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_order_of_buckets():
+    planes = lsh.projections(8, 3, 2)
+    matrix = np.random.default_rng(3).normal(size=(5, 8))
+    ranks = lsh.bucket_ranks(matrix, planes)
+    own = lsh.bucket_codes(matrix, planes)
+    for q in range(5):
+        for t in range(2):
+            margins = planes[t] @ matrix[q]
+            cost = [sum(m * m for b, m in enumerate(margins) if (m >= 0) != bool(c >> b & 1)) for c in range(8)]
+            assert list(ranks[q, t].argsort()) == sorted(range(8), key=lambda c: cost[c]) and ranks[q, t, own[q, t]] == 0
+    assert 530 < search.needed_probes(np.arange(1000), 0.5) < 570 and search.needed_probes(np.array([0, 5]), 1.0) == 6
+    assert lsh.bits_for(10) == lsh.BITS and lsh.bits_for(1 << 24) == 9 and lsh.bits_for(1 << 40) == lsh.MAX_BITS
+
+
+def test_bounded_search_is_exact_and_skips_lists(spark, folder):
+    rng = np.random.default_rng(12)
+    centers = rng.normal(size=(12, DIM)) * 5
+    matrix = (centers[rng.integers(0, 12, 400)] + rng.normal(size=(400, DIM)) * 0.3).astype(np.float32)
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(matrix)], VECTORS)
+    rows = rows.unionByName(spark.createDataFrame([(900, None), (901, [float("nan")] * DIM)], VECTORS))
+    queries = spark.createDataFrame([(i, [float(x) for x in centers[i]]) for i in range(6)], QUERIES)
+    centroids = ivf.train_centroids(rows, 12)
+    index = ivf.assign_lists(rows, centroids)
+    ivf.write_index(index, folder + "/ivf")
+    index = ivf.read_index(spark, folder + "/ivf")
+    radii = ivf.list_radii(index, centroids)
+    for first in (1, 4):
+        found = ivf.bounded_search(index, centroids, radii, queries, 5, first=first)
+        assert ranked(found.drop("lists_read")) == ranked(search.top_k(rows, queries, 5))
+        assert max(r.lists_read for r in found.collect()) < 10
+    assert ivf.bounded_search(index, centroids, radii, queries.limit(0), 5).count() == 0
+
+
+def test_join_in_tiles_gives_what_one_search_gives(spark):
+    rows, asked, _ = _stored(spark, "sf0.01")
+    asked = asked.selectExpr("query_id", "cast(query_vector AS array<double>) AS query_vector")
+    whole = sorted(map(tuple, search.top_k(rows, asked, 4).collect()))
+    assert sorted(map(tuple, search.knn_join(rows, asked, 4, tile_bytes=64 * 8 * 3).collect())) == whole
+    assert sorted(map(tuple, search.knn_join(rows, asked, 4).collect())) == whole
+    assert search.knn_join(rows, asked.limit(0), 4).count() == 0

@@ -18,7 +18,7 @@ from inkspan.functions.splitting import page_chunk_array
 from inkspan.functions.text import (
     basename, forward_slashes, has_suffix, is_blank, preview, stem, with_extension,
 )
-from inkspan.operators import chunks, integrity, ivf, lsh, profile, routing, search
+from inkspan.operators import chunks, integrity, ivf, lsh, pq, profile, routing, search
 from inkspan.operators.ann import METHODS, VectorIndex
 from inkspan.operators.embedding import HashingEmbedder, choose_embedder, embedding
 from inkspan.plans.vectorize import (
@@ -839,6 +839,17 @@ def knn_bounded(spark, sf_dir):
     return found.select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"), "lists_read")
 
 
+@query
+def pq_recall(spark, sf_dir):
+    """How many neighbours of each stored query a search of the coded rows finds."""
+    rows, asked = embeddings(spark, sf_dir), stored_queries(spark, sf_dir)
+    book = pq.train_book(rows, DIM)
+    path = shared_folder(spark, "pq")
+    pq.add_codes(rows, book).select("vec_id", "code").write.parquet(path)
+    found = pq.pq_search(spark.read.parquet(path), rows, book, asked, K)
+    return search.recall(found, search.top_k(rows, asked, K), "query_id", "vec_id")
+
+
 @query
 def index_choice(spark, sf_dir):
     """Each index method, calibrated: how many neighbours of each stored query it finds."""

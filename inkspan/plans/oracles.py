@@ -423,6 +423,11 @@ FROM events""",
     "retry_route": ROUTES,
     "retry_route_blocked": ROUTES,
     "retry_stream": ROUTES,
+    "retry_timed": """WITH m AS (
+  SELECT *, CASE WHEN event_type = 'error' THEN event_id % 3 + 1 ELSE 0 END AS failures FROM events)
+SELECT user_id, event_id, attempt::INTEGER AS attempt, epoch_us(ts) // 1000 + 30000 * (attempt - 1) AS at_ms,
+  CASE WHEN attempt > failures THEN 'done' WHEN attempt = 3 THEN 'dead_letter' ELSE 'retry' END AS route
+FROM m, range(1, 4) r(attempt) WHERE attempt <= failures + 1""",
     "dead_letters": f"""WITH {ROUTED} SELECT event_id, user_id, {literal(FAILURE_REASON)}
   AS failure_reason FROM routed WHERE route = 'dead_letter'""",
     "dlq_redrive": f"""WITH {ROUTED}, {DOCUMENTS}, {MANIFEST}, {VERIFIED}

@@ -27,7 +27,7 @@ from inkspan.plans.vectorize import (
 from inkspan.schemas import CHUNK, OUTCOME
 from inkspan.session import shared_folder, spread
 from inkspan.sources import exports, files, notifications, tables
-from inkspan.streaming import ingest, routing as stream_routing
+from inkspan.streaming import ingest, routing as stream_routing, timed
 
 DIM = 64
 CHUNK_SIZE = 1000
@@ -1101,6 +1101,37 @@ def idempotent_ingest(spark, sf_dir):
     return consume()
 
 
+@query
+def retry_timed(spark, sf_dir):
+    """Events as messages of one file per user; errors fail once to three times, 30 s apart."""
+    body = F.when(F.col("event_type") == "error", F.col("event_id") % 3 + 1).otherwise(0).cast("string")
+    rows = table(spark, sf_dir, "events").select(
+        "user_id", F.col("event_id").cast("string").alias("message_id"), times.utc_instant("ts").alias("ts"),
+        body.alias("body"),
+    )
+    queue, out, offsets = (shared_folder(spark, p) for p in ("queue", "deliveries", "offsets"))
+    rows.write.json(queue)
+
+    def consume() -> DataFrame:
+        stream = spark.readStream.schema(rows.schema).json(queue)
+        tried = timed.timed_retries(stream, lambda body, attempt: attempt > int(body), "user_id")
+        ingest.run(tried, lambda batch, batch_id: ingest.put(batch, batch_id, out), offsets)
+        return ingest.read_table(spark, out, tried.schema).drop("ingest_id")
+
+    with timed.rocksdb(spark):
+        consume()
+        # A message an hour later moves the time on, so that nothing waits any more.
+        rows.agg(
+            F.lit(None).cast(rows.schema["user_id"].dataType).alias("user_id"), F.lit("last").alias("message_id"),
+            (F.max("ts") + F.expr("INTERVAL 1 HOUR")).alias("ts"), F.lit("0").alias("body"),
+        ).write.mode("append").json(queue)
+        found = consume()
+    return found.filter("message_id <> 'last'").select(
+        "user_id", F.col("message_id").cast("long").alias("event_id"), "attempt",
+        F.unix_millis("at").alias("at_ms"), "route",
+    )
+
+
 @query
 def retry_stream(spark, sf_dir):
     """Deliveries in three runs of one stream; open failures pass from run to run."""

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from inkspan.functions.text import WHITESPACE
 from inkspan.operators import lsh
 from inkspan.plans import queries as q
 from inkspan.schemas import FAILURE_REASON
-from inkspan.sources.files import HTML_INVISIBLE, HTML_SPACES, HTML_TAG
 
 
 def literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-BLANKS = literal(WHITESPACE)
+# Blanks by Unicode: white space, and the separators of files, groups, records and units.
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+BLANKS = literal(SPACES)
 STEM = r"(?s)^((?:.*/)?\.*[^/.][^/]*)\.[^./]*\z"
 
 DOCUMENTS = """docs AS (
@@ -22,9 +22,10 @@ DOCUMENTS = """docs AS (
 
 
 def html(column: str) -> str:
-    text = f"regexp_replace({column}, {literal(HTML_INVISIBLE)}, ' ', 'g')"
-    text = f"regexp_replace({text}, {literal(HTML_TAG)}, ' ', 'g')"
-    return f"trim(regexp_replace({text}, {literal(HTML_SPACES)}, ' ', 'g'), ' ')"
+    """Without comments, scripts, styles and tags; runs of HTML blanks are one blank."""
+    hidden = "(?is)<(?:!--.*?--|script\\b[^>]*>.*?</script|style\\b[^>]*>.*?</style)>"
+    text = f"regexp_replace(regexp_replace({column}, '{hidden}', ' ', 'g'), '<[^>]*>', ' ', 'g')"
+    return f"trim(regexp_replace({text}, '[\\t\\n\\f\\r ]+', ' ', 'g'), ' ')"
 
 
 def chunked(source: str, size: int, separator: str, overlap: int = 0, fallback: bool = True) -> str:
@@ -86,7 +87,7 @@ def lines(source: str) -> str:
     UNION ALL SELECT k, 1, text FROM src WHERE text <> '' AND k NOT IN (SELECT k FROM kept))"""
 
 
-TOKENS = f"list_filter(regexp_split_to_array(lower(text), '[{WHITESPACE}]+'), lambda t: t <> '')"
+TOKENS = f"list_filter(regexp_split_to_array(lower(text), '[{SPACES}]+'), lambda t: t <> '')"
 
 
 def embedded(source: str, name: str) -> str:

@@ -63,7 +63,7 @@ def test_compact_view_and_key(spark):
     )
     assert rows(chunks.compact_view(full), "page_num", "chunk_text", "vector") == [(1, "t", [0.5])]
     keyed = full.select(chunks.chunk_key("file_name", "document_page", "chunk_no").alias("k"))
-    assert keyed.first() == keyed.first()
+    assert keyed.first() == keyed.first() and len(keyed.first().k) == 32
 
 
 def test_hashing_embedder(spark):

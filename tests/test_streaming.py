@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from inkspan.schemas import ENVELOPE
 from inkspan.sources import notifications
-from inkspan.streaming import ingest, routing
+from inkspan.streaming import ingest, routing, timed
 from test_operators import replay
 
 EVENT = "id long, key string, at long, failed boolean, ts timestamp"
@@ -121,3 +121,30 @@ def test_a_batch_reads_its_own_parts_of_the_ledger(spark, folder):
     assert {str(r[0]) for r in asked.select(ingest.bucket_of("message_id")).distinct().collect()} == touched < scanned
     ingest.ingest(some.unionByName(spark.createDataFrame([("new", "k")], rows.schema)), 1, path, ("message_id",))
     assert ingest.read_table(spark, path, rows.schema).count() == 501
+
+
+def test_timed_retries_wait_and_close(spark, folder):
+    schema = "file string, message_id string, ts timestamp, body string"
+    def send(*rows):
+        frame = spark.createDataFrame([(f, m, s, b) for f, m, s, b in rows], "file string, message_id string, s long, body string")
+        frame.select("file", "message_id", F.timestamp_seconds("s").alias("ts"), "body").write.mode("append").json(folder + "/queue")
+
+    def consume():
+        stream = spark.readStream.schema(schema).json(folder + "/queue")
+        tried = timed.timed_retries(stream, lambda body, attempt: attempt > int(body), "file", visibility=30, lateness="0 seconds")
+        ingest.run(tried, lambda batch, n: ingest.put(batch, n, folder + "/out"), folder + "/offsets")
+        found = ingest.read_table(spark, folder + "/out", tried.schema)
+        return sorted((r.file, r.message_id, r.attempt, int(r.at.timestamp()), r.route) for r in found.select(
+            "file", "message_id", "attempt", "at", "route").collect())
+
+    with timed.rocksdb(spark):
+        send(("a", "1", 100, "1"), ("a", "2", 110, "0"), ("b", "3", 120, "5"))
+        first = [("a", "1", 1, 100, "retry"), ("a", "2", 1, 110, "done"), ("b", "3", 1, 120, "retry")]
+        assert consume() == first  # nothing is tried before its time
+        send(("c", "4", 140, "0"))
+        second = [*first, ("a", "1", 2, 130, "done"), ("c", "4", 1, 140, "done")]
+        assert consume() == sorted(second)
+        send(("c", "5", 1000, "0"))
+        assert consume() == sorted([*second, ("b", "3", 2, 150, "retry"), ("b", "3", 3, 180, "dead_letter"), ("c", "5", 1, 1000, "done")])
+        send(("c", "6", 5000, "0"))
+        assert len(consume()) == 9  # what is closed is not tried again

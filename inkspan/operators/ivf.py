@@ -147,7 +147,8 @@ def bounded_search(
 ) -> DataFrame:
     """The exact top-k by inner product, with ``lists_read``; lists that cannot hold a match are skipped.
 
-    No row of a list scores above q.c + |q| radius. The ``first`` lists of the highest
+    No row of a list scores above q.c + |q| radius, which is close where vectors have
+    about the length of their centroids, as unit vectors do. The ``first`` lists of the highest
     bound are searched; their k-th score then drops every list whose bound is below it,
     and the rest is searched in a second round.
     """

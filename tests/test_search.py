@@ -290,8 +290,10 @@ def test_order_of_buckets():
 
 def test_bounded_search_is_exact_and_skips_lists(spark, folder):
     rng = np.random.default_rng(12)
-    centers = rng.normal(size=(12, DIM)) * 5
-    matrix = (centers[rng.integers(0, 12, 400)] + rng.normal(size=(400, DIM)) * 0.3).astype(np.float32)
+    centers = rng.normal(size=(12, DIM))
+    centers /= np.linalg.norm(centers, axis=1)[:, None]
+    matrix = centers[rng.integers(0, 12, 400)] + rng.normal(size=(400, DIM)) * 0.05
+    matrix = (matrix / np.linalg.norm(matrix, axis=1)[:, None]).astype(np.float32)
     rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(matrix)], VECTORS)
     rows = rows.unionByName(spark.createDataFrame([(900, None), (901, [float("nan")] * DIM)], VECTORS))
     queries = spark.createDataFrame([(i, [float(x) for x in centers[i]]) for i in range(6)], QUERIES)

@@ -35,6 +35,10 @@ SAMPLE_ROWS = 1 << 14
 #: Sketches that are compared one by one at the end of a branch.
 LEAF = 64
 _BLOCK = 1 << 21
+#: Rows of a shard that a task works on at a time.
+ROWS_AT_ONCE = 1 << 17
+#: Share of its text that a document has lost if its earlier text counts too.
+LOST = 0.1
 
 
 @dataclass(frozen=True)
@@ -206,8 +210,10 @@ def shard_trees(sketches: DataFrame, plan: Plan, rows: int) -> list[Tree]:
     return trees
 
 
-def dealt(sketches: DataFrame, plan: Plan, trees: list[Tree]) -> DataFrame:
-    """shard, asks, node, root, sketch: each sketch at home once per band, and where it asks.
+def dealt(sketches: DataFrame, plan: Plan, trees: list[Tree], homes_only: bool = False) -> DataFrame:
+    """shard, asks, node, root, sketch: each sketch at home once per band, and where else it asks.
+
+    What is at home in a shard asks it as well, so that this needs no row of its own.
 
     The root is the component that is known so far, at first the node itself.
     """
@@ -220,12 +226,16 @@ def dealt(sketches: DataFrame, plan: Plan, trees: list[Tree]) -> DataFrame:
             known = as_words(batch.column("sketch").to_pylist(), plan)
             every = np.arange(len(known))
             for band, tree in enumerate(by_band):
-                values = plan.band(known, band)
-                for asks, most in ((False, 0), (True, plan.band_most)):
+                values, home = plan.band(known, band), np.full(len(known), -1)
+                for asks, most in ((False, 0), (True, plan.band_most))[: 1 if homes_only else 2]:
                     for leaf, some in tree.search(values, every, most):
+                        if asks:
+                            some = some[home[some] != leaf.number]
+                        else:
+                            home[some] = leaf.number
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(some), leaf.number)), pa.array([asks] * len(some)),
-                             *(batch.column(c).take(pa.array(some)) for c in ("node", "root", "sketch"))],
+                            [pa.array(np.full(len(some), leaf.number)), pa.array([asks] * len(some), pa.bool_()),
+                             *(batch.column(c).take(pa.array(some, pa.int64())) for c in ("node", "root", "sketch"))],
                             ["shard", "asks", "node", "root", "sketch"],
                         )
 
@@ -258,43 +268,45 @@ def _searched(sketches: DataFrame, plan: Plan, shard_of: Callable) -> DataFrame:
     pieces that all its askers meet."""
     rows = sketches.count()
     trees = shard_trees(sketches, plan, rows)
-    spread = written(dealt(sketches, plan, trees), "shards") if rows > plan.shard_rows else dealt(sketches, plan, trees)
-    cuts = {}
+    spread, cuts = dealt(sketches, plan, trees), {}
     if rows > plan.shard_rows:
-        homes = spread.where("NOT asks").groupBy("shard").count().where(f"count > {2 * plan.shard_rows}")
+        # Only the homes are dealt out for this count; nothing is shuffled but counts.
+        homes = dealt(sketches, plan, trees, homes_only=True).groupBy("shard").count().where(
+            f"count > {2 * plan.shard_rows}"
+        )
         cuts = {r.shard: math.ceil(r["count"] / plan.shard_rows) for r in homes.collect()}
     n = F.lit(1)
     if cuts:
         table = F.create_map(*(F.lit(x) for pair in cuts.items() for x in pair))
         n = F.coalesce(table[F.col("shard")], F.lit(1))
-    pieces = F.when(F.col("asks"), F.sequence(F.lit(0), n - 1)).otherwise(
-        F.array(F.pmod(F.xxhash64("node"), n).cast("int"))
-    )
-    spread = spread.withColumn("piece", F.explode(pieces)) if cuts else spread.withColumn("piece", F.lit(0))
+    # A home of a shard that is cut is at home in one piece, and asks the others.
+    own = F.pmod(F.xxhash64("node"), n).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda p: F.struct(
+        p.cast("int").alias("piece"), (F.col("asks") | (p != own)).alias("asks")
+    ))
+    if cuts:
+        spread = spread.withColumn("at", F.explode(pieces)).select(
+            "shard", "node", "root", "sketch", "at.piece", "at.asks"
+        )
+    else:
+        spread = spread.withColumn("piece", F.lit(0))
     band_of = np.array([band for band, tree in enumerate(trees) for _ in tree.leaves()])
     bands = sketches.sparkSession.sparkContext.broadcast(band_of)
     tasks = max(int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(band_of) + sum(cuts.values()))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = None
-        for batch in batches:
-            keys = list(zip(batch.column("shard").to_pylist(), batch.column("piece").to_pylist(), strict=True))
-            cut = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-            for a, b in zip(cut, cut[1:], strict=False):
-                if a == b:
-                    continue
-                if shard is None or shard.key != keys[a]:
-                    if shard is not None:
-                        yield _edges(shard.stars())
-                    shard = shard_of(keys[a], int(bands.value[keys[a][0]]))
-                part = batch.slice(a, b - a)
-                yield from map(_edges, shard.found(
-                    np.array(part.column("asks").to_numpy(zero_copy_only=False), bool),
-                    part.column("node").to_numpy(), as_words(part.column("sketch").to_pylist(), plan),
-                    part.column("root").to_numpy(),
-                ))
+        for key, part in _by_shard(batches):
+            if shard is None or shard.key != key:
+                if shard is not None:
+                    yield from map(_edges, shard.ended())
+                shard = shard_of(key, int(bands.value[key[0]]))
+            yield from map(_edges, shard.found(
+                np.array(part.column("asks").to_numpy(), bool), part.column("node").to_numpy(),
+                as_words(part.column("sketch").to_pylist(), plan), part.column("root").to_numpy(),
+            ))
         if shard is not None:
-            yield _edges(shard.stars())
+            yield from map(_edges, shard.ended())
 
     # Places are numbers, not hashes of them: a shard or a piece shares its task with no other.
     further = dict(zip(cuts, np.cumsum([len(band_of), *(n - 1 for n in cuts.values())]).tolist(), strict=False))
@@ -307,6 +319,30 @@ def _searched(sketches: DataFrame, plan: Plan, shard_of: Callable) -> DataFrame:
     return met.mapInArrow(search, "a long, b long")
 
 
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.Table]]:
+    """The rows of each shard and piece, one after the other, many at a time.
+
+    A tree is walked once for all that ask it together, so few rows at a time would
+    walk it again and again.
+    """
+    key, held, rows = None, [], 0
+    for batch in batches:
+        numbers = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "piece")], axis=1)
+        cuts = [0, *(np.flatnonzero((numbers[1:] != numbers[:-1]).any(axis=1)) + 1).tolist(), len(numbers)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            now = (int(numbers[a, 0]), int(numbers[a, 1]))
+            if held and (now != key or rows >= ROWS_AT_ONCE):
+                yield key, pa.Table.from_batches(held)
+                held, rows = [], 0
+            key = now
+            held.append(batch.slice(a, b - a))
+            rows += b - a
+    if held:
+        yield key, pa.Table.from_batches(held)
+
+
 def _edges(found: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in found], ["a", "b"])
 
@@ -350,6 +386,14 @@ class Shard:
     def found(self, asks: np.ndarray, nodes: np.ndarray, sketches: np.ndarray, _) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield self.take(asks, nodes, sketches)
 
+    def ended(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """What the homes give that ask their own shard, some at a time, and at last the stars."""
+        for part in list(self.parts):
+            for at in range(0, len(part[0]), ROWS_AT_ONCE):
+                nodes, sketches, *roots = (column[at : at + ROWS_AT_ONCE] for column in part)
+                yield from self.found(np.ones(len(nodes), bool), nodes, sketches, roots[0] if roots else nodes)
+        yield self.stars()
+
     def _near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which sketches of a and b are linked, with broadcasting over all but the last axis."""
         return np.bitwise_count(a ^ b).sum(-1, dtype=np.int16) <= self.plan.most
@@ -517,14 +561,17 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def changed(docs: DataFrame, earlier: DataFrame) -> DataFrame:
-    """doc_id, mark and text of the earlier texts that differ from those of the documents now.
+    """doc_id, mark and text of the earlier texts of documents that have lost ``LOST`` of theirs since.
 
-    Only of ids that one row has on each side. Ids and hashes are compared first.
+    What lost less still resembles its earlier text. Only of ids that one row has on
+    each side. Ids and lengths are compared first, so that other texts are not fetched.
     """
-    now, then = (t.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("mark").alias("mark")).where("n = 1") for t in (
-        docs.select("doc_id", "mark"), earlier.select("doc_id", "mark")
-    ))
-    ids = now.join(then.toDF("doc_id", "n_then", "mark_then"), "doc_id").where("mark != mark_then").select("doc_id")
+    now, then = (
+        t.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.length("text")).alias("length")).where("n = 1")
+        for t in (docs, earlier)
+    )
+    ids = now.join(then.toDF("doc_id", "n_then", "length_then"), "doc_id")
+    ids = ids.where(F.col("length") <= (1 - LOST) * F.col("length_then")).select("doc_id")
     return earlier.join(ids, "doc_id", "left_semi")
 
 
@@ -544,7 +591,7 @@ def near_groups(
     rows = written(sketched(docs, plan, id_col, text_col), "sketches")
     whole, every, same = _texts(docs, id_col, text_col), rows, None
     if earlier is not None:
-        before = written(changed(rows, _texts(earlier, id_col, text_col)), "earlier-texts")
+        before = written(changed(whole, _texts(earlier, id_col, text_col)), "earlier-texts")
         of_before = written(sketched(before, plan), "earlier-sketches")
         whole, every = whole.unionByName(before), rows.unionByName(of_before)
         same = of_before.select("doc_id", F.col("node").alias("a")).join(

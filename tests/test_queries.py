@@ -26,7 +26,8 @@ def test_entry(spark):
 
 
 def test_all_queries_have_a_twin():
-    assert set(QUERIES) == set(ORACLES)
+    # Indexes that are fitted to the rows have none; test_search asks for their recall.
+    assert set(QUERIES) - set(ORACLES) == {"index_choice", "pq_recall"} and set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 

@@ -260,21 +260,26 @@ def _odd_names(spark, sf_dir) -> DataFrame:
     )
 
 
-def _document_files(spark, sf_dir) -> str:
+def _document_files(spark, sf_dir, parts: int = 0) -> str:
     """The documents written as one file each."""
     folder = shared_folder(spark, "files")
     made = _odd_names(spark, sf_dir).select("key", F.encode("text", "UTF-8").alias("content"))
-    files.write_files(made, folder)
+    files.write_files(made, folder, parts)
     return folder
 
 
+def _parts(n_files: int) -> int:
+    return -(-n_files // files.PART_FILES)
+
+
 @query
 def scan_folder(spark, sf_dir):
     """Files of the documents, found by their ending in one case and in any."""
-    folder = _document_files(spark, sf_dir)
-    exact = files.read_folder(spark, folder, "pdf").select("path", F.lit(True).alias("exact"))
-    found = files.read_folder(spark, folder, "pdf", ignore_case=True).select("path", "length")
-    return found.join(exact, "path", "left").select(
+    folder = _document_files(spark, sf_dir, _parts(documents(spark, sf_dir).count()))
+    exact = files.read_folder(spark, folder, "pdf", content=False).select("path", F.lit(True).alias("exact"))
+    found = files.read_folder(spark, folder, "pdf", ignore_case=True, content=False).select("path", "length")
+    # Spark cannot tell how many files the tasks list.
+    return found.join(exact.hint("merge"), "path", "left").select(
         F.regexp_extract("path", r"doc_(\d+)", 1).cast("long").alias("doc_id"), "length",
         F.coalesce("exact", F.lit(False)).alias("is_exact"),
     )
@@ -314,7 +319,7 @@ def pages_of_files(spark, sf_dir):
     )
     files.write_files(texts.select(
         F.concat("file_name", F.lit(".txt")).alias("key"), F.encode("text", "UTF-8").alias("content")
-    ), folder)
+    ), folder, _parts(turns(spark, sf_dir).select("file_name").distinct().count()))
     read = files.read_folder(spark, folder, "txt")
     made = files.extract_pages(read, files.parse_form_feed_text, attempts=2)
     return files.good_pages(made).select(basename("file_name").alias("file_name"), "page", "text")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator
 
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from inkspan.functions.text import _col, basename, forward_slashes
+from inkspan.session import file_system
 
 # What is cut from HTML, in this order. The patterns mean the
 # same in Java, Python and RE2.
@@ -31,21 +33,120 @@ FETCHED = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+FILE = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+])
+
+_LISTED = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("at", T.LongType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("is_folder", T.BooleanType()),
+])
+
 BATCH_BYTES = 16 << 20
+# Files of one part, where files are dealt to parts of a folder.
+PART_FILES = 2000
 
 Parser = Callable[[bytes], list[str]]
 
 
 def read_folder(
-    spark: SparkSession, folder: str, extension: str = "pdf", ignore_case: bool = False
+    spark: SparkSession, folder: str, extension: str = "pdf", ignore_case: bool = False, content: bool = True
 ) -> DataFrame:
     """Files of one folder as (path, modificationTime, length, content).
 
-    Column pruning matters here: without ``content`` no file is opened.
+    Tasks list the folder and then, each its share, the parts below it, folders named
+    ``x=y`` as those of ``write_files``: the driver sees no file. Without ``content`` no
+    file is opened. Empty files are left out, as Spark's own scan does. A store that Arrow
+    does not know is listed by Spark, on the driver.
     """
     letters = (f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
     glob = "*." + ("".join(letters) if ignore_case else extension)
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    system, path = file_system(spark, folder)
+    given = [(s.getPath().toString(), s.getModificationTime() * 1000, s.getLen(), s.isDirectory())
+             for s in system.globStatus(path) or []]
+    try:
+        open_folder(given[0][0] if given else "")
+    except (OSError, pa.ArrowException, TypeError, ValueError):
+        given = []
+    if not given:
+        found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+        return found if content else found.drop("content")
+    roots = [name for name, *_ in given]
+    # Hadoop's own reading of the glob, for names as they are.
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
+    schema, whole = to_arrow_schema(_LISTED), to_arrow_schema(FILE)
+
+    def inside(path: str) -> tuple[pa.fs.FileSystem, str]:
+        root = next(r for r in roots if path == r or path.startswith(r.rstrip("/") + "/"))
+        if root not in opened:
+            opened[root] = open_folder(root)
+        system, base = opened[root]
+        return system, base + path[len(root.rstrip("/")):]
+
+    opened: dict[str, tuple[pa.fs.FileSystem, str]] = {}
+
+    def expand(deep: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            wanted = re.compile(pattern, re.DOTALL)
+            rows = (
+                dict(zip(schema.names, row))
+                for batch in batches
+                for given in zip(*(column.to_pylist() for column in batch.columns))
+                for row in (_listed(*inside(given[0]), given[0], deep) if given[3] else [given])
+                if row[3] or wanted.fullmatch(row[0].rsplit("/", 1)[-1])
+            )
+            return _batches(rows, "path", schema)
+
+        return run
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def bytes_of(path: str) -> bytes:
+            system, name = inside(path)
+            with system.open_input_stream(name, compression=None) as stream:
+                return stream.read()
+
+        rows = (
+            {**row, "content": bytes_of(row["path"])}
+            for batch in batches for at in range(batch.num_rows) for row in batch.slice(at, 1).to_pylist()
+        )
+        return _batches(rows, "content", whole)
+
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    first = spark.createDataFrame(given, "path string, at long, length long, is_folder boolean")
+    parts = first.mapInArrow(expand(False), _LISTED).repartition(tasks, "path")
+    found = parts.mapInArrow(expand(True), _LISTED).filter("length > 0").select(
+        "path", F.timestamp_micros("at").alias("modificationTime"), "length"
+    )
+    return found.mapInArrow(read, FILE) if content else found
+
+
+def _listed(system: pa.fs.FileSystem, inner: str, folder: str, deep: bool) -> Iterator[tuple[str, int, int, bool]]:
+    """(path, microseconds of its change, length, is it a part) of a folder; ``deep``: of its parts too."""
+    folder = folder.rstrip("/")
+    for name, is_file, changed, length in _entries(system, inner):
+        hidden = name.startswith(".") or name.endswith("._COPYING_") or name.startswith("_") and "=" not in name
+        if hidden and not name.startswith(("_metadata", "_common_metadata")):  # as Spark has it
+            continue
+        if is_file or not deep and "=" in name:
+            yield f"{folder}/{name}", changed // 10**6 * 1000, length, not is_file
+        elif "=" in name:
+            yield from _listed(system, f"{inner}/{name}", f"{folder}/{name}", deep)
+
+
+def _entries(system: pa.fs.FileSystem, inner: str) -> Iterator[tuple[str, bool, int, int]]:
+    if isinstance(system, pa.fs.LocalFileSystem):  # one by one, however many there are
+        with os.scandir(inner or "/") as entries:
+            for entry in entries:
+                about = entry.stat()
+                yield entry.name, entry.is_file(), about.st_mtime_ns, about.st_size
+    else:
+        for about in system.get_file_info(pa.fs.FileSelector(inner)):
+            yield about.base_name, about.type == pa.fs.FileType.File, about.mtime_ns or 0, about.size or 0
 
 
 def fetch_files(keys: DataFrame, folder: str) -> DataFrame:
@@ -113,18 +214,28 @@ def _read_file(system, folder: str, key: str | None) -> tuple[bytes | None, str
         return None, f"{type(e).__name__}: {e}"
 
 
-def write_files(rows: DataFrame, folder: str) -> int:
-    """Write each row's ``content`` to the file that its ``key`` names; how many."""
+def write_files(rows: DataFrame, folder: str, parts: int = 0) -> int:
+    """Write each row's ``content`` to the file that its ``key`` names; how many.
+
+    With ``parts`` the files are dealt to so many folders below ``folder``, which
+    ``read_folder`` reads as one.
+    """
+    part = F.format_string("part=%d/", F.pmod(F.xxhash64("key"), F.lit(parts))) if parts else F.lit("")
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = open_folder(folder)
         system.create_dir(base, recursive=True)
+        made = {""}
         for batch in batches:
-            for key, content in zip(batch.column(0), batch.column(1)):
-                with system.open_output_stream(f"{base}/{key.as_py()}") as stream:
+            for key, content, part in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
+                if part not in made:
+                    system.create_dir(f"{base}/{part}", recursive=True)
+                    made.add(part)
+                with system.open_output_stream(f"{base}/{part}{key.as_py()}") as stream:
                     stream.write(content.as_py() or b"")
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
 
-    written = rows.select("key", "content").mapInArrow(write, "n long")
+    written = rows.select("key", "content", part.alias("part")).mapInArrow(write, "n long")
     return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 

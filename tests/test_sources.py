@@ -229,3 +229,21 @@ def test_fetch_of_any_name(spark, folder, name):
         found = {r.key: r for r in files.fetch_files(keys, base).collect()}
         assert bytes(found[name].content) == b"content" and found[name].error is None
         assert found["missing"].error and found[None].error
+
+
+def test_folder_is_listed_by_tasks(spark, folder):
+    """Files in parts and beside them, as Spark reads them; the driver plans no file."""
+    fill(folder, **{"in/a b#%41.pdf": b"12", "in/é.pdf": b"", "in/.h.pdf": b"3", "in/_h.pdf": b"4", "in/s/d.pdf": b"5"})
+    flat = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder + "/in")
+    found = files.read_folder(spark, folder + "/in")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, flat.collect())) and found.columns == flat.columns
+    one = files.read_folder(spark, folder + "/in/a b*.pdf", content=False)
+    assert [r.length for r in one.collect()] == [2] and one.columns == flat.columns[:3]
+    rows = spark.range(50).select(F.concat("id", F.lit(".pdf")).alias("key"), F.encode(F.col("id").cast("string"), "UTF-8").alias("content"))
+    assert files.write_files(rows, folder + "/out", parts=4) == 50
+    assert sorted(p.name for p in Path(folder, "out").iterdir()) == [f"part={n}" for n in range(4)]
+    dealt = files.read_folder(spark, folder + "/out")
+    assert sorted(r.content.decode() + ".pdf" for r in dealt.collect()) == names(dealt) == sorted(f"{n}.pdf" for n in range(50))
+    assert "FileScan" not in dealt._jdf.queryExecution().toString()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_folder(spark, folder + "/none").collect()

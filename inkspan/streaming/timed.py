@@ -1,8 +1,8 @@
 """Retries with a waiting time: a failed message is hidden for a while and then tried again.
 
 Messages are keyed by file. What waits is state of its file, with the time at which
-the message is visible again; an event-time timer brings it back when the watermark
-gets there. A success or the last attempt closes its state. Needs the RocksDB state store.
+the message is visible again; an event-time timer of the file, set for the first of them,
+brings back all that are due when the watermark gets there. A success or the last attempt closes its state. Needs the RocksDB state store.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from inkspan.operators.routing import DEAD_LETTER, DONE, MAX_ATTEMPTS, RETRY
 # Fixed value: seconds for which a failed message is hidden.
 VISIBILITY = 30
 LATENESS = "10 minutes"
+# Rows of one frame of outcomes.
+ROWS = 10_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -35,34 +37,55 @@ class _Deliveries(StatefulProcessor):
         self.waiting = handle.getMapState("waiting", "id string", "attempt int, due long, body string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = []
+        now = timerValues.getCurrentWatermarkInMs()
         for frame in rows:
             times = (pd.to_datetime(frame[self.ts], utc=True).astype("int64") // 10**6).tolist()
+            found, again = [], {}
             for name, at, body in zip(frame[self.message_id], times, frame["body"], strict=True):
-                found += self._deliver(str(name), body, 1, at, timerValues)
-        yield self._rows(key, found)
+                self._deliver(str(name), body, 1, at, now, found, again)
+            self._wait(again)
+            yield self._rows(key, found)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now, found = expiredTimerInfo.getExpiryTimeInMs(), []
-        due = [(k[0], v) for k, v in self.waiting.iterator() if v[1] <= now]
-        for name, (attempt, at, body) in due:
-            self.waiting.removeKey((name,))
-            found += self._deliver(name, body, attempt, at, timerValues)
-        yield self._rows(key, found)
-
-    def _deliver(self, name: str, body: str, attempt: int, at: int, timerValues) -> list[tuple]:
-        """The attempts from this one on whose time has come; the next one waits as state."""
-        found, now = [], timerValues.getCurrentWatermarkInMs()
+        """All messages of the file whose time has come, whichever of them the timer was set for."""
+        now, found, again, gone, least = timerValues.getCurrentWatermarkInMs(), [], {}, [], None
+        for (name,), (attempt, at, body) in self.waiting.iterator():
+            if at > now:
+                least = at if least is None else min(least, at)
+                continue
+            gone.append(name)
+            self._deliver(name, body, attempt, at, now, found, again)
+            if len(found) >= ROWS:
+                yield self._rows(key, found)
+                found = []
+        if gone and least is None:
+            self.waiting.clear()
+        else:
+            for name in gone:
+                self.waiting.removeKey((name,))
+        self._wait(again, least)
+        if found:
+            yield self._rows(key, found)
+
+    def _deliver(self, name: str, body: str, attempt: int, at: int, now: int, found: list, again: dict) -> None:
+        """The attempts from this one on whose time has come; the next one is to wait."""
         while True:
             route = DONE if self.process(body, attempt) else DEAD_LETTER if attempt >= self.max_attempts else RETRY
             found.append((name, attempt, at, route))
             if route != RETRY:
-                return found
+                return
             attempt, at = attempt + 1, at + 1000 * self.visibility
             if at > now:
-                self.waiting.updateValue((name,), (attempt, at, body))
-                self.handle.registerTimer(at)
-                return found
+                again[name] = (attempt, at, body)
+                return
+
+    def _wait(self, again: dict, least: int | None = None) -> None:
+        """Keep what waits as state, with one timer for the first of it to be due."""
+        for name, value in again.items():
+            self.waiting.updateValue((name,), value)
+        due = [at for _, at, _ in again.values()] + ([] if least is None else [least])
+        if due:
+            self.handle.registerTimer(min(due))
 
     def _rows(self, key, found: list[tuple]) -> pd.DataFrame:
         frame = pd.DataFrame(found, columns=[self.message_id, "attempt", "at", "route"])

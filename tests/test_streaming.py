@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +149,41 @@ def test_timed_retries_wait_and_close(spark, folder):
         assert consume() == sorted([*second, ("b", "3", 2, 150, "retry"), ("b", "3", 3, 180, "dead_letter"), ("c", "5", 1, 1000, "done")])
         send(("c", "6", 5000, "0"))
         assert len(consume()) == 9  # what is closed is not tried again
+
+
+def test_timed_retries_set_one_timer_for_a_file():
+    """Messages of a file that fail together are read from state once, not once for each."""
+    class State(dict):
+        reads = 0
+
+        def iterator(self):
+            self.reads += 1
+            return iter(list(self.items()))
+
+        updateValue, removeKey = dict.__setitem__, dict.__delitem__
+
+    class Handle:
+        def __init__(self):
+            self.timers, self.state = set(), State()
+
+        def getMapState(self, *_):
+            return self.state
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+    class Now:
+        def __init__(self, at):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: at
+
+    given, handle = timed._Deliveries(lambda body, attempt: attempt > int(body), "file", "id", "ts", 3, 30), Handle()
+    given.init(handle)
+    frame = pd.DataFrame({"file": "a", "id": range(500), "ts": pd.to_datetime(range(500), unit="s"), "body": ["1", "5"] * 250})
+    found = list(given.handleInputRows(("a",), iter([frame]), Now(0)))
+    assert sum(map(len, found)) == len(handle.state) == 500 and handle.timers == {30_000}
+    # At 300 s, 271 messages have had a second attempt, and 121 of those that fail on a third.
+    later = pd.concat(given.handleExpiredTimer(("a",), Now(300_000), Now(30_000)))
+    assert later.groupby("attempt").size().to_dict() == {2: 271, 3: 120} and handle.state.reads == 1
+    assert handle.timers == {30_000, 301_000} and len(handle.state) == 500 - 136 - 120
+    rest = pd.concat(given.handleExpiredTimer(("a",), Now(10**9), Now(301_000)))
+    assert not handle.state and len(rest) == 500 + 250 - 391 and set(rest["route"]) == {"retry", "done", "dead_letter"}

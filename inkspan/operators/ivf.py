@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from inkspan.functions.vectors import is_finite
 from inkspan.operators.search import (
-    Queries, highest_products, needed_probes, sampled_neighbours, top_k, usable_rows,
+    QUERY_TILE, Queries, among_highest, highest_products, knn_join, needed_probes, sampled_neighbours, top_k,
+    usable_rows,
 )
 from inkspan.session import shared_folder
 
@@ -22,6 +24,8 @@ LISTS = 20
 PROBES = 5
 MAX_CENTROID_BYTES = 256 << 20
 MAX_LISTS = 1 << 16
+# Bytes of the bits that say which lists the queries of one scan read.
+MAX_PROBE_BYTES = 16 << 20
 CENTROIDS = T.StructType([
     T.StructField("list_id", T.IntegerType()),
     T.StructField("centroid", T.ArrayType(T.DoubleType())),
@@ -99,13 +103,17 @@ def ivf_search(
     list_ids, matrix = centroid_matrix(centroids)
 
     def probed(query_matrix: np.ndarray, _ids: np.ndarray) -> dict[str, np.ndarray]:
-        return {"probes": list_ids[highest_products(query_matrix, matrix, probes)]}
+        return {"probed": among_highest(query_matrix, matrix, probes)}
 
-    return top_k(
-        index, queries, k,
-        gate=_probed_rows, gate_cols=("list_id",), query_extra=probed, prune=_prune_lists,
-        **search_options,
-    )
+    rules = {
+        "gate": partial(_probed_rows, list_ids), "gate_cols": ("list_id",), "query_extra": probed,
+        "prune": partial(_prune_lists, list_ids),
+    }
+    # A tile of queries for each scan, so that the bits of its lists stay bounded.
+    some = max(QUERY_TILE, MAX_PROBE_BYTES * 8 // max(1, len(list_ids)))
+    if queries.count() <= some:
+        return top_k(index, queries, k, **rules, **search_options)
+    return knn_join(index, queries, k, tile_bytes=some * matrix.shape[1] * 8, **rules, **search_options)
 
 
 def list_radii(index: DataFrame, centroids: DataFrame, vector_col: str = "embedding") -> DataFrame:
@@ -218,9 +226,11 @@ def calibrated_probes(
     if not found:
         return 1
     list_ids, matrix = centroid_matrix(centroids)
-    order = list_ids[highest_products(np.array([v for v, _ in found], np.float64), matrix, len(matrix))]
-    places = (order == np.array([place for _, place in found])[:, None]).argmax(axis=1)
-    return needed_probes(places, wanted)
+    places = [
+        (list_ids[highest_products(np.array([vector], np.float64), matrix, len(matrix))[0]] == place).argmax()
+        for vector, place in found
+    ]
+    return needed_probes(np.array(places), wanted)
 
 
 def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -235,15 +245,21 @@ def centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.array([r[0] for r in rows], dtype=np.int32), matrix
 
 
-def _prune_lists(index: DataFrame, side: Queries) -> DataFrame:
+def _prune_lists(list_ids: np.ndarray, index: DataFrame, side: Queries) -> DataFrame:
     if not side.extra:
         return index.limit(0)
-    wanted = [int(x) for x in np.unique(side.extra["probes"])]
-    return index.filter(F.col("list_id").isin(wanted))
+    asked = np.unpackbits(np.bitwise_or.reduce(side.extra["probed"], axis=0), count=len(list_ids)) == 1
+    if asked.all():
+        return index.filter(F.col("list_id").isNotNull())
+    return index.filter(F.col("list_id").isin([int(x) for x in list_ids[asked]]))
 
 
-def _probed_rows(batch: pa.RecordBatch, side: Queries):
-    list_ids = batch.column(2).to_numpy(zero_copy_only=False)
-    for list_id in np.unique(list_ids):
-        asking = np.flatnonzero((side.extra["probes"] == list_id).any(axis=1))
-        yield np.flatnonzero(list_ids == list_id), asking, None
+def _probed_rows(list_ids: np.ndarray, batch: pa.RecordBatch, side: Queries):
+    found = batch.column(2).to_numpy(zero_copy_only=False)
+    order = np.argsort(found, kind="stable")
+    lists, starts = np.unique(found[order], return_index=True)
+    places = np.searchsorted(list_ids, lists)
+    for name, at, rows in zip(lists, places, np.split(order, starts[1:]), strict=True):
+        if at < len(list_ids) and list_ids[at] == name:
+            asking = np.flatnonzero(side.extra["probed"][:, at >> 3] & (128 >> (at & 7)))
+            yield rows, asking, None

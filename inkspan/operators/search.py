@@ -25,6 +25,8 @@ METRICS = ("inner_product", "cosine")
 MAX_QUERY_BYTES = 256 << 20
 # Queries a task scores at once, which bounds its score matrix.
 QUERY_TILE = 256
+# Products of rows with centers that are worked out at once: 16 MB.
+PRODUCTS = 1 << 21
 MERGE_SALTS = 32
 
 
@@ -40,6 +42,9 @@ class Queries:
     def dim(self) -> int:
         return self.vectors.shape[1]
 
+    def some(self, at: slice) -> Queries:
+        return Queries(self.ids[at], self.vectors[at], {name: values[at] for name, values in self.extra.items()})
+
 
 # Which (row, query) pairs of a batch may match: blocks of row positions, query
 # positions and an optional mask over the two.
@@ -202,19 +207,21 @@ class _Best:
         ids = batch.column(0)
         id_rank = np.empty(len(ids), dtype=np.int64)
         id_rank[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
-        everything = np.arange(len(rows)), np.arange(len(self.side.ids)), None
-        for row_at, query_at, mask in gate(batch, self.side) if gate else [everything]:
-            if self.metric == "cosine":
-                alive = rows[row_at].any(axis=1)
-                row_at, mask = row_at[alive], mask if mask is None else mask[alive]
-            if len(row_at) > self.k:
-                kept = _few_copies(rows[row_at], id_rank[row_at], mask, self.k)
-                row_at, mask = row_at[kept], mask if mask is None else mask[kept]
-            block = rows[row_at]
-            for start in range(0, len(query_at) if len(row_at) else 0, QUERY_TILE):
-                tile = slice(start, start + QUERY_TILE)
-                tile_mask = None if mask is None else mask[:, tile]
-                self._block(ids, id_rank, block, row_at, query_at[tile], tile_mask)
+        everything = np.arange(len(rows))
+        for start in range(0, len(self.side.ids), QUERY_TILE):
+            # A gate's mask holds the rows of a batch for one tile of queries, never for all.
+            tile = self.side.some(slice(start, start + QUERY_TILE))
+            for row_at, query_at, mask in gate(batch, tile) if gate else [(everything, np.arange(len(tile.ids)), None)]:
+                if not len(query_at):
+                    continue
+                if self.metric == "cosine":
+                    alive = rows[row_at].any(axis=1)
+                    row_at, mask = row_at[alive], mask if mask is None else mask[alive]
+                if len(row_at) > self.k:
+                    kept = _few_copies(rows[row_at], id_rank[row_at], mask, self.k)
+                    row_at, mask = row_at[kept], mask if mask is None else mask[kept]
+                if len(row_at):
+                    self._block(ids, id_rank, rows[row_at], row_at, query_at + start, mask)
 
     def _block(self, ids, id_rank, block, row_at, query_at, mask) -> None:
         rough = block @ self.side.vectors[query_at].T
@@ -332,21 +339,46 @@ def highest_products(rows: np.ndarray, centers: np.ndarray, n: int) -> np.ndarra
     The matrix product narrows the choice; what lies within its error is summed
     again in one fixed order, so that the choice does not depend on the batch.
     """
-    rough = rows @ centers.T
     n = min(n, len(centers))
-    slack = 8e-16 * rows.shape[1] * np.outer(
-        np.linalg.norm(rows, axis=1), np.linalg.norm(centers, axis=1).max(initial=0)
-    )
-    bar = np.partition(rough, len(centers) - n, axis=1)[:, len(centers) - n, None] - slack
-    close = rough >= bar
-    best = np.argsort(-rough, axis=1, kind="stable")[:, :n]
-    for row in np.flatnonzero((close.sum(axis=1) > 1) | (n > 1)):
-        some = np.flatnonzero(close[row])
-        exact = (centers[some] * rows[row]).sum(axis=1)
-        best[row] = some[np.argsort(-exact, kind="stable")[:n]]
+    best = np.empty((len(rows), n), dtype=np.int64)
+    for at, (block, rough, slack) in _products(rows, centers):
+        bar = np.partition(rough, len(centers) - n, axis=1)[:, len(centers) - n, None] - slack
+        close = rough >= bar
+        if n == 1:
+            best[at, 0] = rough.argmax(axis=1)
+        for row in np.flatnonzero((close.sum(axis=1) > 1) | (n > 1)):
+            some = np.flatnonzero(close[row])
+            exact = (centers[some] * block[row]).sum(axis=1)
+            best[at.start + row] = some[np.argsort(-exact, kind="stable")[:n]]
     return best
 
 
+def among_highest(rows: np.ndarray, centers: np.ndarray, n: int) -> np.ndarray:
+    """Which centers ``highest_products`` chooses: a bit for each center, a byte for eight."""
+    n = min(n, len(centers))
+    bits = np.empty((len(rows), -(-len(centers) // 8)), dtype=np.uint8)
+    for at, (block, rough, slack) in _products(rows, centers):
+        bar = np.partition(rough, len(centers) - n, axis=1)[:, len(centers) - n, None]
+        chosen = rough > bar + slack
+        close = (rough >= bar - slack) & ~chosen
+        for row in range(len(block)):
+            some = np.flatnonzero(close[row])
+            exact = (centers[some] * block[row]).sum(axis=1)
+            chosen[row, some[np.argsort(-exact, kind="stable")[: n - chosen[row].sum()]]] = True
+        bits[at] = np.packbits(chosen, axis=1)
+    return bits
+
+
+def _products(rows: np.ndarray, centers: np.ndarray):
+    """Some rows at a time: where they are, they, their rough products with all centers, and the products' error."""
+    step = max(1, PRODUCTS // max(1, len(centers)))
+    longest = np.linalg.norm(centers, axis=1).max(initial=0)
+    for start in range(0, len(rows), step):
+        block = rows[start : start + step]
+        slack = 8e-16 * rows.shape[1] * np.linalg.norm(block, axis=1)[:, None] * longest
+        yield slice(start, start + len(block)), (block, block @ centers.T, slack)
+
+
 #: Rows that a calibration asks for their neighbours.
 CALIBRATION_ROWS = 64
 

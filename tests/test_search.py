@@ -1,6 +1,9 @@
+import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -337,3 +340,46 @@ def test_product_quantisation(spark):
     assert pq.train_book(rows.limit(0), 64).shape == (16, 16, 4)
     with pytest.raises(ValueError):
         pq.train_book(rows, 64, slices=7)
+
+
+def _peak(work):
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_an_index_does_not_follow_lists_times_rows():
+    """What a task holds follows its rows or its lists, not their product."""
+    draw = np.random.default_rng(3)
+    rows, centers = draw.normal(size=(6000, 8)), draw.normal(size=(5000, 8))
+    first, peak = _peak(lambda: search.highest_products(rows, centers, 1))
+    assert peak < 100 << 20 and (first[:50, 0] == (rows[:50] @ centers.T).argmax(axis=1)).all()
+    bits, peak = _peak(lambda: search.among_highest(rows[:2000], centers, 3000))
+    assert peak < 100 << 20
+    chosen = search.highest_products(rows[:40], np.vstack([centers, centers[:9]]), 3000)
+    same = np.unpackbits(search.among_highest(rows[:40], np.vstack([centers, centers[:9]]), 3000), axis=1, count=5009)
+    assert all(set(chosen[i]) == set(np.flatnonzero(same[i])) for i in range(40))
+    # Rows of two tables of buckets, asked by many queries: a mask for some queries at a time.
+    probed = draw.random((8000, 2, 32)) < 0.6
+    codes = draw.integers(0, 32, (4000, 2))
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(range(4000)), pa.array(draw.normal(size=(4000, 8)).tolist()), pa.array(codes.tolist()),
+        pa.array([i % 2 for i in range(4000)]), pa.array(codes[range(4000), [i % 2 for i in range(4000)]]),
+    ], ["vec_id", "embedding", "codes", "lsh_table", "lsh_code"])
+    asked = draw.normal(size=(8000, 8))
+    best = search._Best(search.Queries(np.arange(8000).astype(object), asked, {"probed": probed}), 2, "inner_product")
+    _, peak = _peak(lambda: best.add(batch, lsh._first_bucket))
+    assert peak < 70 << 20 and all(len(names) == 2 for names in best.found)
+
+
+def test_many_queries_are_asked_in_tiles(spark, monkeypatch):
+    draw = random.Random(8)
+    rows = spark.createDataFrame([(i, [draw.gauss(0, 1) for _ in range(DIM)]) for i in range(600)], VECTORS)
+    asked = rows.selectExpr("vec_id AS query_id", "embedding AS query_vector")
+    centroids = ivf.train_centroids(rows, 12)
+    index = ivf.assign_lists(rows, centroids)
+    once = ivf.ivf_search(index, centroids, asked, 3, 5)
+    monkeypatch.setattr(ivf, "MAX_PROBE_BYTES", 1)
+    assert sorted(map(tuple, ivf.ivf_search(index, centroids, asked, 3, 5).collect())) == sorted(map(tuple, once.collect()))

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from inkspan.functions.text import _col, is_blank
 from inkspan.schemas import EMBEDDING
 
-REMEMBERED_TOKENS = 1 << 19
+# Tokens that a task remembers: some 10 MB.
+REMEMBERED_TOKENS = 1 << 16
 
 
 class Embedder(Protocol):
@@ -114,11 +115,12 @@ def _embedding_udf(factory, request_size: int, attempts: int):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         embedder = factory()
         for batch in batches:
-            texts = batch.to_pylist()
-            rows = []
-            for at in range(0, len(texts), request_size):
-                rows += _request(embedder, texts[at : at + request_size], attempts)
-            yield _struct_array(rows, embedder.model)
+            # Only the texts and the rows of one request are Python objects at a time.
+            made = [
+                _struct_array(_request(embedder, batch.slice(at, request_size).to_pylist(), attempts), embedder.model)
+                for at in range(0, len(batch), request_size)
+            ]
+            yield pa.concat_arrays(made) if made else _struct_array([], embedder.model)
 
     return run
 

@@ -231,3 +231,22 @@ def test_dead_letters_and_redrive(spark):
     ]
     done = spark.createDataFrame([("a",)], "message_id string")
     assert rows(routing.redrive(letters, done), "message_id") == [("b",)]
+
+
+def test_embedding_holds_one_request_of_texts():
+    """Python objects of a task follow a request, not a batch of texts."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from inkspan.operators import embedding
+
+    batch = pa.array([" ".join(f"{i}-{j}" for j in range(60)) for i in range(4000)])
+    run = embedding._embedding_udf(embedding.HashingEmbedder, 256, 3).func
+    tracemalloc.start()
+    try:
+        made = next(run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(made) == 4000 and made.field("error").null_count == 4000 and peak < 14 << 20

@@ -1158,7 +1158,9 @@ def retry_stream(spark, sf_dir):
 
 def _event_job(spark, sf_dir):
     """The event job over the files of the documents until no message waits."""
-    folder = _document_files(spark, sf_dir)
+    # One folder of all files slows down those who write to it together.
+    parts = _parts(documents(spark, sf_dir).count())
+    folder = _document_files(spark, sf_dir, parts)
     queue, state = shared_folder(spark, "queue"), shared_folder(spark, "job")
     docs = _odd_names(spark, sf_dir)
     sent = docs.filter(has_suffix("key", ".pdf", ignore_case=True))
@@ -1172,7 +1174,7 @@ def _event_job(spark, sf_dir):
         for _ in range(runs):
             consume_notifications(
                 spark, queue, folder, hashes, files.parse_form_feed_text, state,
-                f"{state}/offsets", size=CHUNK_SIZE, separator="\n",
+                f"{state}/offsets", parts=parts, size=CHUNK_SIZE, separator="\n",
             )
 
     consume(manifest(docs.drop("file_name").withColumnRenamed("key", "file_name")), routing.MAX_ATTEMPTS)

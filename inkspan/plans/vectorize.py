@@ -119,10 +119,13 @@ def consume_notifications(
     max_attempts: int = MAX_ATTEMPTS,
     max_files: int = 1000,
     every: str | None = None,
+    parts: int = 0,
     **options,
 ):
     """Message stream to chunk table: fetch, verify, vectorize, then acknowledge.
 
+    ``parts`` tells in how many parts the files lie (``fetch_files``).
+
     Below ``tables``: ``chunks`` and ``outcomes``, one row per message with its
     body, time and route, of each batch published together (``read_chunks``,
     ``read_outcomes``). The outcomes that are done are the ledger, by key and
@@ -151,7 +154,7 @@ def consume_notifications(
         ).write.parquet(todo_path)
         todo = spark.read.parquet(todo_path)
 
-        fetch_files(todo, folder).write.parquet(fetched_path)
+        fetch_files(todo, folder, parts).write.parquet(fetched_path)
         fetched = spark.read.parquet(fetched_path)
         verify_hashes(fetched, manifest).join(
             fetched.select("key", "error"), "key"

@@ -149,9 +149,16 @@ def _entries(system: pa.fs.FileSystem, inner: str) -> Iterator[tuple[str, bool,
             yield about.base_name, about.type == pa.fs.FileType.File, about.mtime_ns or 0, about.size or 0
 
 
-def fetch_files(keys: DataFrame, folder: str) -> DataFrame:
+def _part_of(parts: int) -> Column:
+    """The part of its folder in which the file of a ``key`` lies."""
+    return F.format_string("part=%d", F.pmod(F.xxhash64("key"), F.lit(parts))) if parts else F.lit("")
+
+
+def fetch_files(keys: DataFrame, folder: str, parts: int = 0) -> DataFrame:
     """(key, content, error) for the files a ``key`` column names inside ``folder``.
 
+    ``parts`` is what ``write_files`` was given.
+
     Every key is fetched once, by a task of its own share of the keys: a missing
     file is a row with ``error`` and the driver lists nothing.
     """
@@ -160,15 +167,15 @@ def fetch_files(keys: DataFrame, folder: str) -> DataFrame:
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = open_folder(folder)
         rows = (
-            dict(zip(schema.names, (key, *_read_file(system, base, key))))
+            dict(zip(schema.names, (key, *_read_file(system, f"{base}/{part}" if part else base, key))))
             for batch in batches
-            for key in batch.column(0).to_pylist()
+            for key, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
         )
         return _batches(rows, "content", schema)
 
     tasks = keys.sparkSession.sparkContext.defaultParallelism
     wanted = keys.select("key").distinct().repartition(tasks, "key")
-    return wanted.mapInArrow(fetch, FETCHED)
+    return wanted.select("key", _part_of(parts)).mapInArrow(fetch, FETCHED)
 
 
 def _batches(rows: Iterator[dict], large: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -218,24 +225,23 @@ def write_files(rows: DataFrame, folder: str, parts: int = 0) -> int:
     """Write each row's ``content`` to the file that its ``key`` names; how many.
 
     With ``parts`` the files are dealt to so many folders below ``folder``, which
-    ``read_folder`` reads as one.
+    ``read_folder`` reads as one and ``fetch_files`` finds.
     """
-    part = F.format_string("part=%d/", F.pmod(F.xxhash64("key"), F.lit(parts))) if parts else F.lit("")
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = open_folder(folder)
         system.create_dir(base, recursive=True)
         made = {""}
         for batch in batches:
             for key, content, part in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
+                home = f"{base}/{part}" if part else base
                 if part not in made:
-                    system.create_dir(f"{base}/{part}", recursive=True)
+                    system.create_dir(home, recursive=True)
                     made.add(part)
-                with system.open_output_stream(f"{base}/{part}{key.as_py()}") as stream:
+                with system.open_output_stream(f"{home}/{key.as_py()}") as stream:
                     stream.write(content.as_py() or b"")
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
 
-    written = rows.select("key", "content", part.alias("part")).mapInArrow(write, "n long")
+    written = rows.select("key", "content", _part_of(parts).alias("part")).mapInArrow(write, "n long")
     return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 

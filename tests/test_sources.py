@@ -247,3 +247,10 @@ def test_folder_is_listed_by_tasks(spark, folder):
     assert "FileScan" not in dealt._jdf.queryExecution().toString()
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         files.read_folder(spark, folder + "/none").collect()
+
+
+def test_fetch_finds_files_in_parts(spark, folder):
+    rows = spark.createDataFrame([(f"x {i}.pdf", b"%d" % i) for i in range(20)], "key string, content binary")
+    files.write_files(rows, folder + "/out", parts=3)
+    got = files.fetch_files(rows.select("key").unionByName(spark.createDataFrame([(None,)], "key string")), folder + "/out", 3)
+    assert {r.key: r.content and bytes(r.content) for r in got.collect()} == {None: None, **{f"x {i}.pdf": b"%d" % i for i in range(20)}}

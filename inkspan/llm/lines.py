@@ -393,7 +393,8 @@ def without_repeats(
 
     if short:
         some = F.when(F.col("_gone").isNotNull(), F.col("_row")[text_col])
-        met = met.withColumn("_gone", in_runs(some, "_gone"))
+        # Else the last filter would call it once more, in a second Python process of each task.
+        met = met.withColumn("_gone", in_runs.asNondeterministic()(some, "_gone"))
         met = met.withColumn("_gone", F.when(F.size("_gone") > 0, F.col("_gone")))
     met = met.withColumn("_lines", F.split(F.col("_row")[text_col], "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))

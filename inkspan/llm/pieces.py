@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -274,6 +274,10 @@ class Encoder:
         return raw[raw.startswith(b" "):].decode("utf-8", "replace")
 
 
+#: Texts that a task encodes or decodes at a time.
+_ROWS = 256
+
+
 def encode(
     docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "piece_ids"
 ) -> DataFrame:
@@ -282,45 +286,77 @@ def encode(
     Null and empty texts have none. Repeated rows and all other columns stay as
     they are; a column of the new name is an error.
     """
-    if ids_col in docs.columns:
-        raise ValueError(f"there is a column {ids_col} already")
-    get, names = sent(docs.sparkSession, vocabulary), [*docs.columns, ids_col]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(get())
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = encoder.encode_many(texts(part, text_col))
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    names,
-                )
-
-    return docs.mapInArrow(work, f"{_fields(docs)}, `{ids_col}` array<int>")
+    _new(docs, ids_col)
+    return _worked(
+        docs, vocabulary, f"`{ids_col}` array<int>",
+        lambda encoder, part: _with_ids(encoder, part, text_col, ids_col),
+    )
 
 
 def decode(
     rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "piece_ids", text_col: str = "decoded"
 ) -> DataFrame:
     """The rows with the text of their ids; null or no ids are the empty text."""
-    if text_col in rows.columns:
-        raise ValueError(f"there is a column {text_col} already")
-    get, names = sent(rows.sparkSession, vocabulary), [*rows.columns, text_col]
+    _new(rows, text_col)
+    return _worked(
+        rows, vocabulary, f"`{text_col}` string",
+        lambda encoder, part: _with_text(encoder, part, ids_col, text_col),
+    )
+
+
+def encode_and_decode(
+    docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "piece_ids",
+    decoded_col: str = "decoded",
+) -> DataFrame:
+    """``decode`` of ``encode``, by one encoder: a task that has two keeps a Python process for each."""
+    _new(docs, ids_col, decoded_col)
+    return _worked(
+        docs, vocabulary, f"`{ids_col}` array<int>, `{decoded_col}` string",
+        lambda encoder, part: _with_text(
+            encoder, _with_ids(encoder, part, text_col, ids_col), ids_col, decoded_col
+        ),
+    )
+
+
+def _new(rows: DataFrame, *columns: str) -> None:
+    for column in columns:
+        if column in rows.columns:
+            raise ValueError(f"there is a column {column} already")
+
+
+def _worked(
+    rows: DataFrame, vocabulary: Vocabulary, fields: str,
+    step: Callable[[Encoder, pa.RecordBatch], pa.RecordBatch],
+) -> DataFrame:
+    """The rows with new columns, by an encoder for each task."""
+    get = sent(rows.sparkSession, vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(get())
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                lists = part.column(ids_col).fill_null([]) if part.column(ids_col).null_count else part.column(ids_col)
-                flat, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy().cumsum()
-                decoded = [encoder.decode(ids) for ids in np.split(flat, ends[:-1])] if len(ends) else []
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.string())], names)
-
-    return rows.mapInArrow(work, f"{_fields(rows)}, `{text_col}` string")
+            for at in range(0, batch.num_rows, _ROWS):
+                yield step(encoder, batch.slice(at, _ROWS))
+
+    return rows.mapInArrow(work, f"{_fields(rows)}, {fields}")
+
+
+def _with_ids(encoder: Encoder, part: pa.RecordBatch, text_col: str, ids_col: str) -> pa.RecordBatch:
+    ids = encoder.encode_many(texts(part, text_col))
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    return pa.RecordBatch.from_arrays(
+        [*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+        [*part.schema.names, ids_col],
+    )
+
+
+def _with_text(encoder: Encoder, part: pa.RecordBatch, ids_col: str, text_col: str) -> pa.RecordBatch:
+    lists = part.column(ids_col).fill_null([]) if part.column(ids_col).null_count else part.column(ids_col)
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy().cumsum()
+    decoded = [encoder.decode(ids) for ids in np.split(flat, ends[:-1])] if len(ends) else []
+    return pa.RecordBatch.from_arrays(
+        [*part.columns, pa.array(decoded, pa.string())], [*part.schema.names, text_col]
+    )
 
 
 def _fields(df: DataFrame) -> str:

@@ -90,7 +90,7 @@ def op7_sentencepiece(
 def tokenized(docs: DataFrame, path: str = pieces.VOCABULARY) -> DataFrame:
     """The documents with piece_ids, n_pieces and whether decoding gives the text back."""
     vocabulary = pieces.Vocabulary.read(path)
-    rows = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    rows = pieces.encode_and_decode(docs, vocabulary)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return rows.select(
         *docs.columns, "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkspan.llm.common import sent, texts, written
+from inkspan.llm.common import by_slice, sent, texts, written
 from inkspan.llm.graph import components
 
 SEED = 42
@@ -130,21 +130,20 @@ def sketched(docs: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str
         F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
     )
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, nodes = [], []
-            for text in texts(batch):
-                hashes = shingles_of(text, plan)
-                found.append(_sketch(hashes, plan))
-                nodes.append(_node(hashes.tobytes() if plan.similarity else found[-1], plan))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("mark"), pa.array(found, pa.binary()),
-                 pa.array(nodes, pa.int64())],
-                ["doc_id", "mark", "sketch", "node"],
-            )
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found, nodes = [], []
+        for text in texts(batch):
+            hashes = shingles_of(text, plan)
+            found.append(_sketch(hashes, plan))
+            nodes.append(_node(hashes.tobytes() if plan.similarity else found[-1], plan))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("mark"), pa.array(found, pa.binary()),
+             pa.array(nodes, pa.int64())],
+            ["doc_id", "mark", "sketch", "node"],
+        )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"doc_id {kind}, mark long, sketch binary, node long")
+    return rows.mapInArrow(by_slice(work), f"doc_id {kind}, mark long, sketch binary, node long")
 
 
 def _node(found: bytes, plan: Plan) -> int:
@@ -521,13 +520,12 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, plan: Plan) ->
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     asked = nodes.join(wanted, "node").select("node", F.col("one.doc_id").alias("_id"), F.col("one.mark").alias("_mark"))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles_of(text, plan).tobytes() for text in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingles_of(text, plan).tobytes() for text in texts(batch)]
+        return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     met = rows.join(asked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
-    sets = met.select("node", "text").mapInArrow(work, "node long, shingles binary")
+    sets = met.select("node", "text").mapInArrow(by_slice(work), "node long, shingles binary")
     sets = written(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
 

@@ -386,3 +386,28 @@ def test_toxicity_keeps_columns(spark):
     model = toxicity.Model({}, slope=0.0)
     out = toxicity.score(odd_documents(spark), model, prefix="x_")
     assert out.columns == [*odd_documents(spark).columns, "x_score", "x_predicted", "x_passages"]
+
+
+def test_runs_of_lines_are_sought_once_in_a_task(spark):
+    docs = spark.createDataFrame(
+        [(i, f"good day to you\nall the best from here\nown line number {i}") for i in range(3)], "doc_id long, text string"
+    )
+    found = lines.without_repeats(docs, short=True)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # A second call is a second Python process in each task.
+    assert plan.count("ArrowEvalPython") == 1
+    texts = {r.doc_id: r.text for r in found.collect()}
+    assert texts == {
+        0: docs.where("doc_id = 0").first().text, 1: "own line number 1", 2: "own line number 2"
+    }
+
+
+def test_sketches_are_made_of_a_slice_of_texts_at_a_time(spark, monkeypatch):
+    def few(batch, column="text"):
+        assert batch.num_rows <= 512
+        return [x or "" for x in batch.column(column).to_pylist()]
+
+    monkeypatch.setattr(simhash, "texts", few)
+    docs = spark.range(1500).selectExpr("id AS doc_id", "concat('one two three four five ', id) AS text").coalesce(1)
+    found = simhash.sketched(docs, simhash.LONG).collect()
+    assert {r.doc_id for r in found} == set(range(1500)) and len({r.node for r in found}) == len(found)

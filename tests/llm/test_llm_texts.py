@@ -299,3 +299,16 @@ def test_round_trip_of_odd_rows(spark):
     encoder = pieces.Encoder(pieces.Vocabulary.read(pieces.VOCABULARY))
     part = "▁" + "unsegmentable" * 20
     assert encoder.encode(part[1:]).tolist() == encoder.best(part)
+
+
+@pytest.mark.skipif(not Path(pieces.VOCABULARY).exists(), reason="no vocabulary")
+def test_pieces_and_their_text_come_from_one_python_process(spark):
+    docs = odd_documents(spark)
+    plan = queries.tokenized(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    vocabulary = pieces.Vocabulary.read(pieces.VOCABULARY)
+    apart = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    together = pieces.encode_and_decode(docs, vocabulary)
+    assert together.columns == apart.columns and sorted(map(repr, together.collect())) == sorted(map(repr, apart.collect()))
+    with pytest.raises(ValueError):
+        pieces.encode_and_decode(together, vocabulary, ids_col="other")

@@ -9,7 +9,9 @@ Inside a shard a second tree prunes in the same way down to short lists.
 
 Long sketches are searched band by band: near copies agree, but for a bit, in at
 least one band. The whole sketch names the candidates, with a bound well above the
-expected distance, and the exact Jaccard similarity of the shingles decides.
+expected distance, and the exact Jaccard similarity of the shingles decides. Texts that
+have candidates in other components meet again by the rarest of their shingles, which
+tells apart the many pairs of a family that are just below the similarity.
 """
 
 from __future__ import annotations
@@ -252,13 +254,13 @@ def links(sketches: DataFrame, plan: Plan) -> DataFrame:
     return _searched(sketches, plan, lambda key, band: Shard(key, plan, band))
 
 
-def candidates(sketches: DataFrame, plan: Plan, every: bool) -> DataFrame:
+def candidates(sketches: DataFrame, plan: Plan) -> DataFrame:
     """a < b: pairs of nodes of different roots that are within ``most`` bits.
 
-    All of them if ``every``, else for each sketch and shard the nearest one and the
-    one of lowest number that is likely to be similar.
+    For each sketch and shard the nearest one and the one of lowest number that is
+    likely to be similar; so each node that has such a pair is in one.
     """
-    found = _searched(sketches, plan, lambda key, band: Candidates(key, plan, band, every))
+    found = _searched(sketches, plan, lambda key, band: Candidates(key, plan, band))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -447,22 +449,23 @@ class Shard:
 
 
 class Candidates(Shard):
-    """The sketches at home in one shard, and the pairs with those that ask it."""
+    """The sketches at home in one shard, and some pairs with each of those that ask it."""
 
-    def __init__(self, key: tuple[int, int], plan: Plan, band: int, every: bool):
+    def __init__(self, key: tuple[int, int], plan: Plan, band: int):
         super().__init__(key, plan, band)
-        self.every, self.likely = every, bits_for(plan.similarity, 64 * plan.words)
+        self.likely = bits_for(plan.similarity, 64 * plan.words)
 
     def found(
         self, asks: np.ndarray, nodes: np.ndarray, sketches: np.ndarray, roots: np.ndarray
     ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Homes come first; a pair is given once, in the first band where it is close, if all are."""
+        """Homes come first; then each asking sketch gives two pairs at most."""
         if not asks.all():
             self.parts.append((nodes[~asks], sketches[~asks], roots[~asks]))
         if not asks.any() or not self.parts:
             return
         if self.tree is None:
             self.nodes, self.sketches, self.roots = (np.concatenate(p) for p in zip(*self.parts, strict=True))
+            self.parts = [(self.nodes, self.sketches, self.roots)]  # not held twice
             self.values = self.plan.band(self.sketches, self.band)
             self.tree = Tree(self.values, np.arange(len(self.values)), LEAF)
         nodes, sketches, roots = nodes[asks], sketches[asks], roots[asks]
@@ -476,21 +479,12 @@ class Candidates(Shard):
                 q, x = np.nonzero(np.bitwise_count(values[part][:, None] ^ self.values[leaf.rows]) <= self.plan.band_most)
                 q, x = part[q], leaf.rows[x]
                 keep = roots[q] != self.roots[x]
-                if self.every:
-                    keep &= nodes[q] < self.nodes[x]
                 q, x = q[keep], x[keep]
-                differ = sketches[q] ^ self.sketches[x]
-                far = np.bitwise_count(differ).sum(-1, dtype=np.int64)
+                far = np.bitwise_count(sketches[q] ^ self.sketches[x]).sum(-1, dtype=np.int64)
                 keep = far <= self.plan.most
-                q, x, far, differ = q[keep], x[keep], far[keep], differ[keep]
+                q, x, far = q[keep], x[keep], far[keep]
                 if not len(q):
                     continue
-                if self.every:
-                    new = np.ones(len(q), bool)
-                    for band in range(self.band):
-                        new &= np.bitwise_count(self.plan.band(differ, band)) > self.plan.band_most
-                    yield nodes[q[new]], self.nodes[x[new]]
-                    continue
                 order = np.lexsort((self.nodes[x], far, q))
                 first = order[np.flatnonzero(np.diff(q[order], prepend=-1))]
                 better = first[far[first] < best[q[first]]]
@@ -511,45 +505,91 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(1, len(a) + len(b) - both)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs whose sets of shingles have the similarity of the plan.
+def shingle_sets(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
+    """node and shingles, their hashes, for each node that is in some pair.
 
-    Sets are made of the text of one document per node that is in some pair.
+    Sets are made of the text of one document per node.
     """
-    pairs = written(pairs, "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = nodes.join(wanted, "node").select("node", F.col("one.doc_id").alias("_id"), F.col("one.mark").alias("_mark"))
+    asked = nodes.join(_ends(pairs), "node").select("node", F.col("one.doc_id").alias("_id"), F.col("one.mark").alias("_mark"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingles_of(text, plan).tobytes() for text in texts(batch)]
-        return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+        sets = [shingles_of(text, plan).view(np.int64) for text in texts(batch)]
+        ends = np.cumsum([0, *map(len, sets)])
+        hashes = np.concatenate([np.zeros(0, np.int64), *sets])
+        shingles = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes))
+        return pa.RecordBatch.from_arrays([batch.column("node"), shingles], ["node", "shingles"])
 
     met = rows.join(asked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
-    sets = met.select("node", "text").mapInArrow(by_slice(work), "node long, shingles binary")
-    sets = written(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
+    sets = met.select("node", "text").mapInArrow(by_slice(work), "node long, shingles array<long>")
+    return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs whose sets of shingles have the similarity of the plan."""
+    sets = sets.select("node", "shingles")
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = ((np.frombuffer(x.as_py(), np.uint64) for x in batch.column(c)) for c in ("set_a", "set_b"))
+            a, b = ((x.values.to_numpy() for x in batch.column(c)) for c in ("set_a", "set_b"))
             alike = [jaccard(x, y) >= plan.similarity for x, y in zip(a, b, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
     return both.select("a", "b", "set_a", "set_b").mapInArrow(decide, "a long, b long")
 
 
+def may_be_similar(sets: DataFrame, plan: Plan) -> DataFrame:
+    """a < b: pairs of different roots, among them all that have the similarity of the plan.
+
+    ``sets`` has node, root and shingles. All shingles stand in one order: first those of
+    a single root, then the others by how many pairs of different roots have them. Two
+    sets share no more than each has left from the first shingle in both on, so similar
+    ones meet by a shingle with enough left. Pairs just below the similarity seldom do:
+    they differ in more shingles than may stand before it, and those come first.
+    """
+    each = sets.select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    of_root = each.groupBy("shingle", "root").agg(F.count("*").alias("n"))
+    shared = of_root.groupBy("shingle").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"),
+        (F.pow(F.sum("n"), F.lit(2.0)) - F.sum(F.col("n").cast("double") * F.col("n"))).alias("pairs"),
+        F.count("*").alias("roots"),
+    ).where("roots > 1").drop("roots")
+    from_last = Window.partitionBy("node").orderBy(F.desc("pairs"), F.desc("shingle"))
+    rare = each.join(shared, "shingle").withColumn("left", F.row_number().over(from_last)).where(
+        F.col("left") >= plan.similarity * F.col("n") - 1e-6
+    ).select("shingle", "node", "root", "n", "left", (F.col("root") == F.col("main")).alias("is_main"))
+    rare = written(rare, "rare-shingles")
+    # Nodes of the main root of a shingle do not meet each other, however many they are.
+    a, b = rare.where("NOT is_main").alias("a"), rare.alias("b")
+    enough = plan.similarity / (1 + plan.similarity) * (F.col("a.n") + F.col("b.n")) - 1e-6
+    met = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") != F.col("b.root"))
+                 & (F.least("a.left", "b.left") >= enough) & (F.col("b.is_main") | (F.col("a.node") < F.col("b.node"))))
+    return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+
+
 def similar(nodes: DataFrame, rows: DataFrame, plan: Plan, known: DataFrame | None = None) -> DataFrame:
     """Edges (a, b) that connect all nodes that pairs of the plan's similarity connect.
 
-    A few candidates of each node are decided first; after that only pairs between
-    the components found so far are, so a group of near copies needs few pairs.
+    A few candidates of each node are decided first. Nodes that still have candidates in
+    other components then meet by their rarest shingles, so neither a group of near
+    copies nor a family of texts just below the similarity costs all its pairs.
     ``known`` are edges that hold without being looked for.
     """
-    first = verified(candidates(nodes, plan, False), nodes, rows, plan)
+    pairs = written(candidates(nodes, plan), "candidates")
+    sets = written(shingle_sets(pairs, nodes, rows, plan), "shingles")
+    first = verified(pairs, sets, plan)
     first = written(first if known is None else first.unionByName(known), "similar")
     rooted = nodes.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = written(rooted, "rooted")
-    return first.unionByName(written(verified(candidates(rooted, plan, True), rooted, rows, plan), "similar"))
+    # Who has a candidate of another root now had one before, so its set is known.
+    sets = sets.join(rooted.select("node", "root"), "node").join(_ends(candidates(rooted, plan)), "node", "left_semi")
+    sets = written(sets, "open-sets")
+    pairs = written(may_be_similar(sets, plan), "candidates")
+    return first.unionByName(written(verified(pairs, sets, plan), "similar"))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

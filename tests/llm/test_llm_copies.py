@@ -167,6 +167,61 @@ def test_long_links_are_exactly_the_pairs_of_similarity_0_8(spark):
     assert 60 < len(set(found.values())) < len(docs) - 60
 
 
+def test_a_family_just_below_the_similarity_is_not_decided_pair_by_pair(spark, monkeypatch):
+    draw, docs = random.Random(13), []
+    base = text(190, 77).split()[:180]
+    for i in range(210):
+        found = list(base)
+        for at in draw.sample(range(172), 2 if i < 150 else 1):  # from 150 on copies with one other word
+            for n in range(7 if i < 150 else 1):
+                found[at + n] = f"w{draw.random()}"
+        docs.append(" ".join(found))
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in docs]
+    plain = Groups(range(len(docs)))
+    for a in range(len(docs)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                plain.join(max(plain.top(a), plain.top(b)), min(plain.top(a), plain.top(b)))
+    decided, write = [], simhash.written
+
+    def counted(df, purpose):
+        found = write(df, purpose)
+        if purpose == "candidates":
+            decided.append(found.count())
+        return found
+
+    monkeypatch.setattr(simhash, "written", counted)
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.near_groups(table, simhash.LONG).collect()}
+    assert found == {i: plain.top(i) for i in range(len(docs))}
+    assert len(set(found.values())) > 100 and found[150] == found[209]
+    assert len(decided) == 2 and decided[1] < 2 * len(docs)  # the family has some 20,000 pairs
+
+
+def test_pairs_that_meet_by_rare_shingles_hold_all_similar_ones(spark):
+    draw, sets = random.Random(17), []
+    for i in range(240):
+        if i % 3 == 0:
+            pool = draw.sample(range(1 << 62, (1 << 62) + 60), 40) if i % 2 else [draw.getrandbits(64) for _ in range(40)]
+            sets.append(pool[: draw.randrange(1, 40)])
+        else:  # some taken out, some put in
+            of = sets[i - i % 3]
+            sets.append(draw.sample(of, max(1, len(of) - draw.randrange(4))) + [draw.getrandbits(64) for _ in range(draw.randrange(3))])
+    roots = [draw.randrange(40) - 20 if draw.random() < 0.6 else 7 for _ in sets]
+    table = spark.createDataFrame(
+        [(n - 100, r, [x - (x >> 63 << 64) for x in sorted(s)]) for n, (r, s) in enumerate(zip(roots, sets))]
+        + [(1000, 50, []), (1001, 51, [])], "node long, root long, shingles array<long>",
+    )
+    found = [(r.a + 100, r.b + 100) for r in simhash.may_be_similar(table, simhash.LONG).collect()]
+    alike = {
+        (a, b) for b in range(len(sets)) for a in range(b)
+        if roots[a] != roots[b] and len({*sets[a]} & {*sets[b]}) >= 0.8 * len({*sets[a]} | {*sets[b]})
+    }
+    assert len(found) == len(set(found)) and all(a < b and roots[a] != roots[b] for a, b in found)
+    assert alike <= set(found) and 40 < len(alike)
+    assert simhash.may_be_similar(table.limit(0), simhash.LONG).isEmpty()
+
+
 def _distance(a, b):
     before = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

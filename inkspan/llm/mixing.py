@@ -193,6 +193,22 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, **columns: str)
     )
 
 
+def cut(text: Column, taken: Column) -> Column:
+    """The words of the taken spans, in order, with the blanks before them.
+
+    The words are bound to a variable: as a column of their own they would be put into
+    the inner function by the optimizer, and the text read again for each span.
+    """
+    words = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def joined(found: Column) -> Column:
+        return F.array_join(F.transform(taken, lambda r: F.array_join(F.slice(
+            found, (r["from_word"] + 1).cast("int"), (r["to_word"] - r["from_word"]).cast("int")
+        ), "")), "")
+
+    return F.transform(F.array(words), joined)[0]
+
+
 def mixed_documents(
     docs: DataFrame, block: int = BLOCK,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -218,7 +234,9 @@ def mixed_documents(
         "_row",
         F.col("_row")[id_col].alias("_id"), F.col("_row")[source_col].alias("_source"),
         F.regexp_count(F.coalesce(F.col("_row")[text_col], F.lit("")), F.lit(WORD)).cast("long").alias("_size"),
-    ).where("_size > 0")
+    )
+    # Which have words is asked again, not counted: a filter by size would count the words of each text twice.
+    rows = rows.where(F.col("_row")[text_col].rlike(WORD))
     copies = Window.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64(F.col("_row")[text_col]))
     rows = rows.withColumn("_copy", F.row_number().over(copies))
     on = [
@@ -226,14 +244,9 @@ def mixed_documents(
         for a, b in (("_id", "doc_id"), ("_source", "source"), ("_size", "size"), ("_copy", "copy"))
     ]
     text = F.col("_row")[text_col]
-    words = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     count = F.aggregate("_taken", F.lit(0).cast("long"), lambda n, r: n + r["to_word"] - r["from_word"])
-    cut = F.array_join(F.transform("_taken", lambda r: F.array_join(
-        F.slice("_words", (r["from_word"] + 1).cast("int"), (r["to_word"] - r["from_word"]).cast("int")), ""
-    )), "")
-    whole = count == F.col("_size")
-    met = rows.join(chosen.hint("merge"), on).select("_row", "_size", "_taken", F.when(~whole, words).alias("_words"))
-    met = met.withColumn("_text", F.when(whole, text).otherwise(cut))
+    met = rows.join(chosen.hint("merge"), on)
+    met = met.withColumn("_text", F.when(count == F.col("_size"), text).otherwise(cut(text, F.col("_taken"))))
     out = [F.col("_text").alias(c) if c == text_col else
            F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
            F.col("_row")[c].alias(c) for c in docs.columns]

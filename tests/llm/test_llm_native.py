@@ -98,6 +98,15 @@ def test_mixed_documents_hold_the_taken_words(spark):
     assert words == +taken
 
 
+def test_words_of_a_text_are_taken_once_not_for_each_block(spark):
+    docs = odd_documents(spark)
+    plan = mixing.mixed_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    # What an inner function calls again and again is its variable.
+    assert re.search(r"slice\(lambda \w+#\d+", plan) and not re.search(r"slice\((CASE|regexp)", plan)
+    # The size in words is worked out where the rows are made, and by no filter.
+    assert not re.search(r"Filter .*size\(regexp_extract_all", plan)
+
+
 def test_mixing_without_documents(spark):
     assert mixing.mix(no_documents(spark)).count() == 0
     assert mixing.mixed_documents(no_documents(spark)).count() == 0

@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,10 @@ SAMPLE_ROWS = 1 << 14
 #: Sketches that are compared one by one at the end of a branch.
 LEAF = 64
 _BLOCK = 1 << 21
+#: Pairs of sketches that are compared at a time where bands are looked up: few enough for a core's cache.
+PAIRS = 1 << 15
+#: Pairs of a band's value from which they are compared as a block.
+DENSE = 1 << 12
 #: Rows of a shard that a task works on at a time.
 ROWS_AT_ONCE = 1 << 17
 #: Share of its text that a document has lost if its earlier text counts too.
@@ -448,12 +452,33 @@ class Shard:
         return self.nodes[some], self.nodes[self.group[some]]
 
 
+def flips(bits: int, most: int) -> np.ndarray:
+    """All numbers of so many bits with at most ``most`` of them set."""
+    some = [sum(1 << i for i in at) for n in range(most + 1) for at in combinations(range(bits), n)]
+    return np.array(some, np.uint64)
+
+
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """By how many bits sketches differ, with broadcasting; their words are the first axis."""
+    far = np.bitwise_count(a[0] ^ b[0]).astype(np.int16)
+    for one, other in zip(a[1:], b[1:], strict=True):
+        far += np.bitwise_count(one ^ other)
+    return far
+
+
 class Candidates(Shard):
-    """The sketches at home in one shard, and some pairs with each of those that ask it."""
+    """The sketches at home in one shard, and some pairs with each of those that ask it.
+
+    A band is a short number, so what is near one is looked up by each number that is
+    near: this meets the pairs that are close in the band and no others.
+    """
 
     def __init__(self, key: tuple[int, int], plan: Plan, band: int):
         super().__init__(key, plan, band)
         self.likely = bits_for(plan.similarity, 64 * plan.words)
+        self.values = None
+        # Words after which two unrelated sketches differ by more than is allowed, but for three deviations.
+        self.sure = next((n for n in range(1, plan.words) if 32 * n - 12 * n**0.5 > plan.most), plan.words)
 
     def found(
         self, asks: np.ndarray, nodes: np.ndarray, sketches: np.ndarray, roots: np.ndarray
@@ -463,38 +488,82 @@ class Candidates(Shard):
             self.parts.append((nodes[~asks], sketches[~asks], roots[~asks]))
         if not asks.any() or not self.parts:
             return
-        if self.tree is None:
+        if self.values is None:
             self.nodes, self.sketches, self.roots = (np.concatenate(p) for p in zip(*self.parts, strict=True))
+            values = self.plan.band(self.sketches, self.band)
+            order = np.argsort(values, kind="stable")
+            self.values, self.nodes, self.sketches, self.roots = (
+                x[order] for x in (values, self.nodes, self.sketches, self.roots)
+            )
             self.parts = [(self.nodes, self.sketches, self.roots)]  # not held twice
-            self.values = self.plan.band(self.sketches, self.band)
-            self.tree = Tree(self.values, np.arange(len(self.values)), LEAF)
+            self.columns = np.ascontiguousarray(self.sketches.T)
         nodes, sketches, roots = nodes[asks], sketches[asks], roots[asks]
-        values = self.plan.band(sketches, self.band)
+        columns = np.ascontiguousarray(sketches.T)
         none = np.iinfo(np.int64).max
         best, nearest, lowest = np.full(len(nodes), none), np.full(len(nodes), none), np.full(len(nodes), none)
-        for leaf, some in self.tree.search(values, np.arange(len(nodes)), self.plan.band_most):
-            step = max(1, _BLOCK // self.plan.words // max(1, len(leaf.rows)))
-            for at in range(0, len(some), step):
-                part = some[at : at + step]
-                q, x = np.nonzero(np.bitwise_count(values[part][:, None] ^ self.values[leaf.rows]) <= self.plan.band_most)
-                q, x = part[q], leaf.rows[x]
-                keep = roots[q] != self.roots[x]
-                q, x = q[keep], x[keep]
-                far = np.bitwise_count(sketches[q] ^ self.sketches[x]).sum(-1, dtype=np.int64)
-                keep = far <= self.plan.most
-                q, x, far = q[keep], x[keep], far[keep]
-                if not len(q):
-                    continue
-                order = np.lexsort((self.nodes[x], far, q))
-                first = order[np.flatnonzero(np.diff(q[order], prepend=-1))]
-                better = first[far[first] < best[q[first]]]
-                best[q[better]], nearest[q[better]] = far[better], self.nodes[x[better]]
-                likely = far <= self.likely
-                np.minimum.at(lowest, q[likely], self.nodes[x[likely]])
+        for q, x in self._close(columns, self.plan.band(sketches, self.band)):
+            keep = roots[q] != self.roots[x]
+            q, x, far = self._within(columns, q[keep], x[keep])
+            if not len(q):
+                continue
+            order = np.lexsort((self.nodes[x], far, q))
+            first = order[np.flatnonzero(np.diff(q[order], prepend=-1))]
+            to, node, bits = q[first], self.nodes[x[first]], far[first]
+            better = (bits < best[to]) | ((bits == best[to]) & (node < nearest[to]))
+            best[to[better]], nearest[to[better]] = bits[better], node[better]
+            likely = far <= self.likely
+            np.minimum.at(lowest, q[likely], self.nodes[x[likely]])
         for other in (nearest, lowest):
             some = np.flatnonzero(other != none)
             yield nodes[some], other[some]
 
+    def _close(self, columns: np.ndarray, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Asked sketches and homes that are close in the band, some pairs at a time.
+
+        Where many ask with one value, all of them meet all that is near it as a block,
+        which leaves out what differs too much already in its first words.
+        """
+        known, which, count = np.unique(asked, return_inverse=True, return_counts=True)
+        by_value, first = np.argsort(which, kind="stable"), np.cumsum(count) - count
+        near = known ^ flips(self.plan.band_bits, self.plan.band_most)[:, None]
+        starts = np.searchsorted(self.values, near)
+        sizes = np.searchsorted(self.values, near, "right") - starts
+        many = count * sizes.sum(0) >= DENSE
+        for value in np.flatnonzero(many):
+            asking = by_value[first[value] : first[value] + count[value]]
+            rows = np.concatenate([np.arange(at, at + n) for at, n in zip(starts[:, value], sizes[:, value], strict=True)])
+            homes, step = self.columns[: self.sure, rows], max(1, PAIRS // len(rows))
+            for at in range(0, len(asking), step):
+                some = asking[at : at + step]
+                far = _differing(columns[: self.sure, some, None], homes[:, None])
+                if (close := np.flatnonzero(far <= self.plan.most)).size:
+                    yield some[close // len(rows)], rows[close % len(rows)]
+        sizes[:, many] = 0
+        for start, size in zip(starts, sizes, strict=True):
+            asking = by_value[size[which[by_value]] > 0]
+            start, n = start[which[asking]], size[which[asking]]
+            ends, at = np.cumsum(n), 0
+            while at < len(asking):
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] - n[at] + PAIRS, "right")))
+                some = n[at:to]
+                rows = np.arange(some.sum()) + np.repeat(start[at:to] - (np.cumsum(some) - some), some)
+                yield np.repeat(asking[at:to], some), rows
+                at = to
+
+    def _within(self, columns: np.ndarray, q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs that are within ``most`` bits, and by how many they differ.
+
+        They are counted word by word. Half of the bits of two unrelated sketches differ,
+        so most pairs are given up before their last word.
+        """
+        far = np.zeros(len(q), np.int64)
+        for word in range(self.plan.words):
+            far += np.bitwise_count(columns[word][q] ^ self.columns[word][x])
+            if 32 * (word + 1) > self.plan.most or word + 1 == self.plan.words:
+                keep = far <= self.plan.most
+                q, x, far = q[keep], x[keep], far[keep]
+        return q, x, far
+
     def stars(self) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0), np.zeros(0)
 

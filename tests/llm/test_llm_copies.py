@@ -167,6 +167,37 @@ def test_long_links_are_exactly_the_pairs_of_similarity_0_8(spark):
     assert 60 < len(set(found.values())) < len(docs) - 60
 
 
+@pytest.mark.parametrize("dense", [1, 200, 1 << 40])
+def test_candidates_of_a_shard_are_the_nearest_and_lowest_without_walking_a_tree(monkeypatch, dense):
+    draw, plan = np.random.default_rng(5), simhash.LONG
+    sketches = draw.integers(0, 1 << 64, (3000, plan.words), dtype=np.uint64)
+    for i in range(1000, 2000):  # some bits of an earlier one
+        sketches[i] = sketches[draw.integers(i)]
+        for bit in draw.choice(512, draw.integers(0, 130), replace=False):
+            sketches[i, bit >> 6] ^= np.uint64(1) << np.uint64(bit & 63)
+    sketches[2000:2200, 0] &= np.uint64((1 << 40) - 1)  # one value of the band for many
+    nodes = draw.permutation(3000) - 1500
+    roots = np.where(draw.random(3000) < 0.5, nodes, 7)
+    asks = draw.random(3000) < 0.3
+    values, likely = plan.band(sketches, 0), simhash.bits_for(plan.similarity, 512)
+    wanted = set()
+    for part in (np.flatnonzero(asks), np.flatnonzero(~asks)):  # homes ask their own shard as well
+        for i in part:
+            far = np.bitwise_count(sketches[i] ^ sketches).sum(axis=1, dtype=int)
+            near = ~asks & (roots != roots[i]) & (np.bitwise_count(values[i] ^ values) <= 1) & (far <= plan.most)
+            if near.any():
+                wanted.add((nodes[i], min(zip(far[near], nodes[near]))[1]))
+            if (near & (far <= likely)).any():
+                wanted.add((nodes[i], nodes[near & (far <= likely)].min()))
+    compared, count = [], np.bitwise_count
+    monkeypatch.setattr(simhash, "DENSE", dense, raising=False)
+    monkeypatch.setattr(np, "bitwise_count", lambda x, *more: compared.append(x.size) or count(x, *more))
+    shard = simhash.Candidates((0, 0), plan, 0)
+    found = [*shard.found(asks, nodes, sketches, roots), *shard.ended()]
+    assert {(a, b) for side in found for a, b in zip(*side, strict=True)} == wanted and len(wanted) > 300
+    assert sum(compared) < 400_000  # numbers whose bits were counted; more than a million in a tree
+
+
 def test_a_family_just_below_the_similarity_is_not_decided_pair_by_pair(spark, monkeypatch):
     draw, docs = random.Random(13), []
     base = text(190, 77).split()[:180]

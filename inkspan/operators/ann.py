@@ -37,7 +37,7 @@ class VectorIndex:
         path = path or shared_folder(spark, f"index-{method}")
         if method == "ivf":
             self.centroids = ivf.train_centroids(vectors, lists, seed)
-            ivf.write_index(ivf.assign_lists(vectors, self.centroids), path)
+            ivf.write_index(ivf.assign_lists(vectors, self.centroids), path, lists)
             self.rows = ivf.read_index(spark, path)
             self.probes = ivf.calibrated_probes(self.rows, self.centroids, NEIGHBOURS, recall)
         else:

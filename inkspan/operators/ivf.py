@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -10,20 +11,28 @@ import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from inkspan.functions.vectors import is_finite
 from inkspan.operators.search import (
-    QUERY_TILE, Queries, among_highest, highest_products, knn_join, needed_probes, sampled_neighbours, top_k,
-    usable_rows,
+    PRODUCTS, QUERY_TILE, Queries, among_highest, highest_products, knn_join, needed_probes, sampled_neighbours, top_k,
+    usable_rows, vector_matrix,
 )
-from inkspan.session import shared_folder
+from inkspan.session import discard, shared_folder
 
 # Default number of lists, and of lists a search reads.
 LISTS = 20
 PROBES = 5
 MAX_CENTROID_BYTES = 256 << 20
 MAX_LISTS = 1 << 16
+# Lists that are trained at once; more are trained cell by cell.
+MAX_FLAT_LISTS = 256
+# Most lists with a folder each; of more, how many are in a folder, and its column.
+MAX_FOLDERS = 256
+FOLDER_LISTS = 64
+FOLDER = "list_folder"
+# How far a center moves at least, or the training ends.
+TOLERANCE = 1e-4
 # Bytes of the bits that say which lists the queries of one scan read.
 MAX_PROBE_BYTES = 16 << 20
 CENTROIDS = T.StructType([
@@ -41,9 +50,12 @@ def train_centroids(
 ) -> DataFrame:
     """(list_id, centroid) from k-means over the unit-length vectors of all rows.
 
-    Vectors that are NULL, zero or not finite have no direction and are left out.
+    Vectors that are NULL, zero or not finite have no direction and are left out. Many
+    lists are trained in two steps: cells first, and then the lists of each cell.
     """
-    usable = is_finite(vector_col) & F.exists(vector_col, lambda x: x != 0)
+    if lists > MAX_FLAT_LISTS:
+        return _train_in_cells(vectors, lists, seed, iterations, vector_col)
+    usable = _has_direction(vector_col)
     raw = vectors.filter(usable).select(
         array_to_vector(vector_col).alias("raw")
     )
@@ -53,6 +65,134 @@ def train_centroids(
     return vectors.sparkSession.createDataFrame(centers, CENTROIDS)
 
 
+def _has_direction(vector_col: str) -> Column:
+    return is_finite(vector_col) & F.exists(vector_col, lambda x: x != 0)
+
+
+def _train_in_cells(vectors: DataFrame, lists: int, seed: int, iterations: int, vector_col: str) -> DataFrame:
+    """K-means of many lists over all rows: a row is compared with the lists of its cell only.
+
+    There are about as many cells as lists in a cell, so a pass takes time by the root
+    of the number of lists. Each cell has lists by its share of the different vectors,
+    and starts from some of these. Copies of a vector are one row with their number.
+    """
+    spark = vectors.sparkSession
+    cells = train_centroids(vectors, math.ceil(math.sqrt(lists)), seed, iterations, vector_col)
+    path = shared_folder(spark, "cells")
+    different = vectors.filter(_has_direction(vector_col)).groupBy(F.col(vector_col).alias("vector")).agg(
+        F.count("*").alias("n")
+    )
+    different = assign_lists(different, cells, "vector").withColumnRenamed("list_id", "cell")
+    # By cell, so that a task sums up the lists of a few cells; a large cell is many tasks'.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    draw = F.xxhash64("vector", F.lit(seed))
+    different.repartitionByRange(tasks, "cell", draw).sortWithinPartitions("cell").write.parquet(path)
+    rows = spark.read.schema(different.schema).parquet(path)
+    sizes = {r.cell: r["count"] for r in rows.groupBy("cell").count().collect()}  # at most some hundred
+    centers = _first_centers(rows, draw, sizes, _shares(sizes, lists))
+    for _ in range(iterations):
+        moved = _moved(rows, centers)
+        still = all(np.linalg.norm(moved[c] - centers[c], axis=1).max() < TOLERANCE for c in centers)
+        centers = moved
+        if still:
+            break
+    discard(spark, path)
+    matrix = np.concatenate([centers[cell] for cell in sorted(centers)] or [np.empty((0, 0))])
+    offsets = np.arange(len(matrix) + 1) * matrix.shape[1]
+    column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(matrix.reshape(-1)))
+    ids = pa.array(np.arange(len(matrix)), pa.int32())
+    return spark.createDataFrame(pa.table({"list_id": ids, "centroid": column}), CENTROIDS)
+
+
+def _shares(sizes: dict[int, int], lists: int) -> dict[int, int]:
+    """How many of the lists each cell has: by its size, one at least, and no more than it has rows."""
+    total = sum(sizes.values())
+    if total <= lists:
+        return dict(sizes)
+    exact = {cell: lists * n / total for cell, n in sizes.items()}
+    shares = {cell: max(1, math.floor(x)) for cell, x in exact.items()}
+    by_rest = sorted(exact, key=lambda cell: (math.floor(exact[cell]) - exact[cell], cell))
+    for cell in by_rest[: max(0, lists - sum(shares.values()))]:
+        shares[cell] += 1
+    return {cell: min(n, sizes[cell]) for cell, n in shares.items()}
+
+
+def _first_centers(
+    rows: DataFrame, draw: Column, sizes: dict[int, int], shares: dict[int, int]
+) -> dict[int, np.ndarray]:
+    """The rows of smallest hash of each cell, as many as it has lists, of length 1.
+
+    Somewhat more than these come to the driver; if there are too few, twice as many do.
+    """
+    found: dict[int, list] = {cell: [] for cell in shares}
+    more = 1
+    while short := [cell for cell, some in found.items() if len(some) < shares[cell]]:
+        bars = [x for cell in short for x in (cell, more * (shares[cell] + 4 * shares[cell] ** 0.5 + 8) / sizes[cell])]
+        bar = F.create_map(*map(F.lit, bars))[F.col("cell")]
+        at = (draw.cast("double") / 2.0**64 + 0.5).alias("at")
+        drawn = rows.where(F.col("cell").isin(short)).select("cell", at, "vector").where(F.col("at") <= bar)
+        for cell in short:
+            found[cell] = []
+        for batch in drawn.toArrow().to_batches():
+            some = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows or 1, -1)
+            for cell, place, vector in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), some):
+                found[cell].append((place, vector))
+        more *= 2
+    centers = {}
+    for cell, some in found.items():
+        lowest = sorted(some, key=lambda drawn: drawn[0])[: shares[cell]]
+        matrix = np.array([vector for _, vector in lowest], np.float64)
+        centers[cell] = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    return centers
+
+
+def _moved(rows: DataFrame, centers: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Each center as the mean of the directions nearest to it in its cell; one without any stays.
+
+    A task sends the sums of the lists it meets, of a few cells.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(centers)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, found = sent.value, {}
+        for batch in batches:
+            cells, n = (batch.column(c).to_numpy() for c in (0, 1))
+            for cell in np.unique(cells):
+                own, at = known[cell], np.flatnonzero(cells == cell)
+                some = vector_matrix(batch.column(2).take(pa.array(at)), own.shape[1])
+                some /= np.linalg.norm(some, axis=1, keepdims=True)
+                total, count = found.setdefault(cell, (np.zeros_like(own), np.zeros(len(own))))
+                step = max(1, PRODUCTS // len(own))
+                for start in range(0, len(some), step):
+                    part, weight = some[start : start + step], n[at[start : start + step]]
+                    near = (part @ own.T - (own * own).sum(axis=1) / 2).argmax(axis=1)
+                    order = np.argsort(near, kind="stable")
+                    lists, first = np.unique(near[order], return_index=True)
+                    total[lists] += np.add.reduceat((part * weight[:, None])[order], first)
+                    count[lists] += np.add.reduceat(weight[order], first)
+        for cell, (total, count) in found.items():
+            met = np.flatnonzero(count)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(met), cell), pa.int32()), pa.array(met, pa.int32()), pa.array(count[met]),
+                 pa.array([row.tobytes() for row in total[met]], pa.binary())],
+                ["cell", "at", "n", "total"],
+            )
+
+    kind = "cell int, at int, n double, total binary"
+    got = rows.select("cell", "n", "vector").mapInArrow(sums, kind).toArrow()
+    moved = {cell: np.zeros_like(own) for cell, own in centers.items()}
+    counts = {cell: np.zeros(len(own)) for cell, own in centers.items()}
+    for cell, at, n, total in zip(*(got.column(c).to_pylist() for c in ("cell", "at", "n", "total")), strict=True):
+        moved[cell][at] += np.frombuffer(total)
+        counts[cell][at] += n
+    for cell, n in counts.items():
+        there = n > 0
+        moved[cell][there] /= n[there, None]
+        moved[cell][~there] = centers[cell][~there]
+    sent.unpersist()
+    return moved
+
+
 def assign_lists(
     vectors: DataFrame, centroids: DataFrame, vector_col: str = "embedding"
 ) -> DataFrame:
@@ -77,9 +217,16 @@ def assign_lists(
     return vectors.withColumn("list_id", assign(vector_col))
 
 
-def write_index(assigned: DataFrame, path: str) -> None:
-    """One folder per list. A list too big for one task is split over several."""
-    assigned.hint("rebalance", "list_id").write.partitionBy("list_id").parquet(path)
+def write_index(assigned: DataFrame, path: str, lists: int = 0) -> None:
+    """One folder per list. A list too big for one task is split over several.
+
+    Of more lists than ``MAX_FOLDERS``, some that follow each other share a folder.
+    """
+    if lists <= MAX_FOLDERS:
+        assigned.hint("rebalance", "list_id").write.partitionBy("list_id").parquet(path)
+        return
+    placed = assigned.withColumn(FOLDER, F.floor(F.col("list_id") / FOLDER_LISTS).cast("int"))
+    placed.hint("rebalance", FOLDER).sortWithinPartitions(FOLDER, "list_id").write.partitionBy(FOLDER).parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -207,7 +354,7 @@ def _prune_asked(index: DataFrame, side: Queries) -> DataFrame:
     if not side.extra:
         return index.limit(0)
     wanted = side.extra["list_ids"][0][side.extra["asked"].any(axis=0)]
-    return index.filter(F.col("list_id").isin([int(x) for x in wanted]))
+    return _of_lists(index, wanted)
 
 
 def _asked_lists(batch: pa.RecordBatch, side: Queries):
@@ -251,7 +398,14 @@ def _prune_lists(list_ids: np.ndarray, index: DataFrame, side: Queries) -> DataF
     asked = np.unpackbits(np.bitwise_or.reduce(side.extra["probed"], axis=0), count=len(list_ids)) == 1
     if asked.all():
         return index.filter(F.col("list_id").isNotNull())
-    return index.filter(F.col("list_id").isin([int(x) for x in list_ids[asked]]))
+    return _of_lists(index, list_ids[asked])
+
+
+def _of_lists(index: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """The rows of these lists: a partition filter, of lists that share folders and a row filter."""
+    if FOLDER in index.columns:
+        index = index.filter(F.col(FOLDER).isin(np.unique(wanted // FOLDER_LISTS).tolist()))
+    return index.filter(F.col("list_id").isin(wanted.tolist()))
 
 
 def _probed_rows(list_ids: np.ndarray, batch: pa.RecordBatch, side: Queries):

@@ -1,3 +1,4 @@
+import pathlib
 import random
 import re
 import tracemalloc
@@ -225,6 +226,48 @@ def test_index_choice(spark):
         VectorIndex(vectors, "hnsw2", DIM)
 
 
+def test_many_lists_are_trained_cell_by_cell(spark, monkeypatch):
+    draw, asked, kmeans = np.random.default_rng(3), [], ivf.KMeans
+    matrix = draw.normal(size=(600, DIM)).astype(np.float32)
+    matrix[500:] = matrix[0]  # copies
+    rows = [(i, v.tolist()) for i, v in enumerate(matrix)]
+    rows += [(700, None), (701, [0.0] * DIM), (702, [float("nan")] * DIM)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(ivf, "KMeans", lambda k, **more: asked.append(k) or kmeans(k=k, **more))
+
+    def lost(centroids):
+        _, centers = ivf.centroid_matrix(centroids)
+        units = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+        return len(centers), ((units[:, None] - centers) ** 2).sum(axis=2).min(axis=1).sum()
+
+    flat = lost(ivf.train_centroids(vectors, 60))
+    monkeypatch.setattr(ivf, "MAX_FLAT_LISTS", 16, raising=False)
+    some = lost(ivf.train_centroids(vectors, 60))
+    assert asked == [60, 8] and flat[0] <= 60 == some[0] and some[1] < 1.15 * flat[1]
+    ids, centers = ivf.centroid_matrix(ivf.train_centroids(vectors, 2000))
+    assert len(ids) == 500 and np.allclose(np.linalg.norm(centers, axis=1), 1)  # each different vector
+
+
+def test_many_lists_share_folders(spark, folder, monkeypatch):
+    ids, matrix, asked = data()
+    vectors, queries = frames(spark, ids, matrix, asked)
+    monkeypatch.setattr(ivf, "MAX_FOLDERS", 16, raising=False)
+    monkeypatch.setattr(ivf, "FOLDER_LISTS", 5, raising=False)
+    monkeypatch.setattr(ivf, "MAX_FLAT_LISTS", 16, raising=False)
+    index = VectorIndex(vectors, "ivf", DIM, lists=30, path=folder + "/index")
+    names = [p.name for p in pathlib.Path(folder, "index").iterdir() if p.is_dir()]
+    assert len(names) <= 7 and index.rows.count() == vectors.count()
+    list_ids, centers = ivf.centroid_matrix(index.centroids)
+    lists = {r.vec_id: r.list_id for r in index.rows.collect()}
+    scores = np.round(asked.astype(np.float64) @ centers.T, 9)
+    probed = [set(list_ids[np.argsort(-s, kind="stable")[:3]]) for s in scores]
+    assert ranked(index.search(queries, 9, probes=3)) == brute(
+        ids, matrix, asked, 9, allowed=lambda q, i: lists[i] in probed[q]
+    )
+    plan = index.search(queries.limit(1), 3, probes=1)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*list_folder#\d+ = \d", plan)
+
+
 def test_ivf_reads_probed_lists_only(spark, folder):
     ids, matrix, asked = data()
     vectors, queries = frames(spark, ids, matrix, asked)

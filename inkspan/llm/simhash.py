@@ -8,7 +8,7 @@ triangle inequality does not rule out, so pairs across a boundary are met too.
 Inside a shard a second tree prunes in the same way down to short lists.
 
 Long sketches are searched band by band: near copies agree, but for a bit, in at
-least one band. The whole sketch names the candidates, with a bound well above the
+least one band. Inside a shard a band is looked up by value, without a second tree. The whole sketch names the candidates, with a bound well above the
 expected distance, and the exact Jaccard similarity of the shingles decides. Texts that
 have candidates in other components meet again by the rarest of their shingles, which
 tells apart the many pairs of a family that are just below the similarity.
